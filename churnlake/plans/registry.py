@@ -87,3 +87,101 @@ def tenure_bin_churn(spark, sf_dir):
 @job("snapshot_dates")
 def snapshot_dates(spark, sf_dir):
     return explore.snapshot_dates(_dm(spark, sf_dir).gold_labels)
+
+
+# ---- monitoring ----------------------------------------------------------------
+from churnlake.operators import monitor  # noqa: E402
+
+# Scenario months of the source monitor (April..July), mapped to the fixture calendar.
+SCENARIO_MONTHS = [("Apr", "1998-04-15"), ("May", "1998-05-15"), ("Jun", "1998-06-15"), ("Jul", "1998-07-15")]
+
+
+def _mon(spark, sf_dir):
+    dm = _dm(spark, sf_dir)
+    return monitor.monitoring_set(dm.gold_features, dm.gold_labels)
+
+
+def _with_prediction(mon):
+    return mon.withColumn("prediction", (F.col("churn_probability") > 0.5).cast("int"))
+
+
+@job("heuristic_score")
+def heuristic_score(spark, sf_dir):
+    return _mon(spark, sf_dir).select("customerID", "snapshot_date", F.round("churn_probability", 6)
+                                      .alias("churn_probability"))
+
+
+@job("target_list")
+def target_list(spark, sf_dir):
+    from churnlake.schema import TARGET_CUT
+    return heuristic_score(spark, sf_dir).where(F.col("churn_probability") > TARGET_CUT)
+
+
+@job("scenario_expand")
+def scenario_expand(spark, sf_dir):
+    return monitor.scenario_expand(_mon(spark, sf_dir), SCENARIO_MONTHS)
+
+
+@job("pred_truth_join")
+def pred_truth_join(spark, sf_dir):
+    dm = _dm(spark, sf_dir)
+    scored = monitor.with_heuristic_score(dm.gold_features)
+    preds = monitor.predictions_from_scores(scored, "heuristic").withColumn(
+        "churn_probability", F.round("churn_probability", 6))
+    return monitor.pred_truth_join(preds, dm.silver["features"], dm.gold_labels)
+
+
+@job("customer_only_join")
+def customer_only_join(spark, sf_dir):
+    dm = _dm(spark, sf_dir)
+    return monitor.customer_only_fanout(dm.silver["features"], dm.gold_labels)
+
+
+@job("label_test_yes")
+def label_test_yes(spark, sf_dir):
+    return monitor.label_test_yes(_dm(spark, sf_dir).raw["labels"])
+
+
+@job("monthly_auc")
+def monthly_auc(spark, sf_dir):
+    return monitor.monthly_auc(_mon(spark, sf_dir))
+
+
+@job("auc_summary")
+def auc_summary(spark, sf_dir):
+    return monitor.auc_summary(monitor.monthly_auc(_mon(spark, sf_dir)))
+
+
+@job("deciles")
+def deciles(spark, sf_dir):
+    return monitor.deciles(_mon(spark, sf_dir))
+
+
+@job("psi_report")
+def psi_report(spark, sf_dir):
+    return monitor.psi_report(_mon(spark, sf_dir))
+
+
+@job("kde_scores")
+def kde_scores(spark, sf_dir):
+    return monitor.kde(_mon(spark, sf_dir), "churn_probability")
+
+
+@job("kde_charges")
+def kde_charges(spark, sf_dir):
+    return monitor.kde(_mon(spark, sf_dir), "monthly_charges")
+
+
+@job("confusion_matrix")
+def confusion_matrix(spark, sf_dir):
+    return monitor.confusion_matrix(_with_prediction(_mon(spark, sf_dir)))
+
+
+@job("classification_report")
+def classification_report(spark, sf_dir):
+    return monitor.classification_report(_with_prediction(_mon(spark, sf_dir)))
+
+
+@job("accuracy_f1")
+def accuracy_f1(spark, sf_dir):
+    return monitor.accuracy_f1(_with_prediction(_mon(spark, sf_dir)))

@@ -192,13 +192,14 @@ def eda_bin_sql(c: str = "tenure") -> str:
 
 
 def contract_factor_sql(c: str = "Contract") -> str:
-    parts = " ".join(f"WHEN {c} = {_q(k)} THEN {v}" for k, v in CONTRACT_FACTORS.items())
-    return f"(CASE {parts} ELSE 1.0 END)"
+    parts = " ".join(f"WHEN {c} = {_q(k)} THEN {v}::DOUBLE" for k, v in CONTRACT_FACTORS.items())
+    return f"(CASE {parts} ELSE 1.0::DOUBLE END)"
 
 
 def heuristic_sql(t: str = "tenure", m: str = "MonthlyCharges", c: str = "Contract") -> str:
-    raw = (f"(0.2 + (1.0 - CAST({t} AS DOUBLE) / 100.0) * 0.3 + (CAST({m} AS DOUBLE) / 120.0) * 0.2 "
-           f"+ ({contract_factor_sql(c)} - 1.0) * 0.3)")
+    raw = (f"(0.2::DOUBLE + (1.0::DOUBLE - CAST({t} AS DOUBLE) / 100.0::DOUBLE) * 0.3::DOUBLE "
+           f"+ (CAST({m} AS DOUBLE) / 120.0::DOUBLE) * 0.2::DOUBLE "
+           f"+ ({contract_factor_sql(c)} - 1.0::DOUBLE) * 0.3::DOUBLE)")
     return f"greatest(0.01, least(0.99, {raw}))"
 
 
@@ -239,3 +240,148 @@ ORACLE["tenure_bin_churn"] = with_base(f"""
 SELECT {eda_bin_sql()} AS tenure_bin, Churn, CAST(count(*) AS BIGINT) AS n
 FROM eda WHERE {eda_bin_sql()} IS NOT NULL AND Churn IS NOT NULL GROUP BY 1, 2""")
 ORACLE["snapshot_dates"] = with_base("SELECT DISTINCT Snapshot_Date FROM gold_labels ORDER BY 1")
+
+# ---- monitoring -----------------------------------------------------------------
+SCORE = heuristic_sql("coalesce(CAST(tenure AS DOUBLE), 12.0::DOUBLE)",
+                      "coalesce(CAST(MonthlyCharges AS DOUBLE), 50.0::DOUBLE)", "Contract")
+MON = f""",
+mon AS (SELECT g.customerID, g.Snapshot_Date AS snapshot_date,
+   CAST(date_trunc('month', g.Snapshot_Date) AS DATE) AS month_start, strftime(g.Snapshot_Date, '%b') AS month,
+   round({SCORE.replace('tenure', 'g.tenure').replace('MonthlyCharges', 'g.MonthlyCharges').replace('Contract', 'g.Contract')}, 9)
+     AS churn_probability,
+   CAST(l.Churn AS INTEGER) AS actual_churn, g.MonthlyCharges AS monthly_charges
+ FROM gold_features g JOIN gold_labels l ON g.customerID = l.customerID AND g.Snapshot_Date = l.Snapshot_Date
+ WHERE l.Churn IS NOT NULL),
+vals AS (SELECT 'churn_probability' AS feature, month_start, churn_probability AS value FROM mon
+   UNION ALL SELECT 'monthly_charges', month_start, monthly_charges FROM mon)"""
+
+
+def with_mon(select: str, extra: str = "") -> str:
+    return with_base(select, MON + extra)
+
+
+ORACLE["heuristic_score"] = with_mon(
+    "SELECT customerID, snapshot_date, round(churn_probability, 6) AS churn_probability FROM mon")
+ORACLE["target_list"] = with_mon(
+    "SELECT customerID, snapshot_date, round(churn_probability, 6) AS churn_probability FROM mon "
+    "WHERE round(churn_probability, 6) > 0.7")
+ORACLE["scenario_expand"] = with_mon("""
+SELECT customerID, snapshot_date AS source_date, s.idx AS scenario, s.month, CAST(s.d AS DATE) AS snapshot_date,
+  actual_churn, monthly_charges, round(greatest(0.01, least(0.99, churn_probability + s.idx * 0.02)), 6) AS churn_probability
+FROM mon, (VALUES (0, 'Apr', '1998-04-15'), (1, 'May', '1998-05-15'), (2, 'Jun', '1998-06-15'), (3, 'Jul', '1998-07-15'))
+  AS s(idx, month, d)""")
+ORACLE["pred_truth_join"] = with_base(f"""
+SELECT p.customerID, p.snapshot_date, 'heuristic' AS model_name, p.binary_prediction, p.churn_probability,
+  t.actual_churn, t.monthly_charges, strftime(p.snapshot_date, '%b') AS month
+FROM (SELECT customerID, Snapshot_Date AS snapshot_date, CAST(s > 0.5 AS INTEGER) AS binary_prediction,
+        round(s, 6) AS churn_probability
+      FROM (SELECT *, {SCORE} AS s FROM gold_features)) p
+JOIN (SELECT f.customerID, f.Snapshot_Date AS snapshot_date, l.Churn AS actual_churn, f.MonthlyCharges AS monthly_charges
+      FROM silver_features f JOIN gold_labels l ON f.customerID = l.customerID AND f.Snapshot_Date = l.Snapshot_Date
+      WHERE l.Churn IS NOT NULL) t
+ON p.customerID = t.customerID AND p.snapshot_date = t.snapshot_date""")
+ORACLE["customer_only_join"] = with_base("""
+SELECT f.customerID, CAST(f.n AS BIGINT) AS feature_rows, CAST(l.n AS BIGINT) AS label_rows,
+  CAST(f.n * l.n AS BIGINT) AS joined_rows, CAST(f.n * l.n - least(f.n, l.n) AS BIGINT) AS cross_snapshot_rows
+FROM (SELECT customerID, count(*) AS n FROM silver_features GROUP BY 1) f
+JOIN (SELECT customerID, count(*) AS n FROM gold_labels GROUP BY 1) l ON f.customerID = l.customerID""")
+ORACLE["label_test_yes"] = with_base(
+    "SELECT customerID, Snapshot_Date, CAST(coalesce(Churn, '') = 'Yes' AS INTEGER) AS actual_churn FROM raw_labels")
+
+AUC_CTE = """,
+h AS (SELECT month_start, churn_probability AS s, sum(actual_churn) AS pos, count(*) - sum(actual_churn) AS neg
+      FROM mon GROUP BY 1, 2),
+c AS (SELECT *, sum(neg) OVER (PARTITION BY month_start ORDER BY s ROWS UNBOUNDED PRECEDING) AS cum FROM h),
+auc AS (SELECT month_start, strftime(month_start, '%b') AS month, CAST(sum(pos) + sum(neg) AS BIGINT) AS n,
+   CAST(sum(pos) AS BIGINT) AS positives,
+   round(CASE WHEN sum(pos) > 0 AND sum(neg) > 0
+         THEN sum(pos * (cum - neg + neg * 0.5)) / (CAST(sum(pos) AS DOUBLE) * sum(neg)) END, 6) AS auc
+   FROM c GROUP BY 1)"""
+ORACLE["monthly_auc"] = with_mon("SELECT *, auc < 0.65 AS below_alert FROM auc", AUC_CTE)
+ORACLE["auc_summary"] = with_mon("""
+SELECT CAST(count(*) AS BIGINT) AS months, round(avg(auc), 6) AS mean_auc, round(min(auc), 6) AS min_auc,
+  round(max(auc), 6) AS max_auc, CAST(count_if(auc < 0.65) AS BIGINT) AS months_below_alert,
+  round(avg(auc), 6) >= 0.8 AS passes
+FROM auc WHERE auc IS NOT NULL""", AUC_CTE)
+ORACLE["deciles"] = with_mon(f"""
+SELECT feature, month_start, CAST(i - 1 AS INTEGER) AS q_idx, round(({DECILES})[i], 2) AS prob, round(q[i], 6) AS value
+FROM (SELECT feature, month_start, quantile_cont(value, {DECILES}) AS q FROM vals
+      WHERE value IS NOT NULL GROUP BY 1, 2), range(1, 12) t(i)""")
+
+PSI_CTE = f""",
+b AS (SELECT min(month_start) AS bm FROM mon),
+base AS (SELECT v.* FROM vals v, b WHERE v.month_start = b.bm AND v.value IS NOT NULL),
+e0 AS (SELECT feature, list_sort(list_distinct(quantile_cont(value, {DECILES}))) AS e FROM base GROUP BY 1),
+edges AS (SELECT feature, len(e) - 1 AS nb, CASE WHEN len(e) > 2 THEN e[2:len(e) - 1] ELSE [] END AS inner_e FROM e0),
+binned AS (SELECT v.feature, v.month_start, len(list_filter(ed.inner_e, lambda x: x < v.value)) AS bin
+           FROM vals v JOIN edges ed ON v.feature = ed.feature WHERE v.value IS NOT NULL),
+counts AS (SELECT feature, month_start, bin, count(*) AS cnt FROM binned GROUP BY 1, 2, 3),
+totals AS (SELECT feature, month_start, sum(cnt) AS t FROM counts GROUP BY 1, 2),
+grid AS (SELECT t.feature, t.month_start, t.t, unnest(range(0, ed.nb)) AS bin
+         FROM totals t JOIN edges ed ON t.feature = ed.feature WHERE ed.nb >= 1),
+share AS (SELECT g.feature, g.month_start, g.bin, coalesce(c.cnt, 0) / g.t AS a
+          FROM grid g LEFT JOIN counts c ON g.feature = c.feature AND g.month_start = c.month_start AND g.bin = c.bin),
+bshare AS (SELECT s.feature, s.bin, s.a AS e FROM share s, b WHERE s.month_start = b.bm),
+terms AS (SELECT s.feature, s.month_start,
+            (CASE WHEN s.a = 0 THEN 0.0001 ELSE s.a END - CASE WHEN coalesce(x.e, 0) = 0 THEN 0.0001 ELSE x.e END)
+            * ln(CASE WHEN s.a = 0 THEN 0.0001 ELSE s.a END / CASE WHEN coalesce(x.e, 0) = 0 THEN 0.0001 ELSE x.e END)
+            AS term
+          FROM share s LEFT JOIN bshare x ON s.feature = x.feature AND s.bin = x.bin),
+psi AS (SELECT m.feature, m.month_start, round(coalesce(sum(t.term), 0.0), 6) AS psi
+        FROM (SELECT DISTINCT feature, month_start FROM vals WHERE value IS NOT NULL) m
+        LEFT JOIN terms t ON m.feature = t.feature AND m.month_start = t.month_start GROUP BY 1, 2)"""
+ORACLE["psi_report"] = with_mon("""
+SELECT feature, month_start, strftime(month_start, '%b') AS month, psi,
+  CASE WHEN psi > 0.25 THEN 'critical' WHEN psi > 0.1 THEN 'warning' ELSE 'stable' END AS status
+FROM psi, b WHERE month_start > b.bm""", PSI_CTE)
+
+
+def _kde_sql(feature: str) -> str:
+    return with_mon(f"""
+SELECT g.feature, g.month_start, CAST(g.point AS INTEGER) AS point,
+  round(CASE WHEN g.point = 199 THEN g.g1 ELSE g.x END, 6) AS x,
+  round(sum(h.c * exp(-0.5 * pow((g.x - h.value) / g.bw, 2))) / (g.n * g.bw * sqrt(2 * pi())), 6) AS density
+FROM (SELECT s.*, p AS point, s.g0 + p * (s.g1 - s.g0) / 199 AS x
+      FROM (SELECT feature, month_start, n, bw, lo - bw * 3 AS g0, hi + bw * 3 AS g1
+            FROM (SELECT feature, month_start, count(*) AS n, stddev_samp(value) * pow(count(*), -0.2) AS bw,
+                         min(value) AS lo, max(value) AS hi
+                  FROM vals WHERE feature = '{feature}' AND value IS NOT NULL GROUP BY 1, 2
+                  HAVING count(*) >= 2 AND stddev_samp(value) > 0)) s, range(0, 200) r(p)) g
+JOIN (SELECT feature, month_start, value, count(*) AS c FROM vals WHERE feature = '{feature}' AND value IS NOT NULL
+      GROUP BY 1, 2, 3) h ON g.feature = h.feature AND g.month_start = h.month_start
+GROUP BY g.feature, g.month_start, g.point, g.x, g.g1, g.n, g.bw""")
+
+
+ORACLE["kde_scores"] = _kde_sql("churn_probability")
+ORACLE["kde_charges"] = _kde_sql("monthly_charges")
+
+PRED = ", pred AS (SELECT actual_churn AS y, CAST(churn_probability > 0.5 AS INTEGER) AS p FROM mon)"
+ORACLE["confusion_matrix"] = with_mon("""
+SELECT g.label, g.prediction, CAST(count(pred.y) AS BIGINT) AS n
+FROM (SELECT a AS label, b AS prediction FROM range(0, 2) r1(a), range(0, 2) r2(b)) g
+LEFT JOIN pred ON pred.y = g.label AND pred.p = g.prediction GROUP BY 1, 2""", PRED)
+REPORT_CTE = PRED + """,
+cm AS (SELECT CAST(count_if(y = 0 AND p = 0) AS DOUBLE) c00, CAST(count_if(y = 0 AND p = 1) AS DOUBLE) c01,
+              CAST(count_if(y = 1 AND p = 0) AS DOUBLE) c10, CAST(count_if(y = 1 AND p = 1) AS DOUBLE) c11 FROM pred),
+k AS (SELECT *, CASE WHEN c00 + c10 > 0 THEN c00 / (c00 + c10) ELSE 0 END AS p0,
+             CASE WHEN c00 + c01 > 0 THEN c00 / (c00 + c01) ELSE 0 END AS r0,
+             CASE WHEN c01 + c11 > 0 THEN c11 / (c01 + c11) ELSE 0 END AS p1,
+             CASE WHEN c10 + c11 > 0 THEN c11 / (c10 + c11) ELSE 0 END AS r1,
+             c00 + c01 AS s0, c10 + c11 AS s1, c00 + c01 + c10 + c11 AS tot FROM cm),
+f AS (SELECT *, CASE WHEN p0 + r0 <> 0 THEN 2 * p0 * r0 / (p0 + r0) ELSE 0 END AS f0,
+             CASE WHEN p1 + r1 <> 0 THEN 2 * p1 * r1 / (p1 + r1) ELSE 0 END AS f1,
+             CASE WHEN tot > 0 THEN (c00 + c11) / tot ELSE 0 END AS acc FROM k),
+rep AS (
+  SELECT '0' AS class, p0 AS precision, r0 AS recall, f0 AS f1, s0 AS support FROM f
+  UNION ALL SELECT '1', p1, r1, f1, s1 FROM f
+  UNION ALL SELECT 'accuracy', acc, acc, acc, tot FROM f
+  UNION ALL SELECT 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, tot FROM f
+  UNION ALL SELECT 'weighted avg', CASE WHEN tot > 0 THEN (p0 * s0 + p1 * s1) / tot ELSE 0 END,
+    CASE WHEN tot > 0 THEN (r0 * s0 + r1 * s1) / tot ELSE 0 END,
+    CASE WHEN tot > 0 THEN (f0 * s0 + f1 * s1) / tot ELSE 0 END, tot FROM f)"""
+ORACLE["classification_report"] = with_mon("""
+SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
+  CAST(support AS BIGINT) AS support FROM rep""", REPORT_CTE)
+ORACLE["accuracy_f1"] = with_mon("""
+SELECT max(CASE WHEN class = 'accuracy' THEN round(precision, 6) END) AS accuracy,
+  max(CASE WHEN class = '1' THEN round(f1, 6) END) AS f1 FROM rep""", REPORT_CTE)
