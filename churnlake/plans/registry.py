@@ -185,3 +185,140 @@ def classification_report(spark, sf_dir):
 @job("accuracy_f1")
 def accuracy_f1(spark, sf_dir):
     return monitor.accuracy_f1(_with_prediction(_mon(spark, sf_dir)))
+
+
+# ---- sources / quality ------------------------------------------------------------
+from churnlake.operators import impute, quality  # noqa: E402
+from churnlake.operators import stores  # noqa: E402
+from churnlake.operators.clean import cleaning_funnel  # noqa: E402
+from churnlake.schema import CATEGORICAL_FEATURES, CONSTANT_FILLS, NUMERIC_FEATURES  # noqa: E402
+from churnlake.session import shared_path  # noqa: E402
+from churnlake.sources import feeds  # noqa: E402
+
+TRAIN_DATE = "1998-08-01"  # model train date on the fixture calendar (source: 2024-08-01)
+
+
+def _bronze_roundtrip(spark, sf_dir, feed):
+    """Ingest every parsable snapshot of the raw feed into the partitioned bronze CSV, read it back."""
+    raw = _dm(spark, sf_dir).raw[feed]
+    path = shared_path(spark, f"bronze_{feed}")
+    feeds.write_bronze(feeds.bronze(raw), path)
+    return feeds.read_bronze(spark, path, feed)
+
+
+for _feed in ["features", "meta", "labels"]:
+    REGISTRY[f"bronze_snapshot_{_feed}"] = (lambda f: lambda spark, sf_dir: _bronze_roundtrip(spark, sf_dir, f))(_feed)
+
+
+def _layer_tables(dm):
+    return {
+        ("raw", "features"): dm.raw["features"], ("raw", "meta"): dm.raw["meta"],
+        ("raw", "labels"): dm.raw["labels"],
+        ("silver", "features"): dm.silver["features"], ("silver", "meta"): dm.silver["meta"],
+        ("silver", "labels"): dm.silver["labels"],
+        ("gold", "feature_store"): dm.gold_features, ("gold", "label_store"): dm.gold_labels,
+    }
+
+
+@job("readiness_gaps")
+def readiness_gaps(spark, sf_dir):
+    dm = _dm(spark, sf_dir)
+    return quality.readiness_gaps(_layer_tables(dm), feeds.month_calendar(dm.raw["features"]))
+
+
+@job("snapshot_row_counts")
+def snapshot_row_counts(spark, sf_dir):
+    return quality.snapshot_row_counts(_layer_tables(_dm(spark, sf_dir)))
+
+
+@job("cleaning_funnel_features")
+def cleaning_funnel_features(spark, sf_dir):
+    return cleaning_funnel(_dm(spark, sf_dir).raw["features"], "features")
+
+
+@job("cleaning_funnel_meta")
+def cleaning_funnel_meta(spark, sf_dir):
+    return cleaning_funnel(_dm(spark, sf_dir).raw["meta"], "meta")
+
+
+# ---- modelling set, calendar, splits, imputation --------------------------------------
+
+def _mset(spark, sf_dir, planted=False):
+    dm = _dm(spark, sf_dir, planted)
+    return stores.modelling_set(dm.gold_labels, dm.gold_features, TRAIN_DATE)
+
+
+def _parts(spark, sf_dir, planted=False):
+    """train / test / oot rows of the modelling set (null labels left out)."""
+    ts = stores.temporal_split(_mset(spark, sf_dir, planted), TRAIN_DATE)
+    tt = stores.stratified_split(ts.where(F.col("part") == "train_test").drop("part"))
+    return tt.unionByName(ts.where(F.col("part") == "oot"))
+
+
+@job("null_counts")
+def null_counts(spark, sf_dir):
+    return quality.null_counts(_mset(spark, sf_dir))
+
+
+@job("modelling_set")
+def modelling_set(spark, sf_dir):
+    return _mset(spark, sf_dir)
+
+
+@job("train_calendar")
+def train_calendar(spark, sf_dir):
+    months = _dm(spark, sf_dir).gold_labels.select(F.trunc("Snapshot_Date", "month").alias("d")).distinct()
+    return months.where(F.col("d").isNotNull()).select(*stores.train_calendar(F.col("d")))
+
+
+@job("temporal_split")
+def temporal_split(spark, sf_dir):
+    return stores.temporal_split(_mset(spark, sf_dir), TRAIN_DATE).select(
+        "customerID", "Snapshot_Date", "Churn", "part")
+
+
+@job("stratified_split")
+def stratified_split(spark, sf_dir):
+    return _parts(spark, sf_dir).where(F.col("part") != "oot").select(
+        "customerID", "Snapshot_Date", "Churn", "part")
+
+
+@job("split_summary")
+def split_summary(spark, sf_dir):
+    return stores.split_summary(_parts(spark, sf_dir))
+
+
+def _imputed(spark, sf_dir, cols, how):
+    parts = _parts(spark, sf_dir)
+    train = parts.where(F.col("part") == "train")
+    out = how(parts, cols, train)
+    return out.select("customerID", "Snapshot_Date", "part", *cols)
+
+
+@job("median_impute")
+def median_impute(spark, sf_dir):
+    return _imputed(spark, sf_dir, NUMERIC_FEATURES, impute.median_impute)
+
+
+@job("mode_impute")
+def mode_impute(spark, sf_dir):
+    return _imputed(spark, sf_dir, CATEGORICAL_FEATURES, impute.mode_impute)
+
+
+@job("batch_impute")
+def batch_impute(spark, sf_dir):
+    out = impute.batch_impute(_mset(spark, sf_dir), NUMERIC_FEATURES, CATEGORICAL_FEATURES, "Snapshot_Date")
+    return out.select("customerID", "Snapshot_Date", *NUMERIC_FEATURES, *CATEGORICAL_FEATURES)
+
+
+@job("constant_fill")
+def constant_fill(spark, sf_dir):
+    out = impute.constant_then_median_fill(_mset(spark, sf_dir), CONSTANT_FILLS, NUMERIC_FEATURES)
+    return out.select("customerID", "Snapshot_Date", *NUMERIC_FEATURES)
+
+
+@job("tenure_groups")
+def tenure_groups(spark, sf_dir):
+    from churnlake.functions.scoring import tenure_group
+    return _dm(spark, sf_dir).gold_features.select(
+        "customerID", "Snapshot_Date", "tenure", tenure_group("tenure").alias("tenure_group"))

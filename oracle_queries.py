@@ -385,3 +385,121 @@ SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, roun
 ORACLE["accuracy_f1"] = with_mon("""
 SELECT max(CASE WHEN class = 'accuracy' THEN round(precision, 6) END) AS accuracy,
   max(CASE WHEN class = '1' THEN round(f1, 6) END) AS f1 FROM rep""", REPORT_CTE)
+
+# ---- sources / quality -----------------------------------------------------------------
+for _feed in ["features", "meta", "labels"]:
+    ORACLE[f"bronze_snapshot_{_feed}"] = with_base(
+        f"SELECT * FROM raw_{_feed} WHERE TRY_STRPTIME(Snapshot_Date, '%Y-%m-%d') IS NOT NULL")
+
+LAYERS = [("raw", "features", "raw_features"), ("raw", "meta", "raw_meta"), ("raw", "labels", "raw_labels"),
+          ("silver", "features", "silver_features"), ("silver", "meta", "silver_meta"),
+          ("silver", "labels", "silver_labels"), ("gold", "feature_store", "gold_features"),
+          ("gold", "label_store", "gold_labels")]
+
+
+def _snap(layer: str) -> str:
+    return _date("Snapshot_Date") if layer == "raw" else "Snapshot_Date"
+
+
+ORACLE["snapshot_row_counts"] = with_base(" UNION ALL ".join(
+    f"SELECT '{l}' AS layer, '{f}' AS feed, {_snap(l)} AS snapshot_date, CAST(count(*) AS BIGINT) AS rows "
+    f"FROM {t} GROUP BY 3" for l, f, t in LAYERS))
+ORACLE["readiness_gaps"] = with_base(f"""
+SELECT e.layer, e.feed, e.snapshot_date FROM (
+  SELECT l.layer, l.feed, c.snapshot_date FROM
+   (SELECT CAST(unnest(generate_series(min(d), max(d), INTERVAL 1 MONTH)) AS DATE) AS snapshot_date
+    FROM (SELECT CAST(date_trunc('month', {_date('Snapshot_Date')}) AS DATE) AS d FROM raw_features)) c,
+   (VALUES {', '.join(f"('{l}', '{f}')" for l, f, _ in LAYERS)}) l(layer, feed)) e
+WHERE NOT EXISTS (SELECT 1 FROM ({' UNION ALL '.join(
+    f"SELECT DISTINCT '{l}' AS layer, '{f}' AS feed, CAST(date_trunc('month', {_snap(l)}) AS DATE) AS d FROM {t}"
+    for l, f, t in LAYERS)}) p
+  WHERE p.layer = e.layer AND p.feed = e.feed AND p.d = e.snapshot_date)""")
+
+
+def _funnel_sql(table: str, rules: list[tuple[str, str]]) -> str:
+    names = ["input"] + [n for n, _ in rules]
+    conds = ["TRUE"]
+    acc = "TRUE"
+    for _, r in rules:
+        acc = f"{acc} AND coalesce({r}, FALSE)"
+        conds.append(acc)
+    sums = ", ".join(f"count_if({c}) AS s{i}" for i, c in enumerate(conds))
+    rows = " UNION ALL ".join(
+        f"SELECT {i} AS step_no, '{n}' AS step, CAST(s{i} AS BIGINT) AS rows, CAST(s0 - s{i} AS BIGINT) AS dropped FROM agg"
+        for i, n in enumerate(names))
+    return with_base(rows, f",\nagg AS (SELECT {sums} FROM {table})")
+
+
+ORACLE["cleaning_funnel_features"] = _funnel_sql("raw_features", feature_rules_sql())
+ORACLE["cleaning_funnel_meta"] = _funnel_sql("raw_meta", meta_rules_sql())
+
+# ---- modelling set, splits, imputation ----------------------------------------------------
+NUMERIC = ["tenure", "MonthlyCharges", "TotalCharges", "PhoneService", "PaperlessBilling", "gender",
+           "SeniorCitizen", "Partner", "Dependents"]
+CATEGORICAL = SIMPLE + ["PaymentMethod"]
+FEATURE_COLS = ["tenure", "PhoneService"] + SIMPLE + ["PaperlessBilling", "PaymentMethod", "MonthlyCharges",
+                                                     "TotalCharges", "gender", "SeniorCitizen", "Partner", "Dependents"]
+SPLIT = f""",
+ms AS (SELECT l.customerID, l.Snapshot_Date, l.Churn, {', '.join('g.' + c for c in FEATURE_COLS)}
+       FROM gold_labels l LEFT JOIN gold_features g ON l.customerID = g.customerID AND l.Snapshot_Date = g.Snapshot_Date
+       WHERE l.Snapshot_Date BETWEEN DATE '1998-04-01' AND DATE '1998-07-31'),
+ts AS (SELECT * FROM (SELECT *, CASE WHEN Snapshot_Date BETWEEN DATE '1998-07-01' AND DATE '1998-07-31' THEN 'oot'
+         WHEN Snapshot_Date BETWEEN DATE '1998-04-01' AND DATE '1998-06-30' THEN 'train_test' END AS part
+       FROM ms WHERE Churn IS NOT NULL) WHERE part IS NOT NULL),
+tt AS (SELECT * EXCLUDE (part), ('0x' || substr(md5(customerID || '|' || CAST(Snapshot_Date AS VARCHAR) || '|88'), 1, 15))::BIGINT AS h
+       FROM ts WHERE part = 'train_test'),
+ss AS (SELECT * EXCLUDE (h, rn, n), CASE WHEN rn <= floor(n * 0.8) THEN 'train' ELSE 'test' END AS part
+       FROM (SELECT *, row_number() OVER (PARTITION BY Churn ORDER BY h, customerID, Snapshot_Date) AS rn,
+                    count(*) OVER (PARTITION BY Churn) AS n FROM tt)),
+parts AS (SELECT * FROM ss UNION ALL BY NAME SELECT * FROM ts WHERE part = 'oot')"""
+
+
+def with_split(select: str, extra: str = "") -> str:
+    return with_base(select, SPLIT + extra)
+
+
+ORACLE["modelling_set"] = with_split("SELECT * FROM ms")
+ORACLE["null_counts"] = with_split(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST(count_if({c} IS NULL) AS BIGINT) AS nulls FROM ms"
+    for c in ["customerID", "Snapshot_Date", "Churn"] + FEATURE_COLS))
+ORACLE["train_calendar"] = with_base("""
+SELECT d AS model_train_date, CAST(d - INTERVAL 1 DAY AS DATE) AS oot_end_date,
+  CAST(d - INTERVAL 1 MONTH AS DATE) AS oot_start_date,
+  CAST(d - INTERVAL 1 MONTH - INTERVAL 1 DAY AS DATE) AS train_test_end_date,
+  CAST(d - INTERVAL 4 MONTH AS DATE) AS train_test_start_date
+FROM (SELECT DISTINCT CAST(date_trunc('month', Snapshot_Date) AS DATE) AS d FROM gold_labels) WHERE d IS NOT NULL""")
+ORACLE["temporal_split"] = with_split("SELECT customerID, Snapshot_Date, Churn, part FROM ts")
+ORACLE["stratified_split"] = with_split("SELECT customerID, Snapshot_Date, Churn, part FROM ss")
+ORACLE["split_summary"] = with_split("""
+SELECT part, CAST(count(*) AS BIGINT) AS rows, round(avg(CAST(Churn AS DOUBLE)), 2) AS label_mean FROM parts GROUP BY 1""")
+ORACLE["median_impute"] = with_split(
+    "SELECT customerID, Snapshot_Date, part, "
+    + ", ".join(f"coalesce(CAST({c} AS DOUBLE), (SELECT quantile_cont({c}, 0.5) FROM parts WHERE part = 'train')) AS {c}"
+                for c in NUMERIC) + " FROM parts")
+
+
+def _mode_sql(c: str, src: str, where: str = "TRUE", corr: str = "") -> str:
+    return (f"coalesce((SELECT v FROM (SELECT CAST({c} AS VARCHAR) AS v, count(*) AS n FROM {src} "
+            f"WHERE {where} AND {c} IS NOT NULL {corr} GROUP BY 1 ORDER BY n DESC, v ASC LIMIT 1)), 'Unknown')")
+
+
+TRAIN_ONLY = "part = 'train'"
+ORACLE["mode_impute"] = with_split(
+    "SELECT customerID, Snapshot_Date, part, "
+    + ", ".join(f"coalesce({c}, {_mode_sql(c, 'parts', TRAIN_ONLY)}) AS {c}" for c in CATEGORICAL)
+    + " FROM parts")
+ORACLE["batch_impute"] = with_split(
+    "SELECT customerID, Snapshot_Date, "
+    + ", ".join(f"coalesce(CAST({c} AS DOUBLE), (SELECT quantile_cont(x.{c}, 0.5) FROM ms x "
+                f"WHERE x.Snapshot_Date = ms.Snapshot_Date)) AS {c}" for c in NUMERIC) + ", "
+    + ", ".join(f"coalesce({c}, {_mode_sql(c, 'ms x', 'x.Snapshot_Date = ms.Snapshot_Date')}) AS {c}"
+                for c in CATEGORICAL)
+    + " FROM ms")
+ORACLE["constant_fill"] = with_split(
+    "SELECT customerID, Snapshot_Date, coalesce(CAST(tenure AS DOUBLE), 12.0) AS tenure, "
+    "coalesce(MonthlyCharges, 50.0) AS MonthlyCharges, coalesce(TotalCharges, 600.0) AS TotalCharges, "
+    + ", ".join(f"coalesce(CAST({c} AS DOUBLE), (SELECT coalesce(quantile_cont({c}, 0.5), 0.0) FROM ms)) AS {c}"
+                for c in NUMERIC if c not in ("tenure", "MonthlyCharges", "TotalCharges"))
+    + " FROM ms")
+ORACLE["tenure_groups"] = with_base(
+    f"SELECT customerID, Snapshot_Date, tenure, {tenure_group_sql()} AS tenure_group FROM gold_features")
