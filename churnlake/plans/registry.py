@@ -322,3 +322,157 @@ def tenure_groups(spark, sf_dir):
     from churnlake.functions.scoring import tenure_group
     return _dm(spark, sf_dir).gold_features.select(
         "customerID", "Snapshot_Date", "tenure", tenure_group("tenure").alias("tenure_group"))
+
+
+# ---- encoders / scalers ----------------------------------------------------------------
+from churnlake.plans import features as feat  # noqa: E402
+from churnlake.schema import BINARY_COLUMNS  # noqa: E402
+
+SCALED = ["tenure", "MonthlyCharges", "TotalCharges"]
+
+
+def _train_and_all(spark, sf_dir):
+    parts = _parts(spark, sf_dir)
+    return parts.where(F.col("part") == "train"), parts
+
+
+@job("label_encode")
+def label_encode(spark, sf_dir):
+    gold = _dm(spark, sf_dir).gold_features
+    return feat.label_encode(gold, gold, BINARY_COLUMNS).select("customerID", "Snapshot_Date", *BINARY_COLUMNS)
+
+
+@job("onehot")
+def onehot(spark, sf_dir):
+    train, parts = _train_and_all(spark, sf_dir)
+    return feat.one_hot_slots(train, parts, CATEGORICAL_FEATURES)
+
+
+@job("onehot_drop_first")
+def onehot_drop_first(spark, sf_dir):
+    gold = _dm(spark, sf_dir).gold_features
+    cols = CATEGORICAL_FEATURES
+    return feat.one_hot_drop_first(gold, gold, cols).drop(
+        *[c for c in gold.columns if c not in ("customerID", "Snapshot_Date") and c not in cols]).drop("_seen")
+
+
+@job("standard_scale")
+def standard_scale(spark, sf_dir):
+    train, parts = _train_and_all(spark, sf_dir)
+    out = feat.standard_scale(train, parts, SCALED)
+    return out.select("customerID", "Snapshot_Date", "part", *[F.round(c, 6).alias(c) for c in SCALED])
+
+
+@job("minmax_scale")
+def minmax_scale(spark, sf_dir):
+    train, parts = _train_and_all(spark, sf_dir)
+    out = feat.minmax_scale(train, parts, SCALED)
+    return out.select("customerID", "Snapshot_Date", "part", *[F.round(c, 6).alias(c) for c in SCALED])
+
+
+# ---- models (rows-only checks: fits are not SQL) ------------------------------------------
+from churnlake.plans import models  # noqa: E402
+
+
+def _model_data(spark, sf_dir):
+    """Planted-label modelling parts, imputed, cached for the repeated fits of a search."""
+    return models.prepare(_parts(spark, sf_dir, planted=True)).cache()
+
+
+def _train(data):
+    return data.where(F.col("part") == "train")
+
+
+@job("lr_default")
+def lr_default(spark, sf_dir):
+    data = _model_data(spark, sf_dir)
+    n = _train(data).count()
+    model = models.fit_pipeline(_train(data), models.lr_estimator(n))
+    return models.evaluate(model, data.where(F.col("part") == "test"), "lr_default")
+
+
+@job("lr_grid_search")
+def lr_grid_search(spark, sf_dir):
+    data = _model_data(spark, sf_dir)
+    train = _train(data)
+    n = train.count()
+    lr = models.lr_estimator(n, max_iter=1000)
+    grid = models.lr_grid(lr, n, c_values=[0.1, 1.0], penalties=["l2"])
+    cv = models.search(train, lr, grid, folds=3)
+    return models.search_table(cv, grid)
+
+
+@job("gbt_base")
+def gbt_base(spark, sf_dir):
+    data = _model_data(spark, sf_dir)
+    model = models.fit_pipeline(_train(data), models.gbt_estimator(max_iter=10))
+    return models.evaluate(model, data.where(F.col("part") == "test"), "gbt_base")
+
+
+@job("gbt_random_search")
+def gbt_random_search(spark, sf_dir):
+    data = _model_data(spark, sf_dir)
+    gbt = models.gbt_estimator()
+    grid = models.tree_grid(gbt, draws=2, max_trees=10)
+    cv = models.search(_train(data), gbt, grid, folds=3)
+    return models.search_table(cv, grid)
+
+
+@job("oot_evaluation")
+def oot_evaluation(spark, sf_dir):
+    data = _model_data(spark, sf_dir)
+    n = _train(data).count()
+    lr = models.fit_pipeline(_train(data), models.lr_estimator(n, max_iter=1000))
+    gbt = models.fit_pipeline(_train(data), models.gbt_estimator(max_iter=10))
+    return models.evaluate(lr, data, "lr").unionByName(models.evaluate(gbt, data, "gbt"))
+
+
+@job("lr_importance")
+def lr_importance(spark, sf_dir):
+    data = _model_data(spark, sf_dir)
+    n = _train(data).count()
+    return models.importance(models.fit_pipeline(_train(data), models.lr_estimator(n, max_iter=1000)), "lr")
+
+
+@job("gbt_importance")
+def gbt_importance(spark, sf_dir):
+    data = _model_data(spark, sf_dir)
+    return models.importance(models.fit_pipeline(_train(data), models.gbt_estimator(max_iter=10)), "gbt")
+
+
+@job("batch_scoring")
+def batch_scoring(spark, sf_dir):
+    """Train, save the model, write the gold store, score one snapshot from it, write and re-read predictions."""
+    from churnlake.schema import KEYS as _K  # noqa: F401
+    dm = _dm(spark, sf_dir, planted=True)
+    data = _model_data(spark, sf_dir)
+    model_path = shared_path(spark, "model_gbt")
+    models.save(models.fit_pipeline(_train(data), models.gbt_estimator(max_iter=10)), model_path)
+    store = shared_path(spark, "gold_feature_store")
+    feeds.write_partitioned(dm.gold_features, store)
+    cal = stores.calendar_dates(TRAIN_DATE)
+    snap = feeds.read_store(spark, store).where(F.col("Snapshot_Date") == F.lit(cal["oot_start_date"]))
+    train = _train(data)
+    snap = impute.mode_impute(impute.median_impute(snap, NUMERIC_FEATURES, train), CATEGORICAL_FEATURES, train)
+    preds = models.score(models.load(model_path), snap, "gbt_churn")
+    out = shared_path(spark, "model_predictions")
+    feeds.write_predictions(preds, out, csv_copy=out + "_csv")
+    return feeds.read_predictions(spark, out)
+
+
+@job("model_reload")
+def model_reload(spark, sf_dir):
+    """Reload check over the whole test part: saved and reloaded models give the same scores."""
+    data = _model_data(spark, sf_dir)
+    n = _train(data).count()
+    model = models.fit_pipeline(_train(data), models.lr_estimator(n, max_iter=1000))
+    path = shared_path(spark, "model_lr")
+    models.save(model, path)
+    test = data.where(F.col("part") == "test")
+    a = models.positive_probability(model.transform(test)).select(*KEYS_, F.col("churn_probability").alias("a"))
+    b = models.positive_probability(models.load(path).transform(test)).select(*KEYS_, F.col("churn_probability").alias("b"))
+    return a.join(b, KEYS_).agg(F.count(F.lit(1)).cast("bigint").alias("rows"),
+                                F.max(F.abs(F.col("a") - F.col("b"))).alias("max_abs_diff"))
+
+
+KEYS_ = ["customerID", "Snapshot_Date"]

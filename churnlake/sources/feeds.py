@@ -102,10 +102,9 @@ def nonempty_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> l
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    """Predictions under ``path``: Parquet when any Parquet file exists, else CSV."""
+    """Predictions under ``path``: Parquet (partition columns discovered) when present, else CSV."""
     try:
-        return (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
-                .parquet(path))
+        return spark.read.parquet(path)
     except Exception:  # noqa: BLE001 - no parquet files: fall back to the CSV copy
         return (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
                 .option("header", True).option("inferSchema", True).csv(path))

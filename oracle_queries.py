@@ -503,3 +503,31 @@ ORACLE["constant_fill"] = with_split(
     + " FROM ms")
 ORACLE["tenure_groups"] = with_base(
     f"SELECT customerID, Snapshot_Date, tenure, {tenure_group_sql()} AS tenure_group FROM gold_features")
+
+# ---- encoders / scalers ---------------------------------------------------------------------
+BINARY = ["gender", "SeniorCitizen", "Partner", "Dependents", "PhoneService", "PaperlessBilling"]
+ORACLE["label_encode"] = with_base(
+    "SELECT customerID, Snapshot_Date, "
+    + ", ".join(
+        f"CAST(CASE WHEN g.{c} IS NULL THEN (SELECT count(DISTINCT CAST(x.{c} AS VARCHAR)) FROM gold_features x) "
+        f"ELSE (SELECT count(DISTINCT CAST(x.{c} AS VARCHAR)) FROM gold_features x "
+        f"WHERE CAST(x.{c} AS VARCHAR) < CAST(g.{c} AS VARCHAR)) END AS INTEGER) AS {c}" for c in BINARY)
+    + " FROM gold_features g")
+ORACLE["onehot"] = with_split(" UNION ALL ".join(
+    f"SELECT customerID, Snapshot_Date, '{c}' AS column_name, {c} AS category, "
+    f"CASE WHEN {c} IN (SELECT {c} FROM parts WHERE part = 'train' AND {c} IS NOT NULL) "
+    f"THEN CAST((SELECT count(DISTINCT x.{c}) FROM parts x WHERE x.part = 'train' AND x.{c} < p.{c}) AS INTEGER) END AS slot, "
+    f"CAST((SELECT count(DISTINCT x.{c}) FROM parts x WHERE x.part = 'train') AS INTEGER) AS width FROM parts p"
+    for c in CATEGORICAL))
+SCALED = ["tenure", "MonthlyCharges", "TotalCharges"]
+ORACLE["standard_scale"] = with_split(
+    "SELECT customerID, Snapshot_Date, part, "
+    + ", ".join(f"round((CAST({c} AS DOUBLE) - (SELECT avg({c}) FROM parts WHERE part = 'train')) / "
+                f"(SELECT stddev_samp({c}) FROM parts WHERE part = 'train'), 6) AS {c}" for c in SCALED)
+    + " FROM parts")
+ORACLE["minmax_scale"] = with_split(
+    "SELECT customerID, Snapshot_Date, part, "
+    + ", ".join(f"round(CASE WHEN {c} IS NULL THEN NULL WHEN mx_{c} = mn_{c} THEN 0.5 "
+                f"ELSE (CAST({c} AS DOUBLE) - mn_{c}) / (mx_{c} - mn_{c}) END, 6) AS {c}" for c in SCALED)
+    + " FROM parts, (SELECT " + ", ".join(f"min({c}) AS mn_{c}, max({c}) AS mx_{c}" for c in SCALED)
+    + " FROM parts WHERE part = 'train') st")
