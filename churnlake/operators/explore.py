@@ -79,3 +79,50 @@ def tenure_bin_churn(df: DataFrame, label_col: str = "Churn") -> DataFrame:
 def snapshot_dates(df: DataFrame) -> DataFrame:
     """Distinct snapshot dates, ordered."""
     return df.select("Snapshot_Date").distinct().orderBy("Snapshot_Date")
+
+
+# ---- factorize + correlation ------------------------------------------------------
+
+def factorize_codes(df: DataFrame, columns: list[str], order_cols: list[str]) -> DataFrame:
+    """Per column, code = order of first appearance of the value (0-based), null -> -1.
+
+    "First appearance" needs an explicit row order: ``order_cols`` (unique per
+    row).  Long form (order_cols..., column_name, code).  Distinct values per
+    column are ranked by their first row with the range-partitioned rank, so a
+    high-cardinality column (customer ids) never lands in one task.
+    """
+    from churnlake.operators.ranking import exact_rank
+
+    stack = ", ".join(f"'{c}', CAST(`{c}` AS STRING)" for c in columns)
+    long = df.selectExpr(*[f"`{c}`" for c in order_cols],
+                         f"stack({len(columns)}, {stack}) AS (column_name, value)")
+    firsts = (long.where(F.col("value").isNotNull())
+              .groupBy("column_name", "value")
+              .agg(F.min(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)])).alias("_f")))
+    firsts = firsts.select("column_name", "value", *[F.col(f"_f._o{i}").alias(f"_o{i}") for i in range(len(order_cols))])
+    ranked = exact_rank(firsts, ["column_name"], [f"_o{i}" for i in range(len(order_cols))], "_rank")
+    codes = ranked.select("column_name", "value", (F.col("_rank") - 1).cast("int").alias("code"))
+    out = long.join(codes, ["column_name", "value"], "left")
+    return out.select(*order_cols, "column_name", F.coalesce(F.col("code"), F.lit(-1)).alias("code"))
+
+
+def correlation_lower(codes: DataFrame, columns: list[str], order_cols: list[str]) -> DataFrame:
+    """Pearson correlation of the codes, lower triangle only: (row, col, corr).
+
+    Codes are pivoted back to one row per key, then all pairs are computed in a
+    single aggregation.  A constant column has no correlation (null) – its
+    variance is checked first so the division never happens.
+    """
+    wide = codes.groupBy(*order_cols).pivot("column_name", columns).agg(F.first("code"))
+    sds = wide.agg(*[F.stddev_pop(F.col(f"`{c}`")).alias(f"s{i}") for i, c in enumerate(columns)]).first()
+    varying = {c for i, c in enumerate(columns) if sds[f"s{i}"] not in (None, 0.0)}
+    pairs = [(i, j) for i in range(len(columns)) for j in range(i)]
+    aggs = [
+        (F.corr(F.col(f"`{columns[i]}`").cast("double"), F.col(f"`{columns[j]}`").cast("double"))
+         if columns[i] in varying and columns[j] in varying else F.lit(None).cast("double")).alias(f"p{i}_{j}")
+        for i, j in pairs
+    ]
+    res = wide.agg(*aggs)
+    stack = ", ".join(f"'{columns[i]}', '{columns[j]}', p{i}_{j}" for i, j in pairs)
+    return res.selectExpr(f"stack({len(pairs)}, {stack}) AS (row, col, corr)").select(
+        "row", "col", F.round("corr", 6).alias("corr"))

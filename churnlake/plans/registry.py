@@ -476,3 +476,30 @@ def model_reload(spark, sf_dir):
 
 
 KEYS_ = ["customerID", "Snapshot_Date"]
+
+
+# ---- factorize / correlation ------------------------------------------------------------------
+from churnlake.schema import RAW_FEATURE_COLUMNS  # noqa: E402
+
+# Column order of the merged analysis set: features, then meta, then the label.
+EDA_COLUMNS = RAW_FEATURE_COLUMNS + ["gender", "SeniorCitizen", "Partner", "Dependents", "Churn"]
+EDA_ORDER = ["Snapshot_Date", "customerID"]
+
+
+def _eda_keyed(spark, sf_dir):
+    eda = _dm(spark, sf_dir).eda
+    return eda.select(*EDA_COLUMNS, F.col("Snapshot_Date").alias("_k_date"), F.col("customerID").alias("_k_id"))
+
+
+@job("factorize_codes")
+def factorize_codes(spark, sf_dir):
+    codes = explore.factorize_codes(_eda_keyed(spark, sf_dir), EDA_COLUMNS, ["_k_date", "_k_id"])
+    return codes.select(F.col("_k_id").alias("customerID"), F.col("_k_date").alias("Snapshot_Date"),
+                        "column_name", "code")
+
+
+@job("correlation_lower")
+def correlation_lower(spark, sf_dir):
+    keys = ["_k_date", "_k_id"]
+    codes = explore.factorize_codes(_eda_keyed(spark, sf_dir), EDA_COLUMNS, keys)
+    return explore.correlation_lower(codes, EDA_COLUMNS, keys)

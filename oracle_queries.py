@@ -531,3 +531,27 @@ ORACLE["minmax_scale"] = with_split(
                 f"ELSE (CAST({c} AS DOUBLE) - mn_{c}) / (mx_{c} - mn_{c}) END, 6) AS {c}" for c in SCALED)
     + " FROM parts, (SELECT " + ", ".join(f"min({c}) AS mn_{c}, max({c}) AS mx_{c}" for c in SCALED)
     + " FROM parts WHERE part = 'train') st")
+
+# ---- factorize / correlation -----------------------------------------------------------------
+EDA_COLUMNS = ["customerID", "tenure", "PhoneService"] + SIMPLE + [
+    "PaperlessBilling", "PaymentMethod", "MonthlyCharges", "TotalCharges", "Snapshot_Date",
+    "gender", "SeniorCitizen", "Partner", "Dependents", "Churn"]
+CODES = """,
+long AS (""" + " UNION ALL ".join(
+    f"SELECT customerID AS k_id, Snapshot_Date AS k_date, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM eda"
+    for c in EDA_COLUMNS) + """),
+firsts AS (SELECT column_name, value, k_date, k_id FROM (
+   SELECT *, row_number() OVER (PARTITION BY column_name, value ORDER BY k_date, k_id) AS rn FROM long
+   WHERE value IS NOT NULL) WHERE rn = 1),
+coded AS (SELECT column_name, value, CAST(row_number() OVER (PARTITION BY column_name ORDER BY k_date, k_id) - 1 AS INTEGER)
+          AS code FROM firsts),
+codes AS (SELECT l.k_id AS customerID, l.k_date AS Snapshot_Date, l.column_name, coalesce(c.code, -1) AS code
+          FROM long l LEFT JOIN coded c ON l.column_name = c.column_name AND l.value = c.value)"""
+ORACLE["factorize_codes"] = with_base("SELECT * FROM codes", CODES)
+_pivot = ", ".join(f"max(CASE WHEN column_name = '{c}' THEN code END) AS c{i}" for i, c in enumerate(EDA_COLUMNS))
+_pairs = " UNION ALL ".join(
+    f"SELECT '{EDA_COLUMNS[i]}' AS row, '{EDA_COLUMNS[j]}' AS col, round(CASE WHEN stddev_pop(c{i}) = 0 "
+    f"OR stddev_pop(c{j}) = 0 THEN NULL ELSE corr(c{i}, c{j}) END, 6) AS corr FROM wide"
+    for i in range(len(EDA_COLUMNS)) for j in range(i))
+ORACLE["correlation_lower"] = with_base(
+    _pairs, CODES + f",\nwide AS (SELECT {_pivot} FROM codes GROUP BY customerID, Snapshot_Date)")
