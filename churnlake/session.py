@@ -27,7 +27,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
     builder = (builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", "8g"))
+               .config("spark.driver.memory", "8g")
+               # wide cleaning expressions generate methods above the JVM's 8 KB JIT limit;
+               # on a cluster set the same flag in spark.executor.extraJavaOptions
+               .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

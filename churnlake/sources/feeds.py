@@ -36,8 +36,19 @@ def validate_nonempty(df: DataFrame, required: list[str], name: str) -> DataFram
 
 
 def read_raw_csv(spark: SparkSession, path: str, feed: str) -> DataFrame:
-    """Raw feed CSV with header, every column a nullable string (no inference pass)."""
-    return spark.read.schema(RAW_SCHEMAS[feed]).option("header", True).csv(path)
+    """Raw feed CSV with header, every column a nullable string (no inference pass).
+
+    Only unquoted empty fields are null; a quoted empty field stays '' (the
+    null token is a NUL character that never occurs in text).
+    """
+    return (spark.read.schema(RAW_SCHEMAS[feed]).option("header", True).option("nullValue", "\u0000")
+            .csv(path))
+
+
+def write_raw_csv(df: DataFrame, path: str) -> None:
+    """A raw feed drop: header, values byte for byte (no whitespace trimming)."""
+    (df.write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def read_csv_typed(spark: SparkSession, path: str, schema=None) -> DataFrame:
@@ -82,8 +93,7 @@ def read_bronze(spark: SparkSession, path: str, feed: str) -> DataFrame:
     Only unquoted empty fields are null; a quoted empty field stays '' (the
     reader's null token is set to a NUL character that never occurs in text).
     """
-    return (spark.read.schema(RAW_SCHEMAS[feed]).option("header", True).option("nullValue", "\u0000")
-            .csv(path))
+    return read_raw_csv(spark, path, feed)
 
 
 def read_store(spark: SparkSession, path: str, glob: str | None = None, merge_schema: bool = False) -> DataFrame:
