@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from churnlake.functions.scoring import clip, heuristic_score, label_is_yes, month_label
 from churnlake.operators.ranking import exact_quantiles, running_sums
+from churnlake.session import checkpoint
 from churnlake.schema import (
     AUC_ALERT, AUC_PASS_MEAN, CONSTANT_FILLS, KDE_CUT, KDE_GRID_SIZE, KEYS, PSI_CRITICAL,
     PSI_DECILES, PSI_WARNING, PSI_ZERO_SHARE, SCORE_CLIP,
@@ -196,11 +197,16 @@ def psi_table(long: DataFrame, baseline: Column) -> DataFrame:
 
     Edges: exact deciles of the baseline, de-duplicated, outer edges ±inf,
     right-closed bins; shares of 0 become 1e-4; constant baseline -> 0.
+    The raw rows are read once into a (feature, month, value) histogram that
+    is checkpointed; quantiles, binning and shares all work from it.
     """
     probs = [d / 100 for d in PSI_DECILES]
-    vals = long.where(F.col("value").isNotNull())
-    base = vals.where(baseline)
-    q = exact_quantiles(base, "value", probs, ["feature"])
+    hist = (long.where(F.col("value").isNotNull())
+            .groupBy("feature", "month_start", "value")
+            .agg(F.count(F.lit(1)).alias("_c"), F.max(baseline.cast("int")).alias("_is_base")))
+    hist = checkpoint(hist)
+    base = hist.where(F.col("_is_base") == 1)
+    q = exact_quantiles(base, "value", probs, ["feature"], weight_col="_c")
     edges = q.groupBy("feature").agg(F.array_sort(F.array_distinct(F.collect_list("value"))).alias("_e"))
     edges = edges.select(
         "feature", (F.size("_e") - 1).alias("_nb"),
@@ -208,12 +214,12 @@ def psi_table(long: DataFrame, baseline: Column) -> DataFrame:
         .alias("_inner"),
     )
     # <= 11 edges per monitored feature: bounded broadcast.
-    binned = vals.join(F.broadcast(edges), "feature", "inner").select(
-        "feature", "month_start", baseline.alias("_is_base"), "_nb",
+    binned = hist.join(F.broadcast(edges), "feature", "inner").select(
+        "feature", "month_start", "_is_base", "_nb", "_c",
         F.size(F.filter("_inner", lambda e: e < F.col("value"))).alias("_bin"))
-    counts = binned.groupBy("feature", "month_start", "_bin").agg(F.count(F.lit(1)).alias("_c"))
-    base_counts = binned.where("_is_base").groupBy("feature", "_bin").agg(F.count(F.lit(1)).alias("_c"))
+    counts = binned.groupBy("feature", "month_start", "_bin").agg(F.sum("_c").alias("_c"))
     totals = counts.groupBy("feature", "month_start").agg(F.sum("_c").alias("_t"))
+    base_counts = binned.where(F.col("_is_base") == 1).groupBy("feature", "_bin").agg(F.sum("_c").alias("_c"))
     base_tot = base_counts.groupBy("feature").agg(F.sum("_c").alias("_bt"))
     grid = (totals.join(F.broadcast(edges.select("feature", "_nb")), "feature")
             .where(F.col("_nb") >= 1)
@@ -229,10 +235,9 @@ def psi_table(long: DataFrame, baseline: Column) -> DataFrame:
     terms = share.join(bshare, ["feature", "_bin"], "left").select(
         "feature", "month_start", ((a - e) * F.log(a / e)).alias("_term"))
     psi = terms.groupBy("feature", "month_start").agg(F.sum("_term").alias("_psi"))
-    months = vals.select("feature", "month_start").distinct()
-    out = months.join(psi, ["feature", "month_start"], "left").select(
+    months = hist.select("feature", "month_start").distinct()
+    return months.join(psi, ["feature", "month_start"], "left").select(
         "feature", "month_start", F.round(F.coalesce(F.col("_psi"), F.lit(0.0)), 6).alias("psi"))
-    return out
 
 
 def psi_status(psi: Column) -> Column:
@@ -275,13 +280,13 @@ def kde_table(long: DataFrame, grid_size: int = KDE_GRID_SIZE, cut: float = KDE_
     hist = vals.groupBy("feature", "month_start", "value").agg(F.count(F.lit(1)).alias("_c"))
     step = (F.col("_g1") - F.col("_g0")) / (grid_size - 1)
     norm = F.col("_n") * F.col("_bw") * math.sqrt(2 * math.pi)
-    contrib = hist.join(stats, ["feature", "month_start"], "inner").select(
-        "feature", "month_start",
-        F.posexplode(F.transform(
-            F.sequence(F.lit(0), F.lit(grid_size - 1)),
-            lambda j: F.col("_c") * F.exp(
-                -0.5 * F.pow((F.col("_g0") + j * step - F.col("value")) / F.col("_bw"), 2)) / norm,
-        )).alias("point", "_d"))
+    # grid x distinct values: an explode (whole-stage codegen) + partial sums per point
+    points = hist.join(stats, ["feature", "month_start"], "inner").select(
+        "*", F.explode(F.sequence(F.lit(0), F.lit(grid_size - 1))).alias("point"))
+    contrib = points.select(
+        "feature", "month_start", "point",
+        (F.col("_c") * F.exp(-0.5 * F.pow((F.col("_g0") + F.col("point") * step - F.col("value")) / F.col("_bw"), 2))
+         / norm).alias("_d"))
     dens = contrib.groupBy("feature", "month_start", "point").agg(F.sum("_d").alias("_density"))
     out = dens.join(stats, ["feature", "month_start"], "inner").select(
         "feature", "month_start", F.col("point").cast("int").alias("point"),

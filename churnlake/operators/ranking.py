@@ -15,19 +15,12 @@ column) that is a straggler at scale.  Here the rows are range-partitioned on
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlake.session import checkpoint
 
 
-def _null_safe_keys(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & left[c].eqNullSafe(right[c])
-    return cond
-
-
 def running_sums(df: DataFrame, group_cols: list[str], order_cols: list[str],
                  value_cols: list[str], num_partitions: int | None = None) -> DataFrame:
     """Add ``cum_<v>``: inclusive running sum of each value column within the group,
@@ -68,19 +61,22 @@ def exact_rank(df: DataFrame, group_cols: list[str], order_cols: list[str],
 
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],
-                    group_cols: list[str] | None = None) -> DataFrame:
+                    group_cols: list[str] | None = None, weight_col: str | None = None) -> DataFrame:
     """Linear-interpolated percentiles (numpy default) of ``value_col`` per group, nulls ignored.
 
     Output: group_cols + (q_idx int, prob double, value double).  Works from the
     value histogram, so memory per task is bounded by the partition size.
+    ``weight_col`` treats each input row as that many copies of its value
+    (pass a histogram directly).
     """
     keep = list(group_cols or [])
     group_cols = keep or ["_q_all"]
     if not keep:
         df = df.withColumn("_q_all", F.lit(0))
     v = F.col(value_col).cast("double")
+    weight = F.col(weight_col).cast("bigint") if weight_col else F.lit(1).cast("bigint")
     hist = (df.where(v.isNotNull()).groupBy(*group_cols, v.alias("_x"))
-            .agg(F.count(F.lit(1)).alias("_n")))
+            .agg(F.sum(weight).alias("_n")))
     cum = running_sums(hist, group_cols, ["_x"], ["_n"])
     totals = hist.groupBy(*group_cols).agg(F.sum("_n").alias("_total"))
     cum = cum.join(totals, group_cols, "inner")

@@ -110,8 +110,9 @@ def stratified_split(df: DataFrame, label_col: str = "Churn", ratio: float = TRA
     if not exact:
         part = F.when(F.pmod(F.col("_h"), F.lit(10000)) < int(ratio * 10000), "train").otherwise("test")
         return keyed.withColumn("part", part).drop("_h")
-    counts = keyed.groupBy(label_col).agg(F.count(F.lit(1)).alias("_n"))
     ranked = exact_rank(keyed, [label_col], ["_h", *KEYS], "_rank")
+    # rows per label = its highest rank (read from the checkpointed ranking, not recomputed)
+    counts = ranked.groupBy(label_col).agg(F.max("_rank").alias("_n"))
     ranked = ranked.join(F.broadcast(counts), label_col, "inner")  # one row per label value
     part = F.when(F.col("_rank") <= F.floor(F.col("_n") * ratio), "train").otherwise("test")
     return ranked.withColumn("part", part).drop("_h", "_rank", "_n")

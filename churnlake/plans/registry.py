@@ -249,8 +249,13 @@ def _mset(spark, sf_dir, planted=False):
 
 
 def _parts(spark, sf_dir, planted=False):
-    """train / test / oot rows of the modelling set (null labels left out)."""
-    ts = stores.temporal_split(_mset(spark, sf_dir, planted), TRAIN_DATE)
+    """train / test / oot rows of the modelling set (null labels left out).
+
+    The time-split modelling set is written once to the shared checkpoint
+    folder: the split, the imputation fit and the output all read it.
+    """
+    from churnlake.session import checkpoint
+    ts = checkpoint(stores.temporal_split(_mset(spark, sf_dir, planted), TRAIN_DATE))
     tt = stores.stratified_split(ts.where(F.col("part") == "train_test").drop("part"))
     return tt.unionByName(ts.where(F.col("part") == "oot"))
 
