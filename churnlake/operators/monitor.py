@@ -261,11 +261,18 @@ def psi_report(mon: DataFrame, baseline_month: str | None = None,
 
 # ---- KDE ------------------------------------------------------------------------
 
-def kde_table(long: DataFrame, grid_size: int = KDE_GRID_SIZE, cut: float = KDE_CUT) -> DataFrame:
+def kde_table(long: DataFrame, grid_size: int = KDE_GRID_SIZE, cut: float = KDE_CUT,
+              bin_fraction: float | None = None) -> DataFrame:
     """Gaussian KDE (Scott bandwidth, ``grid_size`` points, support ±cut·bw) per (feature, month_start).
 
     Output: feature, month_start, point int, x double, density double.  Groups
     with fewer than two values or no spread have no curve.
+
+    Work is grid_size x (distinct values per group).  Exact by default; for
+    continuous values at very large n pass ``bin_fraction`` (e.g. 0.02): every
+    value is snapped to a grid of bw·bin_fraction before the histogram, which
+    bounds the distinct values per group by the data range / (bw·fraction) while
+    keeping every row's weight (density error ~ fraction²/24 relative).
     """
     vals = long.where(F.col("value").isNotNull())
     stats = vals.groupBy("feature", "month_start").agg(
@@ -277,7 +284,14 @@ def kde_table(long: DataFrame, grid_size: int = KDE_GRID_SIZE, cut: float = KDE_
         "_lo", "_hi")
     stats = stats.select(
         "*", (F.col("_lo") - F.col("_bw") * cut).alias("_g0"), (F.col("_hi") + F.col("_bw") * cut).alias("_g1"))
-    hist = vals.groupBy("feature", "month_start", "value").agg(F.count(F.lit(1)).alias("_c"))
+    if bin_fraction:
+        width = F.col("_bw") * bin_fraction
+        snapped = vals.join(stats.select("feature", "month_start", "_bw"), ["feature", "month_start"], "inner")
+        snapped = snapped.select("feature", "month_start",
+                                 (F.round(F.col("value") / width) * width).alias("value"))
+        hist = snapped.groupBy("feature", "month_start", "value").agg(F.count(F.lit(1)).alias("_c"))
+    else:
+        hist = vals.groupBy("feature", "month_start", "value").agg(F.count(F.lit(1)).alias("_c"))
     step = (F.col("_g1") - F.col("_g0")) / (grid_size - 1)
     norm = F.col("_n") * F.col("_bw") * math.sqrt(2 * math.pi)
     # grid x distinct values: an explode (whole-stage codegen) + partial sums per point
@@ -296,8 +310,8 @@ def kde_table(long: DataFrame, grid_size: int = KDE_GRID_SIZE, cut: float = KDE_
     return out
 
 
-def kde(mon: DataFrame, feature: str) -> DataFrame:
-    return kde_table(long_features(mon, [feature]))
+def kde(mon: DataFrame, feature: str, bin_fraction: float | None = None) -> DataFrame:
+    return kde_table(long_features(mon, [feature]), bin_fraction=bin_fraction)
 
 
 # ---- classification metrics -------------------------------------------------------

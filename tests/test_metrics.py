@@ -96,3 +96,13 @@ def test_kde_matches_gaussian_formula(spark):
     assert len(got) == 200
     assert [x for _, x, _ in got] == pytest.approx(list(grid), abs=1e-6)
     assert [d for _, _, d in got] == pytest.approx(list(dens), abs=1e-6)
+
+
+def test_kde_binned_close_to_exact(spark):
+    rng = np.random.default_rng(9)
+    vals = rng.normal(0.4, 0.1, 2000)
+    df = spark.createDataFrame([("s", 0, float(v)) for v in vals], "feature string, month_start int, value double")
+    exact = sorted((r.point, r.density) for r in kde_table(df).collect())
+    binned = sorted((r.point, r.density) for r in kde_table(df, bin_fraction=0.02).collect())
+    peak = max(d for _, d in exact)
+    assert max(abs(a[1] - b[1]) for a, b in zip(exact, binned)) < 1e-3 * peak
