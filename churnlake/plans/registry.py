@@ -508,3 +508,21 @@ def correlation_lower(spark, sf_dir):
     keys = ["_k_date", "_k_id"]
     codes = explore.factorize_codes(_eda_keyed(spark, sf_dir), EDA_COLUMNS, keys)
     return explore.correlation_lower(codes, EDA_COLUMNS, keys)
+
+
+# ---- exports ----------------------------------------------------------------------------------
+
+@job("merged_analysis_set")
+def merged_analysis_set(spark, sf_dir):
+    """The merged features ⨝ meta ⨝ labels set exported as CSV by the executors and read back typed."""
+    eda = _dm(spark, sf_dir).eda
+    path = shared_path(spark, "telco_merged")
+    eda.write.mode("overwrite").option("header", True).csv(path)
+    return feeds.read_csv_typed(spark, path, eda.schema)
+
+
+@job("label_map")
+def label_map(spark, sf_dir):
+    from churnlake.functions.scoring import label_map as _label_map
+    raw = _dm(spark, sf_dir).raw["labels"]
+    return raw.select("customerID", "Snapshot_Date", _label_map("Churn").alias("Churn"))

@@ -555,3 +555,9 @@ _pairs = " UNION ALL ".join(
     for i in range(len(EDA_COLUMNS)) for j in range(i))
 ORACLE["correlation_lower"] = with_base(
     _pairs, CODES + f",\nwide AS (SELECT {_pivot} FROM codes GROUP BY customerID, Snapshot_Date)")
+
+# ---- exports -------------------------------------------------------------------------------------
+ORACLE["merged_analysis_set"] = with_base("SELECT * FROM eda")
+ORACLE["label_map"] = with_base(
+    "SELECT customerID, Snapshot_Date, CAST(CASE Churn WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 END AS INTEGER) AS Churn "
+    "FROM raw_labels")

@@ -112,3 +112,19 @@ def test_model_learns_planted_signal_and_reloads(spark):
     a = models.positive_probability(model.transform(train)).agg(F.sum("churn_probability")).first()[0]
     b = models.positive_probability(models.load(path).transform(train)).agg(F.sum("churn_probability")).first()[0]
     assert a == pytest.approx(b, rel=1e-12)
+
+
+def test_nonempty_files_and_prediction_fallback(spark):
+    import os
+    root = shared_path(spark, "listing")
+    df = spark.createDataFrame([("C1", "m", 1, 0.9, "1998-04-01")],
+                               "customerID string, model_name string, model_predictions int, "
+                               "churn_probability double, snapshot_date string")
+    df.write.parquet(f"{root}/p")
+    local = root.removeprefix("file:")
+    open(os.path.join(local, "p", "empty.parquet"), "w").close()
+    files = feeds.nonempty_files(spark, f"{root}/p")
+    assert files and not any(f.endswith("empty.parquet") for f in files)
+    df.write.option("header", True).csv(f"{root}/csv_only")
+    back = feeds.read_predictions(spark, f"{root}/csv_only")
+    assert back.count() == 1 and "churn_probability" in back.columns
