@@ -526,3 +526,16 @@ def label_map(spark, sf_dir):
     from churnlake.functions.scoring import label_map as _label_map
     raw = _dm(spark, sf_dir).raw["labels"]
     return raw.select("customerID", "Snapshot_Date", _label_map("Churn").alias("Churn"))
+
+
+# ---- streaming --------------------------------------------------------------------------------
+
+@job("bronze_stream_labels")
+def bronze_stream_labels(spark, sf_dir):
+    """Incremental bronze ingest (Structured Streaming, availableNow) of the raw label drops."""
+    from churnlake.plans.datasets import raw_drops
+    from churnlake.streaming.ingest import ingest_available
+    root = raw_drops(spark, sf_dir)
+    out, ckpt = shared_path(spark, "bronze_stream"), shared_path(spark, "bronze_stream_ckpt")
+    ingest_available(spark, f"{root}/labels", "labels", out, ckpt)
+    return feeds.read_bronze(spark, out, "labels")

@@ -561,3 +561,4 @@ ORACLE["merged_analysis_set"] = with_base("SELECT * FROM eda")
 ORACLE["label_map"] = with_base(
     "SELECT customerID, Snapshot_Date, CAST(CASE Churn WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 END AS INTEGER) AS Churn "
     "FROM raw_labels")
+ORACLE["bronze_stream_labels"] = ORACLE["bronze_snapshot_labels"]
