@@ -304,7 +304,7 @@ SELECT CAST(count(*) AS BIGINT) AS months, round(avg(auc), 6) AS mean_auc, round
   round(avg(auc), 6) >= 0.8 AS passes
 FROM auc WHERE auc IS NOT NULL""", AUC_CTE)
 ORACLE["deciles"] = with_mon(f"""
-SELECT feature, month_start, CAST(i - 1 AS INTEGER) AS q_idx, round(({DECILES})[i], 2) AS prob, round(q[i], 6) AS value
+SELECT feature, month_start, CAST(i - 1 AS INTEGER) AS q_idx, CAST(round(({DECILES})[i], 2) AS DOUBLE) AS prob, round(q[i], 6) AS value
 FROM (SELECT feature, month_start, quantile_cont(value, {DECILES}) AS q FROM vals
       WHERE value IS NOT NULL GROUP BY 1, 2), range(1, 12) t(i)""")
 
@@ -358,7 +358,7 @@ ORACLE["kde_charges"] = _kde_sql("monthly_charges")
 PRED = ", pred AS (SELECT actual_churn AS y, CAST(churn_probability > 0.5 AS INTEGER) AS p FROM mon)"
 ORACLE["confusion_matrix"] = with_mon("""
 SELECT g.label, g.prediction, CAST(count(pred.y) AS BIGINT) AS n
-FROM (SELECT a AS label, b AS prediction FROM range(0, 2) r1(a), range(0, 2) r2(b)) g
+FROM (SELECT CAST(a AS INTEGER) AS label, CAST(b AS INTEGER) AS prediction FROM range(0, 2) r1(a), range(0, 2) r2(b)) g
 LEFT JOIN pred ON pred.y = g.label AND pred.p = g.prediction GROUP BY 1, 2""", PRED)
 REPORT_CTE = PRED + """,
 cm AS (SELECT CAST(count_if(y = 0 AND p = 0) AS DOUBLE) c00, CAST(count_if(y = 0 AND p = 1) AS DOUBLE) c01,
