@@ -39,7 +39,8 @@ def modes(df: DataFrame, cols: list[str], group_cols: list[str] | None = None,
         *group_cols, "column_name", F.coalesce(F.col("_b.v"), F.lit(default)).alias("mode"))
 
 
-def _fill(df: DataFrame, values: dict[str, object], cast: str | None = None) -> DataFrame:
+def fill_values(df: DataFrame, values: dict[str, object], cast: str | None = None) -> DataFrame:
+    """coalesce(column, value) for the listed columns; others unchanged."""
     cols = []
     for c in df.columns:
         if c in values:
@@ -64,11 +65,11 @@ def median_impute(df: DataFrame, cols: list[str], fit_on: DataFrame) -> DataFram
     """Fill nulls of numeric ``cols`` with medians fitted on ``fit_on`` (result columns are double)."""
     stats = {k: v for k, v in fit_medians(fit_on, cols).items() if v is not None}
     out = df.select([F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in df.columns])
-    return _fill(out, stats)
+    return fill_values(out, stats)
 
 
 def mode_impute(df: DataFrame, cols: list[str], fit_on: DataFrame) -> DataFrame:
-    return _fill(df, fit_modes(fit_on, cols))
+    return fill_values(df, fit_modes(fit_on, cols))
 
 
 def batch_impute(df: DataFrame, numeric: list[str], categorical: list[str], batch_col: str) -> DataFrame:
@@ -97,7 +98,7 @@ def batch_impute(df: DataFrame, numeric: list[str], categorical: list[str], batc
 
 def constant_then_median_fill(df: DataFrame, constants: dict[str, float], numeric: list[str]) -> DataFrame:
     """Constants for the listed columns, then the column median for other numerics, then 0."""
-    filled = _fill(df, constants, cast="double")
+    filled = fill_values(df, constants, cast="double")
     rest = [c for c in numeric if c not in constants]
     stats = fit_medians(filled, rest) if rest else {}
     cols = []

@@ -95,7 +95,7 @@ def train(spark: SparkSession, root: str, train_date: str, model_root: str, kind
     train_part = parts.where(F.col("part") == "train")
     med = impute.fit_medians(train_part, NUMERIC_FEATURES)
     mode = impute.fit_modes(train_part, CATEGORICAL_FEATURES)
-    data = impute._fill(impute._fill(
+    data = impute.fill_values(impute.fill_values(
         parts.select([F.col(c).cast("double").alias(c) if c in NUMERIC_FEATURES else F.col(c) for c in parts.columns]),
         {k: v for k, v in med.items() if v is not None}), mode).withColumn("label", F.col("Churn").cast("double"))
     data = data.cache()
@@ -130,7 +130,7 @@ def score(spark: SparkSession, root: str, model_dir: str, snapshot: str, model_n
         rows = spark.read.parquet(_p(model_dir, "impute_stats")).collect()  # one row per feature column
         med = {r.column_name: float(r.value) for r in rows if r.kind == "median" and r.value is not None}
         mode = {r.column_name: r.value for r in rows if r.kind == "mode"}
-        snap = impute._fill(impute._fill(snap.select(
+        snap = impute.fill_values(impute.fill_values(snap.select(
             [F.col(c).cast("double").alias(c) if c in NUMERIC_FEATURES else F.col(c) for c in snap.columns]),
             med), mode)
     preds = models.score(models.load(_p(model_dir, "pipeline")), snap, model_name)

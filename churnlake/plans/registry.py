@@ -11,8 +11,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlake.operators import explore
+from churnlake.operators import explore, impute, monitor, quality, stores
+from churnlake.operators.clean import cleaning_funnel
+from churnlake.plans import features as feat
+from churnlake.plans import models
 from churnlake.plans.datasets import Datamart
+from churnlake.schema import (
+    BINARY_COLUMNS, CATEGORICAL_FEATURES, CONSTANT_FILLS, NUMERIC_FEATURES, RAW_FEATURE_COLUMNS,
+)
+from churnlake.session import shared_path
+from churnlake.sources import feeds
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -90,7 +98,6 @@ def snapshot_dates(spark, sf_dir):
 
 
 # ---- monitoring ----------------------------------------------------------------
-from churnlake.operators import monitor  # noqa: E402
 
 # Scenario months of the source monitor (April..July), mapped to the fixture calendar.
 SCENARIO_MONTHS = [("Apr", "1998-04-15"), ("May", "1998-05-15"), ("Jun", "1998-06-15"), ("Jul", "1998-07-15")]
@@ -188,12 +195,6 @@ def accuracy_f1(spark, sf_dir):
 
 
 # ---- sources / quality ------------------------------------------------------------
-from churnlake.operators import impute, quality  # noqa: E402
-from churnlake.operators import stores  # noqa: E402
-from churnlake.operators.clean import cleaning_funnel  # noqa: E402
-from churnlake.schema import CATEGORICAL_FEATURES, CONSTANT_FILLS, NUMERIC_FEATURES  # noqa: E402
-from churnlake.session import shared_path  # noqa: E402
-from churnlake.sources import feeds  # noqa: E402
 
 TRAIN_DATE = "1998-08-01"  # model train date on the fixture calendar (source: 2024-08-01)
 
@@ -330,8 +331,6 @@ def tenure_groups(spark, sf_dir):
 
 
 # ---- encoders / scalers ----------------------------------------------------------------
-from churnlake.plans import features as feat  # noqa: E402
-from churnlake.schema import BINARY_COLUMNS  # noqa: E402
 
 SCALED = ["tenure", "MonthlyCharges", "TotalCharges"]
 
@@ -376,7 +375,6 @@ def minmax_scale(spark, sf_dir):
 
 
 # ---- models (rows-only checks: fits are not SQL) ------------------------------------------
-from churnlake.plans import models  # noqa: E402
 
 
 def _model_data(spark, sf_dir):
@@ -484,7 +482,6 @@ KEYS_ = ["customerID", "Snapshot_Date"]
 
 
 # ---- factorize / correlation ------------------------------------------------------------------
-from churnlake.schema import RAW_FEATURE_COLUMNS  # noqa: E402
 
 # Column order of the merged analysis set: features, then meta, then the label.
 EDA_COLUMNS = RAW_FEATURE_COLUMNS + ["gender", "SeniorCitizen", "Partner", "Dependents", "Churn"]
