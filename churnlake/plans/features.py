@@ -81,22 +81,39 @@ def one_hot_slots(fit_on: DataFrame, df: DataFrame, cols: list[str]) -> DataFram
                        F.size(arr).alias("width"))
 
 
+def drop_first_categories(fit_on: DataFrame, cols: list[str]) -> dict[str, list]:
+    """Sorted distinct non-null values per column (a small, bounded result per categorical column)."""
+    return {c: [r[0] for r in fit_on.where(F.col(c).isNotNull()).select(c).distinct().orderBy(c).collect()]
+            for c in cols}
+
+
+def _checked_unseen(df: DataFrame, cats: dict[str, list]) -> DataFrame:
+    seen = F.lit(True)
+    for c, values in cats.items():
+        seen = seen & (F.col(c).isNull() | F.col(c).isin(values))
+    return df.where(F.when(seen, F.lit(True)).otherwise(
+        F.raise_error(F.lit("unseen category in one_hot_drop_first")).cast("boolean")))
+
+
 def one_hot_drop_first(fit_on: DataFrame, df: DataFrame, cols: list[str]) -> DataFrame:
     """Named 0/1 columns ``col_value`` for every category but the first (alphabetical) one.
 
-    Categories come from ``fit_on`` (a small distinct-values result per column);
-    a value not seen there raises, as in the source encoder.
+    Categories come from ``fit_on``; a value not seen there raises, as in the
+    source encoder.  Values that differ only in case ('Yes'/'YES') give names
+    that differ only in case: refer to them by position, or run with
+    ``spark.sql.caseSensitive=true``.
     """
-    cats = {}
-    for c in cols:
-        cats[c] = [r[0] for r in fit_on.where(F.col(c).isNotNull()).select(c).distinct().orderBy(c).collect()]
-    seen = F.lit(True)
-    for c in cols:
-        seen = seen & (F.col(c).isNull() | F.col(c).isin(cats[c]))
-    checked = df.withColumn("_seen", F.when(seen, F.lit(True)).otherwise(
-        F.raise_error(F.lit("unseen category in one_hot_drop_first"))))
+    cats = drop_first_categories(fit_on, cols)
     dummies = [(F.col(c) == v).cast("int").alias(f"{c}_{v}") for c in cols for v in cats[c][1:]]
-    return checked.select(*[c for c in df.columns if c not in cols], *dummies)
+    return _checked_unseen(df, cats).select(*[c for c in df.columns if c not in cols], *dummies)
+
+
+def one_hot_drop_first_long(fit_on: DataFrame, df: DataFrame, cols: list[str], keys: list[str]) -> DataFrame:
+    """The same dummies as (keys..., dummy, value) rows: one row per kept category and input row."""
+    cats = drop_first_categories(fit_on, cols)
+    items = F.array(*[F.struct(F.lit(f"{c}_{v}").alias("dummy"), (F.col(c) == v).cast("int").alias("value"))
+                      for c in cols for v in cats[c][1:]])
+    return _checked_unseen(df, cats).select(*keys, F.explode(items).alias("_d")).select(*keys, "_d.dummy", "_d.value")
 
 
 def standard_scale(fit_on: DataFrame, df: DataFrame, cols: list[str], population: bool = False) -> DataFrame:

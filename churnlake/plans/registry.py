@@ -354,10 +354,9 @@ def onehot(spark, sf_dir):
 
 @job("onehot_drop_first")
 def onehot_drop_first(spark, sf_dir):
+    """Drop-first dummies ``col_value`` as (customerID, Snapshot_Date, dummy, value) rows."""
     gold = _dm(spark, sf_dir).gold_features
-    cols = CATEGORICAL_FEATURES
-    return feat.one_hot_drop_first(gold, gold, cols).drop(
-        *[c for c in gold.columns if c not in ("customerID", "Snapshot_Date") and c not in cols]).drop("_seen")
+    return feat.one_hot_drop_first_long(gold, gold, CATEGORICAL_FEATURES, ["customerID", "Snapshot_Date"])
 
 
 @job("standard_scale")

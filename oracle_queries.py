@@ -562,3 +562,7 @@ ORACLE["label_map"] = with_base(
     "SELECT customerID, Snapshot_Date, CAST(CASE Churn WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 END AS INTEGER) AS Churn "
     "FROM raw_labels")
 ORACLE["bronze_stream_labels"] = ORACLE["bronze_snapshot_labels"]
+ORACLE["onehot_drop_first"] = with_base(" UNION ALL ".join(
+    f"SELECT g.customerID, g.Snapshot_Date, '{c}_' || v.v AS dummy, CAST(g.{c} = v.v AS INTEGER) AS value "
+    f"FROM gold_features g, (SELECT DISTINCT {c} AS v FROM gold_features WHERE {c} IS NOT NULL "
+    f"AND {c} > (SELECT min({c}) FROM gold_features)) v" for c in CATEGORICAL))

@@ -128,3 +128,14 @@ def test_nonempty_files_and_prediction_fallback(spark):
     df.write.option("header", True).csv(f"{root}/csv_only")
     back = feeds.read_predictions(spark, f"{root}/csv_only")
     assert back.count() == 1 and "churn_probability" in back.columns
+
+
+def test_drop_first_dummies_and_unseen_raises(spark):
+    from churnlake.plans.features import one_hot_drop_first, one_hot_drop_first_long
+    train = spark.createDataFrame([("k1", "a"), ("k2", "b"), ("k3", "c")], "k string, c string")
+    wide = one_hot_drop_first(train, train, ["c"]).orderBy("k").collect()
+    assert [(r["c_b"], r["c_c"]) for r in wide] == [(0, 0), (1, 0), (0, 1)]
+    assert one_hot_drop_first_long(train, train, ["c"], ["k"]).count() == 6
+    unseen = spark.createDataFrame([("k9", "z")], "k string, c string")
+    with pytest.raises(Exception, match="unseen category"):
+        one_hot_drop_first(train, unseen, ["c"]).collect()
