@@ -8,7 +8,7 @@ aggregated rows (a handful of groups), never on raw rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlake.functions.scoring import eda_tenure_bin
@@ -19,7 +19,7 @@ CROSSTAB_DIMENSIONS = ["Contract", "InternetService", "TechSupport", "PaymentMet
 def churn_distribution(df: DataFrame, label_col: str = "Churn") -> DataFrame:
     """Count per label value (nulls excluded) and its percent of all rows."""
     counts = df.groupBy(F.col(label_col).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    total = F.sum("_n").over(Window.partitionBy())  # over a few aggregated rows only
+    total = counts.agg(F.sum("_n")).scalar()  # scalar subquery over the few aggregated rows
     return counts.select(
         F.col("_v").alias(label_col),
         F.col("_n").cast("bigint").alias("n"),
