@@ -120,8 +120,14 @@ def tree_grid(gbt: GBTClassifier, draws: int = TREE_DRAWS, seed: int = SEARCH_SE
     return rng.sample(full, min(draws, len(full)))
 
 
-def search(train: DataFrame, estimator, grid, folds: int = FOLDS, parallelism: int = 4):
-    """Cross-validated search on AUC; folds are the stratified ``fold`` column."""
+def search(train: DataFrame, estimator, grid, folds: int = FOLDS, parallelism: int = 1):
+    """Cross-validated search on AUC; folds are the stratified ``fold`` column.
+
+    Each fit is itself distributed over the cluster; ``parallelism`` > 1 runs
+    several fits at once from driver threads (useful when single fits leave
+    executors idle).  Default 1: parameter transfer from parallel Python threads
+    has shown an intermittent failure here.
+    """
     pipe = Pipeline(stages=[*preprocessor(NUMERIC_FEATURES, CATEGORICAL_FEATURES).getStages(), estimator])
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid,
                         evaluator=BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC"),
