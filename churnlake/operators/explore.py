@@ -83,13 +83,20 @@ def snapshot_dates(df: DataFrame) -> DataFrame:
 
 # ---- factorize + correlation ------------------------------------------------------
 
-def factorize_codes(df: DataFrame, columns: list[str], order_cols: list[str]) -> DataFrame:
+def factorize_codes(df: DataFrame, columns: list[str], order_cols: list[str],
+                    broadcast_max: int = 100_000) -> DataFrame:
     """Per column, code = order of first appearance of the value (0-based), null -> -1.
 
     "First appearance" needs an explicit row order: ``order_cols`` (unique per
     row).  Long form (order_cols..., column_name, code).  Distinct values per
     column are ranked by their first row with the range-partitioned rank, so a
     high-cardinality column (customer ids) never lands in one task.
+
+    Joining the codes back: a column whose distinct count is at most
+    ``broadcast_max`` (counted first, so the bound is checked) gets its codes
+    broadcast – a hot value (one category holding a third of all rows) then
+    never meets a shuffle.  Only high-cardinality columns take the shuffle join,
+    where AQE splits any skewed partition.
     """
     from churnlake.operators.ranking import exact_rank
 
@@ -102,7 +109,19 @@ def factorize_codes(df: DataFrame, columns: list[str], order_cols: list[str]) ->
     firsts = firsts.select("column_name", "value", *[F.col(f"_f._o{i}").alias(f"_o{i}") for i in range(len(order_cols))])
     ranked = exact_rank(firsts, ["column_name"], [f"_o{i}" for i in range(len(order_cols))], "_rank")
     codes = ranked.select("column_name", "value", (F.col("_rank") - 1).cast("int").alias("code"))
-    out = long.join(codes, ["column_name", "value"], "left")
+    # distinct values per column: one small row per column
+    sizes = {r.column_name: r.n for r in codes.groupBy("column_name").agg(F.count(F.lit(1)).alias("n")).collect()}
+    small = [c for c in columns if sizes.get(c, 0) <= broadcast_max]
+    large = [c for c in columns if c not in small]
+    parts = []
+    if small:
+        small_codes = codes.where(F.col("column_name").isin(small))
+        parts.append(long.where(F.col("column_name").isin(small))
+                     .join(F.broadcast(small_codes), ["column_name", "value"], "left"))
+    if large:
+        parts.append(long.where(F.col("column_name").isin(large))
+                     .join(codes.where(F.col("column_name").isin(large)), ["column_name", "value"], "left"))
+    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return out.select(*order_cols, "column_name", F.coalesce(F.col("code"), F.lit(-1)).alias("code"))
 
 

@@ -139,3 +139,17 @@ def test_drop_first_dummies_and_unseen_raises(spark):
     unseen = spark.createDataFrame([("k9", "z")], "k string, c string")
     with pytest.raises(Exception, match="unseen category"):
         one_hot_drop_first(train, unseen, ["c"]).collect()
+
+
+def test_factorize_broadcast_and_shuffle_paths_agree(spark):
+    from churnlake.operators.explore import factorize_codes
+    df = spark.createDataFrame([(i % 7, f"id{i:03d}", ["a", "b", None][i % 3]) for i in range(60)],
+                               "d int, k string, c string")
+    a = factorize_codes(df, ["c", "k"], ["d", "k"]).collect()
+    b = factorize_codes(df, ["c", "k"], ["d", "k"], broadcast_max=0).collect()
+    assert sorted(a) == sorted(b)
+    first = {r.c: r for r in df.orderBy("d", "k").collect()[::-1]}  # last write wins -> first appearance
+    codes = {(r.k, r.column_name): r.code for r in a}
+    order = [v for v in dict.fromkeys(r.c for r in df.orderBy("d", "k").collect()) if v is not None]
+    for v, row in first.items():
+        assert codes[(row.k, "c")] == (-1 if v is None else order.index(v))
