@@ -192,19 +192,23 @@ def deciles(mon: DataFrame, features: list[str] | None = None) -> DataFrame:
                     F.round("value", 6).alias("value"))
 
 
-def psi_table(long: DataFrame, baseline: Column) -> DataFrame:
-    """PSI of every (feature, month) against the baseline rows (``baseline`` is a row predicate).
+def psi_table(long: DataFrame, baseline: Column | None = None) -> DataFrame:
+    """PSI of every (feature, month) against the baseline rows.
 
-    Edges: exact deciles of the baseline, de-duplicated, outer edges ±inf,
-    right-closed bins; shares of 0 become 1e-4; constant baseline -> 0.
+    ``baseline`` is a predicate on (feature, month_start, value); None means the
+    earliest month.  Edges: exact deciles of the baseline, de-duplicated, outer
+    edges ±inf, right-closed bins; shares of 0 become 1e-4; constant baseline -> 0.
     The raw rows are read once into a (feature, month, value) histogram that
-    is checkpointed; quantiles, binning and shares all work from it.
+    is checkpointed; baseline month, quantiles, binning and shares all work from it.
+    Output: feature, month_start, psi, after_baseline (month later than every baseline month).
     """
     probs = [d / 100 for d in PSI_DECILES]
-    hist = (long.where(F.col("value").isNotNull())
-            .groupBy("feature", "month_start", "value")
-            .agg(F.count(F.lit(1)).alias("_c"), F.max(baseline.cast("int")).alias("_is_base")))
-    hist = checkpoint(hist)
+    hist = checkpoint(long.where(F.col("value").isNotNull())
+                      .groupBy("feature", "month_start", "value").agg(F.count(F.lit(1)).alias("_c")))
+    if baseline is None:
+        baseline = F.col("month_start") == hist.agg(F.min("month_start")).scalar()
+    hist = hist.withColumn("_is_base", baseline.cast("int"))
+    last_base = hist.where(F.col("_is_base") == 1).agg(F.max("month_start")).scalar()
     base = hist.where(F.col("_is_base") == 1)
     q = exact_quantiles(base, "value", probs, ["feature"], weight_col="_c")
     edges = q.groupBy("feature").agg(F.array_sort(F.array_distinct(F.collect_list("value"))).alias("_e"))
@@ -237,7 +241,8 @@ def psi_table(long: DataFrame, baseline: Column) -> DataFrame:
     psi = terms.groupBy("feature", "month_start").agg(F.sum("_term").alias("_psi"))
     months = hist.select("feature", "month_start").distinct()
     return months.join(psi, ["feature", "month_start"], "left").select(
-        "feature", "month_start", F.round(F.coalesce(F.col("_psi"), F.lit(0.0)), 6).alias("psi"))
+        "feature", "month_start", F.round(F.coalesce(F.col("_psi"), F.lit(0.0)), 6).alias("psi"),
+        (F.col("month_start") > last_base).alias("after_baseline"))
 
 
 def psi_status(psi: Column) -> Column:
@@ -249,12 +254,8 @@ def psi_report(mon: DataFrame, baseline_month: str | None = None,
                features: list[str] | None = None) -> DataFrame:
     """PSI of each later month against the baseline month (default: the earliest month)."""
     long = long_features(mon, features)
-    if baseline_month is None:
-        base_month = mon.agg(F.min("month_start")).scalar()  # scalar subquery, one value
-    else:
-        base_month = F.to_date(F.lit(baseline_month))
-    table = psi_table(long, F.col("month_start") == base_month)
-    table = table.where(F.col("month_start") > base_month)
+    baseline = None if baseline_month is None else F.col("month_start") == F.to_date(F.lit(baseline_month))
+    table = psi_table(long, baseline).where("after_baseline")
     return table.select("feature", "month_start", month_label("month_start").alias("month"), "psi",
                         psi_status(F.col("psi")).alias("status"))
 
