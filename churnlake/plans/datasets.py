@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from churnlake.operators.clean import silver
 from churnlake.operators.stores import eda_set, gold_feature_store, gold_label_store
-from churnlake.session import shared_path
+from churnlake.session import session_key, shared_path
 from churnlake.sources.feeds import read_raw_csv, write_raw_csv
 from churnlake.sources.fixtures import raw_feeds
 
@@ -27,7 +27,7 @@ def raw_drops(spark: SparkSession, sf_dir: str, planted: bool = False) -> str:
     ``orders`` is a fixture step, so it runs once and every job then starts from
     the files like a production run does (and survives executor loss).
     """
-    key = (spark.sparkContext.applicationId, sf_dir, planted)
+    key = (session_key(spark), sf_dir, planted)
     if key not in _RAW_DROPS:
         root = shared_path(spark, "raw_drops")
         for feed, df in raw_feeds(spark, sf_dir, planted=planted).items():

@@ -43,7 +43,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the folder is given by the deployment and is read from the
     session.  Only a local session without one gets a fresh folder of its own.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no context on the client
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf_dir:
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
+        return conf_dir
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -57,6 +63,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def session_key(spark: SparkSession) -> str:
+    """Identifies the running application (used to reuse files written in this session)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
