@@ -81,10 +81,24 @@ def one_hot_slots(fit_on: DataFrame, df: DataFrame, cols: list[str]) -> DataFram
                        F.size(arr).alias("width"))
 
 
-def drop_first_categories(fit_on: DataFrame, cols: list[str]) -> dict[str, list]:
-    """Sorted distinct non-null values per column (a small, bounded result per categorical column)."""
-    return {c: [r[0] for r in fit_on.where(F.col(c).isNotNull()).select(c).distinct().orderBy(c).collect()]
-            for c in cols}
+MAX_CATEGORIES = 10_000
+
+
+def drop_first_categories(fit_on: DataFrame, cols: list[str], max_categories: int = MAX_CATEGORIES) -> dict[str, list]:
+    """Sorted distinct non-null values per column, brought to the driver only when bounded.
+
+    Named dummy columns need the category list on the driver; a column with more
+    than ``max_categories`` values is not categorical and raises instead of
+    collecting an unbounded list.
+    """
+    cats = {}
+    for c in cols:
+        values = [r[0] for r in fit_on.where(F.col(c).isNotNull()).select(c).distinct()
+                  .orderBy(c).limit(max_categories + 1).collect()]
+        if len(values) > max_categories:
+            raise ValueError(f"{c} has more than {max_categories} distinct values; not a categorical column")
+        cats[c] = values
+    return cats
 
 
 def _checked_unseen(df: DataFrame, cats: dict[str, list]) -> DataFrame:
