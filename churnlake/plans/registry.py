@@ -445,7 +445,6 @@ def gbt_importance(spark, sf_dir):
 @job("batch_scoring")
 def batch_scoring(spark, sf_dir):
     """Train, save the model, write the gold store, score one snapshot from it, write and re-read predictions."""
-    from churnlake.schema import KEYS as _K  # noqa: F401
     dm = _dm(spark, sf_dir, planted=True)
     data = _model_data(spark, sf_dir)
     model_path = shared_path(spark, "model_gbt")
