@@ -12,15 +12,15 @@ datamart root (a shared file system or object store path):
 
 A backfill over any number of months is ONE job per layer (not one per
 month): partitions are replaced with dynamic overwrite, so re-running a month
-is idempotent and leaves the others alone.  Row counts per step come from
-``DataFrame.observe`` on the write itself instead of extra count jobs.
+is idempotent and leaves the others alone.  Row counts per step are read
+back from the written partitions (Parquet counts come from file metadata).
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlake.operators import impute, monitor, stores
@@ -36,10 +36,22 @@ def _p(root: str, *parts: str) -> str:
     return os.path.join(root, *parts)
 
 
-def _observed_write(df: DataFrame, name: str, write) -> int:
-    obs = Observation(name)
-    write(df.observe(obs, F.count(F.lit(1)).alias("rows")))
-    return int(obs.get["rows"])
+def _written_rows(spark: SparkSession, path: str, snapshots: list[str] | None, feed: str | None = None) -> int:
+    """Rows now in the written partitions (Parquet: from file metadata; bronze CSV: a scan of those months).
+
+    Not ``DataFrame.observe``: on Spark 4.1 an ``Observation`` initialises the
+    session's observation manager, after which a fitted LogisticRegression model
+    (its training summary holds the session) can no longer be serialised into tasks.
+    """
+    if feed is not None:
+        df = feeds.read_bronze(spark, path, feed)
+        if snapshots:
+            df = df.where(F.col("Snapshot_Date").isin(snapshots))
+    else:
+        df = feeds.read_store(spark, path)
+        if snapshots:
+            df = df.where(F.col("Snapshot_Date").isin([F.to_date(F.lit(s)) for s in snapshots]))
+    return df.count()
 
 
 def backfill(spark: SparkSession, raw: dict[str, DataFrame], root: str,
@@ -52,26 +64,26 @@ def backfill(spark: SparkSession, raw: dict[str, DataFrame], root: str,
     """
     counts: dict[str, int] = {}
     for feed in FEEDS:
-        counts[f"bronze/{feed}"] = _observed_write(
-            feeds.bronze(raw[feed], snapshots), f"bronze_{feed}",
-            lambda d, f=feed: feeds.write_bronze(d, _p(root, "bronze", f)))
+        path = _p(root, "bronze", feed)
+        feeds.write_bronze(feeds.bronze(raw[feed], snapshots), path)
+        counts[f"bronze/{feed}"] = _written_rows(spark, path, snapshots, feed)
     silver = {}
     for feed in FEEDS:
         bronze = feeds.read_bronze(spark, _p(root, "bronze", feed), feed)
         if snapshots:
             bronze = bronze.where(F.col("Snapshot_Date").isin(snapshots))  # partition pruning
-        counts[f"silver/{feed}"] = _observed_write(
-            CLEANERS[feed](bronze), f"silver_{feed}",
-            lambda d, f=feed: feeds.write_partitioned(d, _p(root, "silver", f)))
-        silver[feed] = feeds.read_store(spark, _p(root, "silver", feed))
+        path = _p(root, "silver", feed)
+        feeds.write_partitioned(CLEANERS[feed](bronze), path)
+        counts[f"silver/{feed}"] = _written_rows(spark, path, snapshots)
+        silver[feed] = feeds.read_store(spark, path)
         if snapshots:
             silver[feed] = silver[feed].where(F.col("Snapshot_Date").isin([F.to_date(F.lit(s)) for s in snapshots]))
-    counts["gold/feature_store"] = _observed_write(
-        stores.gold_feature_store(silver["features"], silver["meta"]), "gold_features",
-        lambda d: feeds.write_partitioned(d, _p(root, "gold", "feature_store")))
-    counts["gold/label_store"] = _observed_write(
-        stores.gold_label_store(silver["labels"]), "gold_labels",
-        lambda d: feeds.write_partitioned(d, _p(root, "gold", "label_store")))
+    path = _p(root, "gold", "feature_store")
+    feeds.write_partitioned(stores.gold_feature_store(silver["features"], silver["meta"]), path)
+    counts["gold/feature_store"] = _written_rows(spark, path, snapshots)
+    path = _p(root, "gold", "label_store")
+    feeds.write_partitioned(stores.gold_label_store(silver["labels"]), path)
+    counts["gold/label_store"] = _written_rows(spark, path, snapshots)
     return counts
 
 
