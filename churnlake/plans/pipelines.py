@@ -93,7 +93,8 @@ def gold_tables(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
 
 
 def train(spark: SparkSession, root: str, train_date: str, model_root: str, kind: str = "gbt",
-          draws: int | None = None, folds: int = models.FOLDS, max_trees: int | None = None) -> DataFrame:
+          draws: int | None = None, folds: int = models.FOLDS, max_trees: int | None = None,
+          c_values: list[float] | None = None, penalties: list[str] | None = None) -> DataFrame:
     """P6: modelling set -> time split -> stratified split -> impute -> search -> evaluate -> save.
 
     Saves the best pipeline and the train-part imputation statistics under
@@ -115,7 +116,8 @@ def train(spark: SparkSession, root: str, train_date: str, model_root: str, kind
     n = fit_on.count()
     if kind == "lr":
         est = models.lr_estimator(n, max_iter=1000)
-        grid = models.lr_grid(est, n)
+        grid = models.lr_grid(est, n, c_values=c_values or models.LR_C_VALUES,
+                              penalties=penalties or models.LR_PENALTIES)
     else:
         est = models.gbt_estimator()
         grid = models.tree_grid(est, draws=draws or models.TREE_DRAWS, max_trees=max_trees)

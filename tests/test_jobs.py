@@ -44,7 +44,8 @@ def test_backfill_train_score_monitor(spark, raw_csv):
     n_snap = gold.where(F.col("Snapshot_Date") == F.to_date(F.lit("1998-07-01"))).count()
     assert preds.count() == n_snap
     # logistic regression path, scored with the batch's own statistics
-    ev_lr = pipelines.train(spark, root, "1998-08-01", model_root, kind="lr", folds=2)
+    ev_lr = pipelines.train(spark, root, "1998-08-01", model_root, kind="lr", folds=2, c_values=[1.0],
+                            penalties=["l2"])
     assert {r.part for r in ev_lr.collect()} == {"train", "test", "oot"}
     lr_preds = pipelines.score(spark, root, f"{model_root}/lr/1998-08-01", "1998-07-01", "lr_churn", stats_from="batch")
     assert lr_preds.count() == n_snap
