@@ -184,15 +184,31 @@ def long_features(mon: DataFrame, features: list[str] | None = None) -> DataFram
     return mon.selectExpr("month_start", f"stack({len(features)}, {stack}) AS (feature, value)")
 
 
-def deciles(mon: DataFrame, features: list[str] | None = None) -> DataFrame:
-    """Exact deciles (0..100 by 10, linear) per feature and month."""
+def approx_quantiles(long: DataFrame, probs: list[float], group_cols: list[str],
+                     accuracy: int = 10_000) -> DataFrame:
+    """One-pass approximate quantiles (``percentile_approx``: mergeable sketches, no ranking job).
+
+    Output as ``exact_quantiles``: group_cols + (q_idx, prob, value); rank error <= 1/accuracy.
+    """
+    q = (long.where(F.col("value").isNotNull()).groupBy(*group_cols)
+         .agg(F.percentile_approx("value", probs, accuracy).alias("_q")))
+    return q.select(*group_cols, F.posexplode("_q").alias("q_idx", "value")).select(
+        *group_cols, F.col("q_idx").cast("int").alias("q_idx"),
+        F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("q_idx") + 1).alias("prob"), "value")
+
+
+def deciles(mon: DataFrame, features: list[str] | None = None, exact: bool = True) -> DataFrame:
+    """Deciles (0..100 by 10) per feature and month: exact linear interpolation by default,
+    ``exact=False`` for one-pass approximate quantiles on very large data."""
     probs = [d / 100 for d in PSI_DECILES]
-    q = exact_quantiles(long_features(mon, features), "value", probs, ["feature", "month_start"])
+    long = long_features(mon, features)
+    q = (exact_quantiles(long, "value", probs, ["feature", "month_start"]) if exact
+         else approx_quantiles(long, probs, ["feature", "month_start"]))
     return q.select("feature", "month_start", "q_idx", F.round("prob", 2).alias("prob"),
                     F.round("value", 6).alias("value"))
 
 
-def psi_table(long: DataFrame, baseline: Column | None = None) -> DataFrame:
+def psi_table(long: DataFrame, baseline: Column | None = None, exact: bool = True) -> DataFrame:
     """PSI of every (feature, month) against the baseline rows.
 
     ``baseline`` is a predicate on (feature, month_start, value); None means the
@@ -201,6 +217,7 @@ def psi_table(long: DataFrame, baseline: Column | None = None) -> DataFrame:
     The raw rows are read once into a (feature, month, value) histogram that
     is checkpointed; baseline month, quantiles, binning and shares all work from it.
     Output: feature, month_start, psi, after_baseline (month later than every baseline month).
+    ``exact=False`` takes the edges from one-pass approximate quantiles of the baseline rows.
     """
     probs = [d / 100 for d in PSI_DECILES]
     hist = checkpoint(long.where(F.col("value").isNotNull())
@@ -210,7 +227,10 @@ def psi_table(long: DataFrame, baseline: Column | None = None) -> DataFrame:
     hist = hist.withColumn("_is_base", baseline.cast("int"))
     last_base = hist.where(F.col("_is_base") == 1).agg(F.max("month_start")).scalar()
     base = hist.where(F.col("_is_base") == 1)
-    q = exact_quantiles(base, "value", probs, ["feature"], weight_col="_c")
+    if exact:
+        q = exact_quantiles(base, "value", probs, ["feature"], weight_col="_c")
+    else:
+        q = approx_quantiles(long.where(baseline), probs, ["feature"])
     edges = q.groupBy("feature").agg(F.array_sort(F.array_distinct(F.collect_list("value"))).alias("_e"))
     edges = edges.select(
         "feature", (F.size("_e") - 1).alias("_nb"),
@@ -251,11 +271,11 @@ def psi_status(psi: Column) -> Column:
 
 
 def psi_report(mon: DataFrame, baseline_month: str | None = None,
-               features: list[str] | None = None) -> DataFrame:
+               features: list[str] | None = None, exact: bool = True) -> DataFrame:
     """PSI of each later month against the baseline month (default: the earliest month)."""
     long = long_features(mon, features)
     baseline = None if baseline_month is None else F.col("month_start") == F.to_date(F.lit(baseline_month))
-    table = psi_table(long, baseline).where("after_baseline")
+    table = psi_table(long, baseline, exact=exact).where("after_baseline")
     return table.select("feature", "month_start", month_label("month_start").alias("month"), "psi",
                         psi_status(F.col("psi")).alias("status"))
 

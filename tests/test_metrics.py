@@ -106,3 +106,21 @@ def test_kde_binned_close_to_exact(spark):
     binned = sorted((r.point, r.density) for r in kde_table(df, bin_fraction=0.02).collect())
     peak = max(d for _, d in exact)
     assert max(abs(a[1] - b[1]) for a, b in zip(exact, binned)) < 1e-3 * peak
+
+
+def test_approx_options_close_to_exact(spark):
+    from churnlake.operators.monitor import approx_quantiles
+    rng = np.random.default_rng(21)
+    base = np.round(rng.gamma(2, 30, 3000), 2)
+    later = np.round(rng.gamma(2, 33, 3000), 2)
+    rows = [("f", 0, float(v)) for v in base] + [("f", 1, float(v)) for v in later]
+    df = spark.createDataFrame(rows, "feature string, month_start int, value double")
+    probs = [i / 10 for i in range(11)]
+    approx = sorted((r.q_idx, r.value) for r in approx_quantiles(df.where("month_start = 0"), probs, ["feature"]).collect())
+    want = np.percentile(base, [p * 100 for p in probs])
+    ranks = [np.searchsorted(np.sort(base), v) / len(base) for _, v in approx]
+    assert all(abs(r - p) <= 0.01 for r, p in zip(ranks, probs))  # rank error within the sketch bound
+    exact = {r.month_start: r.psi for r in psi_table(df, F.col("month_start") == 0).collect()}
+    est = {r.month_start: r.psi for r in psi_table(df, F.col("month_start") == 0, exact=False).collect()}
+    assert est[1] == pytest.approx(exact[1], abs=0.02)
+    assert want[0] <= approx[0][1] and approx[-1][1] <= want[-1]
