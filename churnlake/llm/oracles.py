@@ -46,4 +46,64 @@ SELECT doc_id, size, s AS source_size, target, CAST(t0 + t1 + t2 AS BIGINT) AS t
 FROM takes
 """
 
-ORACLES = {"op3_curriculum_mixing": OP3}
+
+OP5 = f"""
+WITH items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({LOWER}, '{WORD}') AS w FROM benchmark),
+grams AS (
+  SELECT DISTINCT item, w[i : i + least(10, len(w)) - 1] AS gram
+  FROM (SELECT item, w, unnest(generate_series(1, len(w) - least(10, len(w)) + 1)) AS i FROM items WHERE len(w) > 0)),
+lengths AS (SELECT DISTINCT len(gram) AS l FROM grams),
+texts AS (SELECT doc_id, regexp_extract_all({LOWER}, '{WORD}') AS w FROM documents),
+places AS (
+  SELECT doc_id, l, i, w[i : i + l - 1] AS gram
+  FROM (SELECT doc_id, w, l, unnest(generate_series(1, len(w) - l + 1)) AS i FROM texts, lengths WHERE len(w) >= l)),
+hits AS (SELECT p.doc_id, p.i, p.l, g.item FROM places p JOIN grams g ON p.gram = g.gram),
+hit_words AS (SELECT doc_id, count(DISTINCT k) AS n FROM (SELECT doc_id, unnest(generate_series(i, i + l - 1)) AS k FROM hits) GROUP BY doc_id),
+hit_items AS (SELECT doc_id, count(DISTINCT item) AS n, string_agg(item, ',' ORDER BY item) AS ids
+              FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT t.doc_id, CAST(len(t.w) AS BIGINT) AS n_words, CAST(coalesce(a.n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(b.n, 0) AS BIGINT) AS n_items, sha256(coalesce(b.ids, '')) AS items_sha256,
+       coalesce(a.n, 0) > 0 AS contaminated
+FROM texts t LEFT JOIN hit_words a USING (doc_id) LEFT JOIN hit_items b USING (doc_id)
+"""
+
+
+def _op1() -> str:
+    from churnlake.llm.licences import PHRASES, TEMPLATES, THRESHOLD, template_words
+
+    def quoted(words: list[str]) -> str:
+        return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+    phrases = ", ".join(f"({quoted(p.split())}, '{label}')" for p, label in PHRASES)
+    forms = ", ".join(f"({quoted(words)}, '{label}')" for label, words in template_words(TEMPLATES))
+    return f"""
+WITH phrases(p, label) AS (VALUES {phrases}),
+forms(t, label) AS (VALUES {forms}),
+texts AS (SELECT doc_id, {LOWER} AS lt FROM documents),
+tokens AS (SELECT doc_id, regexp_extract_all(lt, '{WORD}') AS w FROM texts),
+starts AS (
+  SELECT doc_id, i - 1 AS place, label
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w))) AS i FROM tokens), phrases
+  WHERE w[i] = p[1] AND w[i : i + len(p) - 1] = p),
+base AS (SELECT doc_id, count(*) AS n, min(place) AS a, max(place) AS z FROM starts GROUP BY doc_id),
+blocks AS (
+  SELECT doc_id, list_distinct(regexp_extract_all(line, '{WORD}')) AS b
+  FROM (SELECT doc_id, unnest(string_split(lt, chr(10))) AS line FROM texts)),
+matches AS (
+  SELECT doc_id, label, CAST(len(list_intersect(t, b)) AS DOUBLE) / len(t) AS c FROM blocks, forms),
+best AS (SELECT doc_id, max(c) AS c FROM matches WHERE c >= {THRESHOLD} - 1e-9 GROUP BY doc_id),
+base_labels AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS ls FROM (SELECT DISTINCT doc_id, label FROM starts) GROUP BY doc_id),
+all_labels AS (
+  SELECT doc_id, string_agg(label, ',' ORDER BY label) AS ls
+  FROM (SELECT doc_id, label FROM starts UNION SELECT doc_id, label FROM matches WHERE c >= {THRESHOLD} - 1e-9) GROUP BY doc_id)
+SELECT t.doc_id, CAST(len(t.w) AS BIGINT) AS n_words, CAST(coalesce(base.n, 0) AS BIGINT) AS n_base,
+       CAST(base.a AS BIGINT) AS first_word, CAST(base.z AS BIGINT) AS last_word,
+       coalesce(bl.ls, '') AS base_labels, coalesce(al.ls, '') AS labels,
+       CASE WHEN base.n > 0 THEN 1.0 ELSE coalesce(best.c, 0.0) END AS score
+FROM tokens t LEFT JOIN base USING (doc_id) LEFT JOIN best USING (doc_id)
+LEFT JOIN base_labels bl USING (doc_id) LEFT JOIN all_labels al USING (doc_id)
+"""
+
+
+ORACLES = {"op1_license_scan": _op1(), "op3_curriculum_mixing": OP3, "op5_benchmark_decontamination": OP5}

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from churnlake.llm.decontamination import op5_benchmark_decontamination
+from churnlake.llm.licences import op1_license_scan
 from churnlake.llm.mixing import op3_curriculum_mixing
 from churnlake.llm.sharding import op10_jump_hash_sharding
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op3_curriculum_mixing": op3_curriculum_mixing,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op10_jump_hash_sharding": op10_jump_hash_sharding,
 }
