@@ -107,3 +107,65 @@ LEFT JOIN base_labels bl USING (doc_id) LEFT JOIN all_labels al USING (doc_id)
 
 
 ORACLES = {"op1_license_scan": _op1(), "op3_curriculum_mixing": OP3, "op5_benchmark_decontamination": OP5}
+
+OP6 = r"""
+WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS x FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY x) AS keep_id, CAST(count(*) OVER (PARTITION BY x) AS BIGINT) AS group_size,
+       doc_id = min(doc_id) OVER (PARTITION BY x) AS kept, sha256(x) AS text_sha256
+FROM t
+"""
+
+
+def _op2() -> str:
+    from churnlake.llm.url_filter import CANONICAL, HREF, REFRESH, RULES, TO, TRACKING
+
+    def sql(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    rules = ", ".join(f"({sql(h)}, {sql(p)}, {sql(v)})" for h, p, v in RULES)
+    tracking = TRACKING.replace("(?=&|$)", "")
+    upper = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+    def host(u: str) -> str:
+        return f"coalesce(translate(regexp_extract({u}, '://([^/?#]*)', 1), {upper}), '')"
+
+    def path(u: str) -> str:
+        return f"coalesce(regexp_extract({u}, '://[^/?#]*([^?#]*)', 1), '')"
+
+    def node(u: str) -> str:
+        query = f"regexp_replace(regexp_extract({u}, '://[^?#]*(\\?[^#]*)', 1), {sql(tracking)}, '\\1', 'g')"
+        query = f"regexp_replace(regexp_replace(regexp_replace({query}, '[?&]+$', ''), '\\?&+', '?'), '&&+', '&', 'g')"
+        return (f"CASE WHEN contains({u}, '://') THEN {host(u)} || regexp_replace({path(u)}, '/+$', '') || {query} ELSE {u} END")
+
+    def target(tag: str, inside: str) -> str:
+        return f"regexp_extract(regexp_extract(html, {sql('(?is)' + tag)}), {sql('(?is)' + inside)}, 1)"
+
+    return f"""
+WITH RECURSIVE rules(h, p, v) AS (VALUES {rules}),
+hrefs AS (
+  SELECT url, unnest([{target(CANONICAL, HREF)}, {target(REFRESH, TO)}]) AS href FROM pages WHERE contains(url, '://')),
+targets AS (
+  SELECT url, CASE WHEN contains(href, '://') THEN href WHEN starts_with(href, '//') THEN 'http:' || href
+    WHEN starts_with(href, '/') THEN 'http://' || {host('url')} || href
+    ELSE 'http://' || {host('url')} || regexp_replace({path('url')}, '[^/]*$', '') || href END AS target
+  FROM hrefs WHERE href <> ''),
+edges AS (SELECT {node('url')} AS u, {node('target')} AS v FROM targets),
+both_ways AS (SELECT u, v FROM edges UNION SELECT v, u FROM edges),
+reach(n, o) AS (
+  SELECT u, u FROM both_ways UNION SELECT r.n, b.v FROM reach r JOIN both_ways b ON r.o = b.u),
+comps AS (SELECT n, min(o) AS c FROM reach GROUP BY n),
+urls AS (SELECT DISTINCT url FROM pages WHERE url IS NOT NULL UNION SELECT target FROM targets),
+judged AS (
+  SELECT url, arg_max(h || p, length(h || p)) AS rule, arg_max(v, length(h || p)) AS ruling
+  FROM urls, rules WHERE ({host('url')} = h OR ends_with({host('url')}, '.' || h)) AND starts_with({path('url')}, p) GROUP BY url),
+placed AS (SELECT u.url, coalesce(c.c, {node('u.url')}) AS component FROM urls u LEFT JOIN comps c ON c.n = {node('u.url')}),
+said AS (
+  SELECT component, bool_or(ruling = 'allow') AS allowed, bool_or(ruling = 'block') AS blocked
+  FROM placed JOIN judged USING (url) GROUP BY component)
+SELECT page_id, {host('p.url')} AS host, {path('p.url')} AS path, j.rule,
+       coalesce(j.ruling, CASE WHEN s.blocked AND NOT s.allowed THEN 'block' ELSE 'allow' END) AS verdict, pl.component
+FROM pages p LEFT JOIN judged j ON p.url = j.url LEFT JOIN placed pl ON p.url = pl.url LEFT JOIN said s ON pl.component = s.component
+"""
+
+
+ORACLES |= {"op2_redirect_equivalence": _op2(), "op6_golomb_exact_dedup": OP6}

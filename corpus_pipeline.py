@@ -11,13 +11,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from churnlake.llm.common import load
+from churnlake.llm.decontamination import decontaminate
 from churnlake.llm.mixing import mix_documents
 from churnlake.llm.sharding import assign_shards
+from churnlake.llm.simhash import deduplicate
+from churnlake.llm.toxicity import drop_toxic
 from churnlake.session import shared_path
 
 N_SHARDS = 40
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that the classifier chain rejects; trained on the labels of its own input."""
+    return drop_toxic(docs, load(spark, sf_dir, "labels"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash component."""
+    return deduplicate(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that hold a window of a benchmark item."""
+    return decontaminate(docs, load(spark, sf_dir, "benchmark"))
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Copies of whole documents at the sources' target weights, in curriculum order."""
     return mix_documents(docs)
@@ -29,6 +47,9 @@ def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", toxicity),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
     ("mixing", mixing),
     ("sharding", sharding),
 ]
