@@ -65,7 +65,7 @@ def anchors(block: Column, width: int) -> tuple[Column, Column]:
     r = (width + 1).bit_length() - 1
     coded = (1 << r) - 1
     free = [1 << b for b in range(coded, width)]
-    flips = lambda masks: F.array(*[F.lit(m).cast("bigint") for m in masks])
+    flips = lambda masks: F.array(*[F.lit(m - (1 << 64) if m >> 63 else m).cast("bigint") for m in masks])
     once = [0, *free]
     twice = [*once, *[a | b for i, a in enumerate(free) for b in free[i + 1:]]]
     parity = [F.call_function("shiftleft", F.bit_count(block.bitwiseAND(F.lit(sum(

@@ -14,6 +14,7 @@ narrow pass.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -61,7 +62,7 @@ class Chain:
         return out
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, count: np.ndarray, penalty: float = 1.0) -> np.ndarray:
+def fit_logistic(x: np.ndarray, y: np.ndarray, count: np.ndarray, penalty: float = 0.1) -> np.ndarray:
     """Ridge logistic regression by Newton steps on rows with counts; the last column's weight is not penalised."""
     w = np.zeros(x.shape[1])
     ridge = np.full(x.shape[1], penalty)
@@ -81,11 +82,6 @@ def _probability(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
 
 
-def _fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    rows, count = np.unique(np.column_stack([x.round(3), y]), axis=0, return_counts=True)
-    return fit_logistic(rows[:, :-1], rows[:, -1], count.astype(float))
-
-
 def _features_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for texts in batches:
         yield texts.map(lambda t: sorted(features(t)))
@@ -120,26 +116,29 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Chai
     place = {f: i for i, f in enumerate(known)}
     literal = F.array(*[F.lit(f) for f in known]).cast("array<binary>")
     # bounded: at most ``limit`` rows of at most the chosen features
-    rows = sample.orderBy("doc_id").select("fold", *CATEGORIES, F.array_intersect("features", literal).alias("has")).collect()
+    seen = Counter((r["fold"], tuple(r[c] for c in CATEGORIES), tuple(sorted(place[bytes(f)] for f in r["has"])))
+                   for r in sample.select("fold", *CATEGORIES, F.array_intersect("features", literal).alias("has")).collect())
+    rows = sorted(seen)     # equal rows once, with their count
+    count = np.array([seen[r] for r in rows], float)
     x = np.zeros((len(rows), len(known)))
-    for i, r in enumerate(rows):
-        x[i, [place[bytes(f)] for f in r["has"]]] = 1.0
-    fold = np.array([r["fold"] for r in rows], int)
+    for i, (_, _, has) in enumerate(rows):
+        x[i, list(has)] = 1.0
+    fold = np.array([r[0] for r in rows], int)
     chain, before = Chain(), np.zeros((len(rows), 0))
-    for c in CATEGORIES:
-        y = np.array([r[c] for r in rows], float)
+    for i, c in enumerate(CATEGORIES):
+        y = np.array([r[1][i] for r in rows], float)
         own = np.column_stack([x[:, [place[f] for f in chosen[c]]], before, np.ones(len(rows))])
         if not len(rows) or not y.any():
             chain.models[c] = (-10.0, {}, [0.0] * before.shape[1])
             before = np.column_stack([before, np.full(len(rows), 1 / (1 + np.exp(10)))])
             continue
-        w = _fit(own, y)
+        w = fit_logistic(own, y, count)
         n = len(chosen[c])
         chain.models[c] = (float(w[-1]), dict(zip(chosen[c], map(float, w[:n]))), [float(v) for v in w[n:-1]])
         out_of_fold = _probability(own, w)
         for k in range(FOLDS):
             if (fold == k).any() and y[fold != k].any():
-                out_of_fold[fold == k] = _probability(own[fold == k], _fit(own[fold != k], y[fold != k]))
+                out_of_fold[fold == k] = _probability(own[fold == k], fit_logistic(own[fold != k], y[fold != k], count[fold != k]))
         before = np.column_stack([before, out_of_fold])
     return chain
 
