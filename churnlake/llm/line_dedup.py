@@ -26,17 +26,22 @@ from churnlake.session import checkpoint
 
 GRAM_WORDS = 25
 SURE_WORDS = 50
-_UNIT = re.compile(r"[^\n]+?(?:[.!?]+(?=[\x20\x09\x0B-\x0D])|(?=\n)|\Z)")
+_STOP = re.compile(r"[.!?]+(?=[\x20\x09\x0B-\x0D])")
 
 
 def units(text: str) -> list[tuple[int, int, int, int]]:
     """(hash, words, start, end) of the non-empty units: lines, cut after . ! ? before white space."""
     out = []
-    for m in _UNIT.finditer(text):
-        words = m[0].encode("utf-8", "surrogatepass").lower().split()
-        if words:
-            h = xxhash.xxh64_intdigest(b" ".join(words))
-            out.append((h - (1 << 64) if h >> 63 else h, len(words), m.start(), m.end()))
+    at = 0
+    for line in text.split("\n"):
+        a = 0
+        for b in [*[m.end() for m in _STOP.finditer(line)], len(line)]:
+            words = line[a:b].encode("utf-8", "surrogatepass").lower().split()
+            if words:
+                h = xxhash.xxh64_intdigest(b" ".join(words))
+                out.append((h - (1 << 64) if h >> 63 else h, len(words), at + a, at + b))
+            a = b
+        at += len(line) + 1
     return out
 
 
@@ -114,8 +119,9 @@ def repeated_runs(docs: DataFrame, keys: tuple = ("doc_id",)) -> DataFrame:
     rows = checkpoint(rows.select(*keys, "rid", "u.*"))
     prints = rows.select(F.col(keys[0]).isNull().alias("unknown"), F.col(keys[0]).alias("id"), "rid", F.explode("prints").alias("p")).select(
         "unknown", "id", "rid", "p.h", "p.pos", "p.n")
-    first = prints.groupBy(F.col("h").alias("f_h")).agg(
-        F.min(F.struct("unknown", "id", "rid", "pos")).alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1")
+    # checkpointed, so that the join below shuffles both sides for itself and AQE can split a hot fingerprint
+    first = checkpoint(prints.groupBy(F.col("h").alias("f_h")).agg(
+        F.min(F.struct("unknown", "id", "rid", "pos")).alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1"))
     seeds = prints.join(first, F.col("h") == F.col("f_h")).where(
         (F.col("rid") != F.col("first.rid")) | (F.col("pos") != F.col("first.pos")))
     pairs = seeds.groupBy("rid", F.col("first.rid").alias("src")).agg(
