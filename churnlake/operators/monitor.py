@@ -28,12 +28,6 @@ from churnlake.schema import (
 MONITOR_FEATURES = ["churn_probability", "monthly_charges"]
 
 
-def constant_fill(df: DataFrame, fills: dict[str, float] | None = None) -> DataFrame:
-    """Fill nulls of numeric columns with constants (defaults: charges 50, tenure 12, total 600)."""
-    fills = fills or CONSTANT_FILLS
-    return df.na.fill({k: v for k, v in fills.items() if k in df.columns})
-
-
 def with_heuristic_score(df: DataFrame) -> DataFrame:
     """Adds ``churn_probability`` from filled tenure / MonthlyCharges / Contract."""
     filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(v)) for c, v in CONSTANT_FILLS.items()}
@@ -41,8 +35,7 @@ def with_heuristic_score(df: DataFrame) -> DataFrame:
                          heuristic_score(filled["tenure"], filled["MonthlyCharges"], F.col("Contract")))
 
 
-def monitoring_set(gold_features: DataFrame, labels: DataFrame, scores: DataFrame | None = None,
-                   on: list[str] | None = None) -> DataFrame:
+def monitoring_set(gold_features: DataFrame, labels: DataFrame, scores: DataFrame | None = None) -> DataFrame:
     """Score + truth + month per customer snapshot.
 
     features ⨝ labels on both keys (labels with a null value are left out), then
@@ -50,8 +43,7 @@ def monitoring_set(gold_features: DataFrame, labels: DataFrame, scores: DataFram
     else the heuristic score.  Output columns: customerID, snapshot_date,
     month_start, month, churn_probability, actual_churn, monthly_charges.
     """
-    on = on or KEYS
-    base = gold_features.join(labels.where(F.col("Churn").isNotNull()), on, "inner")
+    base = gold_features.join(labels.where(F.col("Churn").isNotNull()), KEYS, "inner")
     if scores is not None:
         base = base.join(scores.select(*KEYS, "churn_probability"), KEYS, "inner")
     else:
@@ -96,14 +88,16 @@ def customer_only_fanout(features: DataFrame, labels: DataFrame) -> DataFrame:
     snapshot of the customer.  The pairs are not materialised: per customer the
     joined row count is the product of the two per-side counts.
     """
-    f = features.groupBy("customerID").agg(F.count(F.lit(1)).alias("feature_rows"))
-    lab = labels.groupBy("customerID").agg(F.count(F.lit(1)).alias("label_rows"))
-    return f.join(lab, "customerID", "inner").select(
+    sides = features.select(*KEYS, F.lit(1).alias("_f")).unionByName(labels.select(*KEYS, F.lit(0).alias("_f")))
+    per = sides.groupBy(*KEYS).agg(F.sum("_f").alias("_nf"), F.sum(1 - F.col("_f")).alias("_nl"))
+    out = per.where(F.col("customerID").isNotNull()).groupBy("customerID").agg(
+        F.sum("_nf").alias("feature_rows"), F.sum("_nl").alias("label_rows"),
+        # pairs of one snapshot; a null date equals nothing
+        F.sum(F.when(F.col("Snapshot_Date").isNotNull(), F.col("_nf") * F.col("_nl")).otherwise(0)).alias("_same"))
+    both = F.col("feature_rows") * F.col("label_rows")
+    return out.where(both > 0).select(
         "customerID", F.col("feature_rows").cast("bigint"), F.col("label_rows").cast("bigint"),
-        (F.col("feature_rows") * F.col("label_rows")).cast("bigint").alias("joined_rows"),
-        (F.col("feature_rows") * F.col("label_rows") - F.least("feature_rows", "label_rows"))
-        .cast("bigint").alias("cross_snapshot_rows"),
-    )
+        both.cast("bigint").alias("joined_rows"), (both - F.col("_same")).cast("bigint").alias("cross_snapshot_rows"))
 
 
 def label_test_yes(raw_labels: DataFrame) -> DataFrame:
@@ -134,7 +128,7 @@ def scenario_expand(mon: DataFrame, months: list[tuple[str, str]], step: float =
 # ---- AUC ---------------------------------------------------------------------
 
 def grouped_auc(df: DataFrame, group_cols: list[str], label_col: str = "actual_churn",
-                score_col: str = "churn_probability") -> DataFrame:
+                score_col: str = "churn_probability", digits: int | None = 6) -> DataFrame:
     """Exact ROC AUC per group with average ranks for ties (Mann-Whitney).
 
     AUC = Σ_s pos_s · (neg_below_s + neg_s / 2) / (P · N); null when a group has one class.
@@ -152,27 +146,29 @@ def grouped_auc(df: DataFrame, group_cols: list[str], label_col: str = "actual_c
     auc = F.when((F.col("_P") > 0) & (F.col("_N") > 0),
                  F.col("_U") / (F.col("_P").cast("double") * F.col("_N")))
     return agg.select(*group_cols, (F.col("_P") + F.col("_N")).cast("bigint").alias("n"),
-                      F.col("_P").cast("bigint").alias("positives"), F.round(auc, 6).alias("auc"))
+                      F.col("_P").cast("bigint").alias("positives"), (auc if digits is None else F.round(auc, digits)).alias("auc"))
 
 
-def monthly_auc(mon: DataFrame) -> DataFrame:
-    """AUC per month with the alert flag (auc < 0.65)."""
-    auc = grouped_auc(mon, ["month_start"])
+def monthly_auc(mon: DataFrame, digits: int | None = 6) -> DataFrame:
+    """AUC per month, rounded for display, with the alert flag (unrounded auc < 0.65)."""
+    auc = grouped_auc(mon, ["month_start"], digits=None)
+    shown = F.col("auc") if digits is None else F.round("auc", digits)
     return auc.select(
-        "month_start", month_label("month_start").alias("month"), "n", "positives", "auc",
+        "month_start", month_label("month_start").alias("month"), "n", "positives", shown.alias("auc"),
         (F.col("auc") < AUC_ALERT).alias("below_alert"),
     )
 
 
 def auc_summary(monthly: DataFrame) -> DataFrame:
-    """Plain mean of the monthly AUCs and the pass mark (mean >= 0.8)."""
+    """Plain mean of the monthly AUCs and the pass mark (mean >= 0.8); ``monthly`` is to be unrounded."""
     return monthly.where(F.col("auc").isNotNull()).agg(
         F.count(F.lit(1)).cast("bigint").alias("months"),
         F.round(F.avg("auc"), 6).alias("mean_auc"),
         F.round(F.min("auc"), 6).alias("min_auc"),
         F.round(F.max("auc"), 6).alias("max_auc"),
         F.count_if(F.col("auc") < AUC_ALERT).cast("bigint").alias("months_below_alert"),
-    ).withColumn("passes", F.col("mean_auc") >= AUC_PASS_MEAN)
+        (F.avg("auc") >= AUC_PASS_MEAN).alias("passes"),
+    )
 
 
 # ---- deciles / PSI -------------------------------------------------------------
@@ -261,7 +257,7 @@ def psi_table(long: DataFrame, baseline: Column | None = None, exact: bool = Tru
     psi = terms.groupBy("feature", "month_start").agg(F.sum("_term").alias("_psi"))
     months = hist.select("feature", "month_start").distinct()
     return months.join(psi, ["feature", "month_start"], "left").select(
-        "feature", "month_start", F.round(F.coalesce(F.col("_psi"), F.lit(0.0)), 6).alias("psi"),
+        "feature", "month_start", F.coalesce(F.col("_psi"), F.lit(0.0)).alias("psi"),
         (F.col("month_start") > last_base).alias("after_baseline"))
 
 
@@ -276,8 +272,8 @@ def psi_report(mon: DataFrame, baseline_month: str | None = None,
     long = long_features(mon, features)
     baseline = None if baseline_month is None else F.col("month_start") == F.to_date(F.lit(baseline_month))
     table = psi_table(long, baseline, exact=exact).where("after_baseline")
-    return table.select("feature", "month_start", month_label("month_start").alias("month"), "psi",
-                        psi_status(F.col("psi")).alias("status"))
+    return table.select("feature", "month_start", month_label("month_start").alias("month"),
+                        F.round("psi", 6).alias("psi"), psi_status(F.col("psi")).alias("status"))
 
 
 # ---- KDE ------------------------------------------------------------------------

@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 from churnlake.session import checkpoint
 
 
+TOTALS_BYTES = 64 << 20
+
+
 def running_sums(df: DataFrame, group_cols: list[str], order_cols: list[str],
                  value_cols: list[str], num_partitions: int | None = None) -> DataFrame:
     """Add ``cum_<v>``: inclusive running sum of each value column within the group,
@@ -79,7 +82,10 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],
             .agg(F.sum(weight).alias("_n")))
     cum = running_sums(hist, group_cols, ["_x"], ["_n"])
     totals = hist.groupBy(*group_cols).agg(F.sum("_n").alias("_total"))
-    cum = cum.join(totals, group_cols, "inner")
+    # one row per group; a shuffle join on the group would bring a group's histogram into one task
+    totals = checkpoint(totals)
+    few = totals.count() * 256 <= TOTALS_BYTES
+    cum = cum.join(F.broadcast(totals) if few else totals, group_cols, "inner")     # many groups: none is large
     pos = [F.lit(p) * (F.col("_total") - 1) for p in probs]
     targets = F.array(*[
         F.struct(F.lit(i).alias("qi"), F.lit(float(p)).alias("p"), F.lit(side).alias("side"),

@@ -56,8 +56,8 @@ def stratified_folds(train: DataFrame, k: int = FOLDS, label_col: str = "label",
 
 
 def lr_estimator(n_train: int, C: float = 1.0, penalty: str = "l2", max_iter: int = 100) -> LogisticRegression:
-    """Logistic regression; C of the summed-loss formulation maps to regParam = 1/(C·n)."""
-    return LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter,
+    """Logistic regression; C of the summed-loss formulation maps to regParam = 1/(C·n), on the given columns."""
+    return LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter, standardization=False,
                               regParam=1.0 / (C * n_train), elasticNetParam=1.0 if penalty == "l1" else 0.0)
 
 

@@ -27,6 +27,7 @@ from churnlake.operators import impute, monitor, stores
 from churnlake.operators.clean import CLEANERS
 from churnlake.plans import models
 from churnlake.schema import CATEGORICAL_FEATURES, NUMERIC_FEATURES
+from churnlake.schema import SILVER_SCHEMAS
 from churnlake.sources import feeds
 
 FEEDS = ["features", "meta", "labels"]
@@ -75,7 +76,7 @@ def backfill(spark: SparkSession, raw: dict[str, DataFrame], root: str,
         path = _p(root, "silver", feed)
         feeds.write_partitioned(CLEANERS[feed](bronze), path)
         counts[f"silver/{feed}"] = _written_rows(spark, path, snapshots)
-        silver[feed] = feeds.read_store(spark, path)
+        silver[feed] = feeds.read_store(spark, path, schema=SILVER_SCHEMAS[feed])
         if snapshots:
             silver[feed] = silver[feed].where(F.col("Snapshot_Date").isin([F.to_date(F.lit(s)) for s in snapshots]))
     path = _p(root, "gold", "feature_store")
@@ -150,7 +151,7 @@ def score(spark: SparkSession, root: str, model_dir: str, snapshot: str, model_n
     preds = models.score(models.load(_p(model_dir, "pipeline")), snap, model_name)
     out = _p(root, "gold", "model_predictions")
     feeds.write_predictions(preds, out, csv_copy=_p(root, "gold", "model_predictions_csv", model_name, snapshot))
-    return feeds.read_predictions(spark, out).where(
+    return feeds.read_predictions(spark, out, _p(root, "gold", "model_predictions_csv")).where(
         (F.col("model_name") == model_name) & (F.col("snapshot_date") == F.to_date(F.lit(snapshot))))
 
 
@@ -168,14 +169,14 @@ def run_monitoring(spark: SparkSession, root: str, model_name: str | None = None
         features = features.where(F.col("Snapshot_Date") <= F.to_date(F.lit(end)))
     scores = None
     if model_name:
-        preds = feeds.read_predictions(spark, _p(root, "gold", "model_predictions")).where(
+        preds = feeds.read_predictions(spark, _p(root, "gold", "model_predictions"), _p(root, "gold", "model_predictions_csv")).where(
             F.col("model_name") == model_name)
         scores = preds.select("customerID", F.col("snapshot_date").alias("Snapshot_Date"), "churn_probability")
     mon = monitor.monitoring_set(features, labels, scores)
     auc = monitor.monthly_auc(mon)
     tables = {
         "monthly_auc": auc,
-        "auc_summary": monitor.auc_summary(auc),
+        "auc_summary": monitor.auc_summary(monitor.monthly_auc(mon, digits=None)),
         "psi_report": monitor.psi_report(mon, baseline),
         "kde_scores": monitor.kde(mon, "churn_probability"),
         "kde_charges": monitor.kde(mon, "monthly_charges"),

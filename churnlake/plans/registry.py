@@ -121,7 +121,8 @@ def heuristic_score(spark, sf_dir):
 @job("target_list")
 def target_list(spark, sf_dir):
     from churnlake.schema import TARGET_CUT
-    return heuristic_score(spark, sf_dir).where(F.col("churn_probability") > TARGET_CUT)
+    return _mon(spark, sf_dir).where(F.col("churn_probability") > TARGET_CUT).select(
+        "customerID", "snapshot_date", F.round("churn_probability", 6).alias("churn_probability"))
 
 
 @job("scenario_expand")
@@ -156,7 +157,7 @@ def monthly_auc(spark, sf_dir):
 
 @job("auc_summary")
 def auc_summary(spark, sf_dir):
-    return monitor.auc_summary(monitor.monthly_auc(_mon(spark, sf_dir)))
+    return monitor.auc_summary(monitor.monthly_auc(_mon(spark, sf_dir), digits=None))
 
 
 @job("deciles")
@@ -458,7 +459,7 @@ def batch_scoring(spark, sf_dir):
     preds = models.score(models.load(model_path), snap, "gbt_churn")
     out = shared_path(spark, "model_predictions")
     feeds.write_predictions(preds, out, csv_copy=out + "_csv")
-    return feeds.read_predictions(spark, out)
+    return feeds.read_predictions(spark, out, out + "_csv")
 
 
 @job("model_reload")
@@ -525,12 +526,15 @@ def label_map(spark, sf_dir):
 
 # ---- streaming --------------------------------------------------------------------------------
 
-@job("bronze_stream_labels")
-def bronze_stream_labels(spark, sf_dir):
-    """Incremental bronze ingest (Structured Streaming, availableNow) of the raw label drops."""
+def _bronze_stream(spark, sf_dir, feed):
+    """Incremental bronze ingest (Structured Streaming, availableNow) of one feed's raw drops."""
     from churnlake.plans.datasets import raw_drops
     from churnlake.streaming.ingest import ingest_available
     root = raw_drops(spark, sf_dir)
     out, ckpt = shared_path(spark, "bronze_stream"), shared_path(spark, "bronze_stream_ckpt")
-    ingest_available(spark, f"{root}/labels", "labels", out, ckpt)
-    return feeds.read_bronze(spark, out, "labels")
+    ingest_available(spark, f"{root}/{feed}", feed, out, ckpt)
+    return feeds.read_bronze(spark, out, feed)
+
+
+for _feed in ["features", "meta", "labels"]:
+    REGISTRY[f"bronze_stream_{_feed}"] = lambda spark, sf_dir, feed=_feed: _bronze_stream(spark, sf_dir, feed)

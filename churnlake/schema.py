@@ -108,3 +108,4 @@ SILVER_LABEL_SCHEMA = T.StructType(
     [T.StructField("customerID", T.StringType()), T.StructField("Churn", T.IntegerType()),
      T.StructField("Snapshot_Date", T.DateType())]
 )
+SILVER_SCHEMAS = {"features": SILVER_FEATURE_SCHEMA, "meta": SILVER_META_SCHEMA, "labels": SILVER_LABEL_SCHEMA}

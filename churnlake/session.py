@@ -57,7 +57,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="churnlake-ckpt-"))
     return sc.getCheckpointDir()

@@ -8,8 +8,10 @@ are; re-running a month replaces only that month).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from churnlake.functions.cleaning import text_to_date
 from churnlake.schema import RAW_SCHEMAS
@@ -35,14 +37,17 @@ def validate_nonempty(df: DataFrame, required: list[str], name: str) -> DataFram
     return df
 
 
+# '' and null are told apart: the null token is a NUL character that never occurs in text
+RAW_CSV_OPTIONS = {"header": True, "nullValue": "\u0000"}
+
+
 def read_raw_csv(spark: SparkSession, path: str, feed: str) -> DataFrame:
     """Raw feed CSV with header, every column a nullable string (no inference pass).
 
     Only unquoted empty fields are null; a quoted empty field stays '' (the
     null token is a NUL character that never occurs in text).
     """
-    return (spark.read.schema(RAW_SCHEMAS[feed]).option("header", True).option("nullValue", "\u0000")
-            .csv(path))
+    return spark.read.schema(RAW_SCHEMAS[feed]).options(**RAW_CSV_OPTIONS).csv(path)
 
 
 def write_raw_csv(df: DataFrame, path: str) -> None:
@@ -96,9 +101,13 @@ def read_bronze(spark: SparkSession, path: str, feed: str) -> DataFrame:
     return read_raw_csv(spark, path, feed)
 
 
-def read_store(spark: SparkSession, path: str, glob: str | None = None, merge_schema: bool = False) -> DataFrame:
-    """Parquet store scan (all snapshots; filters on Snapshot_Date prune partitions)."""
+def read_store(spark: SparkSession, path: str, glob: str | None = None, merge_schema: bool = False,
+               schema: StructType | None = None) -> DataFrame:
+    """Parquet store scan (all snapshots; filters on Snapshot_Date prune partitions).  With ``schema`` a
+    store without rows reads as an empty table."""
     reader = spark.read.option("mergeSchema", merge_schema)
+    if schema is not None:
+        reader = reader.schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.parquet(path)
@@ -111,13 +120,25 @@ def nonempty_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> l
     return [r.path for r in listing.where(F.col("length") > 0).select("path").collect()]
 
 
-def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    """Predictions under ``path``: Parquet (partition columns discovered) when present, else CSV."""
+def has_files(spark: SparkSession, path: str, glob: str) -> bool:
+    """Whether a file of that name pattern lies anywhere under ``path`` (listed, not read)."""
     try:
+        listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+                   .option("recursiveFileLookup", True).load(path).select("path"))
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return not listing.isEmpty()
+
+
+def read_predictions(spark: SparkSession, path: str, csv_path: str | None = None) -> DataFrame:
+    """Predictions under ``path``: Parquet (partition columns discovered) where there are such files, else
+    the CSV copy under ``csv_path`` (default: the same folder).  A fault in a Parquet file is raised."""
+    if has_files(spark, path, "*.parquet"):
         return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - no parquet files: fall back to the CSV copy
-        return (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
-                .option("header", True).option("inferSchema", True).csv(path))
+    return (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+            .option("header", True).option("inferSchema", True).csv(csv_path or path))
 
 
 def write_predictions(df: DataFrame, path: str, csv_copy: str | None = None) -> None:

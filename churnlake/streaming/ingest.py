@@ -13,12 +13,12 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from churnlake.schema import RAW_SCHEMAS
-from churnlake.sources.feeds import bronze
+from churnlake.sources.feeds import RAW_CSV_OPTIONS, bronze
 
 
 def bronze_stream(spark: SparkSession, raw_dir: str, feed: str, bronze_path: str, checkpoint: str,
                   max_files_per_trigger: int | None = None) -> StreamingQuery:
-    reader = spark.readStream.schema(RAW_SCHEMAS[feed]).option("header", True)
+    reader = spark.readStream.schema(RAW_SCHEMAS[feed]).options(**RAW_CSV_OPTIONS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     rows = bronze(reader.csv(raw_dir))

@@ -264,7 +264,7 @@ ORACLE["heuristic_score"] = with_mon(
     "SELECT customerID, snapshot_date, round(churn_probability, 6) AS churn_probability FROM mon")
 ORACLE["target_list"] = with_mon(
     "SELECT customerID, snapshot_date, round(churn_probability, 6) AS churn_probability FROM mon "
-    "WHERE round(churn_probability, 6) > 0.7")
+    "WHERE churn_probability > 0.7")
 ORACLE["scenario_expand"] = with_mon("""
 SELECT customerID, snapshot_date AS source_date, s.idx AS scenario, s.month, CAST(s.d AS DATE) AS snapshot_date,
   actual_churn, monthly_charges, round(greatest(0.01, least(0.99, churn_probability + s.idx * 0.02)), 6) AS churn_probability
@@ -281,10 +281,12 @@ JOIN (SELECT f.customerID, f.Snapshot_Date AS snapshot_date, l.Churn AS actual_c
       WHERE l.Churn IS NOT NULL) t
 ON p.customerID = t.customerID AND p.snapshot_date = t.snapshot_date""")
 ORACLE["customer_only_join"] = with_base("""
-SELECT f.customerID, CAST(f.n AS BIGINT) AS feature_rows, CAST(l.n AS BIGINT) AS label_rows,
-  CAST(f.n * l.n AS BIGINT) AS joined_rows, CAST(f.n * l.n - least(f.n, l.n) AS BIGINT) AS cross_snapshot_rows
-FROM (SELECT customerID, count(*) AS n FROM silver_features GROUP BY 1) f
-JOIN (SELECT customerID, count(*) AS n FROM gold_labels GROUP BY 1) l ON f.customerID = l.customerID""")
+SELECT f.customerID, CAST(count(DISTINCT f.k) AS BIGINT) AS feature_rows, CAST(count(DISTINCT l.k) AS BIGINT) AS label_rows,
+  CAST(count(*) AS BIGINT) AS joined_rows,
+  CAST(count(*) - count_if(f.Snapshot_Date = l.Snapshot_Date) AS BIGINT) AS cross_snapshot_rows
+FROM (SELECT customerID, Snapshot_Date, row_number() OVER () AS k FROM silver_features) f
+JOIN (SELECT customerID, Snapshot_Date, row_number() OVER () AS k FROM gold_labels) l ON f.customerID = l.customerID
+GROUP BY 1""")
 ORACLE["label_test_yes"] = with_base(
     "SELECT customerID, Snapshot_Date, CAST(coalesce(Churn, '') = 'Yes' AS INTEGER) AS actual_churn FROM raw_labels")
 
@@ -294,14 +296,14 @@ h AS (SELECT month_start, churn_probability AS s, sum(actual_churn) AS pos, coun
 c AS (SELECT *, sum(neg) OVER (PARTITION BY month_start ORDER BY s ROWS UNBOUNDED PRECEDING) AS cum FROM h),
 auc AS (SELECT month_start, strftime(month_start, '%b') AS month, CAST(sum(pos) + sum(neg) AS BIGINT) AS n,
    CAST(sum(pos) AS BIGINT) AS positives,
-   round(CASE WHEN sum(pos) > 0 AND sum(neg) > 0
-         THEN sum(pos * (cum - neg + neg * 0.5)) / (CAST(sum(pos) AS DOUBLE) * sum(neg)) END, 6) AS auc
+   CASE WHEN sum(pos) > 0 AND sum(neg) > 0
+        THEN sum(pos * (cum - neg + neg * 0.5)) / (CAST(sum(pos) AS DOUBLE) * sum(neg)) END AS auc
    FROM c GROUP BY 1)"""
-ORACLE["monthly_auc"] = with_mon("SELECT *, auc < 0.65 AS below_alert FROM auc", AUC_CTE)
+ORACLE["monthly_auc"] = with_mon("SELECT * REPLACE (round(auc, 6) AS auc), auc < 0.65 AS below_alert FROM auc", AUC_CTE)
 ORACLE["auc_summary"] = with_mon("""
 SELECT CAST(count(*) AS BIGINT) AS months, round(avg(auc), 6) AS mean_auc, round(min(auc), 6) AS min_auc,
   round(max(auc), 6) AS max_auc, CAST(count_if(auc < 0.65) AS BIGINT) AS months_below_alert,
-  round(avg(auc), 6) >= 0.8 AS passes
+  avg(auc) >= 0.8 AS passes
 FROM auc WHERE auc IS NOT NULL""", AUC_CTE)
 ORACLE["deciles"] = with_mon(f"""
 SELECT feature, month_start, CAST(i - 1 AS INTEGER) AS q_idx, CAST(round(({DECILES})[i], 2) AS DOUBLE) AS prob, round(q[i], 6) AS value
@@ -327,11 +329,11 @@ terms AS (SELECT s.feature, s.month_start,
             * ln(CASE WHEN s.a = 0 THEN 0.0001 ELSE s.a END / CASE WHEN coalesce(x.e, 0) = 0 THEN 0.0001 ELSE x.e END)
             AS term
           FROM share s LEFT JOIN bshare x ON s.feature = x.feature AND s.bin = x.bin),
-psi AS (SELECT m.feature, m.month_start, round(coalesce(sum(t.term), 0.0), 6) AS psi
+psi AS (SELECT m.feature, m.month_start, coalesce(sum(t.term), 0.0) AS psi
         FROM (SELECT DISTINCT feature, month_start FROM vals WHERE value IS NOT NULL) m
         LEFT JOIN terms t ON m.feature = t.feature AND m.month_start = t.month_start GROUP BY 1, 2)"""
 ORACLE["psi_report"] = with_mon("""
-SELECT feature, month_start, strftime(month_start, '%b') AS month, psi,
+SELECT feature, month_start, strftime(month_start, '%b') AS month, round(psi, 6) AS psi,
   CASE WHEN psi > 0.25 THEN 'critical' WHEN psi > 0.1 THEN 'warning' ELSE 'stable' END AS status
 FROM psi, b WHERE month_start > b.bm""", PSI_CTE)
 
@@ -561,7 +563,8 @@ ORACLE["merged_analysis_set"] = with_base("SELECT * FROM eda")
 ORACLE["label_map"] = with_base(
     "SELECT customerID, Snapshot_Date, CAST(CASE Churn WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 END AS INTEGER) AS Churn "
     "FROM raw_labels")
-ORACLE["bronze_stream_labels"] = ORACLE["bronze_snapshot_labels"]
+for _feed in ("features", "meta", "labels"):
+    ORACLE[f"bronze_stream_{_feed}"] = ORACLE[f"bronze_snapshot_{_feed}"]
 ORACLE["onehot_drop_first"] = with_base(" UNION ALL ".join(
     f"SELECT g.customerID, g.Snapshot_Date, '{c}_' || v.v AS dummy, CAST(g.{c} = v.v AS INTEGER) AS value "
     f"FROM gold_features g, (SELECT DISTINCT {c} AS v FROM gold_features WHERE {c} IS NOT NULL "
