@@ -130,9 +130,10 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     groups = suspects.groupBy(F.col("sha").alias("g_sha")).agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "at")).alias("first"),
         F.count(F.lit(1)).alias("n"))
-    groups = groups.join(verified, F.col("g_sha") == F.col("v_sha"), "left").select(
+    # checkpointed, so that the join below shuffles both sides for itself and AQE can split a hot text
+    groups = checkpoint(groups.join(verified, F.col("g_sha") == F.col("v_sha"), "left").select(
         "g_sha", "first", F.when(F.col("n") == F.col("same"), F.col("n"))
-        .otherwise(F.raise_error(F.lit("texts with one SHA-256 differ")).cast("bigint")).alias("n"))
+        .otherwise(F.raise_error(F.lit("texts with one SHA-256 differ")).cast("bigint")).alias("n")))
     copies = suspects.join(groups, F.col("sha") == F.col("g_sha")).select(
         "doc_id", F.col("first.doc_id").alias("keep_id"), F.col("n").alias("group_size"),
         (F.col("at") == F.col("first.at")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
