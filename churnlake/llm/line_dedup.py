@@ -50,9 +50,9 @@ def fingerprints(hashes: list[int], words: list[int], gram: int = GRAM_WORDS, su
     if sum(words) < sure:
         return []
     total = np.concatenate([[0], np.cumsum(words)])
-    gram_end = np.searchsorted(total, total[:-1] + gram)      # end (exclusive) of the gram from each unit
-    sure_end = np.searchsorted(total, total[:-1] + sure)
-    packed = np.array(hashes, "<i8")
+    gram_end = np.searchsorted(total, total[:-1] + gram).tolist()      # end (exclusive) of the gram from each unit
+    sure_end = np.searchsorted(total, total[:-1] + sure).tolist()
+    packed = np.array(hashes, "<i8").tobytes()
     value = {}
     chosen = set()
     for i in range(len(words)):
@@ -63,11 +63,11 @@ def fingerprints(hashes: list[int], words: list[int], gram: int = GRAM_WORDS, su
             if gram_end[j] > sure_end[i]:
                 break
             if j not in value:
-                value[j] = xxhash.xxh64_intdigest(packed[j:gram_end[j]].tobytes())
+                value[j] = xxhash.xxh64_intdigest(packed[8 * j:8 * gram_end[j]])
             if best is None or value[j] <= value[best]:
                 best = j
         chosen.add(best)
-    return [(value[j] - (1 << 64) if value[j] >> 63 else value[j], j, int(gram_end[j] - j)) for j in sorted(chosen)]
+    return [(value[j] - (1 << 64) if value[j] >> 63 else value[j], j, gram_end[j] - j) for j in sorted(chosen)]
 
 
 _UNITS = ("struct<hashes:array<bigint>,words:array<int>,starts:array<int>,ends:array<int>,"
