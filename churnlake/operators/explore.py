@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlake.functions.scoring import eda_tenure_bin
-
-CROSSTAB_DIMENSIONS = ["Contract", "InternetService", "TechSupport", "PaymentMethod", "OnlineSecurity"]
+from churnlake.operators.ranking import TOTALS_BYTES, exact_rank
+from churnlake.session import checkpoint
 
 
 def churn_distribution(df: DataFrame, label_col: str = "Churn") -> DataFrame:
@@ -84,7 +84,7 @@ def snapshot_dates(df: DataFrame) -> DataFrame:
 # ---- factorize + correlation ------------------------------------------------------
 
 def factorize_codes(df: DataFrame, columns: list[str], order_cols: list[str],
-                    broadcast_max: int = 100_000) -> DataFrame:
+                    broadcast_bytes: int = TOTALS_BYTES) -> DataFrame:
     """Per column, code = order of first appearance of the value (0-based), null -> -1.
 
     "First appearance" needs an explicit row order: ``order_cols`` (unique per
@@ -92,14 +92,12 @@ def factorize_codes(df: DataFrame, columns: list[str], order_cols: list[str],
     column are ranked by their first row with the range-partitioned rank, so a
     high-cardinality column (customer ids) never lands in one task.
 
-    Joining the codes back: a column whose distinct count is at most
-    ``broadcast_max`` (counted first, so the bound is checked) gets its codes
-    broadcast – a hot value (one category holding a third of all rows) then
-    never meets a shuffle.  Only high-cardinality columns take the shuffle join,
-    where AQE splits any skewed partition.
+    Joining the codes back: the smallest columns' codes that fit into
+    ``broadcast_bytes`` together (measured first) are broadcast – a hot value
+    (one category holding a third of all rows) then never meets a shuffle.  The
+    other columns take the shuffle join, where AQE splits any skewed partition.
+    Both give the same rows.
     """
-    from churnlake.operators.ranking import exact_rank
-
     stack = ", ".join(f"'{c}', CAST(`{c}` AS STRING)" for c in columns)
     long = df.selectExpr(*[f"`{c}`" for c in order_cols],
                          f"stack({len(columns)}, {stack}) AS (column_name, value)")
@@ -108,10 +106,15 @@ def factorize_codes(df: DataFrame, columns: list[str], order_cols: list[str],
               .agg(F.min(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)])).alias("_f")))
     firsts = firsts.select("column_name", "value", *[F.col(f"_f._o{i}").alias(f"_o{i}") for i in range(len(order_cols))])
     ranked = exact_rank(firsts, ["column_name"], [f"_o{i}" for i in range(len(order_cols))], "_rank")
-    codes = ranked.select("column_name", "value", (F.col("_rank") - 1).cast("int").alias("code"))
-    # distinct values per column: one small row per column
-    sizes = {r.column_name: r.n for r in codes.groupBy("column_name").agg(F.count(F.lit(1)).alias("n")).collect()}
-    small = [c for c in columns if sizes.get(c, 0) <= broadcast_max]
+    codes = checkpoint(ranked.select("column_name", "value", (F.col("_rank") - 1).cast("int").alias("code")))
+    # bytes of a column's codes, with 128 a row for the hash table's overhead: one small row per column
+    sizes = {r.column_name: r.n for r in codes.groupBy("column_name").agg(
+        F.sum(F.octet_length("column_name") + F.octet_length("value") + 128).alias("n")).collect()}
+    small, held = [], 0
+    for c in sorted(columns, key=lambda c: sizes.get(c, 0)):
+        held += sizes.get(c, 0)
+        if held <= broadcast_bytes:
+            small.append(c)
     large = [c for c in columns if c not in small]
     parts = []
     if small:
@@ -129,18 +132,13 @@ def correlation_lower(codes: DataFrame, columns: list[str], order_cols: list[str
     """Pearson correlation of the codes, lower triangle only: (row, col, corr).
 
     Codes are pivoted back to one row per key, then all pairs are computed in a
-    single aggregation.  A constant column has no correlation (null) – its
-    variance is checked first so the division never happens.
+    single aggregation.  A constant column has no correlation (null).
     """
     wide = codes.groupBy(*order_cols).pivot("column_name", columns).agg(F.first("code"))
-    sds = wide.agg(*[F.stddev_pop(F.col(f"`{c}`")).alias(f"s{i}") for i, c in enumerate(columns)]).first()
-    varying = {c for i, c in enumerate(columns) if sds[f"s{i}"] not in (None, 0.0)}
     pairs = [(i, j) for i in range(len(columns)) for j in range(i)]
-    aggs = [
-        (F.corr(F.col(f"`{columns[i]}`").cast("double"), F.col(f"`{columns[j]}`").cast("double"))
-         if columns[i] in varying and columns[j] in varying else F.lit(None).cast("double")).alias(f"p{i}_{j}")
-        for i, j in pairs
-    ]
+    code = [F.col(f"`{c}`").cast("double") for c in columns]
+    aggs = [F.try_divide(F.covar_pop(code[i], code[j]), F.stddev_pop(code[i]) * F.stddev_pop(code[j])).alias(f"p{i}_{j}")
+            for i, j in pairs]
     res = wide.agg(*aggs)
     stack = ", ".join(f"'{columns[i]}', '{columns[j]}', p{i}_{j}" for i, j in pairs)
     return res.selectExpr(f"stack({len(pairs)}, {stack}) AS (row, col, corr)").select(

@@ -54,8 +54,7 @@ def monitoring_set(gold_features: DataFrame, labels: DataFrame, scores: DataFram
         d.alias("snapshot_date"),
         F.trunc(d, "month").alias("month_start"),
         month_label(d).alias("month"),
-        # scores kept to 1e-9 so ties are the same whichever engine computed them
-        F.round(F.col("churn_probability").cast("double"), 9).alias("churn_probability"),
+        F.col("churn_probability").cast("double").alias("churn_probability"),
         F.col("Churn").cast("int").alias("actual_churn"),
         F.col("MonthlyCharges").cast("double").alias("monthly_charges"),
     )

@@ -1,7 +1,8 @@
-"""The medallion chain as lazy DataFrames: raw feeds -> silver -> gold.
+"""The medallion chain over written stores: raw drops -> silver -> gold.
 
-Nothing here runs a job; every table is a plan Catalyst can prune and push
-filters into.  ``Datamart`` only saves re-typing the chain in each query.
+The raw drops and each silver and gold store are written once per session, at
+first use, as files partitioned by Snapshot_Date; what ``Datamart`` hands out
+are scans of these files, so that date filters prune partitions.
 """
 
 from __future__ import annotations
@@ -13,11 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from churnlake.operators.clean import silver
 from churnlake.operators.stores import eda_set, gold_feature_store, gold_label_store
 from churnlake.session import session_key, shared_path
-from churnlake.sources.feeds import read_raw_csv, write_raw_csv
+from churnlake.sources.feeds import read_raw_csv, read_store, write_partitioned, write_raw_csv
 from churnlake.sources.fixtures import raw_feeds
 
 # (application id, sf_dir, planted) -> folder of the raw CSV drops written this session
 _RAW_DROPS: dict[tuple[str, str, bool], str] = {}
+# (application id, sf_dir, planted, store) -> folder of the store written this session
+_STORES: dict[tuple[str, str, bool, str], str] = {}
 
 
 def raw_drops(spark: SparkSession, sf_dir: str, planted: bool = False) -> str:
@@ -36,6 +39,25 @@ def raw_drops(spark: SparkSession, sf_dir: str, planted: bool = False) -> str:
     return _RAW_DROPS[key]
 
 
+def written(spark: SparkSession, name: str, df: DataFrame) -> str:
+    """Folder of a new store with the rows of ``df``."""
+    path = shared_path(spark, name)
+    write_partitioned(df, path)
+    return path
+
+
+class _Layer(dict):
+    """Tables by name, each made at first use."""
+
+    def __init__(self, make):
+        super().__init__()
+        self._make = make
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = self._make(name)
+        return self[name]
+
+
 class Datamart:
     def __init__(self, spark: SparkSession, sf_dir: str, planted: bool = False):
         self.spark, self.sf_dir, self.planted = spark, sf_dir, planted
@@ -45,18 +67,37 @@ class Datamart:
         root = raw_drops(self.spark, self.sf_dir, self.planted)
         return {feed: read_raw_csv(self.spark, f"{root}/{feed}", feed) for feed in ("features", "meta", "labels")}
 
+    def _store(self, name: str, df: DataFrame) -> DataFrame:
+        key = (session_key(self.spark), self.sf_dir, self.planted, name)
+        if key not in _STORES:
+            _STORES[key] = written(self.spark, name, df)
+        return read_store(self.spark, _STORES[key], schema=df.schema)
+
     @cached_property
-    def silver(self) -> dict[str, DataFrame]:
+    def silver_plan(self) -> dict[str, DataFrame]:
+        """The silver tables as plans over the raw drops."""
         return silver(self.raw)
 
+    @cached_property
+    def silver(self) -> dict[str, DataFrame]:
+        return _Layer(lambda feed: self._store(f"silver_{feed}", self.silver_plan[feed]))
+
     @property
-    def gold_features(self) -> DataFrame:
+    def gold_features_plan(self) -> DataFrame:
         return gold_feature_store(self.silver["features"], self.silver["meta"])
 
     @property
-    def gold_labels(self) -> DataFrame:
+    def gold_labels_plan(self) -> DataFrame:
         return gold_label_store(self.silver["labels"])
 
+    @cached_property
+    def gold_features(self) -> DataFrame:
+        return self._store("gold_feature_store", self.gold_features_plan)
+
+    @cached_property
+    def gold_labels(self) -> DataFrame:
+        return self._store("gold_label_store", self.gold_labels_plan)
+
     @property
     def eda(self) -> DataFrame:
         return eda_set(self.gold_features, self.gold_labels)

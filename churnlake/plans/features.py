@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, Transformer
-from pyspark.ml.feature import (
-    MinMaxScaler, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler,
-)
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -81,30 +79,18 @@ def one_hot_slots(fit_on: DataFrame, df: DataFrame, cols: list[str]) -> DataFram
                        F.size(arr).alias("width"))
 
 
-MAX_CATEGORIES = 10_000
+def drop_first_categories(fit_on: DataFrame, cols: list[str]) -> dict[str, list[str]]:
+    """Sorted distinct non-null values per column, as text: the labels of the fitted indexer."""
+    as_text = fit_on.select(*[F.col(c).cast("string").alias(c) for c in cols])
+    model = StringIndexer(inputCols=cols, outputCols=[f"{c}_idx" for c in cols], stringOrderType="alphabetAsc",
+                          handleInvalid="skip").fit(as_text)
+    return {c: list(labels) for c, labels in zip(cols, model.labelsArray)}
 
 
-def drop_first_categories(fit_on: DataFrame, cols: list[str], max_categories: int = MAX_CATEGORIES) -> dict[str, list]:
-    """Sorted distinct non-null values per column, brought to the driver only when bounded.
-
-    Named dummy columns need the category list on the driver; a column with more
-    than ``max_categories`` values is not categorical and raises instead of
-    collecting an unbounded list.
-    """
-    cats = {}
-    for c in cols:
-        values = [r[0] for r in fit_on.where(F.col(c).isNotNull()).select(c).distinct()
-                  .orderBy(c).limit(max_categories + 1).collect()]
-        if len(values) > max_categories:
-            raise ValueError(f"{c} has more than {max_categories} distinct values; not a categorical column")
-        cats[c] = values
-    return cats
-
-
-def _checked_unseen(df: DataFrame, cats: dict[str, list]) -> DataFrame:
+def _checked_unseen(df: DataFrame, cats: dict[str, list[str]]) -> DataFrame:
     seen = F.lit(True)
     for c, values in cats.items():
-        seen = seen & (F.col(c).isNull() | F.col(c).isin(values))
+        seen = seen & (F.col(c).isNull() | F.col(c).cast("string").isin(values))
     return df.where(F.when(seen, F.lit(True)).otherwise(
         F.raise_error(F.lit("unseen category in one_hot_drop_first")).cast("boolean")))
 
@@ -118,14 +104,14 @@ def one_hot_drop_first(fit_on: DataFrame, df: DataFrame, cols: list[str]) -> Dat
     ``spark.sql.caseSensitive=true``.
     """
     cats = drop_first_categories(fit_on, cols)
-    dummies = [(F.col(c) == v).cast("int").alias(f"{c}_{v}") for c in cols for v in cats[c][1:]]
+    dummies = [(F.col(c).cast("string") == v).cast("int").alias(f"{c}_{v}") for c in cols for v in cats[c][1:]]
     return _checked_unseen(df, cats).select(*[c for c in df.columns if c not in cols], *dummies)
 
 
 def one_hot_drop_first_long(fit_on: DataFrame, df: DataFrame, cols: list[str], keys: list[str]) -> DataFrame:
     """The same dummies as (keys..., dummy, value) rows: one row per kept category and input row."""
     cats = drop_first_categories(fit_on, cols)
-    items = F.array(*[F.struct(F.lit(f"{c}_{v}").alias("dummy"), (F.col(c) == v).cast("int").alias("value"))
+    items = F.array(*[F.struct(F.lit(f"{c}_{v}").alias("dummy"), (F.col(c).cast("string") == v).cast("int").alias("value"))
                       for c in cols for v in cats[c][1:]])
     return _checked_unseen(df, cats).select(*keys, F.explode(items).alias("_d")).select(*keys, "_d.dummy", "_d.value")
 
@@ -140,15 +126,6 @@ def standard_scale(fit_on: DataFrame, df: DataFrame, cols: list[str], population
         for c in cols])
 
 
-def standard_scale_ml(fit_on: DataFrame, df: DataFrame, cols: list[str]) -> DataFrame:
-    """Same scaling through the Spark ML stage (vector in, vector out)."""
-    pipe = Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="_v"),
-                            StandardScaler(inputCol="_v", outputCol="_z", withMean=True, withStd=True)])
-    out = pipe.fit(fit_on).transform(df)
-    arr = vector_to_array(F.col("_z"))
-    return out.select(*[c for c in df.columns if c not in cols], *[arr[i].alias(c) for i, c in enumerate(cols)])
-
-
 def minmax_scale(fit_on: DataFrame, df: DataFrame, cols: list[str]) -> DataFrame:
     """Per-column min-max scaling fitted on ``fit_on`` (constant column -> 0.5, as MinMaxScaler)."""
     stats = fit_on.agg(*[F.min(c).alias(f"lo_{c}") for c in cols], *[F.max(c).alias(f"hi_{c}") for c in cols]).first()
@@ -160,15 +137,3 @@ def minmax_scale(fit_on: DataFrame, df: DataFrame, cols: list[str]) -> DataFrame
         else:
             out.append(((F.col(c) - F.lit(float(lo))) / F.lit(float(hi - lo))).alias(c))
     return df.select(*[c for c in df.columns if c not in cols], *out)
-
-
-def minmax_scale_ml(fit_on: DataFrame, df: DataFrame, cols: list[str]) -> DataFrame:
-    """The same through Spark ML ``MinMaxScaler`` (rows with a null input give null)."""
-    stages = []
-    for c in cols:
-        stages += [VectorAssembler(inputCols=[c], outputCol=f"_{c}_v", handleInvalid="keep"),
-                   MinMaxScaler(inputCol=f"_{c}_v", outputCol=f"_{c}_s")]
-    clean_fit = fit_on.dropna(subset=cols)
-    out = Pipeline(stages=stages).fit(clean_fit).transform(df)
-    return out.select(*[c for c in df.columns if c not in cols],
-                      *[F.when(F.col(c).isNotNull(), vector_to_array(F.col(f"_{c}_s"))[0]).alias(c) for c in cols])

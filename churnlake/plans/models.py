@@ -1,28 +1,30 @@
 """Model training, search, evaluation and persistence on Spark ML.
 
 The training frame stays distributed (no toPandas): imputation statistics are
-bounded aggregates, the encoders/scaler are Spark ML stages, and the search is
-``CrossValidator`` over stratified folds given as a column.
+bounded aggregates, the encoders/scaler are Spark ML stages, and the search
+fits them once per stratified fold, then every point on the fold's vectors.
 """
 
 from __future__ import annotations
 
+import itertools
 import random
+from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlake.operators import impute
-from churnlake.operators.monitor import classification_report, grouped_auc
+from churnlake.operators.monitor import grouped_auc
 from churnlake.operators.ranking import exact_rank
 from churnlake.operators.stores import split_hash
 from churnlake.plans.features import feature_names, preprocessor
 from churnlake.schema import CATEGORICAL_FEATURES, KEYS, NUMERIC_FEATURES
+from churnlake.session import checkpoint
 
 # --- fixed values: search spaces of the source training code ---
 LR_C_VALUES = [0.01, 0.1, 1, 10, 100]
@@ -61,7 +63,8 @@ def lr_estimator(n_train: int, C: float = 1.0, penalty: str = "l2", max_iter: in
                               regParam=1.0 / (C * n_train), elasticNetParam=1.0 if penalty == "l1" else 0.0)
 
 
-def gbt_estimator(max_iter: int = 20, max_depth: int = 3, step: float = 0.1, seed: int = 42) -> GBTClassifier:
+def gbt_estimator(max_iter: int = 100, max_depth: int = 6, step: float = 0.3, seed: int = 42) -> GBTClassifier:
+    """Boosted trees; the defaults are those of the library that the source code fits with."""
     return GBTClassifier(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=max_depth,
                          stepSize=step, seed=seed)
 
@@ -75,75 +78,90 @@ def positive_probability(scored: DataFrame) -> DataFrame:
 
 
 def evaluate(model: PipelineModel, df: DataFrame, name: str) -> DataFrame:
-    """Per part: rows, exact AUC, accuracy and positive-class precision/recall/F1."""
-    scored = positive_probability(model.transform(df)).select(
+    """Per part: rows, exact AUC, accuracy, the confusion matrix (tn, fp, fn, tp), precision, recall and F1 of
+    both classes, macro and weighted F1.  Every row is scored once; zero division gives 0."""
+    scored = checkpoint(positive_probability(model.transform(df)).select(
         "part", F.col("label").cast("int").alias("actual_churn"), "churn_probability",
-        F.col("prediction").cast("int").alias("prediction"))
-    auc = grouped_auc(scored, ["part"])
-    reps = []
-    for part in [r.part for r in df.select("part").distinct().collect()]:  # <= 3 parts
-        rep = classification_report(scored.where(F.col("part") == part))
-        reps.append(rep.groupBy().agg(
-            F.max(F.when(F.col("class") == "accuracy", F.col("f1"))).alias("accuracy"),
-            F.max(F.when(F.col("class") == "1", F.col("precision"))).alias("precision_1"),
-            F.max(F.when(F.col("class") == "1", F.col("recall"))).alias("recall_1"),
-            F.max(F.when(F.col("class") == "1", F.col("f1"))).alias("f1_1"),
-        ).withColumn("part", F.lit(part)))
-    metrics = reps[0]
-    for r in reps[1:]:
-        metrics = metrics.unionByName(r)
-    return auc.join(metrics, "part").select(F.lit(name).alias("model"), "part", "n", "positives", "auc",
-                                            "accuracy", "precision_1", "recall_1", "f1_1")
-
-
-def lr_grid(lr: LogisticRegression, n_train: int, c_values=LR_C_VALUES, penalties=LR_PENALTIES):
-    return (ParamGridBuilder()
-            .addGrid(lr.regParam, [1.0 / (c * n_train) for c in c_values])
-            .addGrid(lr.elasticNetParam, [1.0 if p == "l1" else 0.0 for p in penalties])
-            .build())
-
-
-def tree_grid(gbt: GBTClassifier, draws: int = TREE_DRAWS, seed: int = SEARCH_SEED, grid=None,
-              max_trees: int | None = None):
-    """Seeded sample of the full tree grid, parameters mapped to Spark's GBT."""
+        F.col("prediction").cast("int").alias("prediction")))
+    y, p = F.col("actual_churn"), F.col("prediction")
+    cells = {"tn": (0, 0), "fp": (0, 1), "fn": (1, 0), "tp": (1, 1)}
+    counts = scored.groupBy("part").agg(*[F.count_if((y == a) & (p == b)).alias(c) for c, (a, b) in cells.items()])
+    tn, fp, fn, tp = [F.col(c) for c in cells]
+
+    def share(a, b):
+        return F.coalesce(F.try_divide(a.cast("double"), b), F.lit(0.0))
+
+    def f1(right, wrong):
+        return share(2 * right, 2 * right + wrong)
+
+    f1_0, f1_1, total = f1(tn, fp + fn), f1(tp, fp + fn), tn + fp + fn + tp
+    metrics = {
+        "accuracy": share(tn + tp, total),
+        "precision_1": share(tp, tp + fp), "recall_1": share(tp, tp + fn), "f1_1": f1_1,
+        "precision_0": share(tn, tn + fn), "recall_0": share(tn, tn + fp), "f1_0": f1_0,
+        "macro_f1": (f1_0 + f1_1) / 2, "weighted_f1": share(f1_0 * (tn + fp) + f1_1 * (fn + tp), total),
+    }
+    return grouped_auc(scored, ["part"]).join(counts, "part").select(
+        F.lit(name).alias("model"), "part", "n", "positives", "auc", *cells,
+        *[F.round(v, 6).alias(k) for k, v in metrics.items()])
+
+
+def lr_points(c_values=LR_C_VALUES, penalties=LR_PENALTIES) -> list[dict]:
+    return [{"C": c, "penalty": p} for c in c_values for p in penalties]
+
+
+def tree_points(draws: int = TREE_DRAWS, seed: int = SEARCH_SEED, grid: dict | None = None) -> list[dict]:
+    """Seeded sample of distinct points of the full tree grid."""
     grid = grid or TREE_GRID
-    full = (ParamGridBuilder()
-            .addGrid(gbt.maxDepth, grid["max_depth"])
-            .addGrid(gbt.stepSize, grid["learning_rate"])
-            .addGrid(gbt.maxIter, [min(n, max_trees) if max_trees else n for n in grid["n_estimators"]])
-            .addGrid(gbt.minInfoGain, [float(g) for g in grid["gamma"]])
-            .addGrid(gbt.minInstancesPerNode, grid["min_child_weight"])
-            .addGrid(gbt.subsamplingRate, [float(s) for s in grid["subsample"]])
-            .addGrid(gbt.featureSubsetStrategy, [str(c) for c in grid["colsample_bytree"]])
-            .build())
-    rng = random.Random(seed)
-    return rng.sample(full, min(draws, len(full)))
-
-
-def search(train: DataFrame, estimator, grid, folds: int = FOLDS, parallelism: int = 1):
-    """Cross-validated search on AUC; folds are the stratified ``fold`` column.
-
-    Each fit is itself distributed over the cluster; ``parallelism`` > 1 runs
-    several fits at once from driver threads (useful when single fits leave
-    executors idle).  Default 1: parameter transfer from parallel Python threads
-    has shown an intermittent failure here.
-    """
-    pipe = Pipeline(stages=[*preprocessor(NUMERIC_FEATURES, CATEGORICAL_FEATURES).getStages(), estimator])
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid,
-                        evaluator=BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC"),
-                        foldCol="fold", numFolds=folds, parallelism=parallelism, seed=SEARCH_SEED)
-    return cv.fit(stratified_folds(train, folds))
+    full = [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
+    return random.Random(seed).sample(full, min(draws, len(full)))
+
+
+def estimator(kind: str, point: dict, n_train: int):
+    """The estimator of a search point; tree parameters are mapped to Spark's GBT."""
+    if kind == "lr":
+        return lr_estimator(n_train, max_iter=1000, **point)
+    gbt = gbt_estimator(point["n_estimators"], point["max_depth"], point["learning_rate"])
+    return (gbt.setMinInfoGain(float(point["gamma"])).setMinInstancesPerNode(point["min_child_weight"])
+            .setSubsamplingRate(float(point["subsample"])).setFeatureSubsetStrategy(str(point["colsample_bytree"])))
+
 
+class Search(NamedTuple):
+    points: list[dict]
+    mean_auc: list[float]
+    model: PipelineModel     # the best point, fitted on all train rows
 
-def search_table(cv_model, grid) -> DataFrame:
+
+def search(train: DataFrame, kind: str, points: list[dict], folds: int = FOLDS) -> Search:
+    """Cross-validated search on AUC over stratified folds; of equal points the first wins.
+
+    The encoders and the scaler are fitted once per fold, on the rows outside it, and the fold's vectors are
+    kept while its points are fitted.  Each fit is itself distributed over the cluster.
+    """
+    folded = stratified_folds(train, folds).persist()
+    auc = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
+    total = [0.0] * len(points)
+    for k in range(folds):
+        fitted = preprocessor(NUMERIC_FEATURES, CATEGORICAL_FEATURES).fit(folded.where(F.col("fold") != k))
+        vectors = fitted.transform(folded).select("fold", "label", "features").persist()
+        inside, outside = vectors.where(F.col("fold") != k), vectors.where(F.col("fold") == k)
+        n = inside.count()
+        for i, point in enumerate(points):
+            total[i] += auc.evaluate(estimator(kind, point, n).fit(inside).transform(outside))
+        vectors.unpersist()
+    mean = [t / folds for t in total]
+    best = points[mean.index(max(mean))]
+    model = fit_pipeline(folded, estimator(kind, best, folded.count()))
+    folded.unpersist()
+    return Search(points, mean, model)
+
+
+def search_table(spark: SparkSession, found: Search) -> DataFrame:
     """One row per parameter point: its parameters (as text), mean CV AUC, and the best flag."""
-    rows = []
-    best = max(cv_model.avgMetrics)
-    for pm, metric in zip(grid, cv_model.avgMetrics):
-        params = ", ".join(f"{p.name}={v}" for p, v in sorted(pm.items(), key=lambda kv: kv[0].name))
-        rows.append((params, float(round(metric, 6)), bool(metric == best)))
-    from pyspark.sql import SparkSession
-    return SparkSession.getActiveSession().createDataFrame(rows, "params string, mean_auc double, best boolean")
+    best = found.mean_auc.index(max(found.mean_auc))
+    rows = [(", ".join(f"{k}={v}" for k, v in sorted(point.items())), round(auc, 6), i == best)
+            for i, (point, auc) in enumerate(zip(found.points, found.mean_auc))]
+    return spark.createDataFrame(rows, "params string, mean_auc double, best boolean")
 
 
 def importance(model: PipelineModel, kind: str) -> DataFrame:
@@ -152,7 +170,6 @@ def importance(model: PipelineModel, kind: str) -> DataFrame:
     last = model.stages[-1]
     values = ([abs(float(v)) for v in last.coefficients.toArray()] if kind == "lr"
               else [float(v) for v in last.featureImportances.toArray()])
-    from pyspark.sql import SparkSession
     rows = [(n, float(round(v, 6))) for n, v in zip(names, values)]
     return SparkSession.getActiveSession().createDataFrame(rows, "feature string, importance double")
 

@@ -94,8 +94,8 @@ def gold_tables(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
 
 
 def train(spark: SparkSession, root: str, train_date: str, model_root: str, kind: str = "gbt",
-          draws: int | None = None, folds: int = models.FOLDS, max_trees: int | None = None,
-          c_values: list[float] | None = None, penalties: list[str] | None = None) -> DataFrame:
+          draws: int = models.TREE_DRAWS, folds: int = models.FOLDS, tree_grid: dict | None = None,
+          c_values: list[float] = models.LR_C_VALUES, penalties: list[str] = models.LR_PENALTIES) -> DataFrame:
     """P6: modelling set -> time split -> stratified split -> impute -> search -> evaluate -> save.
 
     Saves the best pipeline and the train-part imputation statistics under
@@ -114,15 +114,8 @@ def train(spark: SparkSession, root: str, train_date: str, model_root: str, kind
         {k: v for k, v in med.items() if v is not None}), mode).withColumn("label", F.col("Churn").cast("double"))
     data = data.cache()
     fit_on = data.where(F.col("part") == "train")
-    n = fit_on.count()
-    if kind == "lr":
-        est = models.lr_estimator(n, max_iter=1000)
-        grid = models.lr_grid(est, n, c_values=c_values or models.LR_C_VALUES,
-                              penalties=penalties or models.LR_PENALTIES)
-    else:
-        est = models.gbt_estimator()
-        grid = models.tree_grid(est, draws=draws or models.TREE_DRAWS, max_trees=max_trees)
-    best = models.search(fit_on, est, grid, folds=folds).bestModel
+    points = models.lr_points(c_values, penalties) if kind == "lr" else models.tree_points(draws, grid=tree_grid)
+    best = models.search(fit_on, kind, points, folds).model
     out = _p(model_root, kind, train_date)
     models.save(best, _p(out, "pipeline"))
     stats = [(c, "median", None if v is None else str(v)) for c, v in med.items()] + \

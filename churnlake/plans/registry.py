@@ -1,6 +1,7 @@
 """Named DataFrame jobs over the driver's tables, one per inventory item group.
 
-Each callable takes (spark, sf_dir) and returns a lazy DataFrame.  Metrics are
+Each callable takes (spark, sf_dir) and returns a DataFrame; building one may
+write the stores it reads and run ranking or fitting jobs.  Metrics are
 rounded to 6 places and counts are bigint so two engines compare exactly.
 """
 
@@ -15,7 +16,7 @@ from churnlake.operators import explore, impute, monitor, quality, stores
 from churnlake.operators.clean import cleaning_funnel
 from churnlake.plans import features as feat
 from churnlake.plans import models
-from churnlake.plans.datasets import Datamart
+from churnlake.plans.datasets import Datamart, written
 from churnlake.schema import (
     BINARY_COLUMNS, CATEGORICAL_FEATURES, CONSTANT_FILLS, NUMERIC_FEATURES, RAW_FEATURE_COLUMNS,
 )
@@ -38,29 +39,24 @@ def _dm(spark: SparkSession, sf_dir: str, planted: bool = False) -> Datamart:
 
 # ---- silver / gold -------------------------------------------------------
 
-@job("silver_features")
-def silver_features(spark, sf_dir):
-    return _dm(spark, sf_dir).silver["features"]
+def _written_anew(spark, name, df):
+    """The job that fills a store: ``df`` written in partitions and read back."""
+    return feeds.read_store(spark, written(spark, name, df), schema=df.schema)
 
 
-@job("silver_meta")
-def silver_meta(spark, sf_dir):
-    return _dm(spark, sf_dir).silver["meta"]
-
-
-@job("silver_labels")
-def silver_labels(spark, sf_dir):
-    return _dm(spark, sf_dir).silver["labels"]
+for _feed in ["features", "meta", "labels"]:
+    REGISTRY[f"silver_{_feed}"] = lambda spark, sf_dir, feed=_feed: _written_anew(
+        spark, f"silver_{feed}", _dm(spark, sf_dir).silver_plan[feed])
 
 
 @job("gold_feature_store")
 def gold_feature_store(spark, sf_dir):
-    return _dm(spark, sf_dir).gold_features
+    return _written_anew(spark, "gold_feature_store", _dm(spark, sf_dir).gold_features_plan)
 
 
 @job("gold_label_store")
 def gold_label_store(spark, sf_dir):
-    return _dm(spark, sf_dir).gold_labels
+    return _written_anew(spark, "gold_label_store", _dm(spark, sf_dir).gold_labels_plan)
 
 
 # ---- exploration -----------------------------------------------------------
@@ -105,7 +101,9 @@ SCENARIO_MONTHS = [("Apr", "1998-04-15"), ("May", "1998-05-15"), ("Jun", "1998-0
 
 def _mon(spark, sf_dir):
     dm = _dm(spark, sf_dir)
-    return monitor.monitoring_set(dm.gold_features, dm.gold_labels)
+    mon = monitor.monitoring_set(dm.gold_features, dm.gold_labels)
+    # scores compared at 1e-9, here and in the SQL, so that ties are the same in both engines
+    return mon.withColumn("churn_probability", F.round("churn_probability", 9))
 
 
 def _with_prediction(mon):
@@ -377,6 +375,11 @@ def minmax_scale(spark, sf_dir):
 # ---- models (rows-only checks: fits are not SQL) ------------------------------------------
 
 
+# Budget of the registered tree jobs; the library's own defaults (100 trees; 50 points, 5 folds) take minutes a fit
+# and hours a search on one machine.
+GBT_TREES, GBT_DRAWS, GBT_FOLDS = 10, 2, 3
+
+
 def _model_data(spark, sf_dir):
     """Planted-label modelling parts, imputed, cached for the repeated fits of a search."""
     return models.prepare(_parts(spark, sf_dir, planted=True)).cache()
@@ -396,29 +399,24 @@ def lr_default(spark, sf_dir):
 
 @job("lr_grid_search")
 def lr_grid_search(spark, sf_dir):
-    data = _model_data(spark, sf_dir)
-    train = _train(data)
-    n = train.count()
-    lr = models.lr_estimator(n, max_iter=1000)
-    grid = models.lr_grid(lr, n, c_values=[0.1, 1.0], penalties=["l2"])
-    cv = models.search(train, lr, grid, folds=3)
-    return models.search_table(cv, grid)
+    """All 10 points of the search space, 5 folds."""
+    train = _train(_model_data(spark, sf_dir))
+    return models.search_table(spark, models.search(train, "lr", models.lr_points()))
 
 
 @job("gbt_base")
 def gbt_base(spark, sf_dir):
     data = _model_data(spark, sf_dir)
-    model = models.fit_pipeline(_train(data), models.gbt_estimator(max_iter=10))
+    model = models.fit_pipeline(_train(data), models.gbt_estimator(GBT_TREES))
     return models.evaluate(model, data.where(F.col("part") == "test"), "gbt_base")
 
 
 @job("gbt_random_search")
 def gbt_random_search(spark, sf_dir):
-    data = _model_data(spark, sf_dir)
-    gbt = models.gbt_estimator()
-    grid = models.tree_grid(gbt, draws=2, max_trees=10)
-    cv = models.search(_train(data), gbt, grid, folds=3)
-    return models.search_table(cv, grid)
+    """A small search: ``GBT_DRAWS`` points of the space, with ``GBT_TREES`` trees each."""
+    train = _train(_model_data(spark, sf_dir))
+    points = models.tree_points(GBT_DRAWS, grid={**models.TREE_GRID, "n_estimators": [GBT_TREES]})
+    return models.search_table(spark, models.search(train, "gbt", points, GBT_FOLDS))
 
 
 @job("oot_evaluation")
@@ -426,7 +424,7 @@ def oot_evaluation(spark, sf_dir):
     data = _model_data(spark, sf_dir)
     n = _train(data).count()
     lr = models.fit_pipeline(_train(data), models.lr_estimator(n, max_iter=1000))
-    gbt = models.fit_pipeline(_train(data), models.gbt_estimator(max_iter=10))
+    gbt = models.fit_pipeline(_train(data), models.gbt_estimator(GBT_TREES))
     return models.evaluate(lr, data, "lr").unionByName(models.evaluate(gbt, data, "gbt"))
 
 
@@ -440,7 +438,7 @@ def lr_importance(spark, sf_dir):
 @job("gbt_importance")
 def gbt_importance(spark, sf_dir):
     data = _model_data(spark, sf_dir)
-    return models.importance(models.fit_pipeline(_train(data), models.gbt_estimator(max_iter=10)), "gbt")
+    return models.importance(models.fit_pipeline(_train(data), models.gbt_estimator(GBT_TREES)), "gbt")
 
 
 @job("batch_scoring")
@@ -449,7 +447,7 @@ def batch_scoring(spark, sf_dir):
     dm = _dm(spark, sf_dir, planted=True)
     data = _model_data(spark, sf_dir)
     model_path = shared_path(spark, "model_gbt")
-    models.save(models.fit_pipeline(_train(data), models.gbt_estimator(max_iter=10)), model_path)
+    models.save(models.fit_pipeline(_train(data), models.gbt_estimator(GBT_TREES)), model_path)
     store = shared_path(spark, "gold_feature_store")
     feeds.write_partitioned(dm.gold_features, store)
     cal = stores.calendar_dates(TRAIN_DATE)

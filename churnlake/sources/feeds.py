@@ -81,8 +81,12 @@ def bronze(raw: DataFrame, snapshots: list[str] | None = None) -> DataFrame:
 
 def write_partitioned(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str = "Snapshot_Date",
                       **options) -> None:
-    """Overwrite only the partitions present in ``df`` (dynamic partition overwrite)."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**options)
+    """Overwrite only the partitions present in ``df`` (dynamic partition overwrite).
+
+    The rows are rebalanced on ``partition_by`` first: a partition gets few files, and one that holds a large
+    part of the rows is split over several tasks.
+    """
+    (df.hint("rebalance", F.col(partition_by)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**options)
      .partitionBy(partition_by).format(fmt).save(path))
 
 

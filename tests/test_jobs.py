@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from churnlake.plans import pipelines
+from churnlake.plans import models, pipelines
 from churnlake.plans.datasets import Datamart
 from churnlake.session import shared_path
 from churnlake.sources import feeds
@@ -38,7 +38,8 @@ def test_backfill_train_score_monitor(spark, raw_csv):
     assert again["gold/label_store"] < counts["gold/label_store"]
 
     model_root = shared_path(spark, "models")
-    ev = pipelines.train(spark, root, "1998-08-01", model_root, kind="gbt", draws=1, folds=2, max_trees=5)
+    ev = pipelines.train(spark, root, "1998-08-01", model_root, kind="gbt", draws=1, folds=2,
+                         tree_grid={**models.TREE_GRID, "n_estimators": [5]})
     assert {r.part for r in ev.collect()} == {"train", "test", "oot"}
     preds = pipelines.score(spark, root, f"{model_root}/gbt/1998-08-01", "1998-07-01", "gbt_churn")
     n_snap = gold.where(F.col("Snapshot_Date") == F.to_date(F.lit("1998-07-01"))).count()
