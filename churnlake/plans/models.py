@@ -136,14 +136,14 @@ def search(train: DataFrame, kind: str, points: list[dict], folds: int = FOLDS)
     """Cross-validated search on AUC over stratified folds; of equal points the first wins.
 
     The encoders and the scaler are fitted once per fold, on the rows outside it, and the fold's vectors are
-    kept while its points are fitted.  Each fit is itself distributed over the cluster.
+    kept, in partitions of even size, while its points are fitted.  Each fit is itself distributed over the cluster.
     """
     folded = stratified_folds(train, folds).persist()
     auc = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
     total = [0.0] * len(points)
     for k in range(folds):
         fitted = preprocessor(NUMERIC_FEATURES, CATEGORICAL_FEATURES).fit(folded.where(F.col("fold") != k))
-        vectors = fitted.transform(folded).select("fold", "label", "features").persist()
+        vectors = fitted.transform(folded).select("fold", "label", "features").hint("rebalance").persist()
         inside, outside = vectors.where(F.col("fold") != k), vectors.where(F.col("fold") == k)
         n = inside.count()
         for i, point in enumerate(points):
