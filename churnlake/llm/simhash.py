@@ -134,6 +134,7 @@ def deduplicate(docs: DataFrame, **options) -> DataFrame:
 def op4_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     groups = checkpoint(near_duplicate_groups(load(spark, sf_dir, "documents")))
-    least = groups.groupBy("group").agg(F.min("doc_id").alias("component_id")).withColumnRenamed("group", "__g")
+    # pinned, so that the join of a large component is split like any skewed one
+    least = checkpoint(groups.groupBy("group").agg(F.min("doc_id").alias("component_id")).withColumnRenamed("group", "__g"))
     return groups.join(least, groups["group"] == least["__g"]).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
