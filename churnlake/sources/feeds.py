@@ -108,13 +108,14 @@ def read_bronze(spark: SparkSession, path: str, feed: str) -> DataFrame:
 def read_store(spark: SparkSession, path: str, glob: str | None = None, merge_schema: bool = False,
                schema: StructType | None = None) -> DataFrame:
     """Parquet store scan (all snapshots; filters on Snapshot_Date prune partitions).  With ``schema`` a
-    store without rows reads as an empty table."""
+    store without rows reads as an empty table, and the columns keep the schema's order."""
     reader = spark.read.option("mergeSchema", merge_schema)
     if schema is not None:
         reader = reader.schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.parquet(path)
+    store = reader.parquet(path)
+    return store if schema is None else store.select(*schema.names)
 
 
 def nonempty_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> list[str]:
