@@ -84,7 +84,7 @@ def snapshot_dates(df: DataFrame) -> DataFrame:
 # ---- factorize + correlation ------------------------------------------------------
 
 def factorize_codes(df: DataFrame, columns: list[str], order_cols: list[str],
-                    broadcast_bytes: int = TOTALS_BYTES) -> DataFrame:
+                    broadcast_max: int = TOTALS_BYTES) -> DataFrame:
     """Per column, code = order of first appearance of the value (0-based), null -> -1.
 
     "First appearance" needs an explicit row order: ``order_cols`` (unique per
@@ -93,7 +93,7 @@ def factorize_codes(df: DataFrame, columns: list[str], order_cols: list[str],
     high-cardinality column (customer ids) never lands in one task.
 
     Joining the codes back: the smallest columns' codes that fit into
-    ``broadcast_bytes`` together (measured first) are broadcast – a hot value
+    ``broadcast_max`` bytes together (measured first) are broadcast – a hot value
     (one category holding a third of all rows) then never meets a shuffle.  The
     other columns take the shuffle join, where AQE splits any skewed partition.
     Both give the same rows.
@@ -113,7 +113,7 @@ def factorize_codes(df: DataFrame, columns: list[str], order_cols: list[str],
     small, held = [], 0
     for c in sorted(columns, key=lambda c: sizes.get(c, 0)):
         held += sizes.get(c, 0)
-        if held <= broadcast_bytes:
+        if held <= broadcast_max:
             small.append(c)
     large = [c for c in columns if c not in small]
     parts = []
