@@ -7,7 +7,8 @@ rounds: a pattern by the share of all its occurrences in the corpus, followed
 by whatever, that known instances follow; an instance by the patterns it
 follows.  Patterns with enough distinct known instances and confidence make
 their other instances known, and these score further patterns.  Instances of
-accepted patterns outside the seeds are the method's spans.
+accepted patterns outside the seeds are the method's spans.  Known instances
+only grow, and the rounds end when none is added.
 """
 
 from __future__ import annotations
@@ -27,7 +28,6 @@ KINDS = ("email", "ip", "card", "phone")
 FOUND = "context"       # kind of the method's spans, after the fixed ones
 MIN_SUPPORT = 3         # distinct known instances of an accepted pattern
 MIN_CONFIDENCE = 0.6
-ROUNDS = 3
 BLOCK = 500_000         # patterns whose occurrences are counted in one pass over the texts
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
@@ -153,8 +153,8 @@ def extract(docs: DataFrame) -> DataFrame:
     totals = pattern_totals(docs, wide.where(F.col("instances") >= MIN_SUPPORT).select("pattern"))
     graph = checkpoint(edges.join(totals, "pattern"))
     known = checkpoint(edges.where("seed").select("instance").distinct())
-    accepted, size = None, known.count()
-    for _ in range(ROUNDS):
+    size = known.count()
+    while True:
         hit = graph.join(known.withColumnRenamed("instance", "k"), F.col("instance") == F.col("k"), "left")
         accepted = checkpoint(hit.groupBy("pattern", "total").agg(
             F.sum(F.when(F.col("k").isNotNull(), F.col("n")).otherwise(0)).alias("known_n"), F.count("k").alias("support"))

@@ -50,6 +50,17 @@ def test_bootstrapping(spark, odd_docs):
     assert odd.count() == odd_docs.count() and extract(odd_docs.limit(0)).count() == 0
 
 
+def test_bootstrapping_goes_on_until_nothing_is_added(spark):
+    rows = [f"please write to: user{i}@mail{i}.example.com now" for i in range(12)]
+    rows += [f"please write to: id-0-{i}x now" for i in range(3)]
+    for k in range(1, 6):               # pattern k is reached through the instances of pattern k - 1
+        rows += [f"hop{k} goes via{k} id-{k - 1}-{i}x there" for i in range(3)] * 2
+        rows += [f"hop{k} goes via{k} id-{k}-{i}x there" for i in range(3)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "doc_id long, text string")
+    found = {r["doc_id"]: [rows[r["doc_id"]][s["start"]:s["end"]] for s in r["found"]] for r in extract(docs).collect()}
+    assert all(found[i] == [w for w in t.split() if w.startswith("id-")] for i, t in enumerate(rows))
+
+
 def test_query(spark, write_tables):
     docs = spark.createDataFrame([(1, "é a@b.co 10.0.0.1"), (2, None), (None, "")], "doc_id long, text string")
     rows = {r["doc_id"]: r for r in QUERIES["op7_bootstrapped_pii"](spark, write_tables(documents=docs)).collect()}
