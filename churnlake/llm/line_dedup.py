@@ -8,11 +8,16 @@ smallest hash is a fingerprint.  So two texts that share a run of
 ``GRAM_WORDS`` words is ever made.  Fingerprints are joined with their first
 place in the corpus (by doc_id, null ids last, then place), verified, extended
 unit by unit both ways, and what is found is removed from the later text.
+
+Passages whose edges lie inside units are found by the same method over words:
+grams of ``GRAM_WORDS`` words, winnowed in each run of ``SURE_WORDS`` words and
+extended word by word.  Only the texts of a pair are read again for that.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,16 +26,20 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlake.llm.common import all_of, load, text_of
+from churnlake.llm.common import all_of, broadcast_if_small, load, text_of
 from churnlake.session import checkpoint
 
 GRAM_WORDS = 25
 SURE_WORDS = 50
 _STOP = re.compile(r"[.!?]+(?=[\x20\x09\x0B-\x0D])")
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_FACTOR = 0x9E3779B97F4A7C15
+_TOGETHER = 1 << 16     # words whose prints are taken in one go
 
 
-def units(text: str) -> list[tuple[int, int, int, int]]:
-    """(hash, words, start, end) of the non-empty units: lines, cut after . ! ? before white space."""
+def units(text: str, all_words: list[bytes] | None = None) -> list[tuple[int, int, int, int]]:
+    """(hash, words, start, end) of the non-empty units: lines, cut after . ! ? before white space; their words
+    are added to ``all_words``."""
     out = []
     at = 0
     for line in text.split("\n"):
@@ -40,6 +49,8 @@ def units(text: str) -> list[tuple[int, int, int, int]]:
             if words:
                 h = xxhash.xxh64_intdigest(b" ".join(words))
                 out.append((h - (1 << 64) if h >> 63 else h, len(words), at + a, at + b))
+                if all_words is not None:
+                    all_words += words
             a = b
         at += len(line) + 1
     return out
@@ -70,18 +81,90 @@ def fingerprints(hashes: list[int], words: list[int], gram: int = GRAM_WORDS, su
     return [(value[j] - (1 << 64) if value[j] >> 63 else value[j], j, gram_end[j] - j) for j in sorted(chosen)]
 
 
+class _Hashes(dict):
+    """Hashes of words, kept while there are few."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= 1 << 19:
+            self.clear()
+        h = self[word] = xxhash.xxh64_intdigest(word)
+        return h
+
+
+def word_hashes(words: list[bytes], known: _Hashes) -> np.ndarray:
+    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+
+
+def _gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
+    """Hash of each run of n words, from those of runs of 1, 2, 4, ... words."""
+    out, have, part, size = None, 0, words, 1
+    while True:
+        factor = np.uint64(pow(_FACTOR, size, 1 << 64))
+        if n & size:
+            if out is None:
+                out = part
+            else:
+                tail = part[have:]
+                out = out[:len(tail)] * factor + tail
+            have += size
+        if 2 * size > n:
+            break
+        part = part[:-size] * factor + part[size:]
+        size *= 2
+    out = out ^ (out >> np.uint64(33))
+    out = out * np.uint64(0xFF51AFD7ED558CCD)
+    return out ^ (out >> np.uint64(29))
+
+
+def _smallest(values: np.ndarray, n: int) -> np.ndarray:
+    """Place of the smallest of each n values in a row, the last one of equal ones."""
+    at, size = np.arange(len(values)), 1
+    while size < n:
+        step = min(size, n - size)
+        left, right = at[:-step], at[step:]
+        at = np.where(values[right] <= values[left], right, left)
+        size += step
+    return at
+
+
+def word_prints(texts: list[np.ndarray], gram: int = GRAM_WORDS, sure: int = SURE_WORDS) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Winnowed (hashes, first words) of the grams of each text, from its word hashes."""
+    sizes = np.array([len(t) for t in texts], dtype=np.int64)
+    ends = np.cumsum(sizes)
+    words = np.concatenate(texts) if texts else np.zeros(0, np.uint64)
+    if len(words) < sure:
+        return [(np.zeros(0, np.int64), np.zeros(0, np.int32)) for _ in texts]
+    value = _gram_hashes(words, gram)
+    at = _smallest(value, sure - gram + 1)
+    inside = np.arange(len(at)) + sure <= np.repeat(ends, sizes)[:len(at)]
+    at = np.unique(at[inside])
+    value = value[at].view(np.int64)
+    cuts = [0, *np.searchsorted(at, ends).tolist()]
+    return [(value[a:b], (at[a:b] - first).astype(np.int32)) for a, b, first in zip(cuts, cuts[1:], (ends - sizes).tolist())]
+
+
 _UNITS = ("struct<hashes:array<bigint>,words:array<int>,starts:array<int>,ends:array<int>,"
-          "prints:array<struct<h:bigint,pos:int,n:int>>>")
+          "p_h:array<bigint>,p_pos:array<int>,p_n:array<int>,w_h:array<bigint>,w_pos:array<int>>")
 
 
 def _units_of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    known = _Hashes()
     for texts in batches:
-        rows = []
+        rows, by_word, held, size = [], [], [], 0
         for t in texts:
-            u = units(t)
+            words: list[bytes] = []
+            u = units(t, words)
             cols = [list(c) for c in zip(*u)] if u else [[], [], [], []]
-            rows.append((*cols, [{"h": h, "pos": p, "n": n} for h, p, n in fingerprints(cols[0], cols[1])]))
-        yield pd.DataFrame(rows, columns=["hashes", "words", "starts", "ends", "prints"])
+            prints = fingerprints(cols[0], cols[1])
+            rows.append((*cols, *([list(c) for c in zip(*prints)] if prints else [[], [], []])))
+            held.append(word_hashes(words, known))
+            size += len(held[-1])
+            if size >= _TOGETHER:
+                by_word += word_prints(held)
+                held, size = [], 0
+        by_word += word_prints(held)
+        yield pd.DataFrame([(*r, h, p) for r, (h, p) in zip(rows, by_word)],
+                           columns=["hashes", "words", "starts", "ends", "p_h", "p_pos", "p_n", "w_h", "w_pos"])
 
 
 def extend(own: np.ndarray, other: np.ndarray, seeds: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
@@ -109,20 +192,132 @@ def _extended(own: pd.Series, other: pd.Series, seeds: pd.Series) -> pd.Series:
         for o, t, w in zip(own, other, seeds)])
 
 
+def _same_for(a: np.ndarray, b: np.ndarray) -> int:
+    """How many first values of a and b agree."""
+    n, at, step = min(len(a), len(b)), 0, 32
+    while at < n:
+        end = min(n, at + step)
+        differ = np.flatnonzero(a[at:end] != b[at:end])
+        if len(differ):
+            return at + int(differ[0])
+        at, step = end, 2 * step
+    return n
+
+
+def extend_words(own: np.ndarray, other: np.ndarray, seeds: list[tuple[int, int]], n: int = GRAM_WORDS) -> list[tuple[int, int]]:
+    """Maximal runs (first, end) of words of ``own`` that equal runs of ``other``, from seeds (pos, other pos) of n words."""
+    last: dict[int, tuple[int, int]] = {}       # by shift
+    runs, far = [], (0, 0)                      # far: the run that ends last
+    for pos, at in sorted(seeds):
+        shift = pos - at
+        a, b = last.get(shift, (0, 0))
+        if a <= pos and pos + n <= b:
+            continue
+        a, b = far
+        # inside a found run a seed gives more only if the words next to that run agree too
+        if (a <= pos and pos + n <= b and not (a > max(shift, 0) and own[a - 1] == other[a - 1 - shift])
+                and not (b < len(own) and b - shift < len(other) and own[b] == other[b - shift])):
+            continue
+        if at + n > len(other) or not np.array_equal(own[pos:pos + n], other[at:at + n]):
+            continue
+        a = pos - _same_for(own[:pos][::-1], other[:at][::-1])
+        b = pos + n + _same_for(own[pos + n:], other[at + n:])
+        last[shift] = (a, b)
+        runs.append((a, b))
+        far = max(far, (a, b), key=lambda r: r[1])
+    return runs
+
+
+_WORD_RUNS = "array<struct<a:int,b:int,start:int,end:int>>"
+
+
+def _words_extended(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    known = _Hashes()
+    for own, other, seeds in batches:
+        out = []
+        for o, t, w in zip(own, other, seeds):
+            o, t = zlib.decompress(o), zlib.decompress(t)
+            own_words, other_words = o.lower().split(), t.lower().split()
+            runs = extend_words(word_hashes(own_words, known), word_hashes(other_words, known), [(s["pos"], s["at"]) for s in w])
+            at = [m.span() for m in _WORD.finditer(o.decode("utf-8", "surrogatepass"))] if runs else []
+            out.append([{"a": a, "b": b, "start": at[a][0], "end": at[b - 1][1]} for a, b in runs])
+        yield pd.Series(out, dtype=object)
+
+
+def merged(words: list[int], starts: list[int], ends: list[int], removed: list[int], runs: list) -> tuple[int, list[tuple[int, int]]]:
+    """(words, spans in characters) of removed units and runs of words (first, end, start, end in characters) together."""
+    total = np.concatenate([[0], np.cumsum(words)]).tolist()
+    pieces = sorted([*[(total[i], total[i + 1], starts[i], ends[i]) for i in removed], *runs])
+    out = []
+    for a, b, start, end in pieces:
+        if out and a < out[-1][1]:
+            f, e, s, z = out[-1]
+            out[-1] = (f, max(e, b), min(s, start), max(z, end))
+        else:
+            out.append((a, b, start, end))
+    return sum(b - a for a, b, _, _ in out), [(s, z) for _, _, s, z in out]
+
+
+def _merged(words: pd.Series, starts: pd.Series, ends: pd.Series, removed: pd.Series, runs: pd.Series) -> pd.DataFrame:
+    rows = []
+    for w, s, e, r, x in zip(words, starts, ends, removed, runs):
+        if x is None:
+            rows.append((None, None))
+            continue
+        n, spans = merged(list(w), list(s), list(e), list(r), [(p["a"], p["b"], p["start"], p["end"]) for p in x])
+        rows.append((n, [{"start": int(a), "end": int(b)} for a, b in spans]))
+    return pd.DataFrame(rows, columns=["n", "spans"]).astype({"n": "Int64", "spans": object})
+
+
+def _packed(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: zlib.compress(t.encode("utf-8", "surrogatepass"), 1))
+
+
+def _first_places(rows: DataFrame, id_col: str, prints: tuple) -> tuple[DataFrame, DataFrame]:
+    """(places, first): the fingerprints that stand at two places or more, with all their places and with the first."""
+    at = rows.select(F.col(id_col).isNull().alias("unknown"), F.col(id_col).alias("id"), "rid", "t_h", "t_g",
+                     F.explode(F.arrays_zip(*prints)).alias("p")).select(
+        "unknown", "id", "rid", "t_h", "t_g", *[F.col(f"p.{c}").alias(c.split("_")[1]) for c in prints])
+    # of all fingerprints only hash and count are shuffled
+    again = checkpoint(at.groupBy(F.col("h").alias("a_h")).agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("a_h"))
+    places = at.join(broadcast_if_small(again, 16), F.col("h") == F.col("a_h")).drop("a_h")
+    # checkpointed, so that the join with it shuffles both sides for itself and AQE can split a hot fingerprint
+    first = checkpoint(places.groupBy(F.col("h").alias("f_h")).agg(
+        F.min(F.struct("unknown", "id", "rid", "pos", "t_h", "t_g")).alias("first")))
+    return places, first
+
+
+def _word_runs(docs: DataFrame, rows: DataFrame, keys: tuple) -> DataFrame:
+    """(w_rid, runs): the repeated runs of words of the documents that have any."""
+    places, first = _first_places(rows, keys[0], ("w_h", "w_pos"))
+    seeds = places.join(first, F.col("h") == F.col("f_h")).where(
+        (F.col("rid") != F.col("first.rid")) | (F.col("pos") != F.col("first.pos")))
+    pairs = checkpoint(seeds.groupBy("rid", "t_h", "t_g", F.col("first.t_h").alias("s_h"), F.col("first.t_g").alias("s_g"), F.col("first.rid").alias("src"))
+                       .agg(F.collect_list(F.struct("pos", F.col("first.pos").alias("at"))).alias("seeds")))
+    # the texts again, by 128 bits of their hash: equal texts are held once
+    asked = checkpoint(pairs.select("t_h", "t_g").union(pairs.select("s_h", "s_g")).distinct())
+    texts = docs.select(F.xxhash64(text_of()).alias("x_h"), F.xxhash64(F.lit(1), text_of()).alias("x_g"), text_of().alias("x_text"))
+    texts = texts.join(broadcast_if_small(asked, 32), all_of([F.col("x_h") == F.col("t_h"), F.col("x_g") == F.col("t_g")]), "left_semi")
+    texts = (texts.select("x_h", "x_g", F.pandas_udf(_packed, "binary")("x_text").alias("packed"))
+             .groupBy("x_h", "x_g").agg(F.first("packed").alias("packed")))
+    for name, h, g in (("own", "t_h", "t_g"), ("other", "s_h", "s_g")):
+        pairs = pairs.join(texts.withColumnRenamed("packed", name), all_of([F.col(h) == F.col("x_h"), F.col(g) == F.col("x_g")])).drop("x_h", "x_g")
+    runs = pairs.select(F.col("rid").alias("w_rid"), F.explode(F.pandas_udf(_words_extended, _WORD_RUNS)("own", "other", "seeds")).alias("run"))
+    return runs.groupBy("w_rid").agg(F.collect_set("run").alias("runs"))
+
+
 def repeated_runs(docs: DataFrame, keys: tuple = ("doc_id",)) -> DataFrame:
     """One row per document: ``keys`` (the first is the id), n_units, n_words, removed (sorted places of the
-    units to remove), n_removed_words, spans (start, end in characters of each removed unit).
+    units to remove as a whole), n_removed_words, spans (start, end in characters of all that is to be removed:
+    these units, and repeated runs of words that begin or end inside a unit).
 
     Null and empty texts have no units; of repeated rows the one read first keeps its text.
     """
-    rows = docs.select(*keys, F.monotonically_increasing_id().alias("rid"), F.pandas_udf(_units_of, _UNITS)(text_of()).alias("u"))
-    rows = checkpoint(rows.select(*keys, "rid", "u.*"))
-    prints = rows.select(F.col(keys[0]).isNull().alias("unknown"), F.col(keys[0]).alias("id"), "rid", F.explode("prints").alias("p")).select(
-        "unknown", "id", "rid", "p.h", "p.pos", "p.n")
-    # checkpointed, so that the join below shuffles both sides for itself and AQE can split a hot fingerprint
-    first = checkpoint(prints.groupBy(F.col("h").alias("f_h")).agg(
-        F.min(F.struct("unknown", "id", "rid", "pos")).alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1"))
-    seeds = prints.join(first, F.col("h") == F.col("f_h")).where(
+    rows = docs.select(*keys, F.monotonically_increasing_id().alias("rid"), F.xxhash64(text_of()).alias("t_h"),
+                       F.xxhash64(F.lit(1), text_of()).alias("t_g"), F.pandas_udf(_units_of, _UNITS)(text_of()).alias("u"))
+    rows = checkpoint(rows.select(*keys, "rid", "t_h", "t_g", "u.*"))
+    places, first = _first_places(rows, keys[0], ("p_h", "p_pos", "p_n"))
+    seeds = places.join(first, F.col("h") == F.col("f_h")).where(
         (F.col("rid") != F.col("first.rid")) | (F.col("pos") != F.col("first.pos")))
     pairs = seeds.groupBy("rid", F.col("first.rid").alias("src")).agg(
         F.collect_list(F.struct("pos", F.col("first.pos").alias("at"), "n")).alias("seeds"))
@@ -134,11 +329,15 @@ def repeated_runs(docs: DataFrame, keys: tuple = ("doc_id",)) -> DataFrame:
         F.sequence(F.col("run.a"), F.col("run.b") - 1))))).alias("removed"))
     out = rows.join(runs, F.col("rid") == F.col("r_rid"), "left").withColumn(
         "removed", F.coalesce("removed", F.array().cast("array<int>")))
+    out = out.join(_word_runs(docs, rows, keys), F.col("rid") == F.col("w_rid"), "left")
+    some = [F.when(F.col("runs").isNotNull(), F.col(c)) for c in ("words", "starts", "ends", "removed", "runs")]
+    out = out.withColumn("all", F.pandas_udf(_merged, "struct<n:bigint,spans:array<struct<start:int,end:int>>>")(*some))
     total = lambda col: F.aggregate(col, F.lit(0).cast("bigint"), lambda a, w: a + w)
     return out.select(
         *keys, F.size("hashes").alias("n_units"), total("words").alias("n_words"), "removed",
-        total(F.transform("removed", lambda i: F.get("words", i))).alias("n_removed_words"),
-        F.transform("removed", lambda i: F.struct(F.get("starts", i).alias("start"), F.get("ends", i).alias("end"))).alias("spans"))
+        F.coalesce("all.n", total(F.transform("removed", lambda i: F.get("words", i)))).alias("n_removed_words"),
+        F.coalesce("all.spans", F.transform("removed", lambda i: F.struct(
+            F.get("starts", i).alias("start"), F.get("ends", i).alias("end")))).alias("spans"))
 
 
 def _cut(text: pd.Series, spans: pd.Series) -> pd.Series:
@@ -154,7 +353,7 @@ def drop_repeated_runs(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated runs cut out of their texts; joined back on (doc_id, hash of the text), and
     of rows that agree in both one stays."""
     keyed = docs.withColumns({"__id": F.col("doc_id"), "__h": F.xxhash64(text_of())}).dropDuplicates(["__id", "__h"])
-    found = repeated_runs(keyed.select("__id", "__h", "text"), ("__id", "__h")).where(F.size("removed") > 0).select(
+    found = repeated_runs(keyed.select("__id", "__h", "text"), ("__id", "__h")).where(F.size("spans") > 0).select(
         F.col("__id").alias("__r"), F.col("__h").alias("__rh"), F.col("spans").alias("__spans"))
     out = keyed.join(found, all_of([F.col("__h") == F.col("__rh"), F.col("__id").eqNullSafe(F.col("__r"))]), "left")
     out = out.withColumn("__text", F.when(F.col("__spans").isNull(), F.col("text")).otherwise(F.pandas_udf(_cut, "string")("text", "__spans")))

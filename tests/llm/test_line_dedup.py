@@ -69,3 +69,31 @@ def test_odd_rows(odd_docs):
     assert got.count() == odd_docs.count() and repeated_runs(odd_docs.limit(0)).count() == 0
     assert drop_repeated_runs(odd_docs).columns == odd_docs.columns
     assert drop_repeated_runs(odd_docs.limit(0)).count() == 0
+
+
+def test_passages_cut_inside_units_go(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choices("abcdefghij", k=4))
+    words = lambda n: [word() for _ in range(n)]
+    rows, passages = [], []
+    for k, n in enumerate((50, 59, 80, 120)):
+        passage = words(n)
+        if n == 80:
+            passage[39] += "."              # whole units of fewer than 25 words inside
+            passage[60] += "."
+        passages.append(" ".join(passage))
+        for i in range(3):
+            rows.append((10 * k + i, " ".join([*words(7 + i), *passage, *words(9 - i)]) + ".\nTail " + " ".join(words(4)) + "."))
+    rows.append((90, " ".join([*words(6), *passages[1].split()[:24], *words(30)])))       # under 25 words stay
+    rows.append((None, "x " + passages[0].upper().replace(" ", "\n", 3) + " y"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    left = {r["doc_id"]: r["text"] for r in drop_repeated_runs(docs).collect()}
+    for i, t in rows:
+        if i == 90 or (i is not None and i % 10 == 0):
+            assert left[i] == t
+        elif i is None:
+            assert left[i].split() == ["x", "y"]
+        else:
+            assert left[i] == t.replace(passages[i // 10], "")
+    got = {r["doc_id"]: r for r in repeated_runs(docs).collect()}
+    assert [got[i]["n_removed_words"] for i in (0, 1, 11, 22, 32, 90, None)] == [0, 50, 59, 80, 120, 0, 50]
