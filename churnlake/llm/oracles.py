@@ -169,3 +169,64 @@ FROM pages p LEFT JOIN judged j ON p.url = j.url LEFT JOIN placed pl ON p.url =
 
 
 ORACLES |= {"op2_redirect_equivalence": _op2(), "op6_golomb_exact_dedup": OP6}
+
+
+OP12 = r"""
+WITH RECURSIVE coded AS (
+  SELECT doc_id, lang, text,
+    CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id END
+    || CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END
+    || CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END
+    || CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars END AS head
+  FROM documents),
+hashed AS (
+  SELECT doc_id, lang, sha256(head || CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END) AS leaf,
+    sha256(head || CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || translate(text,
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') END) AS lowered
+  FROM coded),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY lang) AS n,
+    row_number() OVER () AS rid FROM hashed),
+nodes(lvl, lang, idx, n, h) AS (
+  SELECT 0, lang, idx, n, leaf FROM leaves
+  UNION ALL
+  SELECT lvl + 1, lang, idx // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY idx)) FROM nodes WHERE n > 1
+  GROUP BY lvl, lang, idx // 8, n),
+subroots AS (
+  SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS idx, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops(lvl, idx, n, h) AS (
+  SELECT 0, idx, n, h FROM subroots
+  UNION ALL
+  SELECT lvl + 1, idx // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY idx)) FROM tops WHERE n > 1 GROUP BY lvl, idx // 8, n),
+all_nodes AS (
+  SELECT 0 AS part, lang, lvl, idx, n, h FROM nodes WHERE n > 1
+  UNION ALL SELECT 1, NULL, lvl, idx, n, h FROM tops WHERE n > 1),
+sides AS (
+  SELECT part, lang, lvl, idx,
+    coalesce(string_agg(h, '') OVER (PARTITION BY part, lang, lvl, idx // 8 ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(h, '') OVER (PARTITION BY part, lang, lvl, idx // 8 ORDER BY idx ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM all_nodes),
+-- from the leaf to its subroot, then through the tree of the subroots
+low(rid, lvl, idx, folded, proof) AS (
+  SELECT rid, 0, idx, CASE WHEN crc % 3 = 0 THEN lowered ELSE leaf END, '' FROM (
+    SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: ascii(d)::BIGINT)),
+      lambda a, b: list_reduce(list_concat([xor(a, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+        lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::BIGINT) ELSE c // 2 END)), 4294967295::BIGINT) AS crc FROM leaves)
+  UNION ALL
+  SELECT w.rid, w.lvl + 1, w.idx // 8, sha256(s.l || w.folded || s.r), w.proof || s.l || s.r
+  FROM low w JOIN leaves v ON v.rid = w.rid JOIN sides s ON s.part = 0 AND s.lang IS NOT DISTINCT FROM v.lang AND s.lvl = w.lvl AND s.idx = w.idx),
+ends AS (SELECT rid, arg_max(folded, lvl) AS folded, arg_max(proof, lvl) AS proof FROM low GROUP BY rid),
+high(rid, lvl, idx, folded, proof) AS (
+  SELECT v.rid, 0, b.idx, e.folded, e.proof FROM ends e JOIN leaves v ON v.rid = e.rid JOIN subroots b ON b.lang IS NOT DISTINCT FROM v.lang
+  UNION ALL
+  SELECT w.rid, w.lvl + 1, w.idx // 8, sha256(s.l || w.folded || s.r), w.proof || s.l || s.r
+  FROM high w JOIN sides s ON s.part = 1 AND s.lvl = w.lvl AND s.idx = w.idx),
+done AS (SELECT rid, arg_max(folded, lvl) AS folded, arg_max(proof, lvl) AS proof FROM high GROUP BY rid),
+root AS (SELECT h FROM tops WHERE n = 1)
+SELECT v.doc_id, v.leaf, b.h AS subroot, root.h AS root, sha256(d.proof) AS proof_sha256, d.folded AS folded_root,
+       d.folded = root.h AS verified
+FROM leaves v JOIN subroots b ON b.lang IS NOT DISTINCT FROM v.lang JOIN done d ON d.rid = v.rid, root
+"""
+
+
+ORACLES["op12_merkle_manifest"] = OP12

@@ -6,6 +6,7 @@ from churnlake.llm.decontamination import op5_benchmark_decontamination
 from churnlake.llm.exact_dedup import op6_golomb_exact_dedup
 from churnlake.llm.licences import op1_license_scan
 from churnlake.llm.line_dedup import op9_winnowed_line_dedup
+from churnlake.llm.merkle import op12_merkle_manifest
 from churnlake.llm.mixing import op3_curriculum_mixing
 from churnlake.llm.pii import op7_bootstrapped_pii
 from churnlake.llm.sharding import op10_jump_hash_sharding
@@ -24,4 +25,5 @@ QUERIES = {
     "op8_classifier_chain_toxicity": op8_classifier_chain_toxicity,
     "op9_winnowed_line_dedup": op9_winnowed_line_dedup,
     "op10_jump_hash_sharding": op10_jump_hash_sharding,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
