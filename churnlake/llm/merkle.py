@@ -29,6 +29,7 @@ from churnlake.llm.common import ascii_lower, broadcast_if_small, load, range_in
 from churnlake.session import checkpoint
 
 FANOUT = 8
+TOGETHER = 1 << 16     # nodes of an upper level that one task may hold
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 TOP = "top"         # tree of the subroots; the trees of groups are "=" and the group, or "null"
 _NODE = ("tree", "level", "idx")
@@ -58,13 +59,19 @@ def parents_of(level: DataFrame, fanout: int = FANOUT) -> DataFrame:
                        F.unhex(F.sha2(hashes, 256)).alias("hash"), "kids")
 
 
+def _narrowed(level: DataFrame, rows: int) -> DataFrame:
+    """Few partitions for few rows: the upper levels shrink to an eighth each."""
+    return level.coalesce(1 + rows // TOGETHER)
+
+
 def _climb(leaves: DataFrame) -> list[DataFrame]:
     """All levels above ``leaves``, each written to the shared folder; one job a level, an eighth of the rows each."""
-    most = leaves.agg(F.max("n")).first()[0] or 0
+    most, rows, trees = leaves.agg(F.max("n"), F.count(F.lit(1)), F.count_if(F.col("idx") == 0)).first()
     levels, now, height = [], leaves, 0
-    while most > 1:
+    while (most or 0) > 1:
         height += 1
-        now = checkpoint(parents_of(now).withColumns({
+        rows = rows // FANOUT + trees
+        now = checkpoint(_narrowed(parents_of(now), rows).withColumns({
             "c_tree": F.col("tree"), "c_level": F.lit(height), "c_idx": F.col("idx"), "level": F.lit(height)}))
         levels.append(now)
         most = -(-most // FANOUT)
@@ -93,30 +100,25 @@ def _links(levels: list[DataFrame], inner_only: bool) -> DataFrame:
     return reduce(DataFrame.union, rows)
 
 
-def _jump(links: DataFrame, root: tuple) -> DataFrame:
-    """(tree, level, idx, path): every node's whole segment towards the root, by doubling.
+def _jump(links: DataFrame, root: tuple, farthest: int) -> DataFrame:
+    """(tree, level, idx, path): every node's whole segment towards the root, ``farthest`` levels up at most.
 
-    Nodes that have reached the root leave the join, so its digest is no hot key; a node that many others point
-    at stands high in its tree, where nodes are few, so that side is broadcast if its counted size allows.
+    Nodes that have reached the root leave the join, so its digest is no hot key.  A node that others of distance
+    d point at has d levels of its group's tree below it, or stands in the top tree: the more point at one, the
+    fewer they are, and that side is broadcast if its counted size allows.
     """
     there = (F.col("a_tree") == root[0]) & (F.col("a_level") == root[1]) & (F.col("a_idx") == root[2])
-    links = checkpoint(links)
-    while True:
-        open_ = links.where(~there)
-        targets = open_.select("a_tree", "a_level", "a_idx").distinct()
-        size = targets.agg(F.count(F.lit(1))).first()[0]
-        if not size:
-            return links.select(*_NODE, "path")
-        wanted = targets.toDF("w_tree", "w_level", "w_idx")
-        up = links.join(wanted, [F.col("tree") == F.col("w_tree"), F.col("level") == F.col("w_level"),
-                                 F.col("idx") == F.col("w_idx")], "left_semi")
-        up = up.select(*[F.col(c).alias(f"u_{c}") for c in (*_NODE, "a_tree", "a_level", "a_idx", "path")])
-        depth = 1 + (links.agg(F.max(F.size("path"))).first()[0] or 0)
-        joined = open_.join(broadcast_if_small(up, depth * (FANOUT * 32 + 64)), [
+    links, distance = checkpoint(links), 1
+    while distance < farthest:
+        up = links.where((F.col("tree") == TOP) | (F.col("level") > distance)).select(
+            *[F.col(c).alias(f"u_{c}") for c in (*_NODE, "a_tree", "a_level", "a_idx", "path")])
+        joined = links.where(~there).join(broadcast_if_small(up, distance * (FANOUT * 32 + 64)), [
             F.col("a_tree") == F.col("u_tree"), F.col("a_level") == F.col("u_level"), F.col("a_idx") == F.col("u_idx")])
         farther = joined.select(*_NODE, F.col("u_a_tree").alias("a_tree"), F.col("u_a_level").alias("a_level"),
                                 F.col("u_a_idx").alias("a_idx"), F.concat("path", "u_path").alias("path"))
         links = checkpoint(links.where(there).union(farther))
+        distance *= 2
+    return links.select(*_NODE, "path")
 
 
 def fold(leaf: Column, path: Column) -> Column:
@@ -138,7 +140,7 @@ def _proofs(rows: DataFrame, group: str, order: str, digest: str) -> tuple[DataF
     keyed = rows.withColumn("tree", F.when(F.col(group).isNull(), F.lit("null")).otherwise(F.concat(F.lit("="), F.col(group))))
     placed = range_index(keyed, ["tree"], [order, digest], "idx")
     # one small row per group
-    sizes = placed.groupBy(F.col("tree").alias("s_tree")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = checkpoint(placed.groupBy(F.col("tree").alias("s_tree")).agg(F.count(F.lit(1)).alias("n")))
     leaves = checkpoint(placed.join(broadcast_if_small(sizes, 128), F.col("tree") == F.col("s_tree")).drop("s_tree"))
     nodes = leaves.select("tree", "idx", "n", F.col(digest).alias("hash"), F.col("tree").alias("c_tree"),
                           F.lit(0).alias("c_level"), F.col("idx").alias("c_idx"))
@@ -146,12 +148,13 @@ def _proofs(rows: DataFrame, group: str, order: str, digest: str) -> tuple[DataF
     subroots = reduce(DataFrame.union, [lv.where("n = 1").select("tree", "hash", "c_tree", "c_level", "c_idx")
                                         for lv in [nodes, *levels]])
     # "null" sorts after "=...", so whether the group is null comes first
-    subroots = checkpoint(subroots.select("*", (F.col("tree") != "null").alias("known")))
-    n_groups = subroots.count()
+    subroots = subroots.select("*", (F.col("tree") != "null").alias("known"))
+    n_groups = sizes.count()
+    subroots = checkpoint(_narrowed(subroots, n_groups))
     if not n_groups:
         return leaves.select(*rows.columns, F.lit(None).cast("string").alias("subroot"),
                              F.array().cast("array<struct<left:binary,right:binary>>").alias("path")), None
-    tops = range_index(subroots, [], ["known", "tree"], "idx").select(
+    tops = _narrowed(range_index(subroots, [], ["known", "tree"], "idx"), n_groups).select(
         F.lit(TOP).alias("tree"), "idx", F.lit(n_groups).cast("bigint").alias("n"), "hash", "c_tree", "c_level", "c_idx")
     above = _climb(tops)
     last = above[-1] if above else tops
@@ -160,7 +163,7 @@ def _proofs(rows: DataFrame, group: str, order: str, digest: str) -> tuple[DataF
     # the segments of inner nodes, and of leaves that are subroots; a group's other leaves jump over their parent
     inner = [x for x in [_links(levels, True) if len(levels) > 1 else None, _links(above, False) if above else None] if x is not None]
     empty = F.array().cast("array<struct<left:binary,right:binary>>")
-    paths = _jump(reduce(DataFrame.union, inner), root) if inner else None
+    paths = _jump(reduce(DataFrame.union, inner), root, len(levels) + len(above)) if inner else None
     itself = last.select(F.col("c_tree").alias("tree"), F.col("c_level").alias("level"), F.col("c_idx").alias("idx"), empty.alias("path"))
     paths = itself if paths is None else paths.union(itself)
 

@@ -230,3 +230,34 @@ FROM leaves v JOIN subroots b ON b.lang IS NOT DISTINCT FROM v.lang JOIN done d
 
 
 ORACLES["op12_merkle_manifest"] = OP12
+
+
+def _op13(dimensions: int = 64, centroids: int = 16, rounds: int = 3) -> str:
+    distance = f"list_sum(list_transform(generate_series(1, {dimensions}), lambda i: (v.x[i] - c.x[i]) * (v.x[i] - c.x[i])))"
+    parts = [f"""
+v AS (
+  SELECT vec_id, row_number() OVER () AS rid, list_transform(embedding, lambda e: CAST(floor({dimensions} * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE len(embedding) = {dimensions} AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = {dimensions}),
+c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')), vec_id NULLS FIRST, x) - 1 AS k, x FROM v
+  QUALIFY k < {centroids})"""]
+    for r in range(rounds + 1):
+        parts.append(f"""
+a{r} AS (
+  SELECT v.rid, arg_min(c.k, ({distance}, c.k)) AS k, CAST(min({distance}) AS BIGINT) AS d FROM v, c{r} c GROUP BY v.rid)""")
+        if r < rounds:
+            parts.append(f"""
+s{r} AS (
+  SELECT k, list(CAST(floor(s / n) AS BIGINT) ORDER BY i) AS x FROM (
+    SELECT a.k, i, CAST(sum(v.x[i]) AS DECIMAL(38, 10)) AS s, count(*) AS n
+    FROM a{r} a JOIN v USING (rid), generate_series(1, {dimensions}) g(i) GROUP BY a.k, i) GROUP BY k),
+c{r + 1} AS (SELECT c.k, coalesce(s.x, c.x) AS x FROM c{r} c LEFT JOIN s{r} s USING (k))""")
+    return f"""
+WITH {",".join(parts)}
+SELECT v.vec_id, CAST(a.k AS INT) AS cluster, a.d AS distance, CAST(sum(a.d) OVER (PARTITION BY a.k) AS BIGINT) AS cluster_inertia,
+       CAST(sum(a.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM v JOIN a{rounds} a USING (rid) JOIN c{rounds} c ON c.k = a.k
+"""
+
+
+ORACLES["op13_incremental_clusters"] = _op13()
