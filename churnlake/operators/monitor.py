@@ -138,6 +138,11 @@ def grouped_auc(df: DataFrame, group_cols: list[str], label_col: str = "actual_c
     hist = (df.where(y.isNotNull() & s.isNotNull())
             .groupBy(*group_cols, s.alias("_s"))
             .agg(F.sum(y).cast("bigint").alias("_pos"), F.sum(1 - y).cast("bigint").alias("_neg")))
+    return auc_of_histogram(hist, group_cols, digits)
+
+
+def auc_of_histogram(hist: DataFrame, group_cols: list[str], digits: int | None = 6) -> DataFrame:
+    """``grouped_auc`` from a histogram: group_cols, score ``_s``, positive and negative rows ``_pos``, ``_neg``."""
     cum = running_sums(hist, group_cols, ["_s"], ["_neg"])
     contrib = F.col("_pos") * ((F.col("cum__neg") - F.col("_neg")) + F.col("_neg") * 0.5)
     agg = cum.groupBy(*group_cols).agg(
@@ -150,7 +155,10 @@ def grouped_auc(df: DataFrame, group_cols: list[str], label_col: str = "actual_c
 
 def monthly_auc(mon: DataFrame, digits: int | None = 6) -> DataFrame:
     """AUC per month, rounded for display, with the alert flag (unrounded auc < 0.65)."""
-    auc = grouped_auc(mon, ["month_start"], digits=None)
+    return month_alerts(grouped_auc(mon, ["month_start"], digits=None), digits)
+
+
+def month_alerts(auc: DataFrame, digits: int | None = 6) -> DataFrame:
     shown = F.col("auc") if digits is None else F.round("auc", digits)
     return auc.select(
         "month_start", month_label("month_start").alias("month"), "n", "positives", shown.alias("auc"),
@@ -214,18 +222,24 @@ def psi_table(long: DataFrame, baseline: Column | None = None, exact: bool = Tru
     Output: feature, month_start, psi, after_baseline (month later than every baseline month).
     ``exact=False`` takes the edges from one-pass approximate quantiles of the baseline rows.
     """
-    probs = [d / 100 for d in PSI_DECILES]
     hist = checkpoint(long.where(F.col("value").isNotNull())
                       .groupBy("feature", "month_start", "value").agg(F.count(F.lit(1)).alias("_c")))
+    return psi_from_histogram(hist, baseline, None if exact else long)
+
+
+def psi_from_histogram(hist: DataFrame, baseline: Column | None = None, approx_from: DataFrame | None = None) -> DataFrame:
+    """``psi_table`` from a histogram (feature, month_start, value, ``_c`` rows), which is read several times
+    (a written table).  ``approx_from``: rows whose approximate quantiles give the edges."""
+    probs = [d / 100 for d in PSI_DECILES]
     if baseline is None:
         baseline = F.col("month_start") == hist.agg(F.min("month_start")).scalar()
     hist = hist.withColumn("_is_base", baseline.cast("int"))
     last_base = hist.where(F.col("_is_base") == 1).agg(F.max("month_start")).scalar()
     base = hist.where(F.col("_is_base") == 1)
-    if exact:
+    if approx_from is None:
         q = exact_quantiles(base, "value", probs, ["feature"], weight_col="_c")
     else:
-        q = approx_quantiles(long.where(baseline), probs, ["feature"])
+        q = approx_quantiles(approx_from.where(baseline), probs, ["feature"])
     edges = q.groupBy("feature").agg(F.array_sort(F.array_distinct(F.collect_list("value"))).alias("_e"))
     edges = edges.select(
         "feature", (F.size("_e") - 1).alias("_nb"),
@@ -275,6 +289,9 @@ def psi_report(mon: DataFrame, baseline_month: str | None = None,
                         F.round("psi", 6).alias("psi"), psi_status(F.col("psi")).alias("status"))
 
 
+STATS_BYTES = 64 << 20
+
+
 # ---- KDE ------------------------------------------------------------------------
 
 def kde_table(long: DataFrame, grid_size: int = KDE_GRID_SIZE, cut: float = KDE_CUT,
@@ -326,6 +343,44 @@ def kde_table(long: DataFrame, grid_size: int = KDE_GRID_SIZE, cut: float = KDE_
     return out
 
 
+def kde_binned(long: DataFrame, grid_size: int = KDE_GRID_SIZE, cut: float = KDE_CUT, resolution: int = 32,
+               radius: float = 8.0) -> DataFrame:
+    """The curves of ``kde_table`` by linear binning: each value's mass is split over its two neighbours on a grid
+    of bandwidth / ``resolution``, proportionally to their distance, and the bins are convolved with a kernel cut
+    off at ``radius`` bandwidths, so a bin reaches only the points near it.
+
+    Work: one partial aggregate over the rows, then bins x points within the radius; the bins of a group number
+    at most its spread / bandwidth * ``resolution``, however many distinct values it has.  Error of the density:
+    at most (1 / resolution**2 / 8 + exp(-radius**2 / 2)) / (bandwidth * sqrt(2 pi)), as linear interpolation of
+    the kernel is off by at most width**2 / 8 of its largest second derivative.
+    """
+    vals = long.where(F.col("value").isNotNull())
+    stats = vals.groupBy("feature", "month_start").agg(
+        F.count(F.lit(1)).alias("_n"), F.stddev_samp("value").alias("_sd"), F.min("value").alias("_lo"), F.max("value").alias("_hi"))
+    stats = stats.where((F.col("_n") >= 2) & (F.col("_sd") > 0)).select(
+        "feature", "month_start", "_n", (F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2))).alias("_bw"), "_lo", "_hi")
+    stats = checkpoint(stats.select("*", (F.col("_bw") / resolution).alias("_w"), (F.col("_lo") - F.col("_bw") * cut).alias("_g0"),
+                                    ((F.col("_hi") - F.col("_lo") + 2 * F.col("_bw") * cut) / (grid_size - 1)).alias("_step")))
+    side = F.broadcast(stats) if stats.count() * 256 <= STATS_BYTES else stats      # one row per feature and month
+    place = (F.col("value") - F.col("_lo")) / F.col("_w")
+    low = F.floor(place)
+    split = F.array(F.struct(low.alias("bin"), (1 - (place - low)).alias("m")), F.struct((low + 1).alias("bin"), (place - low).alias("m")))
+    bins = (vals.join(side, ["feature", "month_start"]).select("feature", "month_start", F.explode(split).alias("_b"))
+            .groupBy("feature", "month_start", F.col("_b.bin").alias("_bin")).agg(F.sum("_b.m").alias("_m")))
+    at = F.col("_lo") + F.col("_bin") * F.col("_w")
+    first = F.greatest(F.ceil((at - radius * F.col("_bw") - F.col("_g0")) / F.col("_step")), F.lit(0))
+    last = F.least(F.floor((at + radius * F.col("_bw") - F.col("_g0")) / F.col("_step")), F.lit(grid_size - 1))
+    near = bins.join(side, ["feature", "month_start"]).where((F.col("_m") > 0) & (first <= last)).select(
+        "feature", "month_start", "_m", "_bw", at.alias("_at"), "_g0", "_step", F.explode(F.sequence(first, last)).alias("point"))
+    x = F.col("_g0") + F.col("point") * F.col("_step")
+    sums = near.select("feature", "month_start", "point", (F.col("_m") * F.exp(-0.5 * F.pow((x - F.col("_at")) / F.col("_bw"), 2))).alias("_d")) \
+        .groupBy("feature", "month_start", "point").agg(F.sum("_d").alias("_d"))
+    points = stats.select("*", F.explode(F.sequence(F.lit(0), F.lit(grid_size - 1)).cast("array<bigint>")).alias("point"))
+    return points.join(sums, ["feature", "month_start", "point"], "left").select(
+        "feature", "month_start", F.col("point").cast("int").alias("point"), F.round(x, 6).alias("x"),
+        F.round(F.coalesce("_d", F.lit(0.0)) / (F.col("_n") * F.col("_bw") * math.sqrt(2 * math.pi)), 6).alias("density"))
+
+
 def kde(mon: DataFrame, feature: str, bin_fraction: float | None = None) -> DataFrame:
     return kde_table(long_features(mon, [feature]), bin_fraction=bin_fraction)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -98,24 +99,65 @@ def split_hash(seed: int = SPLIT_SEED) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
 
+HASH_BITS, HASH_STEP = 60, 12
+
+
+def select_thresholds(narrow: DataFrame, wanted: dict) -> dict:
+    """The ``wanted[label]``-th smallest ``_h`` per label: (threshold, rows above the place with that hash).
+
+    Found by histograms of the next ``HASH_STEP`` bits of the hash, inside the bucket that holds the place: a few
+    passes over (label, hash), of which at most labels x 2**HASH_STEP counts reach the driver.  Rows are neither
+    ranked nor shuffled.
+    """
+    found = {label: (0, k, None) for label, k in wanted.items() if k > 0}     # prefix, rows still to take, rows in it
+    out = {label: (-1, 0) for label, k in wanted.items() if k <= 0}
+    for done in range(HASH_STEP, HASH_BITS + 1, HASH_STEP):
+        open_ = {label: f for label, f in found.items() if label not in out}
+        if not open_:
+            break
+        shift = HASH_BITS - done
+        inside = F.lit(False)
+        for label, (prefix, _, _) in open_.items():
+            inside = inside | ((F.col("_y") == F.lit(label)) & (F.shiftright("_h", shift + HASH_STEP) == F.lit(prefix)))
+        counts = (narrow.where(inside).groupBy("_y", F.shiftright("_h", shift).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect())
+        for label, (_, left, _) in open_.items():
+            for bucket, n in sorted((r["b"], r["n"]) for r in counts if r["_y"] == label):
+                if left <= n:
+                    found[label] = (bucket, left, n)
+                    if left == n:                   # the whole bucket: its last possible hash
+                        out[label] = (((bucket + 1) << shift) - 1, 0)
+                    break
+                left -= n
+    for label, (prefix, left, n) in found.items():
+        if label not in out:
+            out[label] = (prefix, n - left)
+    return out
+
+
 def stratified_split(df: DataFrame, label_col: str = "Churn", ratio: float = TRAIN_RATIO,
                      seed: int = SPLIT_SEED, exact: bool = True) -> DataFrame:
     """Adds ``part`` 'train'/'test': per label, the first floor(ratio*n) rows in hash order train.
 
-    ``exact`` ranks rows per label with the range-partitioned rank (no single
-    task per label); ``exact=False`` is a one-pass hash threshold with the same
-    expected proportions.
+    ``exact`` finds each label's threshold hash by iterated histograms, so rows stay where they are; only if rows
+    with equal hashes (repeated keys) lie across a threshold they are ranked.  ``exact=False`` is a one-pass
+    hash threshold with the same expected proportions.  Rows without a label are left out.
     """
     keyed = df.withColumn("_h", split_hash(seed))
     if not exact:
         part = F.when(F.pmod(F.col("_h"), F.lit(10000)) < int(ratio * 10000), "train").otherwise("test")
         return keyed.withColumn("part", part).drop("_h")
-    ranked = exact_rank(keyed, [label_col], ["_h", *KEYS], "_rank")
-    # rows per label = its highest rank (read from the checkpointed ranking, not recomputed)
-    counts = ranked.groupBy(label_col).agg(F.max("_rank").alias("_n"))
-    ranked = ranked.join(F.broadcast(counts), label_col, "inner")  # one row per label value
-    part = F.when(F.col("_rank") <= F.floor(F.col("_n") * ratio), "train").otherwise("test")
-    return ranked.withColumn("part", part).drop("_h", "_rank", "_n")
+    narrow = keyed.select(F.col(label_col).alias("_y"), "_h").where(F.col("_y").isNotNull())
+    sizes = {r["_y"]: r["n"] for r in narrow.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    cuts = select_thresholds(narrow, {label: math.floor(n * ratio) for label, n in sizes.items()})
+    if any(tied for _, tied in cuts.values()):
+        ranked = exact_rank(keyed.where(F.col(label_col).isNotNull()), [label_col], ["_h", *KEYS], "_rank")
+        limit = F.create_map(*[F.lit(v) for label, n in sizes.items() for v in (label, math.floor(n * ratio))])
+        part = F.when(F.col("_rank") <= limit[F.col(label_col)], "train").otherwise("test")
+        return ranked.withColumn("part", part).drop("_h", "_rank")
+    train = F.lit(False)
+    for label, (cut, _) in cuts.items():
+        train = train | ((F.col(label_col) == F.lit(label)) & (F.col("_h") <= F.lit(cut)))
+    return keyed.where(F.col(label_col).isNotNull()).withColumn("part", F.when(train, "train").otherwise("test")).drop("_h")
 
 
 def split_summary(parts: DataFrame, label_col: str = "Churn") -> DataFrame:

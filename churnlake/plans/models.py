@@ -12,8 +12,7 @@ import random
 from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +21,7 @@ from churnlake.operators import impute
 from churnlake.operators.monitor import grouped_auc
 from churnlake.operators.ranking import exact_rank
 from churnlake.operators.stores import split_hash
+from churnlake.plans import lr_search
 from churnlake.plans.features import feature_names, preprocessor
 from churnlake.schema import CATEGORICAL_FEATURES, KEYS, NUMERIC_FEATURES
 from churnlake.session import checkpoint
@@ -135,19 +135,20 @@ class Search(NamedTuple):
 def search(train: DataFrame, kind: str, points: list[dict], folds: int = FOLDS) -> Search:
     """Cross-validated search on AUC over stratified folds; of equal points the first wins.
 
-    The encoders and the scaler are fitted once per fold, on the rows outside it, and the fold's vectors are
-    kept while its points are fitted.  Each fit is itself distributed over the cluster.
+    Logistic regression: all points on all folds in one set of passes (``lr_search``).  Boosted trees: the
+    encoders and the scaler are fitted once per fold, on the rows outside it, the fold's vectors are kept while
+    its points are fitted, and points that differ only in their number of trees share one fit (``staged_aucs``).
     """
+    if kind == "lr":
+        return _lr_search(train, points, folds)
     folded = stratified_folds(train, folds).persist()
-    auc = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
     total = [0.0] * len(points)
     for k in range(folds):
         fitted = preprocessor(NUMERIC_FEATURES, CATEGORICAL_FEATURES).fit(folded.where(F.col("fold") != k))
         vectors = fitted.transform(folded).select("fold", "label", "features").persist()
         inside, outside = vectors.where(F.col("fold") != k), vectors.where(F.col("fold") == k)
-        n = inside.count()
-        for i, point in enumerate(points):
-            total[i] += auc.evaluate(estimator(kind, point, n).fit(inside).transform(outside))
+        for i, auc in staged_aucs(inside, outside, points).items():
+            total[i] += auc
         vectors.unpersist()
     mean = [t / folds for t in total]
     best = points[mean.index(max(mean))]
@@ -156,6 +157,67 @@ def search(train: DataFrame, kind: str, points: list[dict], folds: int = FOLDS)
     return Search(points, mean, model)
 
 
+def _lr_search(train: DataFrame, points: list[dict], folds: int) -> Search:
+    folded = stratified_folds(train, folds)
+    fitted = preprocessor(NUMERIC_FEATURES, CATEGORICAL_FEATURES).fit(folded)
+    rows = lr_search.design_rows(fitted.transform(folded))
+    scaling = lr_search.fold_scaling(rows, len(NUMERIC_FEATURES), folds)
+    mean = lr_search.mean_aucs(rows, points, folds, scaling)
+    best = points[mean.index(max(mean))]
+    weights = lr_search.fit_batch(rows, [best], [lr_search.ALL_ROWS], scaling)[0, 0]
+    return Search(points, mean, PipelineModel([*fitted.stages, lr_search.as_model(train.sparkSession, weights)]))
+
+
+def prefix_margins(model, sizes: list[int], scored: DataFrame) -> DataFrame:
+    """Adds ``m_<n>`` for each number of trees: the margin of the first n trees of one boosted fit.
+
+    The ensemble is cut into the stretches between the sizes, so every tree is evaluated once and a prefix is
+    a sum of stretches.
+    """
+    gateway = scored.sparkSession.sparkContext._gateway
+    ml = gateway.jvm.org.apache.spark.ml
+    trees, weights = model._java_obj.trees(), model.treeWeights
+
+    def stretch(kind, values):
+        out = gateway.new_array(kind, len(values))
+        for i, v in enumerate(values):
+            out[i] = v
+        return out
+
+    out, so_far, start = scored, F.lit(0.0), 0
+    for n in sorted(set(sizes)):
+        part = ml.classification.GBTClassificationModel(
+            f"gbt_{start}_{n}", stretch(ml.regression.DecisionTreeRegressionModel, [trees[i] for i in range(start, n)]),
+            stretch(gateway.jvm.double, weights[start:n]), model.numFeatures, 2)
+        piece = (GBTClassificationModel(part).setFeaturesCol("features").setRawPredictionCol(f"_raw_{n}")
+                 .setProbabilityCol("").setPredictionCol(""))
+        out = piece.transform(out)
+        so_far = so_far + vector_to_array(F.col(f"_raw_{n}"))[1]
+        out = out.withColumn(f"m_{n}", so_far).drop(f"_raw_{n}")
+        so_far, start = F.col(f"m_{n}"), n
+    return out
+
+
+def staged_aucs(inside: DataFrame, outside: DataFrame, points: list[dict]) -> dict[int, float]:
+    """AUC on ``outside`` of each point, by its place.  Boosting adds one tree after the other, so a fit with
+    fewer trees is a prefix of one with more: points equal in all else share the longest fit."""
+    groups: dict[tuple, list[int]] = {}
+    for i, point in enumerate(points):
+        groups.setdefault(tuple(sorted((k, v) for k, v in point.items() if k != "n_estimators")), []).append(i)
+    found = {}
+    for places in groups.values():
+        sizes = sorted({points[i]["n_estimators"] for i in places})
+        model = estimator("gbt", {**points[places[0]], "n_estimators": sizes[-1]}, 0).fit(inside)
+        margins = prefix_margins(model, sizes, outside)
+        stack = ", ".join(f"{n}, m_{n}" for n in sizes)
+        long = margins.selectExpr("label", f"stack({len(sizes)}, {stack}) AS (n, score)")
+        aucs = {r["n"]: r["auc"] for r in grouped_auc(long, ["n"], "label", "score", digits=None).collect()}
+        for i in places:
+            auc = aucs.get(points[i]["n_estimators"])
+            found[i] = 0.5 if auc is None else auc
+    return found
+
+
 def search_table(spark: SparkSession, found: Search) -> DataFrame:
     """One row per parameter point: its parameters (as text), mean CV AUC, and the best flag."""
     best = found.mean_auc.index(max(found.mean_auc))

@@ -23,11 +23,10 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlake.operators import impute, monitor, stores
+from churnlake.operators import impute, monitor, monitor_state, stores
 from churnlake.operators.clean import CLEANERS
 from churnlake.plans import models
-from churnlake.schema import CATEGORICAL_FEATURES, NUMERIC_FEATURES
-from churnlake.schema import SILVER_SCHEMAS
+from churnlake.schema import CATEGORICAL_FEATURES, GOLD_FEATURE_SCHEMA, NUMERIC_FEATURES, SILVER_SCHEMAS
 from churnlake.sources import feeds
 
 FEEDS = ["features", "meta", "labels"]
@@ -55,19 +54,46 @@ def _written_rows(spark: SparkSession, path: str, snapshots: list[str] | None, f
     return df.count()
 
 
+class MissingUpstream(ValueError):
+    """Listed months that a feed did not deliver."""
+
+    def __init__(self, gaps: list[tuple[str, str]]):
+        super().__init__(f"no bronze rows for {gaps}")
+        self.gaps = gaps
+
+
+def missing_upstream(spark: SparkSession, root: str, snapshots: list[str]) -> list[tuple[str, str]]:
+    """(feed, snapshot) of the listed months without bronze rows; one count of a feed's listed partitions each."""
+    gaps = []
+    for feed in FEEDS:
+        path = _p(root, "bronze", feed)
+        have: set[str] = set()
+        if feeds.has_files(spark, path, "*.csv"):
+            rows = feeds.read_bronze(spark, path, feed).where(F.col("Snapshot_Date").isin(snapshots))
+            have = {r[0] for r in rows.groupBy("Snapshot_Date").agg(F.count(F.lit(1))).collect()}
+        gaps += [(feed, s) for s in snapshots if s not in have]
+    return gaps
+
+
 def backfill(spark: SparkSession, raw: dict[str, DataFrame], root: str,
-             snapshots: list[str] | None = None) -> dict[str, int]:
+             snapshots: list[str] | None = None, on_missing: str = "skip") -> dict[str, int]:
     """P1 + P2 + P7: raw feeds -> bronze CSV -> silver Parquet -> gold stores, all listed months at once.
 
     ``raw`` maps feed name to a raw DataFrame (e.g. ``feeds.read_raw_csv``).
     Returns rows written per table.  A table with no rows for a month simply
-    has no partition for it (the readiness report lists such gaps).
+    has no partition for it (the readiness report lists such gaps); with
+    ``on_missing="raise"`` a listed month that a feed did not deliver stops the
+    run after bronze, before anything is built on it (``MissingUpstream``).
     """
+    if on_missing not in ("skip", "raise"):
+        raise ValueError(on_missing)
     counts: dict[str, int] = {}
     for feed in FEEDS:
         path = _p(root, "bronze", feed)
         feeds.write_bronze(feeds.bronze(raw[feed], snapshots), path)
         counts[f"bronze/{feed}"] = _written_rows(spark, path, snapshots, feed)
+    if on_missing == "raise" and snapshots and (gaps := missing_upstream(spark, root, snapshots)):
+        raise MissingUpstream(gaps)
     silver = {}
     for feed in FEEDS:
         bronze = feeds.read_bronze(spark, _p(root, "bronze", feed), feed)
@@ -89,8 +115,8 @@ def backfill(spark: SparkSession, raw: dict[str, DataFrame], root: str,
 
 
 def gold_tables(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    return (feeds.read_store(spark, _p(root, "gold", "feature_store")),
-            feeds.read_store(spark, _p(root, "gold", "label_store")))
+    return (feeds.read_store(spark, _p(root, "gold", "feature_store"), schema=GOLD_FEATURE_SCHEMA),
+            feeds.read_store(spark, _p(root, "gold", "label_store"), schema=SILVER_SCHEMAS["labels"]))
 
 
 def train(spark: SparkSession, root: str, train_date: str, model_root: str, kind: str = "gbt",
@@ -179,3 +205,19 @@ def run_monitoring(spark: SparkSession, root: str, model_name: str | None = None
         paths[name] = _p(root, "monitoring", name)
         df.write.mode("overwrite").parquet(paths[name])
     return paths
+
+
+def monitor_months(spark: SparkSession, root: str, months: list[str], baseline: str | None = None) -> dict[str, str]:
+    """Incremental P5: the rows of ``months`` only are read; their histograms replace what is stored for these
+    months, and the AUC and PSI reports are made from the stored state of all months."""
+    features, labels = gold_tables(spark, root)
+    days = [F.to_date(F.lit(m)) for m in months]
+    mon = monitor.monitoring_set(features.where(F.col("Snapshot_Date").isin(days)), labels.where(F.col("Snapshot_Date").isin(days)))
+    state_path = _p(root, "monitoring", "_state")
+    monitor_state.update_state(monitor_state.histograms(mon), state_path)
+    state = monitor_state.read_state(spark, state_path)
+    paths = {}
+    for name, df in {"monthly_auc": monitor_state.auc_from_state(state), "psi_report": monitor_state.psi_from_state(state, baseline)}.items():
+        paths[name] = _p(root, "monitoring", name)
+        df.write.mode("overwrite").parquet(paths[name])
+    return paths

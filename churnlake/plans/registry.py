@@ -178,6 +178,43 @@ def kde_charges(spark, sf_dir):
     return monitor.kde(_mon(spark, sf_dir), "monthly_charges")
 
 
+@job("kde_binned_charges")
+def kde_binned_charges(spark, sf_dir):
+    return monitor.kde_binned(monitor.long_features(_mon(spark, sf_dir), ["monthly_charges"]))
+
+
+# months whose monitoring state is stored first; the others come in a second update
+STATE_CUT = "1996-01-01"
+
+
+def _state(spark, sf_dir, make, schema):
+    """State of all months, stored in two updates, of which the second repeats one month."""
+    from churnlake.operators import monitor_state
+    mon, path, cut = _mon(spark, sf_dir), shared_path(spark, "monitor_state"), F.to_date(F.lit(STATE_CUT))
+    monitor_state.update_state(make(mon.where(F.col("month_start") <= cut)), path)
+    monitor_state.update_state(make(mon.where(F.col("month_start") >= cut)), path)
+    return monitor_state.read_state(spark, path, schema)
+
+
+@job("psi_incremental")
+def psi_incremental(spark, sf_dir):
+    from churnlake.operators import monitor_state as ms
+    return ms.psi_from_state(_state(spark, sf_dir, ms.histograms, ms.HISTOGRAM_SCHEMA))
+
+
+@job("auc_incremental")
+def auc_incremental(spark, sf_dir):
+    from churnlake.operators import monitor_state as ms
+    return ms.auc_from_state(_state(spark, sf_dir, ms.histograms, ms.HISTOGRAM_SCHEMA))
+
+
+@job("psi_sketches")
+def psi_sketches(spark, sf_dir):
+    """PSI from one bounded sketch per feature and month (approximate, so compared with the exact form in tests)."""
+    from churnlake.operators import monitor_state as ms
+    return ms.psi_from_sketches(_state(spark, sf_dir, ms.sketches, ms.SKETCH_SCHEMA))
+
+
 @job("confusion_matrix")
 def confusion_matrix(spark, sf_dir):
     return monitor.confusion_matrix(_with_prediction(_mon(spark, sf_dir)))
@@ -231,6 +268,54 @@ def snapshot_row_counts(spark, sf_dir):
     return quality.snapshot_row_counts(_layer_tables(_dm(spark, sf_dir)))
 
 
+@job("layer_funnel")
+def layer_funnel(spark, sf_dir):
+    dm = _dm(spark, sf_dir)
+    names = ("features", "meta", "labels")
+    return quality.layer_funnel({f: dm.raw[f] for f in names}, {f: dm.silver[f] for f in names})
+
+
+@job("preview_rows")
+def preview_rows(spark, sf_dir):
+    return quality.preview(_layer_tables(_dm(spark, sf_dir)), 5).drop("row_md5")
+
+
+# ---- change-driven backfill -------------------------------------------------------------
+
+def _deliveries(dm):
+    """Two deliveries of the raw feeds: the second brings new months of features, changed rows in May, other file
+    layouts, and lacks the meta rows of 1993."""
+    raw = dm.raw
+    date, number = F.col("Snapshot_Date"), F.substring("customerID", 2, 12).cast("int")
+    first = {"features": raw["features"].where(date < "1998-06-01"), "meta": raw["meta"], "labels": raw["labels"]}
+    tenure = F.when((F.substring(date, 6, 2) == "05") & (number % 10 == 0), F.lit("1")).otherwise(F.col("tenure"))
+    second = {"features": raw["features"].withColumn("tenure", tenure), "meta": raw["meta"].where(~date.startswith("1993")),
+              "labels": raw["labels"].repartition(3)}
+    last = raw["features"].agg(F.add_months(F.trunc(F.max(F.to_date(date)), "month"), 1).alias("snapshot_date"))
+    return first, second, feeds.month_calendar(raw["features"]).unionByName(last)
+
+
+@job("backfill_plan")
+def backfill_plan(spark, sf_dir):
+    """What a backfill of the second delivery has to rebuild after the first was built."""
+    from churnlake.plans.changes import backfill_plan as plan, month_digests
+    from churnlake.session import checkpoint
+    first, second, calendar = _deliveries(_dm(spark, sf_dir))
+    return plan(checkpoint(month_digests(second)), checkpoint(month_digests(first)), calendar)
+
+
+@job("backfill_changed")
+def backfill_changed(spark, sf_dir):
+    """The gold feature store after a first backfill and a change-driven one."""
+    from churnlake.plans import changes
+    from churnlake.schema import GOLD_FEATURE_SCHEMA
+    first, second, calendar = _deliveries(_dm(spark, sf_dir))
+    root = shared_path(spark, "mart")
+    changes.backfill_changed(spark, first, root, calendar)
+    changes.backfill_changed(spark, second, root, calendar)
+    return feeds.read_store(spark, f"{root}/gold/feature_store", schema=GOLD_FEATURE_SCHEMA)
+
+
 @job("cleaning_funnel_features")
 def cleaning_funnel_features(spark, sf_dir):
     return cleaning_funnel(_dm(spark, sf_dir).raw["features"], "features")
@@ -312,13 +397,15 @@ def mode_impute(spark, sf_dir):
 
 @job("batch_impute")
 def batch_impute(spark, sf_dir):
-    out = impute.batch_impute(_mset(spark, sf_dir), NUMERIC_FEATURES, CATEGORICAL_FEATURES, "Snapshot_Date")
+    """Every snapshot of the feature store with its own statistics."""
+    out = impute.batch_impute(_dm(spark, sf_dir).gold_features, NUMERIC_FEATURES, CATEGORICAL_FEATURES, "Snapshot_Date")
     return out.select("customerID", "Snapshot_Date", *NUMERIC_FEATURES, *CATEGORICAL_FEATURES)
 
 
 @job("constant_fill")
 def constant_fill(spark, sf_dir):
-    out = impute.constant_then_median_fill(_mset(spark, sf_dir), CONSTANT_FILLS, NUMERIC_FEATURES)
+    """The whole merged set, as the monitor fills it."""
+    out = impute.constant_then_median_fill(_dm(spark, sf_dir).eda, CONSTANT_FILLS, NUMERIC_FEATURES)
     return out.select("customerID", "Snapshot_Date", *NUMERIC_FEATURES)
 
 
@@ -375,14 +462,15 @@ def minmax_scale(spark, sf_dir):
 # ---- models (rows-only checks: fits are not SQL) ------------------------------------------
 
 
-# Budget of the registered tree jobs; the library's own defaults (100 trees; 50 points, 5 folds) take minutes a fit
-# and hours a search on one machine.
-GBT_TREES, GBT_DRAWS, GBT_FOLDS = 10, 2, 3
+# Budget of the registered tree search; the library's own default (50 points of 100 to 300 trees, 5 folds) takes
+# hours on one machine.  Single fits have the library's 100 trees.
+SEARCH_DRAWS, SEARCH_TREES = 2, [10]
 
 
 def _model_data(spark, sf_dir):
-    """Planted-label modelling parts, imputed, cached for the repeated fits of a search."""
-    return models.prepare(_parts(spark, sf_dir, planted=True)).cache()
+    """Planted-label modelling parts, imputed, written once for the repeated passes of a fit."""
+    from churnlake.session import checkpoint
+    return checkpoint(models.prepare(_parts(spark, sf_dir, planted=True)))
 
 
 def _train(data):
@@ -407,16 +495,16 @@ def lr_grid_search(spark, sf_dir):
 @job("gbt_base")
 def gbt_base(spark, sf_dir):
     data = _model_data(spark, sf_dir)
-    model = models.fit_pipeline(_train(data), models.gbt_estimator(GBT_TREES))
+    model = models.fit_pipeline(_train(data), models.gbt_estimator())
     return models.evaluate(model, data.where(F.col("part") == "test"), "gbt_base")
 
 
 @job("gbt_random_search")
 def gbt_random_search(spark, sf_dir):
-    """A small search: ``GBT_DRAWS`` points of the space, with ``GBT_TREES`` trees each."""
+    """A small search over all five folds: ``SEARCH_DRAWS`` points of the space with ``SEARCH_TREES`` trees."""
     train = _train(_model_data(spark, sf_dir))
-    points = models.tree_points(GBT_DRAWS, grid={**models.TREE_GRID, "n_estimators": [GBT_TREES]})
-    return models.search_table(spark, models.search(train, "gbt", points, GBT_FOLDS))
+    points = models.tree_points(SEARCH_DRAWS, grid={**models.TREE_GRID, "n_estimators": SEARCH_TREES})
+    return models.search_table(spark, models.search(train, "gbt", points))
 
 
 @job("oot_evaluation")
@@ -424,7 +512,7 @@ def oot_evaluation(spark, sf_dir):
     data = _model_data(spark, sf_dir)
     n = _train(data).count()
     lr = models.fit_pipeline(_train(data), models.lr_estimator(n, max_iter=1000))
-    gbt = models.fit_pipeline(_train(data), models.gbt_estimator(GBT_TREES))
+    gbt = models.fit_pipeline(_train(data), models.gbt_estimator())
     return models.evaluate(lr, data, "lr").unionByName(models.evaluate(gbt, data, "gbt"))
 
 
@@ -438,7 +526,7 @@ def lr_importance(spark, sf_dir):
 @job("gbt_importance")
 def gbt_importance(spark, sf_dir):
     data = _model_data(spark, sf_dir)
-    return models.importance(models.fit_pipeline(_train(data), models.gbt_estimator(GBT_TREES)), "gbt")
+    return models.importance(models.fit_pipeline(_train(data), models.gbt_estimator()), "gbt")
 
 
 @job("batch_scoring")
@@ -447,7 +535,7 @@ def batch_scoring(spark, sf_dir):
     dm = _dm(spark, sf_dir, planted=True)
     data = _model_data(spark, sf_dir)
     model_path = shared_path(spark, "model_gbt")
-    models.save(models.fit_pipeline(_train(data), models.gbt_estimator(GBT_TREES)), model_path)
+    models.save(models.fit_pipeline(_train(data), models.gbt_estimator()), model_path)
     store = shared_path(spark, "gold_feature_store")
     feeds.write_partitioned(dm.gold_features, store)
     cal = stores.calendar_dates(TRAIN_DATE)
@@ -536,3 +624,18 @@ def _bronze_stream(spark, sf_dir, feed):
 
 for _feed in ["features", "meta", "labels"]:
     REGISTRY[f"bronze_stream_{_feed}"] = lambda spark, sf_dir, feed=_feed: _bronze_stream(spark, sf_dir, feed)
+
+
+@job("bronze_stream_redelivery")
+def bronze_stream_redelivery(spark, sf_dir):
+    """Label drops ingested by the stream; the second drop delivers the first month of each quarter again, with
+    half of its customers and other labels, and so replaces these months."""
+    from churnlake.streaming.ingest import ingest_drops, read_drops
+    raw, root = _dm(spark, sf_dir).raw["labels"], shared_path(spark, "label_drops")
+    out, ckpt = shared_path(spark, "bronze_drops"), shared_path(spark, "bronze_drops_ckpt")
+    feeds.write_raw_csv(raw, f"{root}/drop-0001")
+    ingest_drops(spark, root, "labels", out, ckpt)
+    again = raw.where(F.substring("Snapshot_Date", 6, 2).isin("01", "04", "07", "10") & (F.substring("customerID", 2, 12).cast("int") % 2 == 0))
+    feeds.write_raw_csv(again.withColumn("Churn", F.when(F.col("Churn") == "Yes", "No").otherwise("Yes")), f"{root}/drop-0002")
+    ingest_drops(spark, root, "labels", out, ckpt, max_files_per_trigger=1)
+    return read_drops(spark, "labels", out)

@@ -109,3 +109,5 @@ SILVER_LABEL_SCHEMA = T.StructType(
      T.StructField("Snapshot_Date", T.DateType())]
 )
 SILVER_SCHEMAS = {"features": SILVER_FEATURE_SCHEMA, "meta": SILVER_META_SCHEMA, "labels": SILVER_LABEL_SCHEMA}
+_SILVER_FIELDS = {f.name: f for f in [*SILVER_FEATURE_SCHEMA.fields, *SILVER_META_SCHEMA.fields]}
+GOLD_FEATURE_SCHEMA = T.StructType([_SILVER_FIELDS[c] for c in GOLD_FEATURE_COLUMNS])

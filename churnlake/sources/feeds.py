@@ -79,15 +79,16 @@ def bronze(raw: DataFrame, snapshots: list[str] | None = None) -> DataFrame:
     return raw.where(cond)
 
 
-def write_partitioned(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str = "Snapshot_Date",
+def write_partitioned(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str | list[str] = "Snapshot_Date",
                       **options) -> None:
     """Overwrite only the partitions present in ``df`` (dynamic partition overwrite).
 
     The rows are rebalanced on ``partition_by`` first: a partition gets few files, and one that holds a large
     part of the rows is split over several tasks.
     """
-    (df.hint("rebalance", F.col(partition_by)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**options)
-     .partitionBy(partition_by).format(fmt).save(path))
+    by = [partition_by] if isinstance(partition_by, str) else partition_by
+    (df.hint("rebalance", *[F.col(c) for c in by]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .options(**options).partitionBy(*by).format(fmt).save(path))
 
 
 def write_bronze(df: DataFrame, path: str) -> None:
@@ -148,7 +149,6 @@ def read_predictions(spark: SparkSession, path: str, csv_path: str | None = None
 
 def write_predictions(df: DataFrame, path: str, csv_copy: str | None = None) -> None:
     """Predictions partitioned by model and snapshot; optional CSV copy written by the executors."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("model_name", "snapshot_date").parquet(path))
+    write_partitioned(df, path, partition_by=["model_name", "snapshot_date"])
     if csv_copy:
         df.write.mode("overwrite").option("header", True).csv(csv_copy)

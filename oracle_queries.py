@@ -490,19 +490,22 @@ ORACLE["mode_impute"] = with_split(
     "SELECT customerID, Snapshot_Date, part, "
     + ", ".join(f"coalesce({c}, {_mode_sql(c, 'parts', TRAIN_ONLY)}) AS {c}" for c in CATEGORICAL)
     + " FROM parts")
-ORACLE["batch_impute"] = with_split(
-    "SELECT customerID, Snapshot_Date, "
-    + ", ".join(f"coalesce(CAST({c} AS DOUBLE), (SELECT quantile_cont(x.{c}, 0.5) FROM ms x "
-                f"WHERE x.Snapshot_Date = ms.Snapshot_Date)) AS {c}" for c in NUMERIC) + ", "
-    + ", ".join(f"coalesce({c}, {_mode_sql(c, 'ms x', 'x.Snapshot_Date = ms.Snapshot_Date')}) AS {c}"
-                for c in CATEGORICAL)
-    + " FROM ms")
-ORACLE["constant_fill"] = with_split(
+ORACLE["batch_impute"] = with_base(
+    "SELECT g.customerID, g.Snapshot_Date, "
+    + ", ".join(f"coalesce(CAST(g.{c} AS DOUBLE), med.{c}) AS {c}" for c in NUMERIC) + ", "
+    + ", ".join(f"coalesce(g.{c}, md_{c}.v, 'Unknown') AS {c}" for c in CATEGORICAL)
+    + " FROM gold_features g JOIN med ON med.d = g.Snapshot_Date "
+    + " ".join(f"LEFT JOIN md_{c} ON md_{c}.d = g.Snapshot_Date" for c in CATEGORICAL),
+    ",\nmed AS (SELECT Snapshot_Date AS d, " + ", ".join(f"quantile_cont({c}, 0.5) AS {c}" for c in NUMERIC)
+    + " FROM gold_features GROUP BY 1)"
+    + "".join(f",\nmd_{c} AS (SELECT Snapshot_Date AS d, {c} AS v FROM gold_features WHERE {c} IS NOT NULL GROUP BY 1, 2 "
+              f"QUALIFY row_number() OVER (PARTITION BY Snapshot_Date ORDER BY count(*) DESC, {c}) = 1)" for c in CATEGORICAL))
+ORACLE["constant_fill"] = with_base(
     "SELECT customerID, Snapshot_Date, coalesce(CAST(tenure AS DOUBLE), 12.0) AS tenure, "
     "coalesce(MonthlyCharges, 50.0) AS MonthlyCharges, coalesce(TotalCharges, 600.0) AS TotalCharges, "
-    + ", ".join(f"coalesce(CAST({c} AS DOUBLE), (SELECT coalesce(quantile_cont({c}, 0.5), 0.0) FROM ms)) AS {c}"
+    + ", ".join(f"coalesce(CAST({c} AS DOUBLE), (SELECT coalesce(quantile_cont({c}, 0.5), 0.0) FROM eda)) AS {c}"
                 for c in NUMERIC if c not in ("tenure", "MonthlyCharges", "TotalCharges"))
-    + " FROM ms")
+    + " FROM eda")
 ORACLE["tenure_groups"] = with_base(
     f"SELECT customerID, Snapshot_Date, tenure, {tenure_group_sql()} AS tenure_group FROM gold_features")
 
@@ -539,8 +542,9 @@ EDA_COLUMNS = ["customerID", "tenure", "PhoneService"] + SIMPLE + [
     "PaperlessBilling", "PaymentMethod", "MonthlyCharges", "TotalCharges", "Snapshot_Date",
     "gender", "SeniorCitizen", "Partner", "Dependents", "Churn"]
 CODES = """,
-long AS (""" + " UNION ALL ".join(
-    f"SELECT customerID AS k_id, Snapshot_Date AS k_date, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM eda"
+eda_once AS MATERIALIZED (SELECT * FROM eda),
+long AS MATERIALIZED (""" + " UNION ALL ".join(
+    f"SELECT customerID AS k_id, Snapshot_Date AS k_date, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM eda_once"
     for c in EDA_COLUMNS) + """),
 firsts AS (SELECT column_name, value, k_date, k_id FROM (
    SELECT *, row_number() OVER (PARTITION BY column_name, value ORDER BY k_date, k_id) AS rn FROM long
@@ -569,3 +573,104 @@ ORACLE["onehot_drop_first"] = with_base(" UNION ALL ".join(
     f"SELECT g.customerID, g.Snapshot_Date, '{c}_' || v.v AS dummy, CAST(g.{c} = v.v AS INTEGER) AS value "
     f"FROM gold_features g, (SELECT DISTINCT {c} AS v FROM gold_features WHERE {c} IS NOT NULL "
     f"AND {c} > (SELECT min({c}) FROM gold_features)) v" for c in CATEGORICAL))
+
+
+# ---- layers, previews, incremental state ----------------------------------------------------------
+ORACLE["layer_funnel"] = with_base("""
+SELECT c.d AS snapshot_date, features_raw, CASE WHEN c.d IS NULL THEN features_raw - features_silver ELSE 0 END AS features_date_lost,
+  CASE WHEN c.d IS NULL THEN 0 ELSE features_raw - features_silver END AS features_rules_lost, features_silver,
+  meta_raw, CASE WHEN c.d IS NULL THEN meta_raw - meta_silver ELSE 0 END AS meta_date_lost,
+  CASE WHEN c.d IS NULL THEN 0 ELSE meta_raw - meta_silver END AS meta_rules_lost, meta_silver,
+  labels_raw, CASE WHEN c.d IS NULL THEN labels_raw - labels_silver ELSE 0 END AS labels_date_lost,
+  CASE WHEN c.d IS NULL THEN 0 ELSE labels_raw - labels_silver END AS labels_rules_lost, labels_silver,
+  (SELECT count(*) FROM silver_features f WHERE f.Snapshot_Date = c.d AND NOT EXISTS (
+     SELECT 1 FROM silver_meta m WHERE m.customerID = f.customerID AND m.Snapshot_Date = f.Snapshot_Date)) AS features_without_meta,
+  (SELECT count(*) FROM silver_meta m WHERE m.Snapshot_Date = c.d AND NOT EXISTS (
+     SELECT 1 FROM silver_features f WHERE m.customerID = f.customerID AND m.Snapshot_Date = f.Snapshot_Date)) AS meta_without_features,
+  (SELECT count(*) FROM gold_features g WHERE g.Snapshot_Date = c.d) AS gold_rows,
+  (SELECT count(*) FROM gold_features g WHERE g.Snapshot_Date = c.d AND NOT EXISTS (
+     SELECT 1 FROM silver_labels l WHERE l.customerID = g.customerID AND l.Snapshot_Date = g.Snapshot_Date)) AS gold_without_label,
+  (SELECT count(*) FROM silver_labels l WHERE l.Snapshot_Date = c.d AND NOT EXISTS (
+     SELECT 1 FROM gold_features g WHERE l.customerID = g.customerID AND l.Snapshot_Date = g.Snapshot_Date)) AS labels_without_gold
+FROM counted c""", ",\ncounted AS (SELECT d, " + ", ".join(
+    f"CAST(count_if(t = '{f}_{x}') AS BIGINT) AS {f}_{x}" for f in ("features", "meta", "labels") for x in ("raw", "silver"))
+    + " FROM (" + " UNION ALL ".join(
+        [f"SELECT {_date('Snapshot_Date')} AS d, '{f}_raw' AS t FROM raw_{f}" for f in ("features", "meta", "labels")]
+        + [f"SELECT Snapshot_Date, '{f}_silver' FROM silver_{f}" for f in ("features", "meta", "labels")]) + ") GROUP BY d)")
+ORACLE["preview_rows"] = with_base(f"""
+SELECT layer, feed, d AS snapshot_date, CAST(place AS INTEGER) AS place, customerID FROM (
+  SELECT *, row_number() OVER (PARTITION BY layer, feed, d ORDER BY customerID) AS place FROM (
+    {" UNION ALL ".join(f"SELECT '{l}' AS layer, '{f}' AS feed, {_snap(l)} AS d, customerID FROM {t}" for l, f, t in LAYERS)}))
+WHERE place <= 5""")
+ORACLE["psi_incremental"] = ORACLE["psi_report"]
+ORACLE["auc_incremental"] = ORACLE["monthly_auc"]
+ORACLE["kde_binned_charges"] = with_mon("""
+SELECT feature, month_start, CAST(p AS INTEGER) AS point, round(g0 + p * step, 6) AS x,
+  round((SELECT sum(b.m * exp(-0.5 * pow((s.g0 + p * s.step - (s.lo + b.bin * s.w)) / s.bw, 2))) FROM bins b
+         WHERE b.month_start = s.month_start) / (n * bw * sqrt(2 * pi())), 6) AS density
+FROM stats s, range(0, 200) r(p)""", """,
+stats AS (SELECT feature, month_start, n, bw, lo, bw / 32 AS w, lo - bw * 3.0 AS g0, (hi - lo + 2 * bw * 3.0) / 199 AS step
+  FROM (SELECT feature, month_start, count(*) AS n, stddev_samp(value) * pow(count(*), -0.2) AS bw, min(value) AS lo, max(value) AS hi
+        FROM vals WHERE feature = 'monthly_charges' AND value IS NOT NULL GROUP BY 1, 2 HAVING count(*) >= 2 AND stddev_samp(value) > 0)),
+placed AS (SELECT v.month_start, (v.value - s.lo) / s.w AS q FROM vals v JOIN stats s USING (feature, month_start) WHERE v.value IS NOT NULL),
+bins AS (SELECT month_start, bin, sum(m) AS m FROM (
+  SELECT month_start, floor(q) AS bin, 1 - (q - floor(q)) AS m FROM placed
+  UNION ALL SELECT month_start, floor(q) + 1, q - floor(q) FROM placed) GROUP BY 1, 2)""")
+
+# ---- change-driven backfill, drops delivered again ---------------------------------------------------
+_RAW_ORDER = {
+    "features": ["customerID", "tenure", "PhoneService", *SIMPLE, "PaperlessBilling", "PaymentMethod", "MonthlyCharges",
+                 "TotalCharges", "Snapshot_Date"],
+    "meta": ["customerID", "gender", "SeniorCitizen", "Partner", "Dependents", "Snapshot_Date"],
+    "labels": ["customerID", "Churn", "Snapshot_Date"]}
+
+
+def _digest_sql(feed: str, table: str) -> str:
+    text = " || chr(31) || ".join(f"CASE WHEN {c} IS NULL THEN '-' ELSE '=' || {c} END" for c in _RAW_ORDER[feed])
+    return (f"SELECT '{feed}' AS feed, d, count(*) AS n, CAST(sum(('0x' || substr(h, 1, 15))::BIGINT) AS VARCHAR) || ':' || "
+            f"CAST(sum(('0x' || substr(h, 16, 15))::BIGINT) AS VARCHAR) AS digest "
+            f"FROM (SELECT {_date('Snapshot_Date')} AS d, md5({text}) AS h FROM {table}) WHERE d IS NOT NULL GROUP BY d")
+
+
+_DELIVERIES = """,
+f1 AS (SELECT * FROM raw_features WHERE Snapshot_Date < '1998-06-01'),
+f2 AS (SELECT * REPLACE (CASE WHEN substr(Snapshot_Date, 6, 2) = '05' AND CAST(substr(customerID, 2) AS INTEGER) % 10 = 0
+                         THEN '1' ELSE tenure END AS tenure) FROM raw_features),
+m2 AS (SELECT * FROM raw_meta WHERE Snapshot_Date NOT LIKE '1993%')"""
+ORACLE["backfill_plan"] = with_base("""
+SELECT CAST(step AS INTEGER) AS step, layer, feed, d AS snapshot_date,
+  CASE s WHEN 'missing' THEN 'wait' WHEN 'removed' THEN 'keep' WHEN 'unchanged' THEN 'skip' ELSE 'rebuild' END AS action, s AS reason
+FROM seen, (VALUES (1, 'bronze'), (2, 'silver')) t(step, layer)
+UNION ALL
+SELECT 3, 'gold', 'feature_store', d, CASE WHEN 'missing' IN (f, m) THEN 'wait' WHEN 'removed' IN (f, m) THEN 'keep'
+    WHEN 'new' IN (f, m) OR 'changed' IN (f, m) THEN 'rebuild' ELSE 'skip' END,
+  CASE WHEN f = 'unchanged' AND m = 'unchanged' THEN 'unchanged'
+    ELSE concat_ws(', ', CASE WHEN f <> 'unchanged' THEN 'features ' || f END, CASE WHEN m <> 'unchanged' THEN 'meta ' || m END) END
+FROM wide
+UNION ALL
+SELECT 3, 'gold', 'label_store', d, CASE l WHEN 'missing' THEN 'wait' WHEN 'removed' THEN 'keep' WHEN 'unchanged' THEN 'skip' ELSE 'rebuild' END,
+  CASE WHEN l = 'unchanged' THEN l ELSE 'labels ' || l END
+FROM wide""", _DELIVERIES + f""",
+now_ AS MATERIALIZED ({_digest_sql('features', 'f2')} UNION ALL {_digest_sql('meta', 'm2')} UNION ALL {_digest_sql('labels', 'raw_labels')}),
+was_ AS MATERIALIZED ({_digest_sql('features', 'f1')} UNION ALL {_digest_sql('meta', 'raw_meta')} UNION ALL {_digest_sql('labels', 'raw_labels')}),
+cal AS (SELECT CAST(unnest(generate_series(min(d), max(d) + INTERVAL 1 MONTH, INTERVAL 1 MONTH)) AS DATE) AS d
+        FROM (SELECT CAST(date_trunc('month', {_date('Snapshot_Date')}) AS DATE) AS d FROM raw_features)),
+months AS (SELECT d, feed FROM cal, (VALUES ('features'), ('meta'), ('labels')) x(feed) UNION SELECT d, feed FROM now_ UNION SELECT d, feed FROM was_),
+seen AS (SELECT k.feed, k.d, CASE WHEN n.digest IS NULL AND w.digest IS NULL THEN 'missing' WHEN n.digest IS NULL THEN 'removed'
+           WHEN w.digest IS NULL THEN 'new' WHEN n.digest = w.digest AND n.n = w.n THEN 'unchanged' ELSE 'changed' END AS s
+         FROM months k LEFT JOIN now_ n USING (feed, d) LEFT JOIN was_ w USING (feed, d)),
+wide AS (SELECT d, max(s) FILTER (feed = 'features') AS f, max(s) FILTER (feed = 'meta') AS m, max(s) FILTER (feed = 'labels') AS l
+         FROM seen GROUP BY d)""")
+# months whose meta rows are gone keep what the first delivery built
+ORACLE["backfill_changed"] = (
+    "SELECT * FROM (" + with_base("SELECT * FROM gold_features") + ") WHERE year(Snapshot_Date) = 1993 UNION ALL BY NAME SELECT * FROM ("
+    + with_base("SELECT * FROM gold_features").replace(
+        "FROM raw_features WHERE", "FROM (SELECT * REPLACE (CASE WHEN substr(Snapshot_Date, 6, 2) = '05' AND "
+        "CAST(substr(customerID, 2) AS INTEGER) % 10 = 0 THEN '1' ELSE tenure END AS tenure) FROM raw_features) WHERE")
+    + ") WHERE year(Snapshot_Date) <> 1993")
+ORACLE["bronze_stream_redelivery"] = with_base("""
+SELECT customerID, Churn, Snapshot_Date FROM raw_labels
+WHERE TRY_STRPTIME(Snapshot_Date, '%Y-%m-%d') IS NOT NULL AND Snapshot_Date NOT IN (SELECT Snapshot_Date FROM redelivered)
+UNION ALL SELECT customerID, Churn, Snapshot_Date FROM redelivered""", """,
+redelivered AS (SELECT customerID, CASE WHEN Churn = 'Yes' THEN 'No' ELSE 'Yes' END AS Churn, Snapshot_Date FROM raw_labels
+  WHERE substr(Snapshot_Date, 6, 2) IN ('01', '04', '07', '10') AND CAST(substr(customerID, 2) AS INTEGER) % 2 = 0)""")
