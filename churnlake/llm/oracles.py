@@ -70,7 +70,7 @@ FROM texts t LEFT JOIN hit_words a USING (doc_id) LEFT JOIN hit_items b USING (d
 
 
 def _op1() -> str:
-    from churnlake.llm.licences import PHRASES, TEMPLATES, THRESHOLD, template_words
+    from churnlake.llm.licences import LINES, PHRASES, TEMPLATES, THRESHOLD, template_words
 
     def quoted(words: list[str]) -> str:
         return "[" + ", ".join(f"'{w}'" for w in words) + "]"
@@ -87,11 +87,15 @@ starts AS (
   FROM (SELECT doc_id, w, unnest(generate_series(1, len(w))) AS i FROM tokens), phrases
   WHERE w[i] = p[1] AND w[i : i + len(p) - 1] = p),
 base AS (SELECT doc_id, count(*) AS n, min(place) AS a, max(place) AS z FROM starts GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, list_transform(string_split(lt, chr(10)), lambda s: list_intersect(list_distinct(regexp_extract_all(s, '{WORD}')), kw)) AS ls
+  FROM texts, (SELECT list_distinct(flatten(list(t))) AS kw FROM forms)),
+-- of each run of up to {LINES} lines the words of any template
 blocks AS (
-  SELECT doc_id, list_distinct(regexp_extract_all(line, '{WORD}')) AS b
-  FROM (SELECT doc_id, unnest(string_split(lt, chr(10))) AS line FROM texts)),
+  SELECT doc_id, list_distinct(flatten(ls[i : i + j - 1])) AS b
+  FROM (SELECT doc_id, ls, j, unnest(generate_series(1, len(ls) - j + 1)) AS i FROM lines, generate_series(1, {LINES}) g(j))),
 matches AS (
-  SELECT doc_id, label, CAST(len(list_intersect(t, b)) AS DOUBLE) / len(t) AS c FROM blocks, forms),
+  SELECT doc_id, label, CAST(len(list_intersect(t, b)) AS DOUBLE) / len(t) AS c FROM blocks, forms WHERE len(b) >= {THRESHOLD} * len(t) - 1e-9),
 best AS (SELECT doc_id, max(c) AS c FROM matches WHERE c >= {THRESHOLD} - 1e-9 GROUP BY doc_id),
 base_labels AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS ls FROM (SELECT DISTINCT doc_id, label FROM starts) GROUP BY doc_id),
 all_labels AS (

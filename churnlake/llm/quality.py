@@ -129,8 +129,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLE
     """(label, text) of the documents of at most ``limit`` labelled ids."""
     picked = (labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("l_id"))
               .agg(F.max("quality").cast("int").alias("label")).orderBy(F.xxhash64("l_id"), "l_id").limit(limit))
-    texts = docs.select(F.col("doc_id").alias("d_id"), text_of().alias("text")).dropDuplicates(["d_id", "text"])
-    return texts.join(F.broadcast(picked), F.col("d_id") == F.col("l_id")).select("label", "text", "d_id")
+    texts = docs.select(F.col("doc_id").alias("d_id"), text_of().alias("text"))
+    # rows repeated by a re-delivered table count once; only the sample's texts are shuffled for that
+    return texts.join(F.broadcast(picked), F.col("d_id") == F.col("l_id")).groupBy("d_id", "label", "text").agg(F.count(F.lit(1)).alias("n"))
 
 
 @dataclass

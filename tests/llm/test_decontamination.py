@@ -2,7 +2,6 @@ import random
 import re
 from collections import Counter
 
-from churnlake.llm.common import broadcast_if_small
 from churnlake.llm.decontamination import contamination, decontaminate
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -36,14 +35,12 @@ def cases():
     return texts, items
 
 
-def test_against_plain_search(spark, monkeypatch):
+def test_against_plain_search(spark):
     texts, items = cases()
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     bench = spark.createDataFrame(items, "item_id long, text string")
     for limit in (64 << 20, 0):     # with a broadcast and with a shuffle
-        monkeypatch.setattr("churnlake.llm.decontamination.broadcast_if_small",
-                            lambda df, size, limit=limit: broadcast_if_small(df, size, limit))
-        got = {r["doc_id"]: (r["n_words"], r["hit"], r["items"]) for r in contamination(docs, bench).collect()}
+        got = {r["doc_id"]: (r["n_words"], r["hit"], r["items"]) for r in contamination(docs, bench, limit=limit).collect()}
         assert got == {i: plain(t, items) for i, t in enumerate(texts)}
 
 
@@ -70,3 +67,23 @@ def test_odd_rows(spark, odd_docs):
     assert contamination(odd_docs.limit(0), bench).count() == 0
     assert all(not r["hit"] for r in contamination(odd_docs, bench.limit(0)).collect())
     assert decontaminate(odd_docs, bench.limit(0)).count() == odd_docs.count()
+
+
+def test_long_text_and_shared_window(spark):
+    """A text of 20,000 words, and a prompt that all of 3,000 items share, in both forms of the join."""
+    prompt = "answer the next question with one word and nothing else please"
+    bench = spark.createDataFrame([(i, f"{prompt} number {i}") for i in range(3000)], "item_id long, text string")
+    long = " ".join(f"w{i % 977}" for i in range(10000)) + f" {prompt} " + " ".join(f"v{i % 331}" for i in range(9989))
+    docs = spark.createDataFrame([(1, long, "x"), (2, "w1 w2", "y")], "doc_id long, text string, set string")
+    for limit in (64 << 20, 0):
+        got = {r["doc_id"]: r for r in contamination(docs, bench, limit=limit).collect()}
+        assert got[1]["hit"] == list(range(10000, 10011)) and len(got[1]["items"]) == 3000 and got[1]["n_words"] == 20000
+        assert got[2]["hit"] == [] and got[2]["items"] == []
+
+
+def test_clashing_columns(spark):
+    names = ["doc_id", "text", "hit", "key_id", "key_h", "bad_id", "c_0", "rid", "__id", "__h", "words", "cleaned"]
+    docs = spark.createDataFrame([(1, "a b", *[f"v{i}" for i in range(10)]), (2, "only the", *["w"] * 10)], names)
+    bench = spark.createDataFrame([(1, "only the")], "item_id long, text string")
+    assert [tuple(r) for r in decontaminate(docs, bench).collect()] == [(1, "a b", *[f"v{i}" for i in range(10)])]
+    assert {r["text"] for r in decontaminate(docs, bench, remove="spans").collect()} == {"a b", ""}

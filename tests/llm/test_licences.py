@@ -1,5 +1,6 @@
 import random
 import re
+import textwrap
 
 from churnlake.llm.licences import PHRASES, TEMPLATES, scan, template_words
 
@@ -20,11 +21,12 @@ def plain(text, templates, threshold):
         starts += at
         labels |= {label} if at else set()
     matches = set()
-    for i, line in enumerate(low.split("\n")):
-        b = set(WORD.findall(line))
+    lines = low.split("\n")
+    for i, n in ((i, n) for n in range(1, 5) for i in range(len(lines) - n + 1)):
+        b = set(WORD.findall("\n".join(lines[i:i + n])))
         for label, t in template_words(templates):
             if len(b & set(t)) >= threshold * len(t) - 1e-9:
-                matches.add((i, label, len(b & set(t)) / len(t)))
+                matches.add((i, n, label, len(b & set(t)) / len(t)))
     return len(words), sorted(starts), labels, matches
 
 
@@ -34,7 +36,7 @@ def agree(df, templates=TEMPLATES, threshold=0.8):
     for r in got:
         n, starts, labels, matches = plain(r["text"], templates, threshold)
         assert (r["n_words"], r["starts"], set(r["base_labels"])) == (n, starts, labels)
-        assert {(m["line"], m["label"], m["containment"]) for m in r["matches"]} == matches
+        assert {(m["line"], m["lines"], m["label"], m["containment"]) for m in r["matches"]} == matches
 
 
 def test_random_blocks(spark):
@@ -61,3 +63,11 @@ def test_odd_rows(odd_docs):
     agree(odd_docs)
     assert scan(odd_docs.limit(0)).count() == 0
     assert scan(odd_docs, templates=()).count() == odd_docs.count()
+
+
+def test_wrapped_licenses(spark):
+    """Every template, wrapped at 78 columns and starting inside a line, is found."""
+    for indent in (0, 30, 70):
+        rows = [(label, textwrap.fill("x" * indent + " " + text, 78) + "\nOther words follow here.") for label, text in TEMPLATES]
+        got = scan(spark.createDataFrame(rows, "want string, text string"), ("want",)).collect()
+        assert all(r["want"] in {m["label"] for m in r["matches"]} for r in got) and len(got) == len(TEMPLATES)
