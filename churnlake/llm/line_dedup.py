@@ -16,155 +16,160 @@ extended word by word.  Only the texts of a pair are read again for that.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlake.llm.common import all_of, broadcast_if_small, load, text_of
+from churnlake.llm.tokens import LOWER, buffers, hash_words, mixed, word_table
 from churnlake.session import checkpoint
 
 GRAM_WORDS = 25
 SURE_WORDS = 50
-_STOP = re.compile(r"[.!?]+(?=[\x20\x09\x0B-\x0D])")
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+HOT_PAIRS = 256         # pairs of one source that one task may hold
 _FACTOR = 0x9E3779B97F4A7C15
-_TOGETHER = 1 << 16     # words whose prints are taken in one go
+_INVERSE = pow(_FACTOR, -1, 1 << 64)
+_TOGETHER = 1 << 21     # bytes of whole texts that are taken in one go
+_STOPS = np.zeros(256, bool)
+_STOPS[list(b".!?")] = True
 
 
-def units(text: str, all_words: list[bytes] | None = None) -> list[tuple[int, int, int, int]]:
-    """(hash, words, start, end) of the non-empty units: lines, cut after . ! ? before white space; their words
-    are added to ``all_words``."""
-    out = []
-    at = 0
-    for line in text.split("\n"):
-        a = 0
-        for b in [*[m.end() for m in _STOP.finditer(line)], len(line)]:
-            words = line[a:b].encode("utf-8", "surrogatepass").lower().split()
-            if words:
-                h = xxhash.xxh64_intdigest(b" ".join(words))
-                out.append((h - (1 << 64) if h >> 63 else h, len(words), at + a, at + b))
-                if all_words is not None:
-                    all_words += words
-            a = b
-        at += len(line) + 1
+def _powers(factor: int, n: int) -> np.ndarray:
+    return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(max(n - 1, 0), factor, np.uint64)]))
+
+
+def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each run values[start:end], the same wherever the run stands: differences of prefix sums."""
+    n = len(values) + 1
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * _powers(_FACTOR, n)[:-1], dtype=np.uint64)])
+    return mixed((sums[ends] - sums[starts]) * _powers(_INVERSE, n)[starts])
+
+
+def unit_table(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
+    """The words and the non-empty units of a block of texts, as flat arrays.
+
+    Units are lines, cut after . ! ? before white space.  ``word``: hashes of all words (A-Z lower-cased),
+    ``word_row``: their text; of each unit ``row``, ``hash``, ``words``, and ``start``, ``end`` in characters.
+    """
+    starts, ends, row = word_table(data, offsets)
+    word = hash_words(LOWER[data], starts, ends)
+    if not len(starts):
+        none = np.zeros(0, np.int64)
+        return {"word": word, "word_row": none, "row": none, "hash": word, "words": none, "start": none, "end": none}
+    breaks = np.flatnonzero(data == 10)
+    line = np.searchsorted(breaks, starts)          # line breaks before the word
+    text_start, text_end = offsets[row], offsets[row + 1]
+    new_line = np.ones(len(starts), bool)
+    new_line[1:] = (line[1:] != line[:-1]) | (row[1:] != row[:-1])
+    last = np.append(new_line[1:], True)
+    stop = _STOPS[data[ends - 1]] & (ends < text_end) & (data[np.minimum(ends, len(data) - 1)] != 10)
+    at = np.flatnonzero(last | stop)
+    first = np.concatenate([[0], at[:-1] + 1])
+    around = np.concatenate([[-1], breaks, [len(data)]])
+    start = np.where(new_line[first], np.maximum(text_start[first], around[line[first]] + 1), ends[first - 1])
+    end = np.where(stop[at], ends[at], np.minimum(text_end[at], around[line[at] + 1]))
+    chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    return {"word": word, "word_row": row, "row": row[at], "hash": run_hashes(word, first, at + 1), "words": at + 1 - first,
+            "start": chars[start] - chars[text_start[at]], "end": chars[end] - chars[text_start[at]]}
+
+
+def _later(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Of two places the one with the smaller value, the later one of equal ones."""
+    return np.where(values[a] == values[b], np.maximum(a, b), np.where(values[b] < values[a], b, a))
+
+
+def smallest_between(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Place of the smallest value in each values[first:last + 1], the last one of equal ones."""
+    if not len(first):
+        return np.zeros(0, np.int64)
+    level = np.floor(np.log2(last - first + 1)).astype(np.int64)
+    out, at, size = np.zeros(len(first), np.int64), np.arange(len(values)), 1
+    for k in range(int(level.max()) + 1):
+        mine = level == k
+        out[mine] = _later(values, at[first[mine]], at[last[mine] - size + 1])
+        if size < len(at):
+            at = _later(values, at[:-size], at[size:])
+        size *= 2
     return out
 
 
-def fingerprints(hashes: list[int], words: list[int], gram: int = GRAM_WORDS, sure: int = SURE_WORDS) -> list[tuple[int, int, int]]:
-    """Winnowed (hash, first unit, units) of a sequence of units."""
-    if sum(words) < sure:
-        return []
+def unit_prints(hashes: np.ndarray, words: np.ndarray, row: np.ndarray, gram: int = GRAM_WORDS,
+                sure: int = SURE_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Winnowed (hash, first unit, units) of the units of a block of texts: of the grams inside each shortest run
+    with ``sure`` words the one with the smallest hash."""
+    n = len(hashes)
     total = np.concatenate([[0], np.cumsum(words)])
-    gram_end = np.searchsorted(total, total[:-1] + gram).tolist()      # end (exclusive) of the gram from each unit
-    sure_end = np.searchsorted(total, total[:-1] + sure).tolist()
-    packed = np.array(hashes, "<i8").tobytes()
-    value = {}
-    chosen = set()
-    for i in range(len(words)):
-        if sure_end[i] > len(words):
-            break
-        best = None
-        for j in range(i, len(words)):
-            if gram_end[j] > sure_end[i]:
-                break
-            if j not in value:
-                value[j] = xxhash.xxh64_intdigest(packed[8 * j:8 * gram_end[j]])
-            if best is None or value[j] <= value[best]:
-                best = j
-        chosen.add(best)
-    return [(value[j] - (1 << 64) if value[j] >> 63 else value[j], j, gram_end[j] - j) for j in sorted(chosen)]
-
-
-class _Hashes(dict):
-    """Hashes of words, kept while there are few."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1 << 19:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
-
-
-def word_hashes(words: list[bytes], known: _Hashes) -> np.ndarray:
-    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-
-
-def _gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
-    """Hash of each run of n words, from those of runs of 1, 2, 4, ... words."""
-    out, have, part, size = None, 0, words, 1
-    while True:
-        factor = np.uint64(pow(_FACTOR, size, 1 << 64))
-        if n & size:
-            if out is None:
-                out = part
-            else:
-                tail = part[have:]
-                out = out[:len(tail)] * factor + tail
-            have += size
-        if 2 * size > n:
-            break
-        part = part[:-size] * factor + part[size:]
-        size *= 2
-    out = out ^ (out >> np.uint64(33))
-    out = out * np.uint64(0xFF51AFD7ED558CCD)
-    return out ^ (out >> np.uint64(29))
-
-
-def _smallest(values: np.ndarray, n: int) -> np.ndarray:
-    """Place of the smallest of each n values in a row, the last one of equal ones."""
-    at, size = np.arange(len(values)), 1
-    while size < n:
-        step = min(size, n - size)
-        left, right = at[:-step], at[step:]
-        at = np.where(values[right] <= values[left], right, left)
-        size += step
-    return at
-
-
-def word_prints(texts: list[np.ndarray], gram: int = GRAM_WORDS, sure: int = SURE_WORDS) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Winnowed (hashes, first words) of the grams of each text, from its word hashes."""
-    sizes = np.array([len(t) for t in texts], dtype=np.int64)
-    ends = np.cumsum(sizes)
-    words = np.concatenate(texts) if texts else np.zeros(0, np.uint64)
-    if len(words) < sure:
-        return [(np.zeros(0, np.int64), np.zeros(0, np.int32)) for _ in texts]
-    value = _gram_hashes(words, gram)
-    at = _smallest(value, sure - gram + 1)
-    inside = np.arange(len(at)) + sure <= np.repeat(ends, sizes)[:len(at)]
-    at = np.unique(at[inside])
-    value = value[at].view(np.int64)
-    cuts = [0, *np.searchsorted(at, ends).tolist()]
-    return [(value[a:b], (at[a:b] - first).astype(np.int32)) for a, b, first in zip(cuts, cuts[1:], (ends - sizes).tolist())]
-
-
-_UNITS = ("struct<hashes:array<bigint>,words:array<int>,starts:array<int>,ends:array<int>,"
-          "p_h:array<bigint>,p_pos:array<int>,p_n:array<int>,w_h:array<bigint>,w_pos:array<int>>")
-
-
-def _units_of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    known = _Hashes()
-    for texts in batches:
-        rows, by_word, held, size = [], [], [], 0
-        for t in texts:
-            words: list[bytes] = []
-            u = units(t, words)
-            cols = [list(c) for c in zip(*u)] if u else [[], [], [], []]
-            prints = fingerprints(cols[0], cols[1])
-            rows.append((*cols, *([list(c) for c in zip(*prints)] if prints else [[], [], []])))
-            held.append(word_hashes(words, known))
-            size += len(held[-1])
-            if size >= _TOGETHER:
-                by_word += word_prints(held)
-                held, size = [], 0
-        by_word += word_prints(held)
-        yield pd.DataFrame([(*r, h, p) for r, (h, p) in zip(rows, by_word)],
-                           columns=["hashes", "words", "starts", "ends", "p_h", "p_pos", "p_n", "w_h", "w_pos"])
+    text_end = np.searchsorted(row, row, side="right")
+    gram_end = np.searchsorted(total, total[:-1] + gram)        # end (exclusive) of the gram from each unit
+    sure_end = np.searchsorted(total, total[:-1] + sure)
+    at = np.flatnonzero(sure_end <= text_end)
+    whole = np.flatnonzero(gram_end <= n)
+    values = np.zeros(n, np.uint64)
+    values[whole] = run_hashes(hashes, whole, gram_end[whole])
+    last = np.searchsorted(gram_end, sure_end[at], side="right") - 1
+    chosen = np.unique(smallest_between(values, at, last))
+    return values[chosen], chosen, gram_end[chosen] - chosen
+
+
+def word_prints(words: np.ndarray, row: np.ndarray, gram: int = GRAM_WORDS, sure: int = SURE_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Winnowed (hash, first word) of the grams of words of a block of texts."""
+    n = len(words)
+    if n < sure:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    at = np.arange(n - gram + 1)
+    values = run_hashes(words, at, at + gram)
+    inside = np.flatnonzero(np.arange(n - sure + 1) + sure <= np.searchsorted(row, row[:n - sure + 1], side="right"))
+    chosen = np.unique(smallest_between(values, inside, inside + sure - gram))
+    return values[chosen], chosen
+
+
+def _blocks(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(first, end) of blocks of whole texts."""
+    at, n = 0, len(offsets) - 1
+    while at < n:
+        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + _TOGETHER, side="right")) - 1)
+        yield at, end
+        at = end
+
+
+_UNITS = {"hashes": "bigint", "words": "int", "starts": "int", "ends": "int", "p_h": "bigint", "p_pos": "int", "p_n": "int",
+          "w_h": "bigint", "w_pos": "int"}
+
+
+def _text_units(data: np.ndarray, offsets: np.ndarray) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """Values and number of values per text of each column of ``_UNITS``."""
+    n = len(offsets) - 1
+    t = unit_table(data, offsets)
+    count = lambda row: np.bincount(row, minlength=n)
+    first_unit = np.searchsorted(t["row"], np.arange(n))
+    first_word = np.searchsorted(t["word_row"], np.arange(n))
+    p_h, p_at, p_n = unit_prints(t["hash"], t["words"], t["row"])
+    w_h, w_at = word_prints(t["word"], t["word_row"])
+    p_row, w_row = t["row"][p_at], t["word_row"][w_at]
+    units, prints, words = count(t["row"]), count(p_row), count(w_row)
+    return {"hashes": (t["hash"].view(np.int64), units), "words": (t["words"], units), "starts": (t["start"], units),
+            "ends": (t["end"], units), "p_h": (p_h.view(np.int64), prints), "p_pos": (p_at - first_unit[p_row], prints),
+            "p_n": (p_n, prints), "w_h": (w_h.view(np.int64), words), "w_pos": (w_at - first_word[w_row], words)}
+
+
+def _units_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The text, the last column, replaced by its units and fingerprints."""
+    for batch in batches:
+        data, offsets = buffers(batch.column(batch.num_columns - 1))
+        parts = [_text_units(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]) for a, b in _blocks(offsets)]
+        columns = []
+        for name, kind in _UNITS.items():
+            values = np.concatenate([p[name][0] for p in parts]) if parts else np.zeros(0, np.int64)
+            sizes = np.concatenate([p[name][1] for p in parts]) if parts else np.zeros(0, np.int64)
+            columns.append(pa.ListArray.from_arrays(
+                pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()),
+                pa.array(values, pa.int64() if kind == "bigint" else pa.int32())))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=[*batch.schema.names[:-1], *_UNITS])
 
 
 def extend(own: np.ndarray, other: np.ndarray, seeds: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
@@ -186,10 +191,21 @@ def extend(own: np.ndarray, other: np.ndarray, seeds: list[tuple[int, int, int]]
     return [r for held in runs.values() for r in held]
 
 
-def _extended(own: pd.Series, other: pd.Series, seeds: pd.Series) -> pd.Series:
-    return pd.Series([
-        [{"a": a, "b": b} for a, b in extend(np.asarray(o), np.asarray(t), [(s["pos"], s["at"], s["n"]) for s in w])]
-        for o, t, w in zip(own, other, seeds)])
+def _lists(column: pa.Array) -> list[np.ndarray]:
+    """The rows of a list column, as views of its values."""
+    values = column.flatten().to_numpy(zero_copy_only=False)
+    cuts = np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+    return [values[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+
+
+def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(r_rid, a, b) from (rid, own, other, pos, at, n)."""
+    for batch in batches:
+        out = []
+        for rid, own, other, pos, at, n in zip(batch.column(0).to_pylist(), *[_lists(c) for c in batch.columns[1:]]):
+            out += [(rid, a, b) for a, b in extend(own, other, list(zip(pos.tolist(), at.tolist(), n.tolist())))]
+        yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.int32()))],
+                                         names=["r_rid", "a", "b"])
 
 
 def _same_for(a: np.ndarray, b: np.ndarray) -> int:
@@ -228,20 +244,33 @@ def extend_words(own: np.ndarray, other: np.ndarray, seeds: list[tuple[int, int]
     return runs
 
 
-_WORD_RUNS = "array<struct<a:int,b:int,start:int,end:int>>"
-
-
-def _words_extended(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    known = _Hashes()
-    for own, other, seeds in batches:
-        out = []
-        for o, t, w in zip(own, other, seeds):
-            o, t = zlib.decompress(o), zlib.decompress(t)
-            own_words, other_words = o.lower().split(), t.lower().split()
-            runs = extend_words(word_hashes(own_words, known), word_hashes(other_words, known), [(s["pos"], s["at"]) for s in w])
-            at = [m.span() for m in _WORD.finditer(o.decode("utf-8", "surrogatepass"))] if runs else []
-            out.append([{"a": a, "b": b, "start": at[a][0], "end": at[b - 1][1]} for a, b in runs])
-        yield pd.Series(out, dtype=object)
+def _words_extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(w_rid, a, b, start, end) from (rid, own, other, pos, at); the texts come compressed."""
+    for batch in batches:
+        rids, seeds = batch.column(0).to_pylist(), list(zip(_lists(batch.column(3)), _lists(batch.column(4))))
+        packed = [c.to_pylist() for c in batch.columns[1:3]]
+        out, at = [], 0
+        while at < len(rids):
+            texts, first, held = [], at, 0
+            while at < len(rids) and (at == first or held < _TOGETHER):
+                texts += [zlib.decompress(packed[0][at]), zlib.decompress(packed[1][at])]
+                held += len(texts[-1]) + len(texts[-2])
+                at += 1
+            data = np.frombuffer(b"".join(texts), np.uint8)
+            offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+            starts, ends, row = word_table(data, offsets)
+            words = hash_words(LOWER[data], starts, ends)
+            cuts = np.searchsorted(row, np.arange(len(texts) + 1)).tolist()
+            for k, i in enumerate(range(first, at)):
+                a, b, c = cuts[2 * k:2 * k + 3]
+                runs = extend_words(words[a:b], words[b:c], list(zip(seeds[i][0].tolist(), seeds[i][1].tolist())))
+                if not runs:
+                    continue
+                chars = np.concatenate([[0], np.cumsum((data[offsets[2 * k]:offsets[2 * k + 1]] & 0xC0) != 0x80)])
+                own_start, own_end = starts[a:b] - offsets[2 * k], ends[a:b] - offsets[2 * k]
+                out += [(rids[i], f, e, int(chars[own_start[f]]), int(chars[own_end[e - 1]])) for f, e in runs]
+        yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int32() if i else pa.int64()) for i in range(5)],
+                                         names=["w_rid", "a", "b", "start", "end"])
 
 
 def merged(words: list[int], starts: list[int], ends: list[int], removed: list[int], runs: list) -> tuple[int, list[tuple[int, int]]]:
@@ -300,10 +329,24 @@ def _word_runs(docs: DataFrame, rows: DataFrame, keys: tuple) -> DataFrame:
     texts = texts.join(broadcast_if_small(asked, 32), all_of([F.col("x_h") == F.col("t_h"), F.col("x_g") == F.col("t_g")]), "left_semi")
     texts = (texts.select("x_h", "x_g", F.pandas_udf(_packed, "binary")("x_text").alias("packed"))
              .groupBy("x_h", "x_g").agg(F.first("packed").alias("packed")))
-    for name, h, g in (("own", "t_h", "t_g"), ("other", "s_h", "s_g")):
-        pairs = pairs.join(texts.withColumnRenamed("packed", name), all_of([F.col(h) == F.col("x_h"), F.col(g) == F.col("x_g")])).drop("x_h", "x_g")
-    runs = pairs.select(F.col("rid").alias("w_rid"), F.explode(F.pandas_udf(_words_extended, _WORD_RUNS)("own", "other", "seeds")).alias("run"))
-    return runs.groupBy("w_rid").agg(F.collect_set("run").alias("runs"))
+    # a passage that very many documents repeat has one source: its text is replicated, and its pairs are dealt out
+    hot = checkpoint(pairs.groupBy(F.col("s_h").alias("o_h"), F.col("s_g").alias("o_g")).agg(F.count(F.lit(1)).alias("pairs"))
+                     .where(F.col("pairs") > HOT_PAIRS).select("o_h", "o_g", F.ceil(F.col("pairs") / HOT_PAIRS).alias("parts")))
+    hot = broadcast_if_small(hot, 48)
+    on_hot = lambda h, g: all_of([F.col(h) == F.col("o_h"), F.col(g) == F.col("o_g")])
+    parts = F.coalesce("parts", F.lit(1))
+    pairs = pairs.join(texts.withColumnRenamed("packed", "own"), all_of([F.col("t_h") == F.col("x_h"), F.col("t_g") == F.col("x_g")])).drop("x_h", "x_g")
+    pairs = pairs.join(hot, on_hot("s_h", "s_g"), "left").withColumn("salt", F.pmod(F.xxhash64("rid"), parts)).drop("o_h", "o_g", "parts")
+    sources = texts.join(hot, on_hot("x_h", "x_g"), "left").select(
+        "x_h", "x_g", F.col("packed").alias("other"), F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)).alias("x_salt"))
+    pairs = pairs.join(sources, all_of([F.col("s_h") == F.col("x_h"), F.col("s_g") == F.col("x_g"), F.col("salt") == F.col("x_salt")]))
+    runs = pairs.select("rid", "own", "other", *[F.transform("seeds", _field(c)).alias(c) for c in ("pos", "at")]).mapInArrow(
+        _words_extended, "w_rid long, a int, b int, start int, end int")
+    return runs.groupBy("w_rid").agg(F.collect_set(F.struct("a", "b", "start", "end")).alias("runs"))
+
+
+def _field(name: str):
+    return lambda s: s[name]
 
 
 def repeated_runs(docs: DataFrame, keys: tuple = ("doc_id",)) -> DataFrame:
@@ -311,11 +354,15 @@ def repeated_runs(docs: DataFrame, keys: tuple = ("doc_id",)) -> DataFrame:
     units to remove as a whole), n_removed_words, spans (start, end in characters of all that is to be removed:
     these units, and repeated runs of words that begin or end inside a unit).
 
-    Null and empty texts have no units; of repeated rows the one read first keeps its text.
+    Null and empty texts have no units; of repeated rows the one read first keeps its text, and of documents
+    with one id likewise; a text of any length is taken as a whole by one task; equal hashes inside a window
+    choose the last gram; an empty table gives no rows; of extra columns only ``keys`` are read.
     """
-    rows = docs.select(*keys, F.monotonically_increasing_id().alias("rid"), F.xxhash64(text_of()).alias("t_h"),
-                       F.xxhash64(F.lit(1), text_of()).alias("t_g"), F.pandas_udf(_units_of, _UNITS)(text_of()).alias("u"))
-    rows = checkpoint(rows.select(*keys, "rid", "t_h", "t_g", "u.*"))
+    plain = docs.select(*keys, F.monotonically_increasing_id().alias("rid"), F.xxhash64(text_of()).alias("t_h"),
+                        F.xxhash64(F.lit(1), text_of()).alias("t_g"), text_of().alias("text"))
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields[:-1]],
+                        *[f"{c} array<{t}>" for c, t in _UNITS.items()]])
+    rows = checkpoint(plain.mapInArrow(_units_of, schema))
     places, first = _first_places(rows, keys[0], ("p_h", "p_pos", "p_n"))
     seeds = places.join(first, F.col("h") == F.col("f_h")).where(
         (F.col("rid") != F.col("first.rid")) | (F.col("pos") != F.col("first.pos")))
@@ -324,9 +371,10 @@ def repeated_runs(docs: DataFrame, keys: tuple = ("doc_id",)) -> DataFrame:
     sides = rows.select(F.col("rid").alias("s_rid"), "hashes")
     pairs = pairs.join(sides.withColumnRenamed("hashes", "own"), F.col("rid") == F.col("s_rid")).drop("s_rid")
     pairs = pairs.join(sides.withColumnRenamed("hashes", "other"), F.col("src") == F.col("s_rid"))
-    runs = pairs.select(F.col("rid").alias("r_rid"), F.explode(F.pandas_udf(_extended, "array<struct<a:int,b:int>>")("own", "other", "seeds")).alias("run"))
+    runs = pairs.select("rid", "own", "other", *[F.transform("seeds", _field(c)).alias(c) for c in ("pos", "at", "n")]).mapInArrow(
+        _extended, "r_rid long, a int, b int")
     runs = runs.distinct().groupBy("r_rid").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(
-        F.sequence(F.col("run.a"), F.col("run.b") - 1))))).alias("removed"))
+        F.sequence(F.col("a"), F.col("b") - 1))))).alias("removed"))
     out = rows.join(runs, F.col("rid") == F.col("r_rid"), "left").withColumn(
         "removed", F.coalesce("removed", F.array().cast("array<int>")))
     out = out.join(_word_runs(docs, rows, keys), F.col("rid") == F.col("w_rid"), "left")
@@ -352,12 +400,14 @@ def _cut(text: pd.Series, spans: pd.Series) -> pd.Series:
 def drop_repeated_runs(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated runs cut out of their texts; joined back on (doc_id, hash of the text), and
     of rows that agree in both one stays."""
-    keyed = docs.withColumns({"__id": F.col("doc_id"), "__h": F.xxhash64(text_of())}).dropDuplicates(["__id", "__h"])
-    found = repeated_runs(keyed.select("__id", "__h", "text"), ("__id", "__h")).where(F.size("spans") > 0).select(
-        F.col("__id").alias("__r"), F.col("__h").alias("__rh"), F.col("spans").alias("__spans"))
-    out = keyed.join(found, all_of([F.col("__h") == F.col("__rh"), F.col("__id").eqNullSafe(F.col("__r"))]), "left")
-    out = out.withColumn("__text", F.when(F.col("__spans").isNull(), F.col("text")).otherwise(F.pandas_udf(_cut, "string")("text", "__spans")))
-    return out.select(*[F.col("__text").alias(c) if c == "text" else F.col(c) for c in docs.columns])
+    names = docs.columns
+    at = {c: f"c_{i}" for i, c in enumerate(names)}
+    keyed = docs.toDF(*at.values()).withColumns({"key_id": F.col(at["doc_id"]), "key_h": F.xxhash64(text_of(at["text"]))}).dropDuplicates(["key_id", "key_h"])
+    found = repeated_runs(keyed.select("key_id", "key_h", F.col(at["text"]).alias("text")), ("key_id", "key_h")).where(F.size("spans") > 0).select(
+        F.col("key_id").alias("r_id"), F.col("key_h").alias("r_h"), "spans")
+    out = keyed.join(found, all_of([F.col("key_h") == F.col("r_h"), F.col("key_id").eqNullSafe(F.col("r_id"))]), "left")
+    out = out.withColumn("cut", F.when(F.col("spans").isNull(), F.col(at["text"])).otherwise(F.pandas_udf(_cut, "string")(at["text"], "spans")))
+    return out.select(*[F.col("cut" if c == "text" else at[c]).alias(c) for c in names])
 
 
 def op9_winnowed_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

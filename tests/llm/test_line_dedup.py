@@ -1,7 +1,74 @@
 import random
+import re
 from collections import Counter
 
-from churnlake.llm.line_dedup import drop_repeated_runs, fingerprints, repeated_runs, units
+import numpy as np
+import pyarrow as pa
+
+from churnlake.llm.line_dedup import (GRAM_WORDS, SURE_WORDS, drop_repeated_runs, repeated_runs, run_hashes, smallest_between,
+                                      unit_table)
+from churnlake.llm.tokens import buffers
+
+STOP = re.compile(r"[.!?]+(?=[\x20\x09\x0B-\x0D])")
+
+
+def lower(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
+def units(text):
+    """(words, start, end) of the non-empty units."""
+    out, at = [], 0
+    for line in text.split("\n"):
+        a = 0
+        for b in [*[m.end() for m in STOP.finditer(line)], len(line)]:
+            words = tuple(re.findall("[^\x20\x09-\x0D]+", lower(line[a:b])))
+            if words:
+                out.append((words, at + a, at + b))
+            a = b
+        at += len(line) + 1
+    return out
+
+
+def hashes_of(text):
+    return unit_table(*buffers(pa.array([text])))["hash"]
+
+
+def fingerprints(hashes, words):
+    """(first unit, units) by definition, one window after the other."""
+    def end(i, n):
+        total = 0
+        for j in range(i, len(words)):
+            total += words[j]
+            if total >= n:
+                return j + 1
+        return None
+
+    value = {j: int(run_hashes(hashes, np.array([j]), np.array([end(j, GRAM_WORDS)]))[0]) for j in range(len(words)) if end(j, GRAM_WORDS)}
+    chosen = set()
+    for i in range(len(words)):
+        if (sure := end(i, SURE_WORDS)) is not None:
+            inside = [j for j in range(i, len(words)) if j in value and end(j, GRAM_WORDS) <= sure]
+            chosen.add(min(inside, key=lambda j: (value[j], -j)))
+    return [(j, end(j, GRAM_WORDS) - j) for j in sorted(chosen)]
+
+
+def test_units_of_a_block():
+    texts = ["", "One two. Three!? four\n\n  five.\r\nsix .. seven.", "É À. ß\t\nx", "a.b c.", " \n", "... !\n?", "end. "]
+    t = unit_table(*buffers(pa.array(texts)))
+    got = [(int(r), int(n), int(s), int(e)) for r, n, s, e in zip(t["row"], t["words"], t["start"], t["end"])]
+    assert got == [(i, len(w), s, e) for i, x in enumerate(texts) for w, s, e in units(x)]
+    contents = [w for x in texts for w, _, _ in units(x)]
+    assert len(set(t["hash"].tolist())) == len(set(contents)) == len(set(zip(t["hash"].tolist(), contents)))
+
+
+def test_smallest_between():
+    rng = np.random.default_rng(1)
+    values = rng.integers(0, 9, 200).astype(np.uint64)
+    first = rng.integers(0, 200, 300)
+    last = np.minimum(first + rng.integers(0, 40, 300), 199)
+    for a, b, g in zip(first, last, smallest_between(values, first, last)):
+        assert g == max(i for i in range(a, b + 1) if values[i] == values[a:b + 1].min())
 
 
 def plain(rows):
@@ -9,13 +76,13 @@ def plain(rows):
     seqs, place, out = [], {}, []
     for i, t in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
         u = units(t or "")
-        seqs.append(([x[0] for x in u], [x[1] for x in u], i, t))
-    for k, (hashes, words, _, _) in enumerate(seqs):
-        for _, pos, n in fingerprints(hashes, words):
+        seqs.append(([x[0] for x in u], [len(x[0]) for x in u], i, hashes_of(t or "")))
+    for k, (hashes, words, _, h) in enumerate(seqs):
+        for pos, n in fingerprints(h, words):
             place.setdefault(tuple(hashes[pos:pos + n]), (k, pos))
-    for k, (hashes, words, i, t) in enumerate(seqs):
+    for k, (hashes, words, i, h) in enumerate(seqs):
         gone = set()
-        for _, pos, n in fingerprints(hashes, words):
+        for pos, n in fingerprints(h, words):
             src, at = place[tuple(hashes[pos:pos + n])]
             if (src, at) == (k, pos):
                 continue
@@ -97,3 +164,43 @@ def test_passages_cut_inside_units_go(spark):
             assert left[i] == t.replace(passages[i // 10], "")
     got = {r["doc_id"]: r for r in repeated_runs(docs).collect()}
     assert [got[i]["n_removed_words"] for i in (0, 1, 11, 22, 32, 90, None)] == [0, 50, 59, 80, 120, 0, 50]
+
+
+def test_runs_of_words_against_all_places(spark):
+    """Every run of 50 words or more that an earlier text holds is gone, whatever its edges; words that no earlier
+    text holds in a run of 25 stay.  Few pairs a task, so the hot source is dealt out."""
+    import churnlake.llm.line_dedup as line_dedup
+    rng = random.Random(12)
+    words = lambda n: ["".join(rng.choices("abcdefghij", k=12)) for _ in range(n)]
+    common, other = words(130), words(70)
+    rows = []
+    for i in range(60):
+        a = rng.randint(0, 40)
+        rows.append((i, " ".join([*words(rng.randint(0, 8)), *common[a:a + 50 + rng.randint(0, 40)], *words(5)]) + "."))
+        if i % 3 == 0:
+            rows[-1] = (i, rows[-1][1] + "\n" + " ".join([*words(3), *other, *words(2)]))
+    kept, line_dedup.HOT_PAIRS = line_dedup.HOT_PAIRS, 4
+    try:
+        left = {r["doc_id"]: r["text"].split() for r in drop_repeated_runs(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    finally:
+        line_dedup.HOT_PAIRS = kept
+    clean = lambda ws: [w.strip(".") for w in ws]
+    first: dict = {}
+    for i, t in rows:
+        ws = clean(t.split())
+        for k in range(len(ws) - 24):
+            first.setdefault(tuple(ws[k:k + 25]), i)
+    for i, t in rows:
+        ws, out = clean(t.split()), clean(left[i])
+        old = [any(first[tuple(ws[j:j + 25])] < i for j in range(max(0, k - 24), min(k, len(ws) - 25) + 1)) for k in range(len(ws))]
+        assert [w for w, o in zip(ws, old) if not o] == [w for w in out if w in {x for x, o in zip(ws, old) if not o}]
+        for e in range(i):
+            theirs = {tuple(clean(rows[e][1].split())[j:j + 50]) for j in range(len(rows[e][1].split()) - 49)}
+            assert not any(tuple(out[j:j + 50]) in theirs for j in range(len(out) - 49))
+
+
+def test_clashing_columns(spark):
+    names = ["doc_id", "text", "key_id", "key_h", "spans", "cut", "rid", "c_0", "__id", "hashes"]
+    docs = spark.createDataFrame([(i, " ".join(f"w{k}" for k in range(60)), *["v"] * 8) for i in (1, 2)], names)
+    got = {r["doc_id"]: r for r in drop_repeated_runs(docs).collect()}
+    assert got[2]["text"] == "" and got[1]["text"].split()[59] == "w59" and got[2]["spans"] == "v"
