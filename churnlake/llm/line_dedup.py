@@ -172,7 +172,7 @@ def _units_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=[*batch.schema.names[:-1], *_UNITS])
 
 
-def extend(own: np.ndarray, other: np.ndarray, seeds: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+def extend(own: list[int], other: list[int], seeds: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
     """Maximal runs (first, end) of ``own`` that equal runs of ``other``, from verified seeds (pos, other pos, n)
     inside one text a run only matches what stands before it."""
     runs: dict[int, list[tuple[int, int]]] = {}
@@ -180,7 +180,7 @@ def extend(own: np.ndarray, other: np.ndarray, seeds: list[tuple[int, int, int]]
         held = runs.setdefault(pos - at, [])
         if held and held[-1][0] <= pos and pos + n <= held[-1][1]:
             continue
-        if at + n > len(other) or not np.array_equal(own[pos:pos + n], other[at:at + n]):
+        if at + n > len(other) or own[pos:pos + n] != other[at:at + n]:
             continue
         a, b, shift = pos, pos + n, pos - at
         while a > 0 and a - shift > 0 and own[a - 1] == other[a - 1 - shift]:
@@ -203,7 +203,7 @@ def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         for rid, own, other, pos, at, n in zip(batch.column(0).to_pylist(), *[_lists(c) for c in batch.columns[1:]]):
-            out += [(rid, a, b) for a, b in extend(own, other, list(zip(pos.tolist(), at.tolist(), n.tolist())))]
+            out += [(rid, a, b) for a, b in extend(own.tolist(), other.tolist(), list(zip(pos.tolist(), at.tolist(), n.tolist())))]
         yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.int32()))],
                                          names=["r_rid", "a", "b"])
 
@@ -329,22 +329,29 @@ def _word_runs(docs: DataFrame, rows: DataFrame, keys: tuple) -> DataFrame:
     texts = texts.join(broadcast_if_small(asked, 32), all_of([F.col("x_h") == F.col("t_h"), F.col("x_g") == F.col("t_g")]), "left_semi")
     texts = (texts.select("x_h", "x_g", F.pandas_udf(_packed, "binary")("x_text").alias("packed"))
              .groupBy("x_h", "x_g").agg(F.first("packed").alias("packed")))
-    # a passage that very many documents repeat has one source: its text is replicated, and its pairs are dealt out
-    hot = checkpoint(pairs.groupBy(F.col("s_h").alias("o_h"), F.col("s_g").alias("o_g")).agg(F.count(F.lit(1)).alias("pairs"))
-                     .where(F.col("pairs") > HOT_PAIRS).select("o_h", "o_g", F.ceil(F.col("pairs") / HOT_PAIRS).alias("parts")))
-    hot = broadcast_if_small(hot, 48)
-    on_hot = lambda h, g: all_of([F.col(h) == F.col("o_h"), F.col(g) == F.col("o_g")])
-    parts = F.coalesce("parts", F.lit(1))
-    pairs = pairs.join(texts.withColumnRenamed("packed", "own"), all_of([F.col("t_h") == F.col("x_h"), F.col("t_g") == F.col("x_g")])).drop("x_h", "x_g")
-    pairs = pairs.join(hot, on_hot("s_h", "s_g"), "left").withColumn("salt", F.pmod(F.xxhash64("rid"), parts)).drop("o_h", "o_g", "parts")
-    sources = texts.join(hot, on_hot("x_h", "x_g"), "left").select(
-        "x_h", "x_g", F.col("packed").alias("other"), F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)).alias("x_salt"))
-    pairs = pairs.join(sources, all_of([F.col("s_h") == F.col("x_h"), F.col("s_g") == F.col("x_g"), F.col("salt") == F.col("x_salt")]))
+    pairs = _with_text(_with_text(pairs, texts, "t_h", "t_g", "own"), texts, "s_h", "s_g", "other")
     runs = pairs.select("rid", "own", "other", *[F.transform("seeds", _field(c)).alias(c) for c in ("pos", "at")]).mapInArrow(
         _words_extended, "w_rid long, a int, b int, start int, end int")
     return runs.groupBy("w_rid").agg(F.collect_set(F.struct("a", "b", "start", "end")).alias("runs"))
 
 
+def _with_text(pairs: DataFrame, texts: DataFrame, h: str, g: str, name: str) -> DataFrame:
+    """``pairs`` with the text of hash (h, g) as ``name``.  A text of very many pairs (a passage that everyone
+    repeats has one source, a text may have many copies) is replicated and its pairs are dealt out."""
+    hot = checkpoint(pairs.groupBy(F.col(h).alias("o_h"), F.col(g).alias("o_g")).agg(F.count(F.lit(1)).alias("n"))
+                     .where(F.col("n") > HOT_PAIRS).select("o_h", "o_g", F.ceil(F.col("n") / HOT_PAIRS).alias("parts")))
+    held = broadcast_if_small(hot, 48)
+    on = lambda x, y: all_of([F.col(x) == F.col("o_h"), F.col(y) == F.col("o_g")])
+    texts = texts.withColumnRenamed("packed", name)
+    cold = pairs.join(held, on(h, g), "left_anti").join(texts, all_of([F.col(h) == F.col("x_h"), F.col(g) == F.col("x_g")]))
+    dealt = pairs.join(held, on(h, g)).withColumn("salt", F.pmod(F.xxhash64("rid"), "parts")).drop("o_h", "o_g", "parts")
+    copies = texts.join(held, on("x_h", "x_g")).select("x_h", "x_g", name, F.explode(
+        F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("x_salt"))
+    warm = dealt.join(copies, all_of([F.col(h) == F.col("x_h"), F.col(g) == F.col("x_g"), F.col("salt") == F.col("x_salt")]))
+    kept = [*pairs.columns, name]
+    return cold.select(*kept).union(warm.select(*kept))
+
+
 def _field(name: str):
     return lambda s: s[name]
 
