@@ -34,6 +34,7 @@ from churnlake.session import checkpoint
 
 ALL_ROWS = -1           # fold of a model that is fitted on every row
 MAX_PASSES = 200
+SWEEPS = 60             # of one l1 step; what is left of it is done in the next pass
 TOLERANCE = 1e-7        # largest step of a converged model
 
 
@@ -125,7 +126,7 @@ def _l1_direction(w: np.ndarray, grad: np.ndarray, hess: np.ndarray) -> np.ndarr
     n, size = w.shape
     hess = hess + 1e-10 * np.eye(size)
     d, moved = np.zeros_like(w), np.zeros_like(w)       # moved: hess @ d
-    for _ in range(2000):
+    for _ in range(SWEEPS):
         largest = 0.0
         for j in range(size):
             curve = np.maximum(hess[:, j, j], 1e-12)
