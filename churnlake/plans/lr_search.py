@@ -5,8 +5,8 @@ as the weight of a constant column that is penalised like any other, as in the
 source solver.  Each pass over the rows evaluates every open model once: a task
 adds up losses, gradients and Hessians of its rows, and one shuffle keyed by
 model adds up the tasks.  The driver holds models x columns**2 numbers and takes
-the next step: a Newton step for l2, a proximal Newton step (coordinate descent
-on the local quadratic) for l1, halved until the objective falls enough.
+the next step: a Newton step for l2, a proximal Newton step (the minimum of the
+local quadratic) for l1, halved until the objective falls enough.
 Converged models leave the passes.
 
 Rows keep one encoding.  A fold's own scaling is an affine change of the scaled
@@ -34,8 +34,9 @@ from churnlake.session import checkpoint
 
 ALL_ROWS = -1           # fold of a model that is fitted on every row
 MAX_PASSES = 200
-SWEEPS = 60             # of one l1 step; what is left of it is done in the next pass
+ROUNDS, SWEEPS = 60, 5  # of one l1 step; what is left of it is done in the next pass
 TOLERANCE = 1e-7        # largest step of a converged model
+GAIN = 1e-11            # or its largest expected fall of the objective, as a share of it
 
 
 class Scaling(NamedTuple):
@@ -121,24 +122,65 @@ def _added(parts: pd.DataFrame) -> pd.DataFrame:
 _SUMS = "model int, loss double, grad array<double>, hess array<double>"
 
 
-def _l1_direction(w: np.ndarray, grad: np.ndarray, hess: np.ndarray) -> np.ndarray:
-    """Minimum over d of grad.d + d.hess.d/2 + |w + d|, for all models at once, by coordinate descent."""
-    n, size = w.shape
-    hess = hess + 1e-10 * np.eye(size)
-    d, moved = np.zeros_like(w), np.zeros_like(w)       # moved: hess @ d
-    for _ in range(SWEEPS):
-        largest = 0.0
-        for j in range(size):
-            curve = np.maximum(hess[:, j, j], 1e-12)
-            slope = grad[:, j] + moved[:, j]
-            at = w[:, j] + d[:, j] - slope / curve
-            new = np.sign(at) * np.maximum(np.abs(at) - 1 / curve, 0) - w[:, j]
-            step = new - d[:, j]
-            d[:, j] = new
-            moved += hess[:, :, j] * step[:, None]
-            largest = max(largest, float(np.abs(step).max()))
-        if largest < TOLERANCE / 100:
+def _sweep(w: np.ndarray, grad: np.ndarray, hess: np.ndarray, d: np.ndarray, moved: np.ndarray) -> float:
+    """One round of coordinate descent on all models, in place (moved: hess @ d); the largest step."""
+    largest = 0.0
+    for j in range(w.shape[1]):
+        curve = np.maximum(hess[:, j, j], 1e-12)
+        slope = grad[:, j] + moved[:, j]
+        at = w[:, j] + d[:, j] - slope / curve
+        new = np.sign(at) * np.maximum(np.abs(at) - 1 / curve, 0) - w[:, j]
+        step = new - d[:, j]
+        d[:, j] = new
+        moved += hess[:, :, j] * step[:, None]
+        largest = max(largest, float(np.abs(step).max()))
+    return largest
+
+
+def _to_orthant_minimum(at: np.ndarray, slope: np.ndarray, hess: np.ndarray) -> np.ndarray:
+    """From ``at`` (slope: of the quadratic there) to the minimum over its non-zero weights.  A step goes as far as
+    the first sign change, so it only descends; the weight that would change its sign becomes 0 and the next step does
+    without it.  Where columns depend on each other the quadratic is flat along some directions; the penalty falls
+    along these until a weight is 0."""
+    start, at = at, at.copy()
+    for _ in range(len(at)):
+        on = np.flatnonzero(at)
+        if not len(on):
+            break
+        part = hess[np.ix_(on, on)]
+        down = -(slope[on] + hess[on] @ (at - start) + np.sign(at[on]))
+        step = np.linalg.lstsq(part, down, rcond=1e-11)[0]
+        flat = down - part @ step
+        if np.abs(flat).max() > 1e-6:
+            step, most = flat, np.inf
+        else:
+            most = 1.0
+        crosses = at[on] * step < 0
+        reach = np.where(crosses, -at[on] / np.where(crosses, step, 1.0), np.inf)
+        t = min(most, float(reach.min()))
+        if not np.isfinite(t):
+            break
+        at[on] += t * step
+        at[on[reach <= t]] = 0.0
+        if t == most:
             break
+    return at
+
+
+def _l1_direction(w: np.ndarray, grad: np.ndarray, hess: np.ndarray) -> np.ndarray:
+    """Minimum over d of grad.d + d.hess.d/2 + |w + d|, for all models at once: coordinate descent finds which
+    weights are 0, and the others go to their minimum directly, which descent alone nears slowly where columns
+    depend on each other."""
+    hess = hess + 1e-10 * np.eye(w.shape[1])
+    d = np.zeros_like(w)
+    for _ in range(ROUNDS):
+        moved = np.einsum("mij,mj->mi", hess, d)
+        for _ in range(SWEEPS):
+            largest = _sweep(w, grad, hess, d, moved)
+            if largest < TOLERANCE / 100:
+                return d
+        for i in range(len(w)):
+            d[i] = _to_orthant_minimum(w[i] + d[i], grad[i] + hess[i] @ d[i], hess[i]) - w[i]
     return d
 
 
@@ -191,7 +233,7 @@ def fit_batch(rows: DataFrame, points: list[dict], folds: list[int], scaling: Sc
         expected[on] = np.where(first, slope + _penalty(w[on] + new, l1[on]) - _penalty(w[on], l1[on]),
                                 slope + (w[on] * new).sum(axis=1))
         direction[on], step[on] = new, 1.0
-        open_[on[np.abs(new).max(axis=1) < TOLERANCE]] = False
+        open_[on[(np.abs(new).max(axis=1) < TOLERANCE) | (-expected[on] <= GAIN * np.abs(objective[on]))]] = False
     return w.reshape(len(folds), len(points), d)
 
 
