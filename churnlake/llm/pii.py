@@ -1,18 +1,20 @@
 """Personal data: fixed patterns, and bootstrapped contextual extraction.
 
-Seeds are the spans of the fixed patterns.  Every identifier-like token (a
-digit or @, five characters) is an instance; the two words before it are its
-lexical pattern.  On the graph of patterns and instances Spark scores in
-rounds: a pattern by the share of all its occurrences in the corpus, followed
-by whatever, that known instances follow; an instance by the patterns it
-follows.  Patterns with enough distinct known instances and confidence make
-their other instances known, and these score further patterns.  Instances of
-accepted patterns outside the seeds are the method's spans.  Known instances
+Seeds are the spans of the fixed patterns and tokens shaped like secrets (long
+hexadecimal or mixed random strings).  Every identifier-like token (a digit or
+@, five characters) is an instance.  Its lexical patterns are the two words
+before it, the word before it with the shape of its token, and the words on
+both sides.  On the graph of patterns and instances Spark scores in rounds: a pattern by the share of all its places in the corpus, whatever stands
+there, that hold known instances; an instance by the patterns it stands in.  Patterns with enough distinct known instances and confidence make
+their other instances known, and these score further patterns.  Instances in
+accepted patterns outside the spans of the fixed patterns are the method's
+spans; a secret's shape alone, without such a pattern, makes none.  Known instances
 only grow, and the rounds end when none is added.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -28,7 +30,9 @@ KINDS = ("email", "ip", "card", "phone")
 FOUND = "context"       # kind of the method's spans, after the fixed ones
 MIN_SUPPORT = 3         # distinct known instances of an accepted pattern
 MIN_CONFIDENCE = 0.6
-BLOCK = 500_000         # patterns whose occurrences are counted in one pass over the texts
+HELD_PATTERNS = 500_000 # patterns that are broadcast for counting; more are counted by a shuffle
+PATTERN_CHARS = 128     # a longer pattern is named by its hash
+PARTIAL = 1_000_000     # counters that a task holds before it passes them on
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -39,8 +43,12 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 _EDGE = ".,;:!?()[]{}<>\"'"
+_SECRET = re.compile(r"(?=[^0-9]*[0-9])(?:(?=.*[a-f])[0-9a-f]{32,}|(?=.*[A-F])[0-9A-F]{32,}|"
+                     r"(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9_+/=-]{32,})")
+_HEX = re.compile(r"(?=.*[0-9])(?=.*[a-fA-F])[0-9a-fA-F]+")
+_RUNS = re.compile(r"([0-9]+)|([^\W\d_]+)")
 _EXTRACTED = ("struct<base:array<struct<kind:string,start:int,end:int>>,"
-              "edges:array<struct<pattern:string,instance:string,start:int,end:int,known:boolean>>>")
+              "edges:array<struct<patterns:array<string>,beside:string,instance:string,start:int,end:int,known:boolean,seed:boolean>>>")
 
 
 def luhn(digits: str) -> bool:
@@ -83,15 +91,38 @@ def _lower(word: str) -> str:
     return word.lower() if word.isascii() else word
 
 
-def instances(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, str, int, int, bool]]:
-    """(pattern, instance, start, end, known) of every identifier-like token that does not lie inside a span."""
+def shape(core: str) -> str:
+    """A token's form: h for hexadecimal digits with letters, else 9 for digits and a for letters, each with its
+    length if it is one run; other characters as they are."""
+    if len(core) >= 8 and _HEX.fullmatch(core):
+        return f"h{len(core)}"
+    if core.isalnum() and (core.isdigit() or core.isalpha()):
+        return f"{'9' if core.isdigit() else 'a'}{len(core)}"
+    return _RUNS.sub(lambda m: "9" if m[1] else "a", core)
+
+
+def _named(pattern: str) -> str:
+    return pattern if len(pattern) <= PATTERN_CHARS else hashlib.sha256(pattern.encode("utf-8", "surrogatepass")).hexdigest()
+
+
+def patterns_at(before: tuple[str, str], word: str, after: str) -> tuple[str, str, str]:
+    """The patterns of a token: two words before; word before and the token's shape; words on both sides."""
+    return (_named(f"{before[0]} {before[1]}"), _named(f"{before[1]}\t{shape(word.strip(_EDGE))}"), _named(f"{before[1]}\n{after}"))
+
+
+def instances(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[tuple, str, str, int, int, bool, bool]]:
+    """(patterns, word before, instance, start, end, known, seed) of every identifier-like token; known: a span of the fixed
+    patterns, once at its first token; seed: known, or shaped like a secret."""
     if not spans and not _DIGIT.search(text) and "@" not in text:
         return []
-    out, before, k = [], ("^", "^"), 0
+    out, before, k, due = [], ("^", "^"), 0, None
     cover = sorted((s, e) for _, s, e in spans)
     for m in _TOKEN.finditer(text):
         word = m[0]
         core = word.strip(_EDGE)
+        if due:
+            out.append((patterns_at(due[0], due[1], _lower(word)), due[0][1], *due[2]))
+            due = None
         while k < len(cover) and cover[k][1] <= m.start():
             k += 1
         inside = k < len(cover) and cover[k][0] < m.end()
@@ -99,11 +130,13 @@ def instances(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, s
             pass                                    # a later token of a span
         elif inside:
             s, e = cover[k]
-            out.append((" ".join(before), text[s:e], s, e, True))
+            due = (before, word, (text[s:e], s, e, True, True))
         elif len(core) >= 5 and ("@" in core or _DIGIT.search(core)):
             start = m.start() + word.index(core)
-            out.append((" ".join(before), core, start, start + len(core), False))
+            due = (before, word, (core, start, start + len(core), False, len(core) >= 32 and bool(_SECRET.fullmatch(core))))
         before = (before[1], _lower(word))
+    if due:
+        out.append((patterns_at(due[0], due[1], "$"), due[0][1], *due[2]))
     return out
 
 
@@ -113,44 +146,67 @@ def _extract(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         edges = [instances(t, b) for t, b in zip(texts, base)]
         yield pd.DataFrame({
             "base": [[{"kind": k, "start": s, "end": e} for k, s, e in b] for b in base],
-            "edges": [[dict(zip(("pattern", "instance", "start", "end", "known"), r)) for r in rows] for rows in edges]})
-
-
-def pattern_totals(docs: DataFrame, patterns: DataFrame) -> DataFrame:
-    """(pattern, total): how often each pattern's two words stand before any token of the corpus.  Patterns
-    are counted in blocks of at most ``BLOCK``, so what a task holds is bounded."""
+            "edges": [[dict(zip(("patterns", "beside", "instance", "start", "end", "known", "seed"), r)) for r in rows] for rows in edges]})
+
+
+def _places(held: frozenset | None, beside: frozenset | None):
+    """(pattern, total) partial counts of the patterns at all tokens; of ``held`` only, ``beside``: the words before
+    the token in its patterns.  None: of all patterns."""
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: Counter = Counter()
+
+        def passed_on() -> pd.DataFrame:
+            out = pd.DataFrame({"pattern": list(seen), "total": list(seen.values())}).astype({"pattern": "object", "total": "int64"})
+            seen.clear()
+            return out
+
+        for pdf in batches:
+            for text in pdf["text"]:
+                raw = _TOKEN.findall(text)
+                words = ["^", "^", *map(_lower, raw), "$"]
+                for i, word in enumerate(raw):
+                    if beside is not None and words[i + 1] not in beside:
+                        continue
+                    for p in patterns_at((words[i], words[i + 1]), word, words[i + 3]):
+                        if held is None or p in held:
+                            seen[p] += 1
+                    if len(seen) >= PARTIAL:
+                        yield passed_on()
+        yield passed_on()
+
+    return count
+
+
+def pattern_totals(docs: DataFrame, patterns: DataFrame, most: int = HELD_PATTERNS) -> DataFrame:
+    """(pattern, total): at how many tokens of the corpus each of ``patterns`` (pattern, beside) stands, whatever the
+    token.  Up to ``most`` patterns are broadcast, and only their counts leave the tasks; more are counted by a
+    shuffle of partial counts.  Both count all of them."""
     spark = docs.sparkSession
-    n = patterns.count()
-    out = spark.createDataFrame([], "pattern string, total long")
-    blocks = -(-n // BLOCK)
-    for k in range(blocks):
-        mine = patterns.where(F.pmod(F.xxhash64("pattern"), F.lit(blocks)) == k)
-        held = spark.sparkContext.broadcast(frozenset(r[0] for r in mine.collect()))
-
-        def count(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
-            wanted, seen = held.value, Counter()
-            for pdf in batches:
-                for text in pdf["text"]:
-                    words = ["^", "^", *[_lower(w) for w in _TOKEN.findall(text)]]
-                    seen.update(p for p in map(" ".join, zip(words, words[1:-1])) if p in wanted)
-            yield pd.DataFrame({"pattern": list(seen), "total": list(seen.values())}).astype({"pattern": "object", "total": "int64"})
-
-        out = out.union(docs.select(text_of().alias("text")).mapInPandas(count, "pattern string, total long")
-                        .groupBy("pattern").agg(F.sum("total").alias("total")))
-    return checkpoint(out)
+    patterns = checkpoint(patterns)
+    texts = docs.select(text_of().alias("text"))
+    counts = "pattern string, total long"
+    if patterns.count() <= most:
+        rows = patterns.collect()
+        found = texts.mapInPandas(_places(frozenset(r["pattern"] for r in rows), frozenset(r["beside"] for r in rows)), counts)
+    else:
+        found = texts.mapInPandas(_places(None, None), counts).join(patterns.select("pattern").distinct(), "pattern", "left_semi")
+    return checkpoint(found.groupBy("pattern").agg(F.sum("total").alias("total")))
 
 
 def extract(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, base (array of kind, start, end), found (array of start, end).
 
-    Null texts are empty and have no spans; repeated rows stay, each with its spans.
+    Null and empty texts have no spans; a text of any length is taken as a whole by one task; repeated rows and rows
+    with one or no id stay, each with its spans, and their places count each; a pattern that reaches both thresholds
+    exactly is accepted; an empty table gives no rows; of extra columns none is read.
     """
     rows = checkpoint(docs.select(F.col("doc_id"), F.monotonically_increasing_id().alias("rid"), F.pandas_udf(_extract, _EXTRACTED)(text_of()).alias("x"))
                       .select("doc_id", "rid", "x.base", "x.edges"))
-    places = rows.select("rid", F.explode("edges").alias("e")).select("rid", "e.*")
-    edges = checkpoint(places.groupBy("pattern", "instance").agg(F.count(F.lit(1)).alias("n"), F.max("known").alias("seed")))
-    wide = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("instances"), F.max("seed").alias("any"))
-    totals = pattern_totals(docs, wide.where(F.col("instances") >= MIN_SUPPORT).select("pattern"))
+    places = rows.select("rid", F.explode("edges").alias("e")).select("rid", "e.*").withColumn("pattern", F.explode("patterns"))
+    edges = checkpoint(places.groupBy("pattern", "instance").agg(
+        F.count(F.lit(1)).alias("n"), F.max("seed").alias("seed"), F.min("beside").alias("beside")))
+    wide = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("instances"), F.min("beside").alias("beside"))
+    totals = pattern_totals(docs, wide.where(F.col("instances") >= MIN_SUPPORT).select("pattern", "beside"))
     graph = checkpoint(edges.join(totals, "pattern"))
     known = checkpoint(edges.where("seed").select("instance").distinct())
     size = known.count()
@@ -168,7 +224,7 @@ def extract(docs: DataFrame) -> DataFrame:
             break
         size = now
     found = (places.where("NOT known").join(accepted, "pattern").groupBy(F.col("rid").alias("f_rid"))
-             .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("found")))
+             .agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("found")))
     return rows.join(found, F.col("rid") == F.col("f_rid"), "left").select(
         "doc_id", "base", F.coalesce("found", F.array().cast("array<struct<start:int,end:int>>")).alias("found"))
 

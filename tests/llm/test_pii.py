@@ -1,7 +1,9 @@
 import random
 import re
 
-from churnlake.llm.pii import KINDS, base_spans, extract, luhn
+from collections import Counter
+
+from churnlake.llm.pii import KINDS, base_spans, extract, luhn, pattern_totals, patterns_at, shape
 from churnlake.llm.queries import QUERIES
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -61,6 +63,36 @@ def test_bootstrapping_goes_on_until_nothing_is_added(spark):
     assert all(found[i] == [w for w in t.split() if w.startswith("id-")] for i, t in enumerate(rows))
 
 
+def test_secrets_in_a_repeated_context(spark):
+    rng = random.Random(3)
+    key = lambda n=40: "".join(rng.choices("0123456789abcdef", k=n - 2)) + "a1"
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    rows = [f'{word()} {word()} token = "{key()}" {word()}' for _ in range(30)]
+    rows += [f'{word()} token = "short-{i}77" {word()}' for i in range(2)]       # found by the pattern, not by its shape
+    rows += [f"{word()} {word()} {key()} {word()}" for _ in range(5)]            # the shape without a repeated context
+    rows += [f"{word()} {word()} {4000 + i}x9 {word()}" for i in range(20)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = {r["doc_id"]: [rows[r["doc_id"]][s["start"]:s["end"]] for s in r["found"]] for r in extract(docs).collect()}
+    for i, t in enumerate(rows):
+        assert found[i] == ([t.split('"')[1]] if "token" in t else []), t
+
+
+def test_pattern_totals_by_broadcast_and_by_shuffle(spark):
+    texts = ["a b 1234x c", "a b c", "b 1234y c", None, "", "a " * 400 + "b", "w" * 300 + " b 77777"]
+    want: Counter = Counter()
+    for t in texts:
+        raw = (t or "").split()
+        words = ["^", "^", *raw, "$"]
+        for i, w in enumerate(raw):
+            want.update(patterns_at((words[i], words[i + 1]), w, words[i + 3]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    asked = [("a b", "b"), ("b\t" + shape("1234x"), "b"), ("b\nc", "b"), ("^ ^", "^"), patterns_at(("w" * 300, "b"), "77777", "$")[0:1] + ("b",)]
+    asked = spark.createDataFrame(asked, "pattern string, beside string")
+    for most in (100, 1):
+        got = {r["pattern"]: r["total"] for r in pattern_totals(docs, asked, most).collect()}
+        assert got == {p: want[p] for (p, _) in asked.collect()}
+
+
 def test_query(spark, write_tables):
     docs = spark.createDataFrame([(1, "é a@b.co 10.0.0.1"), (2, None), (None, "")], "doc_id long, text string")
     rows = {r["doc_id"]: r for r in QUERIES["op7_bootstrapped_pii"](spark, write_tables(documents=docs)).collect()}
