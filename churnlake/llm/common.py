@@ -26,6 +26,18 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def set_apart(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with its columns named c_0, c_1, ..., and the new name of each, so that columns an operator adds
+    clash with none, whatever they are called."""
+    at = {c: f"c_{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*at.values()), at
+
+
+def put_back(df: DataFrame, at: dict[str, str]) -> DataFrame:
+    """The columns of ``set_apart`` under their own names, without any others."""
+    return df.select(*[F.col(c).alias(name) for name, c in at.items()])
+
+
 def text_of(col: str | Column = "text") -> Column:
     """The text, null as empty."""
     return F.coalesce((F.col(col) if isinstance(col, str) else col).cast("string"), F.lit(""))

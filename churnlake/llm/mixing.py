@@ -16,7 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from churnlake.llm.common import BLACK, all_of, broadcast_if_small, load, range_index, running_before, shuffle_width, text_of
+from churnlake.llm.common import (
+    BLACK, all_of, broadcast_if_small, load, put_back, range_index, running_before, set_apart, shuffle_width, text_of)
 from churnlake.session import checkpoint
 
 WEIGHTS = (5, 2, 1)
@@ -116,28 +117,29 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """The mixed corpus: every column of ``docs``, one row per whole copy taken, range-sorted by position.
 
     The plan is joined back on (doc_id, source, hash of the text).  Rows that agree in all three are
-    told apart by a number within the key, on both sides, so each keeps its own copies.
+    told apart by a number within the key, on both sides, so each keeps its own copies.  Null and empty texts have
+    no words and are never taken; an empty table gives no rows; extra columns of any name pass through.
     """
     spark = docs.sparkSession
-    keys = ["__id", "__src", "__h"]
-    keyed = docs.withColumns({"__id": F.col("doc_id"), "__src": F.col("source"), "__h": F.xxhash64(text_of())})
-    plan = mix(keyed.select("text", "source", *keys), keys, whole=True, **options).select(*keys, "takes")
-    plan = checkpoint(plan)
+    plain, at = set_apart(docs)
+    keys = ["key_id", "key_src", "key_h"]
+    keyed = plain.withColumns({"key_id": F.col(at["doc_id"]), "key_src": F.col(at["source"]), "key_h": F.xxhash64(text_of(at["text"]))})
+    plan = mix(keyed.select(F.col(at["text"]).alias("text"), F.col(at["source"]).alias("source"), *keys), keys, whole=True, **options)
+    plan = checkpoint(plan.select(*keys, "takes"))
     most = plan.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
     number = F.lit(1)
     if most > 1:
         number = F.row_number()
-        plan = plan.withColumn("__no", number.over(Window.partitionBy(*keys).orderBy(F.size("takes"), F.col("takes").cast("string"))))
-        keyed = keyed.withColumn("__no", number.over(Window.partitionBy(*keys).orderBy(F.lit(0))))
+        plan = plan.withColumn("no", number.over(Window.partitionBy(*keys).orderBy(F.size("takes"), F.col("takes").cast("string"))))
+        # by all columns, so that a part that is done again numbers its rows alike
+        keyed = keyed.withColumn("no", number.over(Window.partitionBy(*keys).orderBy(F.xxhash64(*at.values()))))
     else:
-        plan, keyed = plan.withColumn("__no", number), keyed.withColumn("__no", number)
-    names = [*keys, "__no"]
-    chosen = plan.where(F.size("takes") > 0).select(*[F.col(k).alias(f"__p{k}") for k in names], "takes")
-    out = keyed.join(chosen, all_of([F.col(k).eqNullSafe(F.col(f"__p{k}")) for k in names]), "inner")
-    out = out.select(*docs.columns, F.explode("takes").alias("__take"))
-    return (out.withColumn("__at", F.col("__take.position"))
-            .repartitionByRange(shuffle_width(spark), "__at", "doc_id")
-            .sortWithinPartitions("__at", "doc_id").select(*docs.columns))
+        plan, keyed = plan.withColumn("no", number), keyed.withColumn("no", number)
+    names = [*keys, "no"]
+    chosen = plan.where(F.size("takes") > 0).select(*[F.col(k).alias(f"p_{k}") for k in names], "takes")
+    out = keyed.join(chosen, all_of([F.col(k).eqNullSafe(F.col(f"p_{k}")) for k in names]), "inner")
+    out = out.select(*at.values(), F.explode("takes").alias("take")).withColumn("at", F.col("take.position"))
+    return put_back(out.repartitionByRange(shuffle_width(spark), "at", at["doc_id"]).sortWithinPartitions("at", at["doc_id"]), at)
 
 
 def op3_curriculum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlake.llm.common import all_of, connected_components, load, text_of
+from churnlake.llm.common import all_of, connected_components, load, put_back, set_apart, text_of
 from churnlake.session import checkpoint
 
 SHINGLE = 3
@@ -120,15 +120,19 @@ def near_duplicate_groups(docs: DataFrame, keys: tuple = ("doc_id",), shingle: i
 
 
 def deduplicate(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document of each group: the smallest (doc_id, hash of the text), null ids last."""
-    keyed = docs.withColumns({"__id": F.col("doc_id"), "__h": F.xxhash64(text_of())})
-    groups = checkpoint(near_duplicate_groups(keyed.select("__id", "__h", "text"), ("__id", "__h"), **options))
-    first = groups.groupBy("group").agg(F.min(F.struct(F.col("__id").isNull().alias("unknown"), "__id", "__h")).alias("k"))
-    keep = first.select(F.col("k.__id").alias("__k"), F.col("k.__h").alias("__kh"))
-    out = keyed.join(keep, all_of([F.col("__h") == F.col("__kh"), F.col("__id").eqNullSafe(F.col("__k"))]), "left_semi")
-    if groups.groupBy("__id", "__h").count().where("count > 1").limit(1).count():
-        out = out.dropDuplicates(["__id", "__h"])       # repeated rows of one document
-    return out.select(*docs.columns)
+    """``docs`` with one document of each group: the smallest (doc_id, hash of the text), null ids last.
+
+    Of repeated rows one stays; an empty table gives no rows; extra columns of any name pass through.
+    """
+    plain, at = set_apart(docs)
+    keyed = plain.withColumns({"key_id": F.col(at["doc_id"]), "key_h": F.xxhash64(text_of(at["text"]))})
+    groups = checkpoint(near_duplicate_groups(keyed.select("key_id", "key_h", F.col(at["text"]).alias("text")), ("key_id", "key_h"), **options))
+    first = groups.groupBy("group").agg(F.min(F.struct(F.col("key_id").isNull().alias("unknown"), "key_id", "key_h")).alias("k"))
+    keep = first.select(F.col("k.key_id").alias("keep_id"), F.col("k.key_h").alias("keep_h"))
+    out = keyed.join(keep, all_of([F.col("key_h") == F.col("keep_h"), F.col("key_id").eqNullSafe(F.col("keep_id"))]), "left_semi")
+    if groups.groupBy("key_id", "key_h").count().where("count > 1").limit(1).count():
+        out = out.dropDuplicates(["key_id", "key_h"])       # repeated rows of one document
+    return put_back(out, at)
 
 
 def op4_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:

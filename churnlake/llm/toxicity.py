@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlake.llm.common import load, text_of
+from churnlake.llm.common import load, put_back, set_apart, text_of
 from churnlake.session import checkpoint
 
 # seed words of the weakly labelled categories
@@ -153,9 +153,15 @@ def scorer(chain: Chain):
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without the documents whose last probability reaches the threshold (null texts have no words)."""
+    """``docs`` without the documents whose last probability reaches the threshold.
+
+    Null and empty texts have no words and stay; a text of any length is scored as a whole; each of repeated rows has
+    the same verdict; a document with several labels counts as toxic if one says so; an empty table gives no rows;
+    extra columns of any name pass through.
+    """
     score = scorer(train(docs, labels))
-    return docs.withColumn("__p", score(text_of())).where(F.element_at("__p", -1) < threshold).select(*docs.columns)
+    plain, at = set_apart(docs)
+    return put_back(plain.withColumn("p", score(text_of(at["text"]))).where(F.element_at("p", -1) < threshold), at)
 
 
 def op8_classifier_chain_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
