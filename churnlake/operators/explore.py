@@ -83,20 +83,13 @@ def snapshot_dates(df: DataFrame) -> DataFrame:
 
 # ---- factorize + correlation ------------------------------------------------------
 
-def factorize_codes(df: DataFrame, columns: list[str], order_cols: list[str],
-                    broadcast_max: int = TOTALS_BYTES) -> DataFrame:
-    """Per column, code = order of first appearance of the value (0-based), null -> -1.
+def appearance_codes(df: DataFrame, columns: list[str], order_cols: list[str]) -> DataFrame:
+    """(column_name, value, code) of every non-null value: code = order of first appearance in its column, 0-based.
 
     "First appearance" needs an explicit row order: ``order_cols`` (unique per
-    row).  Long form (order_cols..., column_name, code).  Distinct values per
-    column are ranked by their first row with the range-partitioned rank, so a
-    high-cardinality column (customer ids) never lands in one task.
-
-    Joining the codes back: the smallest columns' codes that fit into
-    ``broadcast_max`` bytes together (measured first) are broadcast – a hot value
-    (one category holding a third of all rows) then never meets a shuffle.  The
-    other columns take the shuffle join, where AQE splits any skewed partition.
-    Both give the same rows.
+    row).  Distinct values per column are ranked by their first row with the
+    range-partitioned rank, so a high-cardinality column (customer ids) never
+    lands in one task.
     """
     stack = ", ".join(f"'{c}', CAST(`{c}` AS STRING)" for c in columns)
     long = df.selectExpr(*[f"`{c}`" for c in order_cols],
@@ -106,7 +99,11 @@ def factorize_codes(df: DataFrame, columns: list[str], order_cols: list[str],
               .agg(F.min(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)])).alias("_f")))
     firsts = firsts.select("column_name", "value", *[F.col(f"_f._o{i}").alias(f"_o{i}") for i in range(len(order_cols))])
     ranked = exact_rank(firsts, ["column_name"], [f"_o{i}" for i in range(len(order_cols))], "_rank")
-    codes = checkpoint(ranked.select("column_name", "value", (F.col("_rank") - 1).cast("int").alias("code")))
+    return checkpoint(ranked.select("column_name", "value", (F.col("_rank") - 1).cast("int").alias("code")))
+
+
+def _small_columns(codes: DataFrame, columns: list[str], broadcast_max: int) -> list[str]:
+    """The columns, smallest first, whose codes fit into ``broadcast_max`` bytes together (measured)."""
     # bytes of a column's codes, with 128 a row for the hash table's overhead: one small row per column
     sizes = {r.column_name: r.n for r in codes.groupBy("column_name").agg(
         F.sum(F.octet_length("column_name") + F.octet_length("value") + 128).alias("n")).collect()}
@@ -115,6 +112,26 @@ def factorize_codes(df: DataFrame, columns: list[str], order_cols: list[str],
         held += sizes.get(c, 0)
         if held <= broadcast_max:
             small.append(c)
+    return small
+
+
+def factorize_codes(df: DataFrame, columns: list[str], order_cols: list[str],
+                    broadcast_max: int = TOTALS_BYTES) -> DataFrame:
+    """Per column, code = order of first appearance of the value (0-based), null -> -1.
+
+    Long form (order_cols..., column_name, code).
+
+    Joining the codes back: the smallest columns' codes that fit into
+    ``broadcast_max`` bytes together (measured first) are broadcast – a hot value
+    (one category holding a third of all rows) then never meets a shuffle.  The
+    other columns take the shuffle join, where AQE splits any skewed partition.
+    Both give the same rows.
+    """
+    stack = ", ".join(f"'{c}', CAST(`{c}` AS STRING)" for c in columns)
+    long = df.selectExpr(*[f"`{c}`" for c in order_cols],
+                         f"stack({len(columns)}, {stack}) AS (column_name, value)")
+    codes = appearance_codes(df, columns, order_cols)
+    small = _small_columns(codes, columns, broadcast_max)
     large = [c for c in columns if c not in small]
     parts = []
     if small:
@@ -128,13 +145,43 @@ def factorize_codes(df: DataFrame, columns: list[str], order_cols: list[str],
     return out.select(*order_cols, "column_name", F.coalesce(F.col("code"), F.lit(-1)).alias("code"))
 
 
-def correlation_lower(codes: DataFrame, columns: list[str], order_cols: list[str]) -> DataFrame:
-    """Pearson correlation of the codes, lower triangle only: (row, col, corr).
+NULL_SALTS = 1024   # a column's null rows are spread over this many keys in a shuffle join
 
-    Codes are pivoted back to one row per key, then all pairs are computed in a
-    single aggregation.  A constant column has no correlation (null).
+
+def code_columns(df: DataFrame, columns: list[str], order_cols: list[str],
+                 broadcast_max: int = TOTALS_BYTES) -> DataFrame:
+    """One row per row of ``df``: the codes of ``columns`` (as ``factorize_codes`` gives them) as int columns of
+    these names, looked up column by column without an unpivot.
+
+    Dictionaries that fit into ``broadcast_max`` bytes together are broadcast; a larger one takes a shuffle join
+    on its value, with the null rows, which match nothing, spread over ``NULL_SALTS`` keys.
+    """
+    codes = appearance_codes(df, columns, order_cols)
+    small = _small_columns(codes, columns, broadcast_max)
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in order_cols]), F.lit(NULL_SALTS)).cast("int")
+    out = df.select(salt.alias("_salt"), *[F.col(f"`{c}`").cast("string").alias(f"_v{i}") for i, c in enumerate(columns)])
+    # the large ones first, while the rows still carry no codes
+    for i, c in sorted(enumerate(columns), key=lambda ic: ic[1] in small):
+        of_column = codes.where(F.col("column_name") == c).select(F.col("value").alias("_value"), F.col("code").alias(f"_c{i}"))
+        if c in small:
+            out = out.join(F.broadcast(of_column), F.col(f"_v{i}") == F.col("_value"), "left")
+        else:
+            key = F.when(F.col(f"_v{i}").isNull(), F.col("_salt")).otherwise(F.lit(-1))
+            out = out.withColumn("_key", key).join(of_column.withColumn("_at", F.lit(-1)),
+                                                   (F.col(f"_v{i}") == F.col("_value")) & (F.col("_key") == F.col("_at")),
+                                                   "left").drop("_key", "_at")
+        out = out.drop("_value", f"_v{i}")
+    return out.select(*[F.coalesce(F.col(f"_c{i}"), F.lit(-1)).alias(c) for i, c in enumerate(columns)])
+
+
+def correlation_lower(df: DataFrame, columns: list[str], order_cols: list[str],
+                      broadcast_max: int = TOTALS_BYTES) -> DataFrame:
+    """Pearson correlation of the columns' codes, lower triangle only: (row, col, corr).
+
+    The rows stay wide: codes are attached column by column and the co-moments of all pairs come from one
+    aggregation with a partial one per task.  A constant column has no correlation (null).
     """
-    wide = codes.groupBy(*order_cols).pivot("column_name", columns).agg(F.first("code"))
+    wide = code_columns(df, columns, order_cols, broadcast_max)
     pairs = [(i, j) for i in range(len(columns)) for j in range(i)]
     code = [F.col(f"`{c}`").cast("double") for c in columns]
     aggs = [F.try_divide(F.covar_pop(code[i], code[j]), F.stddev_pop(code[i]) * F.stddev_pop(code[j])).alias(f"p{i}_{j}")

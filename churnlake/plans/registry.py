@@ -316,6 +316,56 @@ def backfill_changed(spark, sf_dir):
     return feeds.read_store(spark, f"{root}/gold/feature_store", schema=GOLD_FEATURE_SCHEMA)
 
 
+# ---- store layouts: schema versions, co-located buckets -----------------------------------------
+
+# months before the first date were written without the payment method and with a narrower tenure, those between
+# the two with the narrower tenure only
+VERSION_CUTS = ("1994-01-01", "1996-01-01")
+
+
+def _versioned_store(spark, sf_dir):
+    """The gold feature store as three jobs wrote it over time, and the schema declared now."""
+    from pyspark.sql import types as T
+
+    from churnlake.schema import GOLD_FEATURE_SCHEMA
+    gold, path, date = _dm(spark, sf_dir).gold_features, shared_path(spark, "versions"), F.col("Snapshot_Date")
+    narrow = gold.withColumn("tenure", F.col("tenure").cast("smallint"))
+    now = T.StructType([T.StructField("tenure", T.LongType()) if f.name == "tenure" else f for f in GOLD_FEATURE_SCHEMA.fields])
+    first, second = [F.to_date(F.lit(d)) for d in VERSION_CUTS]
+    feeds.write_partitioned(narrow.where(date < first).drop("PaymentMethod"), path)
+    feeds.write_partitioned(narrow.where((date >= first) & (date < second)), path)
+    feeds.write_partitioned(gold.withColumn("tenure", F.col("tenure").cast("bigint")).where(date >= second), path)
+    return path, now
+
+
+@job("evolved_store")
+def evolved_store(spark, sf_dir):
+    """All months under the schema of the last, with a default for the column that the first lack."""
+    from churnlake.sources import evolution
+    path, schema = _versioned_store(spark, sf_dir)
+    return evolution.read_evolved(spark, path, schema, {"PaymentMethod": "not recorded"})
+
+
+@job("schema_drift")
+def schema_drift(spark, sf_dir):
+    from churnlake.sources import evolution
+    return evolution.schema_drift(spark, *_versioned_store(spark, sf_dir))
+
+
+STORE_BUCKETS = 4
+
+
+@job("colocated_analysis_set")
+def colocated_analysis_set(spark, sf_dir):
+    """features ⨝ meta ⨝ labels over stores bucketed on the customer."""
+    from churnlake.sources import colocated
+    silver, tables = _dm(spark, sf_dir).silver, {}
+    for feed in ("features", "meta", "labels"):
+        tables[feed] = colocated.create_store(spark, f"co_{feed}", silver[feed], STORE_BUCKETS)
+        colocated.write_months(silver[feed], tables[feed], STORE_BUCKETS)
+    return colocated.gold_join(spark, **tables)
+
+
 @job("cleaning_funnel_features")
 def cleaning_funnel_features(spark, sf_dir):
     return cleaning_funnel(_dm(spark, sf_dir).raw["features"], "features")
@@ -587,9 +637,7 @@ def factorize_codes(spark, sf_dir):
 
 @job("correlation_lower")
 def correlation_lower(spark, sf_dir):
-    keys = ["_k_date", "_k_id"]
-    codes = explore.factorize_codes(_eda_keyed(spark, sf_dir), EDA_COLUMNS, keys)
-    return explore.correlation_lower(codes, EDA_COLUMNS, keys)
+    return explore.correlation_lower(_eda_keyed(spark, sf_dir), EDA_COLUMNS, ["_k_date", "_k_id"])
 
 
 # ---- exports ----------------------------------------------------------------------------------

@@ -564,6 +564,17 @@ ORACLE["correlation_lower"] = with_base(
 
 # ---- exports -------------------------------------------------------------------------------------
 ORACLE["merged_analysis_set"] = with_base("SELECT * FROM eda")
+ORACLE["colocated_analysis_set"] = ORACLE["merged_analysis_set"]
+ORACLE["evolved_store"] = with_base(
+    "SELECT * REPLACE (CAST(tenure AS BIGINT) AS tenure, CASE WHEN Snapshot_Date < DATE '1994-01-01' "
+    "THEN 'not recorded' ELSE PaymentMethod END AS PaymentMethod) FROM gold_features")
+ORACLE["schema_drift"] = with_base("""
+SELECT Snapshot_Date AS snapshot_date, 'PaymentMethod' AS column_name, CAST(NULL AS VARCHAR) AS stored_type,
+       'string' AS declared_type, 'added' AS state
+FROM (SELECT DISTINCT Snapshot_Date FROM gold_features WHERE Snapshot_Date < DATE '1994-01-01')
+UNION ALL
+SELECT Snapshot_Date, 'tenure', 'smallint', 'bigint', 'widened'
+FROM (SELECT DISTINCT Snapshot_Date FROM gold_features WHERE Snapshot_Date < DATE '1996-01-01')""")
 ORACLE["label_map"] = with_base(
     "SELECT customerID, Snapshot_Date, CAST(CASE Churn WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 END AS INTEGER) AS Churn "
     "FROM raw_labels")
