@@ -20,7 +20,7 @@ from churnlake.plans.datasets import Datamart, written
 from churnlake.schema import (
     BINARY_COLUMNS, CATEGORICAL_FEATURES, CONSTANT_FILLS, NUMERIC_FEATURES, RAW_FEATURE_COLUMNS,
 )
-from churnlake.session import shared_path
+from churnlake.session import session_key, shared_path
 from churnlake.sources import feeds
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -517,10 +517,34 @@ def minmax_scale(spark, sf_dir):
 SEARCH_DRAWS, SEARCH_TREES = 2, [10]
 
 
+# (application id, sf_dir) -> folder of the modelling rows; (application id, sf_dir, kind) -> folder of the fitted model
+_MODEL_DATA: dict[tuple[str, str], str] = {}
+_FITTED: dict[tuple[str, str, str], str] = {}
+
+
 def _model_data(spark, sf_dir):
-    """Planted-label modelling parts, imputed, written once for the repeated passes of a fit."""
-    from churnlake.session import checkpoint
-    return checkpoint(models.prepare(_parts(spark, sf_dir, planted=True)))
+    """Planted-label modelling parts, imputed, written once per session for the repeated passes of the fits.
+
+    Rebalanced, so that each of a fit's many small jobs has one task per partition worth reading and no more.
+    """
+    key = (session_key(spark), sf_dir)
+    if key not in _MODEL_DATA:
+        path = shared_path(spark, "model_data")
+        models.prepare(_parts(spark, sf_dir, planted=True)).hint("rebalance").write.parquet(path)
+        _MODEL_DATA[key] = path
+    return feeds.read_store(spark, _MODEL_DATA[key])
+
+
+def _fitted(spark, sf_dir, kind):
+    """The model of a kind on the train part: fitted and saved at first use, then loaded."""
+    key = (session_key(spark), sf_dir, kind)
+    if key not in _FITTED:
+        train = _train(_model_data(spark, sf_dir))
+        estimator = models.gbt_estimator() if kind == "gbt" else models.lr_estimator(train.count(), max_iter=1000)
+        path = shared_path(spark, f"model_{kind}")
+        models.save(models.fit_pipeline(train, estimator), path)
+        _FITTED[key] = path
+    return models.load(_FITTED[key])
 
 
 def _train(data):
@@ -544,9 +568,8 @@ def lr_grid_search(spark, sf_dir):
 
 @job("gbt_base")
 def gbt_base(spark, sf_dir):
-    data = _model_data(spark, sf_dir)
-    model = models.fit_pipeline(_train(data), models.gbt_estimator())
-    return models.evaluate(model, data.where(F.col("part") == "test"), "gbt_base")
+    test = _model_data(spark, sf_dir).where(F.col("part") == "test")
+    return models.evaluate(_fitted(spark, sf_dir, "gbt"), test, "gbt_base")
 
 
 @job("gbt_random_search")
@@ -560,39 +583,32 @@ def gbt_random_search(spark, sf_dir):
 @job("oot_evaluation")
 def oot_evaluation(spark, sf_dir):
     data = _model_data(spark, sf_dir)
-    n = _train(data).count()
-    lr = models.fit_pipeline(_train(data), models.lr_estimator(n, max_iter=1000))
-    gbt = models.fit_pipeline(_train(data), models.gbt_estimator())
-    return models.evaluate(lr, data, "lr").unionByName(models.evaluate(gbt, data, "gbt"))
+    lr, gbt = [models.evaluate(_fitted(spark, sf_dir, kind), data, kind) for kind in ("lr", "gbt")]
+    return lr.unionByName(gbt)
 
 
 @job("lr_importance")
 def lr_importance(spark, sf_dir):
-    data = _model_data(spark, sf_dir)
-    n = _train(data).count()
-    return models.importance(models.fit_pipeline(_train(data), models.lr_estimator(n, max_iter=1000)), "lr")
+    return models.importance(_fitted(spark, sf_dir, "lr"), "lr")
 
 
 @job("gbt_importance")
 def gbt_importance(spark, sf_dir):
-    data = _model_data(spark, sf_dir)
-    return models.importance(models.fit_pipeline(_train(data), models.gbt_estimator()), "gbt")
+    return models.importance(_fitted(spark, sf_dir, "gbt"), "gbt")
 
 
 @job("batch_scoring")
 def batch_scoring(spark, sf_dir):
-    """Train, save the model, write the gold store, score one snapshot from it, write and re-read predictions."""
+    """The saved model, loaded, scores one snapshot of the written gold store; predictions written and re-read."""
     dm = _dm(spark, sf_dir, planted=True)
-    data = _model_data(spark, sf_dir)
-    model_path = shared_path(spark, "model_gbt")
-    models.save(models.fit_pipeline(_train(data), models.gbt_estimator()), model_path)
+    model = _fitted(spark, sf_dir, "gbt")
     store = shared_path(spark, "gold_feature_store")
     feeds.write_partitioned(dm.gold_features, store)
     cal = stores.calendar_dates(TRAIN_DATE)
     snap = feeds.read_store(spark, store).where(F.col("Snapshot_Date") == F.lit(cal["oot_start_date"]))
-    train = _train(data)
+    train = _train(_model_data(spark, sf_dir))
     snap = impute.mode_impute(impute.median_impute(snap, NUMERIC_FEATURES, train), CATEGORICAL_FEATURES, train)
-    preds = models.score(models.load(model_path), snap, "gbt_churn")
+    preds = models.score(model, snap, "gbt_churn")
     out = shared_path(spark, "model_predictions")
     feeds.write_predictions(preds, out, csv_copy=out + "_csv")
     return feeds.read_predictions(spark, out, out + "_csv")
