@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from churnlake.session import checkpoint, ensure_checkpoint_dir
+from churnlake.session import checkpoint, ensure_checkpoint_dir, shared_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"          # of text whose A-Z are lower-cased
@@ -26,6 +26,14 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a table in the shared folder and read back: like a checkpoint it cuts lineage and survives
+    lost executors, but it is compressed, and a later pass reads only the columns it needs."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def set_apart(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """``docs`` with its columns named c_0, c_1, ..., and the new name of each, so that columns an operator adds
     clash with none, whatever they are called."""

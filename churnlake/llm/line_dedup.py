@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlake.llm.common import all_of, broadcast_if_small, load, text_of
+from churnlake.llm.common import all_of, broadcast_if_small, load, stored, text_of
 from churnlake.llm.tokens import LOWER, buffers, hash_words, mixed, word_table
 from churnlake.session import checkpoint
 
@@ -321,8 +321,8 @@ def _word_runs(docs: DataFrame, rows: DataFrame, keys: tuple) -> DataFrame:
     places, first = _first_places(rows, keys[0], ("w_h", "w_pos"))
     seeds = places.join(first, F.col("h") == F.col("f_h")).where(
         (F.col("rid") != F.col("first.rid")) | (F.col("pos") != F.col("first.pos")))
-    pairs = checkpoint(seeds.groupBy("rid", "t_h", "t_g", F.col("first.t_h").alias("s_h"), F.col("first.t_g").alias("s_g"), F.col("first.rid").alias("src"))
-                       .agg(F.collect_list(F.struct("pos", F.col("first.pos").alias("at"))).alias("seeds")))
+    pairs = stored(seeds.groupBy("rid", "t_h", "t_g", F.col("first.t_h").alias("s_h"), F.col("first.t_g").alias("s_g"), F.col("first.rid").alias("src"))
+                       .agg(F.collect_list(F.struct("pos", F.col("first.pos").alias("at"))).alias("seeds")), "line-pairs")
     # the texts again, by 128 bits of their hash: equal texts are held once
     asked = checkpoint(pairs.select("t_h", "t_g").union(pairs.select("s_h", "s_g")).distinct())
     texts = docs.select(F.xxhash64(text_of()).alias("x_h"), F.xxhash64(F.lit(1), text_of()).alias("x_g"), text_of().alias("x_text"))
@@ -369,7 +369,7 @@ def repeated_runs(docs: DataFrame, keys: tuple = ("doc_id",)) -> DataFrame:
                         F.xxhash64(F.lit(1), text_of()).alias("t_g"), text_of().alias("text"))
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields[:-1]],
                         *[f"{c} array<{t}>" for c, t in _UNITS.items()]])
-    rows = checkpoint(plain.mapInArrow(_units_of, schema))
+    rows = stored(plain.mapInArrow(_units_of, schema), "line-units")
     places, first = _first_places(rows, keys[0], ("p_h", "p_pos", "p_n"))
     seeds = places.join(first, F.col("h") == F.col("f_h")).where(
         (F.col("rid") != F.col("first.rid")) | (F.col("pos") != F.col("first.pos")))
