@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlake.session import checkpoint
+from churnlake.session import checkpoint, stored
 
 
 TOTALS_BYTES = 64 << 20
@@ -78,8 +78,9 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],
         df = df.withColumn("_q_all", F.lit(0))
     v = F.col(value_col).cast("double")
     weight = F.col(weight_col).cast("bigint") if weight_col else F.lit(1).cast("bigint")
-    hist = (df.where(v.isNotNull()).groupBy(*group_cols, v.alias("_x"))
-            .agg(F.sum(weight).alias("_n")))
+    # written: the range bounds, the running sums and the totals read it, and ``df`` may be a join of large tables
+    hist = stored(df.where(v.isNotNull()).groupBy(*group_cols, v.alias("_x"))
+                  .agg(F.sum(weight).alias("_n")), "value_histogram")
     cum = running_sums(hist, group_cols, ["_x"], ["_n"])
     totals = hist.groupBy(*group_cols).agg(F.sum("_n").alias("_total"))
     # one row per group; a shuffle join on the group would bring a group's histogram into one task

@@ -13,12 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from churnlake.operators.clean import silver
 from churnlake.operators.stores import eda_set, gold_feature_store, gold_label_store
-from churnlake.session import session_key, shared_path
+from churnlake.session import FILE_ROWS, session_key, shared_path, small_methods, stored
 from churnlake.sources.feeds import read_raw_csv, read_store, write_partitioned, write_raw_csv
-from churnlake.sources.fixtures import raw_feeds
+from churnlake.sources.fixtures import order_months, raw_feeds
 
 # (application id, sf_dir, planted) -> folder of the raw CSV drops written this session
 _RAW_DROPS: dict[tuple[str, str, bool], str] = {}
+# (application id, sf_dir) -> the rows that the raw feeds are derived from, written this session
+_ORDER_MONTHS: dict[tuple[str, str], DataFrame] = {}
 # (application id, sf_dir, planted, store) -> folder of the store written this session
 _STORES: dict[tuple[str, str, bool, str], str] = {}
 
@@ -28,21 +30,30 @@ def raw_drops(spark: SparkSession, sf_dir: str, planted: bool = False) -> str:
 
     The source pipeline starts from raw CSV files; deriving the feeds from
     ``orders`` is a fixture step, so it runs once and every job then starts from
-    the files like a production run does (and survives executor loss).
+    the files like a production run does (and survives executor loss).  The orders are grouped once for all feeds;
+    the drops are compressed, in files of limited size, as each is read by one task.
     """
     key = (session_key(spark), sf_dir, planted)
     if key not in _RAW_DROPS:
         root = shared_path(spark, "raw_drops")
-        for feed, df in raw_feeds(spark, sf_dir, planted=planted).items():
-            write_raw_csv(df, f"{root}/{feed}")
+        if key[:2] not in _ORDER_MONTHS:
+            _ORDER_MONTHS[key[:2]] = stored(order_months(spark, sf_dir), "order_months")
+        with small_methods(spark):
+            for feed, df in raw_feeds(spark, sf_dir, planted=planted, base=_ORDER_MONTHS[key[:2]]).items():
+                write_raw_csv(df, f"{root}/{feed}", compression="gzip", maxRecordsPerFile=FILE_ROWS)
         _RAW_DROPS[key] = root
     return _RAW_DROPS[key]
 
 
+# stores whose rows are those of another store with the same partitions
+_COPIES = {"gold_label_store"}
+
+
 def written(spark: SparkSession, name: str, df: DataFrame) -> str:
     """Folder of a new store with the rows of ``df``."""
     path = shared_path(spark, name)
-    write_partitioned(df, path)
+    with small_methods(spark):
+        write_partitioned(df, path, rebalance=name not in _COPIES)
     return path
 
 

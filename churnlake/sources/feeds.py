@@ -50,10 +50,10 @@ def read_raw_csv(spark: SparkSession, path: str, feed: str) -> DataFrame:
     return spark.read.schema(RAW_SCHEMAS[feed]).options(**RAW_CSV_OPTIONS).csv(path)
 
 
-def write_raw_csv(df: DataFrame, path: str) -> None:
+def write_raw_csv(df: DataFrame, path: str, **options) -> None:
     """A raw feed drop: header, values byte for byte (no whitespace trimming)."""
     (df.write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False)
-     .option("ignoreTrailingWhiteSpace", False).csv(path))
+     .option("ignoreTrailingWhiteSpace", False).options(**options).csv(path))
 
 
 def read_csv_typed(spark: SparkSession, path: str, schema=None) -> DataFrame:
@@ -80,14 +80,16 @@ def bronze(raw: DataFrame, snapshots: list[str] | None = None) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str | list[str] = "Snapshot_Date",
-                      **options) -> None:
+                      rebalance: bool = True, **options) -> None:
     """Overwrite only the partitions present in ``df`` (dynamic partition overwrite).
 
     The rows are rebalanced on ``partition_by`` first: a partition gets few files, and one that holds a large
-    part of the rows is split over several tasks.
+    part of the rows is split over several tasks.  ``rebalance=False``: rows that are read from a store with the
+    same partitions lie together already, and are not shuffled again.
     """
     by = [partition_by] if isinstance(partition_by, str) else partition_by
-    (df.hint("rebalance", *[F.col(c) for c in by]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    rows = df.hint("rebalance", *[F.col(c) for c in by]) if rebalance else df
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .options(**options).partitionBy(*by).format(fmt).save(path))
 
 

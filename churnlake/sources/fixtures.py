@@ -95,12 +95,13 @@ def _raw_columns() -> dict[str, Column]:
     return cols
 
 
-def raw_feeds(spark: SparkSession, sf_dir: str, planted: bool = False) -> dict[str, DataFrame]:
+def raw_feeds(spark: SparkSession, sf_dir: str, planted: bool = False, base: DataFrame | None = None) -> dict[str, DataFrame]:
     """The three raw feeds (every column a nullable string), keyed 'features', 'meta', 'labels'.
 
-    ``planted`` swaps the independent label for one with signal (for model tests).
+    ``planted`` swaps the independent label for one with signal (for model tests).  ``base``: the rows of
+    ``order_months`` where they are written already, else each feed groups the orders again.
     """
-    base = order_months(spark, sf_dir)
+    base = order_months(spark, sf_dir) if base is None else base
     cols = _raw_columns()
     if planted:
         k, cust = F.col("k"), F.col("cust")
