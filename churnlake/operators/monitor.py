@@ -25,6 +25,7 @@ from churnlake.schema import (
     PSI_DECILES, PSI_WARNING, PSI_ZERO_SHARE, SCORE_CLIP,
 )
 
+JOIN_ROWS = 250_000     # of each table, in one task of a join
 MONITOR_FEATURES = ["churn_probability", "monthly_charges"]
 
 
@@ -70,13 +71,25 @@ def predictions_from_scores(scored: DataFrame, model_name: str, cut: float = 0.5
 
 
 def pred_truth_join(predictions: DataFrame, silver_features: DataFrame, labels: DataFrame) -> DataFrame:
-    """predictions ⨝ (features ⨝ labels) on (customerID, snapshot_date); prediction renamed."""
-    truth = silver_features.join(labels.where(F.col("Churn").isNotNull()), KEYS, "inner").select(
+    """predictions ⨝ (features ⨝ labels) on (customerID, snapshot_date); prediction renamed.
+
+    One task sorts its part of all three tables, so the number of parts follows the rows: left to themselves the
+    parts are merged to one per core, and a task's memory grows with the tables.
+    """
+    keys = ["customerID", "snapshot_date"]
+    predictions = predictions.withColumnRenamed("model_predictions", "binary_prediction")
+    silver_features = silver_features.select(*KEYS, "MonthlyCharges")
+    labels = labels.where(F.col("Churn").isNotNull()).select(*KEYS, "Churn")
+    parts = math.ceil(max(df.count() for df in (predictions, silver_features, labels)) / JOIN_ROWS)
+    if parts > 1:           # fewer than the session's partitions would be dealt out again
+        parts = max(parts, int(predictions.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        predictions = predictions.repartition(parts, *keys)
+        silver_features, labels = silver_features.repartition(parts, *KEYS), labels.repartition(parts, *KEYS)
+    truth = silver_features.join(labels, KEYS, "inner").select(
         "customerID", F.col("Snapshot_Date").alias("snapshot_date"),
         F.col("Churn").alias("actual_churn"), F.col("MonthlyCharges").alias("monthly_charges"),
     )
-    joined = predictions.withColumnRenamed("model_predictions", "binary_prediction").join(
-        truth, ["customerID", "snapshot_date"], "inner")
+    joined = predictions.join(truth, keys, "inner")
     return joined.withColumn("month", month_label("snapshot_date"))
 
 
