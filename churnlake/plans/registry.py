@@ -517,6 +517,8 @@ def minmax_scale(spark, sf_dir):
 SEARCH_DRAWS, SEARCH_TREES = 2, [10]
 
 
+MODEL_FILE_ROWS = 25_000
+
 # (application id, sf_dir) -> folder of the modelling rows; (application id, sf_dir, kind) -> folder of the fitted model
 _MODEL_DATA: dict[tuple[str, str], str] = {}
 _FITTED: dict[tuple[str, str, str], str] = {}
@@ -525,12 +527,15 @@ _FITTED: dict[tuple[str, str, str], str] = {}
 def _model_data(spark, sf_dir):
     """Planted-label modelling parts, imputed, written once per session for the repeated passes of the fits.
 
-    Rebalanced, so that each of a fit's many small jobs has one task per partition worth reading and no more.
+    Rebalanced, so that each of a fit's many small jobs has one task per partition worth reading and no more, in
+    files of at most ``MODEL_FILE_ROWS`` rows: a file is read by one task, and a fit passes over the rows hundreds of
+    times.
     """
     key = (session_key(spark), sf_dir)
     if key not in _MODEL_DATA:
         path = shared_path(spark, "model_data")
-        models.prepare(_parts(spark, sf_dir, planted=True)).hint("rebalance").write.parquet(path)
+        models.prepare(_parts(spark, sf_dir, planted=True)).hint("rebalance").write.option(
+            "maxRecordsPerFile", MODEL_FILE_ROWS).parquet(path)
         _MODEL_DATA[key] = path
     return feeds.read_store(spark, _MODEL_DATA[key])
 
