@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from churnlake.functions.scoring import clip, heuristic_score, label_is_yes, month_label
 from churnlake.operators.ranking import exact_quantiles, running_sums
-from churnlake.session import checkpoint
+from churnlake.session import checkpoint, stored
 from churnlake.schema import (
     AUC_ALERT, AUC_PASS_MEAN, CONSTANT_FILLS, KDE_CUT, KDE_GRID_SIZE, KEYS, PSI_CRITICAL,
     PSI_DECILES, PSI_WARNING, PSI_ZERO_SHARE, SCORE_CLIP,
@@ -303,6 +303,7 @@ def psi_report(mon: DataFrame, baseline_month: str | None = None,
 
 
 STATS_BYTES = 64 << 20
+KDE_BLOCK = 10          # points of a curve that one row adds to
 
 
 # ---- KDE ------------------------------------------------------------------------
@@ -314,13 +315,14 @@ def kde_table(long: DataFrame, grid_size: int = KDE_GRID_SIZE, cut: float = KDE_
     Output: feature, month_start, point int, x double, density double.  Groups
     with fewer than two values or no spread have no curve.
 
-    Work is grid_size x (distinct values per group).  Exact by default; for
+    Work is grid_size x (distinct values per group), in blocks of points: a value meets
+    each block once and adds to all its sums there.  Exact by default; for
     continuous values at very large n pass ``bin_fraction`` (e.g. 0.02): every
     value is snapped to a grid of bw·bin_fraction before the histogram, which
     bounds the distinct values per group by the data range / (bw·fraction) while
     keeping every row's weight (density error ~ fraction²/24 relative).
     """
-    vals = long.where(F.col("value").isNotNull())
+    vals = stored(long.where(F.col("value").isNotNull()), "kde_values")       # read twice
     stats = vals.groupBy("feature", "month_start").agg(
         F.count(F.lit(1)).alias("_n"), F.stddev_samp("value").alias("_sd"),
         F.min("value").alias("_lo"), F.max("value").alias("_hi"))
@@ -340,19 +342,21 @@ def kde_table(long: DataFrame, grid_size: int = KDE_GRID_SIZE, cut: float = KDE_
         hist = vals.groupBy("feature", "month_start", "value").agg(F.count(F.lit(1)).alias("_c"))
     step = (F.col("_g1") - F.col("_g0")) / (grid_size - 1)
     norm = F.col("_n") * F.col("_bw") * math.sqrt(2 * math.pi)
-    # grid x distinct values: an explode (whole-stage codegen) + partial sums per point
-    points = hist.join(stats, ["feature", "month_start"], "inner").select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(grid_size - 1))).alias("point"))
-    contrib = points.select(
-        "feature", "month_start", "point",
-        (F.col("_c") * F.exp(-0.5 * F.pow((F.col("_g0") + F.col("point") * step - F.col("value")) / F.col("_bw"), 2))
-         / norm).alias("_d"))
-    dens = contrib.groupBy("feature", "month_start", "point").agg(F.sum("_d").alias("_density"))
+    # grid x distinct values: one row per value and block of points, partial sums of all points of a block
+    blocks = hist.join(stats, ["feature", "month_start"], "inner").select(
+        "feature", "month_start", F.explode(F.sequence(F.lit(0), F.lit(grid_size - 1), F.lit(KDE_BLOCK))).alias("_block"),
+        "_c", (step / F.col("_bw")).alias("_dz"), ((F.col("_g0") - F.col("value")) / F.col("_bw")).alias("_z0"))
+    sums = [F.sum(F.col("_c") * F.exp(-0.5 * F.pow(F.col("_z0") + (F.col("_block") + i) * F.col("_dz"), 2))).alias(f"_s{i}")
+            for i in range(min(KDE_BLOCK, grid_size))]
+    dens = (blocks.groupBy("feature", "month_start", "_block").agg(*sums)
+            .select("feature", "month_start", "_block", F.posexplode(F.array(*[f"_s{i}" for i in range(len(sums))])).alias("_i", "_sum"))
+            .select("feature", "month_start", (F.col("_block") + F.col("_i")).alias("point"), "_sum")
+            .where(F.col("point") < grid_size))
     out = dens.join(stats, ["feature", "month_start"], "inner").select(
         "feature", "month_start", F.col("point").cast("int").alias("point"),
         F.round(F.when(F.col("point") == grid_size - 1, F.col("_g1"))
                 .otherwise(F.col("_g0") + F.col("point") * step), 6).alias("x"),
-        F.round("_density", 6).alias("density"))
+        F.round(F.col("_sum") / norm, 6).alias("density"))
     return out
 
 
@@ -367,7 +371,7 @@ def kde_binned(long: DataFrame, grid_size: int = KDE_GRID_SIZE, cut: float = KDE
     at most (1 / resolution**2 / 8 + exp(-radius**2 / 2)) / (bandwidth * sqrt(2 pi)), as linear interpolation of
     the kernel is off by at most width**2 / 8 of its largest second derivative.
     """
-    vals = long.where(F.col("value").isNotNull())
+    vals = stored(long.where(F.col("value").isNotNull()), "kde_values")       # read twice
     stats = vals.groupBy("feature", "month_start").agg(
         F.count(F.lit(1)).alias("_n"), F.stddev_samp("value").alias("_sd"), F.min("value").alias("_lo"), F.max("value").alias("_hi"))
     stats = stats.where((F.col("_n") >= 2) & (F.col("_sd") > 0)).select(
