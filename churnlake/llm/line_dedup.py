@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlake.llm.common import all_of, broadcast_if_small, load, stored, text_of
@@ -35,6 +35,7 @@ HOT_PAIRS = 256         # pairs of one source that one task may hold
 _FACTOR = 0x9E3779B97F4A7C15
 _INVERSE = pow(_FACTOR, -1, 1 << 64)
 _TOGETHER = 1 << 21     # bytes of whole texts that are taken in one go
+_CELLS = 1 << 20        # values compared in one go
 _STOPS = np.zeros(256, bool)
 _STOPS[list(b".!?")] = True
 
@@ -62,7 +63,7 @@ def unit_table(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
         none = np.zeros(0, np.int64)
         return {"word": word, "word_row": none, "row": none, "hash": word, "words": none, "start": none, "end": none}
     breaks = np.flatnonzero(data == 10)
-    line = np.searchsorted(breaks, starts)          # line breaks before the word
+    line = np.repeat(np.arange(len(breaks) + 1), np.diff(np.searchsorted(starts, breaks), prepend=0, append=len(starts)))  # breaks before the word
     text_start, text_end = offsets[row], offsets[row + 1]
     new_line = np.ones(len(starts), bool)
     new_line[1:] = (line[1:] != line[:-1]) | (row[1:] != row[:-1])
@@ -98,6 +99,21 @@ def smallest_between(values: np.ndarray, first: np.ndarray, last: np.ndarray) ->
     return out
 
 
+def smallest_in_runs(values: np.ndarray, n: int) -> np.ndarray:
+    """Place of the smallest value in each values[i:i + n], the last one of equal ones."""
+    low, at, size = values, np.arange(len(values)), 1
+    while size < n:
+        step = min(size, n - size)
+        low, at = np.minimum(low[:-step], low[step:]), np.where(low[step:] <= low[:-step], at[step:], at[:-step])
+        size += step
+    return at
+
+
+def _once(places: np.ndarray) -> np.ndarray:
+    """Ascending places, each once."""
+    return places[np.diff(places, prepend=-1) > 0]
+
+
 def unit_prints(hashes: np.ndarray, words: np.ndarray, row: np.ndarray, gram: int = GRAM_WORDS,
                 sure: int = SURE_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Winnowed (hash, first unit, units) of the units of a block of texts: of the grams inside each shortest run
@@ -112,7 +128,7 @@ def unit_prints(hashes: np.ndarray, words: np.ndarray, row: np.ndarray, gram: in
     values = np.zeros(n, np.uint64)
     values[whole] = run_hashes(hashes, whole, gram_end[whole])
     last = np.searchsorted(gram_end, sure_end[at], side="right") - 1
-    chosen = np.unique(smallest_between(values, at, last))
+    chosen = _once(smallest_between(values, at, last))
     return values[chosen], chosen, gram_end[chosen] - chosen
 
 
@@ -123,8 +139,8 @@ def word_prints(words: np.ndarray, row: np.ndarray, gram: int = GRAM_WORDS, sure
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     at = np.arange(n - gram + 1)
     values = run_hashes(words, at, at + gram)
-    inside = np.flatnonzero(np.arange(n - sure + 1) + sure <= np.searchsorted(row, row[:n - sure + 1], side="right"))
-    chosen = np.unique(smallest_between(values, inside, inside + sure - gram))
+    inside = np.arange(n - sure + 1) + sure <= np.cumsum(np.bincount(row))[row[:n - sure + 1]]
+    chosen = _once(smallest_in_runs(values, sure - gram + 1)[inside])
     return values[chosen], chosen
 
 
@@ -137,171 +153,216 @@ def _blocks(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
         at = end
 
 
-_UNITS = {"hashes": "bigint", "words": "int", "starts": "int", "ends": "int", "p_h": "bigint", "p_pos": "int", "p_n": "int",
-          "w_h": "bigint", "w_pos": "int"}
+_PACKED = {"hashes": np.int64, "words": np.int32, "starts": np.int32, "ends": np.int32}     # one binary value per text
+_LISTS = {"p_h": "bigint", "p_pos": "int", "p_n": "int", "w_h": "bigint", "w_pos": "int"}
+_UNITS = {"n_units": "int", "n_words": "bigint", **{c: "binary" for c in _PACKED}, **{c: f"array<{t}>" for c, t in _LISTS.items()}}
+
+
+def _cuts(sizes: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes, dtype=np.int64)])
+
+
+def _list_of(values: np.ndarray | pa.Array, sizes: np.ndarray, kind: pa.DataType = pa.int32()) -> pa.Array:
+    values = values if isinstance(values, pa.Array) else pa.array(values, kind)
+    return pa.ListArray.from_arrays(pa.array(_cuts(sizes), pa.int32()), values)
+
+
+def _values(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(all values, values per row) of a list column; null rows have none."""
+    return (column.flatten().to_numpy(zero_copy_only=False),
+            column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+
+
+def _unpacked(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """(all values, place of the first of each row and the end) of a column of ``_PACKED``."""
+    data, offsets = buffers(column)
+    return np.frombuffer(data.tobytes(), kind), offsets // np.dtype(kind).itemsize
+
 
+def _texts_of(values: np.ndarray, at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(values, place of the first of each row and the end) of the given rows one after the other."""
+    sizes = at[rows + 1] - at[rows]
+    cuts = _cuts(sizes)
+    return values[np.repeat(at[rows] - cuts[:-1], sizes) + np.arange(cuts[-1])], cuts
 
-def _text_units(data: np.ndarray, offsets: np.ndarray) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """Values and number of values per text of each column of ``_UNITS``."""
+
+def _text_units(data: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
+    """The columns of ``_UNITS`` of a block of texts."""
     n = len(offsets) - 1
     t = unit_table(data, offsets)
     count = lambda row: np.bincount(row, minlength=n)
-    first_unit = np.searchsorted(t["row"], np.arange(n))
-    first_word = np.searchsorted(t["word_row"], np.arange(n))
+    units, words = count(t["row"]), count(t["word_row"])
     p_h, p_at, p_n = unit_prints(t["hash"], t["words"], t["row"])
     w_h, w_at = word_prints(t["word"], t["word_row"])
     p_row, w_row = t["row"][p_at], t["word_row"][w_at]
-    units, prints, words = count(t["row"]), count(p_row), count(w_row)
-    return {"hashes": (t["hash"].view(np.int64), units), "words": (t["words"], units), "starts": (t["start"], units),
-            "ends": (t["end"], units), "p_h": (p_h.view(np.int64), prints), "p_pos": (p_at - first_unit[p_row], prints),
-            "p_n": (p_n, prints), "w_h": (w_h.view(np.int64), words), "w_pos": (w_at - first_word[w_row], words)}
+    held = {"hashes": t["hash"].view(np.int64), "words": t["words"], "starts": t["start"], "ends": t["end"]}
+    lists = {"p_h": (p_h.view(np.int64), p_row), "p_pos": (p_at - _cuts(units)[p_row], p_row), "p_n": (p_n, p_row),
+             "w_h": (w_h.view(np.int64), w_row), "w_pos": (w_at - _cuts(words)[w_row], w_row)}
+    return [pa.array(units, pa.int32()), pa.array(words, pa.int64()),
+            *[pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((_cuts(units) * np.dtype(kind).itemsize).astype(np.int32)),
+                                                     pa.py_buffer(held[c].astype(kind))]) for c, kind in _PACKED.items()],
+            *[_list_of(lists[c][0], count(lists[c][1]), pa.int64() if kind == "bigint" else pa.int32()) for c, kind in _LISTS.items()]]
 
 
 def _units_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The text, the last column, replaced by its units and fingerprints."""
     for batch in batches:
         data, offsets = buffers(batch.column(batch.num_columns - 1))
-        parts = [_text_units(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]) for a, b in _blocks(offsets)]
-        columns = []
-        for name, kind in _UNITS.items():
-            values = np.concatenate([p[name][0] for p in parts]) if parts else np.zeros(0, np.int64)
-            sizes = np.concatenate([p[name][1] for p in parts]) if parts else np.zeros(0, np.int64)
-            columns.append(pa.ListArray.from_arrays(
-                pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()),
-                pa.array(values, pa.int64() if kind == "bigint" else pa.int32())))
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=[*batch.schema.names[:-1], *_UNITS])
-
-
-def extend(own: list[int], other: list[int], seeds: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Maximal runs (first, end) of ``own`` that equal runs of ``other``, from verified seeds (pos, other pos, n)
-    inside one text a run only matches what stands before it."""
-    runs: dict[int, list[tuple[int, int]]] = {}
-    for pos, at, n in sorted(seeds):
-        held = runs.setdefault(pos - at, [])
-        if held and held[-1][0] <= pos and pos + n <= held[-1][1]:
-            continue
-        if at + n > len(other) or own[pos:pos + n] != other[at:at + n]:
-            continue
-        a, b, shift = pos, pos + n, pos - at
-        while a > 0 and a - shift > 0 and own[a - 1] == other[a - 1 - shift]:
-            a -= 1
-        while b < len(own) and b - shift < len(other) and own[b] == other[b - shift]:
-            b += 1
-        held.append((a, b))
-    return [r for held in runs.values() for r in held]
-
-
-def _lists(column: pa.Array) -> list[np.ndarray]:
-    """The rows of a list column, as views of its values."""
-    values = column.flatten().to_numpy(zero_copy_only=False)
-    cuts = np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
-    return [values[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+        for a, b in _blocks(offsets):
+            columns = _text_units(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+            yield pa.RecordBatch.from_arrays([*[c.slice(a, b - a) for c in batch.columns[:-1]], *columns],
+                                             names=[*batch.schema.names[:-1], *_UNITS])
+
+
+def _agree(x: np.ndarray, p: np.ndarray, y: np.ndarray, q: np.ndarray, most: np.ndarray, way: int) -> np.ndarray:
+    """How many values from each x[p] and y[q] on agree, at most ``most``; ``way`` -1 goes backwards."""
+    out = np.zeros(len(p), np.int64)
+    left, size = np.flatnonzero(most > 0), 32
+    while len(left):
+        size = max(1, min(size, _CELLS // len(left)))
+        at = out[left, None] + np.arange(size)
+        near = way * np.minimum(at, most[left, None] - 1)
+        differ = (at >= most[left, None]) | (x[p[left, None] + near] != y[q[left, None] + near])
+        ends = differ.any(axis=1)
+        out[left] += np.where(ends, differ.argmax(axis=1), size)
+        left, size = left[~ends], 2 * size
+    return out
 
 
-def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(r_rid, a, b) from (rid, own, other, pos, at, n)."""
-    for batch in batches:
-        out = []
-        for rid, own, other, pos, at, n in zip(batch.column(0).to_pylist(), *[_lists(c) for c in batch.columns[1:]]):
-            out += [(rid, a, b) for a, b in extend(own.tolist(), other.tolist(), list(zip(pos.tolist(), at.tolist(), n.tolist())))]
-        yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.int32()))],
-                                         names=["r_rid", "a", "b"])
+def _joined(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs (first, end) in ascending order, those that overlap as one."""
+    order = np.argsort(a, kind="stable")
+    a, ends = a[order], np.maximum.accumulate(b[order])
+    new = np.ones(len(a), bool)
+    new[1:] = a[1:] >= ends[:-1]
+    return a[new], ends[np.append(new[1:], True)[:len(a)]]
+
+
+def extend(own: np.ndarray, own_at: np.ndarray, other: np.ndarray, other_at: np.ndarray, row: np.ndarray, pos: np.ndarray,
+           at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, first, end) of maximal runs of each own[own_at[row]:own_at[row + 1]] that equal runs of ``other`` there, from
+    seeds (row, pos, other pos, n); runs that overlap are one.
+
+    All pairs together, a few seeds of each at a time: a seed inside what its pair has found is done if the values
+    next to that differ for it, so a text that repeats itself is not compared anew from every place."""
+    order = np.lexsort((at, pos, row))
+    row, n = row[order], n[order]
+    p, q = pos[order] + own_at[row], at[order] + other_at[row]
+    a = b = np.zeros(0, np.int64)
+    take = 1
+    while len(p):
+        now = np.arange(len(row)) - np.searchsorted(row, row) < take
+        r, x, y, size = row[now], p[now], q[now], n[now]
+        ahead = _agree(own, x, other, y, np.minimum(own_at[r + 1] - x, other_at[r + 1] - y), 1)
+        same = ahead >= size
+        r, x, y, ahead = r[same], x[same], y[same], ahead[same]
+        back = _agree(own, x - 1, other, y - 1, np.minimum(x - own_at[r], y - other_at[r]), -1)
+        a, b = _joined(np.concatenate([a, x - back]), np.concatenate([b, x + ahead]))
+        row, p, q, n = row[~now], p[~now], q[~now], n[~now]
+        if len(a) and len(p):
+            k = np.maximum(np.searchsorted(a, p, side="right") - 1, 0)
+            first, end, shift = a[k], b[k], q - p
+            before = (first > own_at[row]) & (first + shift > other_at[row])
+            before &= own[first - 1] == other[np.clip(first - 1 + shift, 0, len(other) - 1)]
+            after = (end < own_at[row + 1]) & (end + shift < other_at[row + 1])
+            after &= own[np.minimum(end, len(own) - 1)] == other[np.clip(end + shift, 0, len(other) - 1)]
+            more = (first > p) | (p + n > end) | before | after
+            row, p, q, n = row[more], p[more], q[more], n[more]
+        take *= 4
+    found = np.searchsorted(own_at, a, side="right") - 1
+    return found, a - own_at[found], b - own_at[found]
 
 
-def _same_for(a: np.ndarray, b: np.ndarray) -> int:
-    """How many first values of a and b agree."""
-    n, at, step = min(len(a), len(b)), 0, 32
-    while at < n:
-        end = min(n, at + step)
-        differ = np.flatnonzero(a[at:end] != b[at:end])
-        if len(differ):
-            return at + int(differ[0])
-        at, step = end, 2 * step
-    return n
-
-
-def extend_words(own: np.ndarray, other: np.ndarray, seeds: list[tuple[int, int]], n: int = GRAM_WORDS) -> list[tuple[int, int]]:
-    """Maximal runs (first, end) of words of ``own`` that equal runs of ``other``, from seeds (pos, other pos) of n words."""
-    last: dict[int, tuple[int, int]] = {}       # by shift
-    runs, far = [], (0, 0)                      # far: the run that ends last
-    for pos, at in sorted(seeds):
-        shift = pos - at
-        a, b = last.get(shift, (0, 0))
-        if a <= pos and pos + n <= b:
-            continue
-        a, b = far
-        # inside a found run a seed gives more only if the words next to that run agree too
-        if (a <= pos and pos + n <= b and not (a > max(shift, 0) and own[a - 1] == other[a - 1 - shift])
-                and not (b < len(own) and b - shift < len(other) and own[b] == other[b - shift])):
-            continue
-        if at + n > len(other) or not np.array_equal(own[pos:pos + n], other[at:at + n]):
-            continue
-        a = pos - _same_for(own[:pos][::-1], other[:at][::-1])
-        b = pos + n + _same_for(own[pos + n:], other[at + n:])
-        last[shift] = (a, b)
-        runs.append((a, b))
-        far = max(far, (a, b), key=lambda r: r[1])
-    return runs
+def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(r_rid, a, b), the runs of a pair as lists, from (rid, own, other, pos, at, n)."""
+    for batch in batches:
+        pos, seeds = _values(batch.column(3))
+        at, n = _values(batch.column(4))[0], _values(batch.column(5))[0]
+        row, a, b = extend(*_unpacked(batch.column(1), np.int64), *_unpacked(batch.column(2), np.int64),
+                           np.repeat(np.arange(batch.num_rows), seeds), pos, at, n)
+        runs = np.bincount(row, minlength=batch.num_rows)
+        yield pa.RecordBatch.from_arrays([batch.column(0), _list_of(a, runs), _list_of(b, runs)], names=["r_rid", "a", "b"])
 
 
 def _words_extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(w_rid, a, b, start, end) from (rid, own, other, pos, at); the texts come compressed."""
+    """(w_rid, a, b, start, end), the runs of a pair as lists, from (rid, own, other, pos, at); the texts come compressed."""
     for batch in batches:
-        rids, seeds = batch.column(0).to_pylist(), list(zip(_lists(batch.column(3)), _lists(batch.column(4))))
-        packed = [c.to_pylist() for c in batch.columns[1:3]]
-        out, at = [], 0
-        while at < len(rids):
-            texts, first, held = [], at, 0
-            while at < len(rids) and (at == first or held < _TOGETHER):
-                texts += [zlib.decompress(packed[0][at]), zlib.decompress(packed[1][at])]
-                held += len(texts[-1]) + len(texts[-2])
-                at += 1
+        (pos, seeds), (at, _) = _values(batch.column(3)), _values(batch.column(4))
+        cuts = _cuts(seeds)
+        own, other = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+        first = 0
+        while first < len(own):
+            number: dict[bytes, int] = {}       # a text of several pairs is taken apart once
+            texts, held, end = [], 0, first
+            while end < len(own) and (end == first or held < _TOGETHER):
+                for packed in (own[end], other[end]):
+                    if number.setdefault(packed, len(texts)) == len(texts):
+                        texts.append(zlib.decompress(packed))
+                        held += len(texts[-1])
+                held += 64 * int(cuts[end + 1] - cuts[end])
+                end += 1
             data = np.frombuffer(b"".join(texts), np.uint8)
-            offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-            starts, ends, row = word_table(data, offsets)
+            offsets = _cuts(np.array([len(t) for t in texts]))
+            starts, ends, text = word_table(data, offsets)
             words = hash_words(LOWER[data], starts, ends)
-            cuts = np.searchsorted(row, np.arange(len(texts) + 1)).tolist()
-            for k, i in enumerate(range(first, at)):
-                a, b, c = cuts[2 * k:2 * k + 3]
-                runs = extend_words(words[a:b], words[b:c], list(zip(seeds[i][0].tolist(), seeds[i][1].tolist())))
-                if not runs:
-                    continue
-                chars = np.concatenate([[0], np.cumsum((data[offsets[2 * k]:offsets[2 * k + 1]] & 0xC0) != 0x80)])
-                own_start, own_end = starts[a:b] - offsets[2 * k], ends[a:b] - offsets[2 * k]
-                out += [(rids[i], f, e, int(chars[own_start[f]]), int(chars[own_end[e - 1]])) for f, e in runs]
-        yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int32() if i else pa.int64()) for i in range(5)],
-                                         names=["w_rid", "a", "b", "start", "end"])
-
-
-def merged(words: list[int], starts: list[int], ends: list[int], removed: list[int], runs: list) -> tuple[int, list[tuple[int, int]]]:
-    """(words, spans in characters) of removed units and runs of words (first, end, start, end in characters) together."""
-    total = np.concatenate([[0], np.cumsum(words)]).tolist()
-    pieces = sorted([*[(total[i], total[i + 1], starts[i], ends[i]) for i in removed], *runs])
-    out = []
-    for a, b, start, end in pieces:
-        if out and a < out[-1][1]:
-            f, e, s, z = out[-1]
-            out[-1] = (f, max(e, b), min(s, start), max(z, end))
-        else:
-            out.append((a, b, start, end))
-    return sum(b - a for a, b, _, _ in out), [(s, z) for _, _, s, z in out]
-
-
-def _merged(words: pd.Series, starts: pd.Series, ends: pd.Series, removed: pd.Series, runs: pd.Series) -> pd.DataFrame:
-    rows = []
-    for w, s, e, r, x in zip(words, starts, ends, removed, runs):
-        if x is None:
-            rows.append((None, None))
-            continue
-        n, spans = merged(list(w), list(s), list(e), list(r), [(p["a"], p["b"], p["start"], p["end"]) for p in x])
-        rows.append((n, [{"start": int(a), "end": int(b)} for a, b in spans]))
-    return pd.DataFrame(rows, columns=["n", "spans"]).astype({"n": "Int64", "spans": object})
+            word_at = np.searchsorted(text, np.arange(len(texts) + 1))
+            mine, theirs = (np.array([number[t] for t in side[first:end]]) for side in (own, other))
+            some = slice(cuts[first], cuts[end])
+            row, a, b = extend(*_texts_of(words, word_at, mine), *_texts_of(words, word_at, theirs),
+                               np.repeat(np.arange(end - first), seeds[first:end]), pos[some], at[some],
+                               np.full(cuts[end] - cuts[first], GRAM_WORDS))
+            chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+            text_at, word = chars[offsets[mine[row]]], word_at[mine[row]]
+            runs = np.bincount(row, minlength=end - first)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(first, end - first), *[_list_of(v, runs) for v in (
+                    a, b, chars[starts[word + a]] - text_at, chars[ends[word + b - 1]] - text_at)]],
+                names=["w_rid", "w_a", "w_b", "w_start", "w_end"])
+            first = end
+
+
+def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The last nine columns (words, starts, ends of the units; a, b of repeated runs of units; a, b, start, end of repeated
+    runs of words) replaced by removed, n_removed_words and spans: removed units and runs of words that overlap together."""
+    for batch in batches:
+        words, at = _unpacked(batch.column(batch.num_columns - 9), np.int32)
+        starts, ends = (_unpacked(batch.column(batch.num_columns - k), np.int32)[0] for k in (8, 7))
+        (a, sizes), (b, _) = (_values(batch.column(batch.num_columns - k)) for k in (6, 5))
+        first_unit = np.repeat(at[:-1], sizes)
+        marks = np.bincount(first_unit + a, minlength=len(words) + 1) - np.bincount(first_unit + b, minlength=len(words) + 1)
+        unit = np.flatnonzero(np.cumsum(marks) > 0)
+        unit_row = np.searchsorted(at, unit, side="right") - 1
+        total = _cuts(words)
+        runs = [_values(batch.column(batch.num_columns - k)) for k in (4, 3, 2, 1)]
+        first_word = np.repeat(total[at[:-1]], runs[0][1])
+        a = np.concatenate([total[unit], runs[0][0] + first_word])
+        b = np.concatenate([total[unit + 1], runs[1][0] + first_word])
+        start, end = np.concatenate([starts[unit], runs[2][0]]), np.concatenate([ends[unit], runs[3][0]])
+        order = np.argsort(a, kind="stable")
+        a, b = _joined(a, b)
+        piece = np.searchsorted(np.concatenate([total[unit], runs[0][0] + first_word])[order], a)
+        start, end = (np.minimum.reduceat(start[order], piece), np.maximum.reduceat(end[order], piece)) if len(a) else (start, end)
+        row = np.searchsorted(total[at], a, side="right") - 1
+        n_words = np.bincount(row, weights=b - a, minlength=batch.num_rows).astype(np.int64)
+        spans = pa.StructArray.from_arrays([pa.array(start, pa.int32()), pa.array(end, pa.int32())], names=["start", "end"])
+        count = lambda r: np.bincount(r, minlength=batch.num_rows)
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:-9], _list_of(unit - at[unit_row], count(unit_row)), pa.array(n_words, pa.int64()), _list_of(spans, count(row))],
+            names=[*batch.schema.names[:-9], "removed", "n_removed_words", "spans"])
 
 
 def _packed(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: zlib.compress(t.encode("utf-8", "surrogatepass"), 1))
 
 
+_WORD_RUNS = ("w_a", "w_b", "w_start", "w_end")
+
+
+def _all_lists(name: str) -> Column:
+    """The lists of a group one after the other, those of several columns in one order."""
+    return F.flatten(F.collect_list(name)).alias(name)
+
+
 def _first_places(rows: DataFrame, id_col: str, prints: tuple) -> tuple[DataFrame, DataFrame]:
     """(places, first): the fingerprints that stand at two places or more, with all their places and with the first."""
     at = rows.select(F.col(id_col).isNull().alias("unknown"), F.col(id_col).alias("id"), "rid", "t_h", "t_g",
@@ -317,7 +378,7 @@ def _first_places(rows: DataFrame, id_col: str, prints: tuple) -> tuple[DataFram
 
 
 def _word_runs(docs: DataFrame, rows: DataFrame, keys: tuple) -> DataFrame:
-    """(w_rid, runs): the repeated runs of words of the documents that have any."""
+    """(w_rid, lists of _WORD_RUNS): the repeated runs of words of the documents that have any."""
     places, first = _first_places(rows, keys[0], ("w_h", "w_pos"))
     seeds = places.join(first, F.col("h") == F.col("f_h")).where(
         (F.col("rid") != F.col("first.rid")) | (F.col("pos") != F.col("first.pos")))
@@ -331,8 +392,8 @@ def _word_runs(docs: DataFrame, rows: DataFrame, keys: tuple) -> DataFrame:
              .groupBy("x_h", "x_g").agg(F.first("packed").alias("packed")))
     pairs = _with_text(_with_text(pairs, texts, "t_h", "t_g", "own"), texts, "s_h", "s_g", "other")
     runs = pairs.select("rid", "own", "other", *[F.transform("seeds", _field(c)).alias(c) for c in ("pos", "at")]).mapInArrow(
-        _words_extended, "w_rid long, a int, b int, start int, end int")
-    return runs.groupBy("w_rid").agg(F.collect_set(F.struct("a", "b", "start", "end")).alias("runs"))
+        _words_extended, ", ".join(["w_rid long", *[f"{c} array<int>" for c in _WORD_RUNS]]))
+    return runs.groupBy("w_rid").agg(*[_all_lists(c) for c in _WORD_RUNS])
 
 
 def _with_text(pairs: DataFrame, texts: DataFrame, h: str, g: str, name: str) -> DataFrame:
@@ -367,9 +428,8 @@ def repeated_runs(docs: DataFrame, keys: tuple = ("doc_id",)) -> DataFrame:
     """
     plain = docs.select(*keys, F.monotonically_increasing_id().alias("rid"), F.xxhash64(text_of()).alias("t_h"),
                         F.xxhash64(F.lit(1), text_of()).alias("t_g"), text_of().alias("text"))
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields[:-1]],
-                        *[f"{c} array<{t}>" for c, t in _UNITS.items()]])
-    rows = stored(plain.mapInArrow(_units_of, schema), "line-units")
+    fields = lambda df: [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields]
+    rows = stored(plain.mapInArrow(_units_of, ", ".join([*fields(plain)[:-1], *[f"{c} {t}" for c, t in _UNITS.items()]])), "line-units")
     places, first = _first_places(rows, keys[0], ("p_h", "p_pos", "p_n"))
     seeds = places.join(first, F.col("h") == F.col("f_h")).where(
         (F.col("rid") != F.col("first.rid")) | (F.col("pos") != F.col("first.pos")))
@@ -379,20 +439,13 @@ def repeated_runs(docs: DataFrame, keys: tuple = ("doc_id",)) -> DataFrame:
     pairs = pairs.join(sides.withColumnRenamed("hashes", "own"), F.col("rid") == F.col("s_rid")).drop("s_rid")
     pairs = pairs.join(sides.withColumnRenamed("hashes", "other"), F.col("src") == F.col("s_rid"))
     runs = pairs.select("rid", "own", "other", *[F.transform("seeds", _field(c)).alias(c) for c in ("pos", "at", "n")]).mapInArrow(
-        _extended, "r_rid long, a int, b int")
-    runs = runs.distinct().groupBy("r_rid").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(
-        F.sequence(F.col("a"), F.col("b") - 1))))).alias("removed"))
-    out = rows.join(runs, F.col("rid") == F.col("r_rid"), "left").withColumn(
-        "removed", F.coalesce("removed", F.array().cast("array<int>")))
-    out = out.join(_word_runs(docs, rows, keys), F.col("rid") == F.col("w_rid"), "left")
-    some = [F.when(F.col("runs").isNotNull(), F.col(c)) for c in ("words", "starts", "ends", "removed", "runs")]
-    out = out.withColumn("all", F.pandas_udf(_merged, "struct<n:bigint,spans:array<struct<start:int,end:int>>>")(*some))
-    total = lambda col: F.aggregate(col, F.lit(0).cast("bigint"), lambda a, w: a + w)
-    return out.select(
-        *keys, F.size("hashes").alias("n_units"), total("words").alias("n_words"), "removed",
-        F.coalesce("all.n", total(F.transform("removed", lambda i: F.get("words", i)))).alias("n_removed_words"),
-        F.coalesce("all.spans", F.transform("removed", lambda i: F.struct(
-            F.get("starts", i).alias("start"), F.get("ends", i).alias("end")))).alias("spans"))
+        _extended, "r_rid long, a array<int>, b array<int>")
+    runs = runs.groupBy("r_rid").agg(_all_lists("a"), _all_lists("b"))
+    kept = rows.select(*keys, "n_units", "n_words", "rid", "words", "starts", "ends")
+    out = kept.join(runs, F.col("rid") == F.col("r_rid"), "left").join(_word_runs(docs, rows, keys), F.col("rid") == F.col("w_rid"), "left")
+    out = out.select(*keys, "n_units", "n_words", "words", "starts", "ends", "a", "b", *_WORD_RUNS)
+    return out.mapInArrow(_removed, ", ".join([
+        *fields(out)[:-9], "removed array<int>", "n_removed_words bigint", "spans array<struct<start:int,end:int>>"]))
 
 
 def _cut(text: pd.Series, spans: pd.Series) -> pd.Series:

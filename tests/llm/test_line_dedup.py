@@ -5,8 +5,8 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 
-from churnlake.llm.line_dedup import (GRAM_WORDS, SURE_WORDS, drop_repeated_runs, repeated_runs, run_hashes, smallest_between,
-                                      unit_table)
+from churnlake.llm.line_dedup import (GRAM_WORDS, SURE_WORDS, drop_repeated_runs, extend, repeated_runs, run_hashes, smallest_between,
+                                      smallest_in_runs, unit_table)
 from churnlake.llm.tokens import buffers
 
 STOP = re.compile(r"[.!?]+(?=[\x20\x09\x0B-\x0D])")
@@ -71,6 +71,81 @@ def test_smallest_between():
         assert g == max(i for i in range(a, b + 1) if values[i] == values[a:b + 1].min())
 
 
+def test_smallest_in_runs():
+    values = np.random.default_rng(2).integers(0, 5, 100).astype(np.uint64)
+    for n in (1, 2, 3, 26, 100):
+        at = np.arange(100 - n + 1)
+        assert smallest_in_runs(values, n).tolist() == smallest_between(values, at, at + n - 1).tolist()
+
+
+def plain_runs(own, other, seeds):
+    """Every seed extended value by value; runs that overlap are one."""
+    out = []
+    for pos, at, n in seeds:
+        if at + n > len(other) or own[pos:pos + n] != other[at:at + n]:
+            continue
+        a, b = pos, pos + n
+        while a > 0 and a - pos + at > 0 and own[a - 1] == other[a - 1 - pos + at]:
+            a -= 1
+        while b < len(own) and b - pos + at < len(other) and own[b] == other[b - pos + at]:
+            b += 1
+        out.append((a, b))
+    held = []
+    for a, b in sorted(out):
+        if held and a < held[-1][1]:
+            held[-1] = (held[-1][0], max(b, held[-1][1]))
+        else:
+            held.append((a, b))
+    return held
+
+
+def flat(texts):
+    return np.concatenate([np.array(t, np.int64) for t in texts]), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+
+
+def test_extension_of_many_pairs():
+    rng = random.Random(5)
+    for values in (2, 3, 4):
+        for _ in range(60):
+            pairs = [[[rng.randrange(values) for _ in range(rng.randint(0, 90))] for _ in range(2)] for _ in range(rng.randint(1, 5))]
+            seeds = [(i, p, q, 3) for i, (x, y) in enumerate(pairs) for p in range(len(x) - 2) for q in range(len(y)) if rng.random() < .05]
+            got = extend(*flat([x for x, _ in pairs]), *flat([y for _, y in pairs]), *np.array(seeds, np.int64).reshape(-1, 4).T)
+            assert list(zip(*[g.tolist() for g in got])) == [
+                (i, *run) for i, (x, y) in enumerate(pairs) for run in plain_runs(x, y, [s[1:] for s in seeds if s[0] == i])]
+
+
+def test_text_that_repeats_itself_is_extended_once(monkeypatch):
+    import churnlake.llm.line_dedup as line_dedup
+    compared, agree = [], line_dedup._agree
+    monkeypatch.setattr(line_dedup, "_agree", lambda *a: compared.append(int(a[4].sum())) or agree(*a))
+    n = 4000
+    own = np.array([7, *[1] * n, 8], np.int64)
+    pos = np.arange(1, n - 1)
+    at = np.array([0, len(own)])
+    got = extend(own, at, own[1:-1], np.array([0, n]), np.zeros(len(pos), np.int64), pos, np.zeros(len(pos), np.int64), np.full(len(pos), 3))
+    assert [g.tolist() for g in got] == [[0], [1], [n + 1]]
+    assert sum(compared) < 3 * n        # n * n / 2 if every place is compared to its end
+
+
+def test_one_row_for_each_pair(spark, monkeypatch):
+    """Repeated lines give as many matches as places; the runs of a pair come together."""
+    made, frame = {}, type(spark.range(1))
+    rows_of = frame.mapInArrow
+
+    def counted(self, f, schema, *a, **k):
+        out = rows_of(self, f, schema, *a, **k)
+        if f.__name__ in ("_extended", "_words_extended"):
+            made[f.__name__] = (self.count(), out.count())
+        return out
+
+    monkeypatch.setattr(frame, "mapInArrow", counted)
+    line = " ".join(f"w{k}" for k in range(55)) + "."
+    rows = [(i, "".join(f"{line}\nown {i} {k}.\n" for k in range(20))) for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: tuple(r["removed"]) for r in repeated_runs(docs).collect()} == {i: tuple(range(0 if i else 2, 40, 2)) for i in range(8)}
+    assert set(made) == {"_extended", "_words_extended"} and all(0 < out <= pairs for pairs, out in made.values())
+
+
 def plain(rows):
     """Every fingerprint against the first place of its content, extended unit by unit."""
     seqs, place, out = [], {}, []
