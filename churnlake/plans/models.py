@@ -21,7 +21,7 @@ from churnlake.operators import impute
 from churnlake.operators.monitor import grouped_auc
 from churnlake.operators.ranking import exact_rank
 from churnlake.operators.stores import split_hash
-from churnlake.plans import lr_search
+from churnlake.plans import gbt_search, lr_search
 from churnlake.plans.features import feature_names, preprocessor
 from churnlake.schema import CATEGORICAL_FEATURES, KEYS, NUMERIC_FEATURES
 from churnlake.session import checkpoint
@@ -50,11 +50,14 @@ def prepare(parts: DataFrame, numeric=NUMERIC_FEATURES, categorical=CATEGORICAL_
     return out.withColumn("label", F.col("Churn").cast("double"))
 
 
-def stratified_folds(train: DataFrame, k: int = FOLDS, label_col: str = "label", seed: int = SEARCH_SEED) -> DataFrame:
-    """``fold`` = (rank within label in hash order) mod k: every fold holds each class evenly."""
+def stratified_folds(train: DataFrame, k: int = FOLDS, label_col: str = "label", seed: int = SEARCH_SEED,
+                     number: str | None = None) -> DataFrame:
+    """``fold`` = (rank within label in hash order) mod k: every fold holds each class evenly.  ``number``: the name
+    of an added column, a hash of label and rank."""
     keyed = train.withColumn("_h", split_hash(seed))
     ranked = exact_rank(keyed, [label_col], ["_h", *KEYS], "_r")
-    return ranked.withColumn("fold", (F.col("_r") % k).cast("int")).drop("_h", "_r")
+    added = {number: F.xxhash64(label_col, "_r")} if number else {}
+    return ranked.withColumns({"fold": (F.col("_r") % k).cast("int"), **added}).drop("_h", "_r")
 
 
 def lr_estimator(n_train: int, C: float = 1.0, penalty: str = "l2", max_iter: int = 100) -> LogisticRegression:
@@ -136,24 +139,25 @@ def search(train: DataFrame, kind: str, points: list[dict], folds: int = FOLDS)
     """Cross-validated search on AUC over stratified folds; of equal points the first wins.
 
     Logistic regression: all points on all folds in one set of passes (``lr_search``).  Boosted trees: the
-    encoders and the scaler are fitted once per fold, on the rows outside it, the fold's vectors are kept while
-    its points are fitted, and points that differ only in their number of trees share one fit (``staged_aucs``).
+    encoders and the scaler are fitted once per fold, on the rows outside it, and all points are fitted together on
+    the fold's vectors (``staged_aucs``).
     """
     if kind == "lr":
         return _lr_search(train, points, folds)
-    folded = stratified_folds(train, folds).persist()
+    folded = stratified_folds(train, folds, number="number").persist()
     total = [0.0] * len(points)
     for k in range(folds):
         fitted = preprocessor(NUMERIC_FEATURES, CATEGORICAL_FEATURES).fit(folded.where(F.col("fold") != k))
-        vectors = fitted.transform(folded).select("fold", "label", "features").persist()
+        vectors = fitted.transform(folded).select("fold", "label", "number", "features")
         inside, outside = vectors.where(F.col("fold") != k), vectors.where(F.col("fold") == k)
         for i, auc in staged_aucs(inside, outside, points).items():
             total[i] += auc
-        vectors.unpersist()
     mean = [t / folds for t in total]
     best = points[mean.index(max(mean))]
-    model = fit_pipeline(folded, estimator(kind, best, folded.count()))
     folded.unpersist()
+    # on the rows as they came: the folds lie in one partition per task of their ranking, and this fit passes over its
+    # partitions thousands of times
+    model = fit_pipeline(train, estimator(kind, best, train.count()))
     return Search(points, mean, model)
 
 
@@ -199,23 +203,11 @@ def prefix_margins(model, sizes: list[int], scored: DataFrame) -> DataFrame:
 
 
 def staged_aucs(inside: DataFrame, outside: DataFrame, points: list[dict]) -> dict[int, float]:
-    """AUC on ``outside`` of each point, by its place.  Boosting adds one tree after the other, so a fit with
-    fewer trees is a prefix of one with more: points equal in all else share the longest fit."""
-    groups: dict[tuple, list[int]] = {}
-    for i, point in enumerate(points):
-        groups.setdefault(tuple(sorted((k, v) for k, v in point.items() if k != "n_estimators")), []).append(i)
-    found = {}
-    for places in groups.values():
-        sizes = sorted({points[i]["n_estimators"] for i in places})
-        model = estimator("gbt", {**points[places[0]], "n_estimators": sizes[-1]}, 0).fit(inside)
-        margins = prefix_margins(model, sizes, outside)
-        stack = ", ".join(f"{n}, m_{n}" for n in sizes)
-        long = margins.selectExpr("label", f"stack({len(sizes)}, {stack}) AS (n, score)")
-        aucs = {r["n"]: r["auc"] for r in grouped_auc(long, ["n"], "label", "score", digits=None).collect()}
-        for i in places:
-            auc = aucs.get(points[i]["n_estimators"])
-            found[i] = 0.5 if auc is None else auc
-    return found
+    """AUC on ``outside`` of each point, by its place; all points are fitted together (``gbt_search``), those that
+    differ only in their number of trees by one fit."""
+    scored = gbt_search.scores(inside, outside, points)
+    aucs = {r["point"]: r["auc"] for r in grouped_auc(scored, ["point"], "label", "score", digits=None).collect()}
+    return {i: 0.5 if aucs.get(i) is None else aucs[i] for i in range(len(points))}
 
 
 def search_table(spark: SparkSession, found: Search) -> DataFrame:
