@@ -24,17 +24,19 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark import RDD, StorageLevel
+from pyspark.ml import Estimator
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlake.operators.ranking import running_sums
-from churnlake.session import ensure_checkpoint_dir, stored
+from churnlake.session import ensure_checkpoint_dir, shared_path, stored
 
 MAX_BINS = 32
 CELLS = 10_000          # of equal numbers of rows, per column, from which bin borders are taken
 SCALE = float(1 << 24)  # sums are exact up to 2**27 rows
-FEW_ROWS = 200_000
+FEW_ROWS = 300_000      # a task holds about 250 bytes a row
 CHUNK = 8192            # rows of one sum: its keys stay in the cache
 KEPT_ROUNDS = 20        # rounds between two checkpoints of the margins
 SEED = 42
@@ -161,6 +163,10 @@ def drawn_columns(node: np.ndarray, tree: int, share: float, columns: int) -> np
 
 # ---- one level of one tree -------------------------------------------------------------------------
 
+def weight(fit: Fit, tree: int) -> float:
+    return fit.rate if tree else 1.0
+
+
 def residuals(label: np.ndarray, margin: np.ndarray, tree: int) -> np.ndarray:
     sign = 2 * label - 1
     if tree:
@@ -316,8 +322,8 @@ def rows_of(blocks: list, codes: Codes) -> Rows:
 
 # ---- few rows: a model a task --------------------------------------------------------------------------
 
-def fit_alone(rows: Rows, fit: Fit, codes: Codes) -> Iterator[tuple[int, np.ndarray]]:
-    """(place of a point, margins of the rows outside) as the trees of each point are complete."""
+def grown(rows: Rows, fit: Fit, codes: Codes) -> Iterator[tuple[Tree, np.ndarray]]:
+    """The trees one after the other, each with the margins of all rows after it."""
     margin = np.zeros(len(rows.label))
     for t in range(max(fit.sizes.values())):
         drawn, target = rows.inside & drawn_rows(rows.number, t, fit.rows), residuals(rows.label, margin, t)
@@ -330,7 +336,13 @@ def fit_alone(rows: Rows, fit: Fit, codes: Codes) -> Iterator[tuple[int, np.ndar
             if not len(tree.open):
                 break
             sums = open_sums(rows, drawn, node, target, parents, found, sums, tree, codes)
-        margin += (fit.rate if t else 1.0) * tree.value[node]
+        margin = margin + weight(fit, t) * tree.value[node]
+        yield tree, margin
+
+
+def fit_alone(rows: Rows, fit: Fit, codes: Codes) -> Iterator[tuple[int, np.ndarray]]:
+    """(place of a point, margins of the rows outside) as the trees of each point are complete."""
+    for t, (_, margin) in enumerate(grown(rows, fit, codes)):
         for i, n in fit.sizes.items():
             if n == t + 1:
                 yield i, margin[~rows.inside]
@@ -381,7 +393,7 @@ def _advanced(trees, fits: list[Fit], t: int):
         rows, margin, kept = block
         margin, kept = margin.copy(), dict(kept)
         for m, tree in trees.value.items():
-            margin[:, m] += (fits[m].rate if t else 1.0) * tree.value[tree.nodes(rows.code)]
+            margin[:, m] += weight(fits[m], t) * tree.value[tree.nodes(rows.code)]
             for i, n in fits[m].sizes.items():
                 if n == t + 1:
                     kept[i] = margin[~rows.inside, m]
@@ -390,13 +402,14 @@ def _advanced(trees, fits: list[Fit], t: int):
     return run
 
 
-def _scores_by_passes(blocks: DataFrame, fits: list[Fit], codes: Codes) -> DataFrame:
+def _by_passes(blocks: DataFrame, fits: list[Fit], codes: Codes) -> tuple[DataFrame, list[dict[int, Tree]]]:
+    """Scores, and the trees of every round by model."""
     spark = blocks.sparkSession
     sc, many = spark.sparkContext, len(fits)
     ensure_checkpoint_dir(spark)
     state: RDD = blocks.rdd.map(lambda r: (rows := rows_of([r], codes), np.zeros((len(rows.label), many)), {}))
     state.persist(StorageLevel.MEMORY_AND_DISK)
-    old_file = None
+    old_file, rounds = None, []
     for t in range(max(n for f in fits for n in f.sizes.values())):
         trees = {m: Tree(f.depth) for m, f in enumerate(fits) if max(f.sizes.values()) > t}
         growing = trees
@@ -410,6 +423,7 @@ def _scores_by_passes(blocks: DataFrame, fits: list[Fit], codes: Codes) -> DataF
                 growing[m].grow(splits, fits[m].least)
             growing = {m: growing[m] for m in found if len(growing[m].open)}
             sent.destroy()
+        rounds.append(trees)
         sent = sc.broadcast(trees)
         before, state = state, state.map(_advanced(sent, fits, t)).persist(StorageLevel.MEMORY_AND_DISK)
         kept = t % KEPT_ROUNDS == KEPT_ROUNDS - 1
@@ -431,7 +445,7 @@ def _scores_by_passes(blocks: DataFrame, fits: list[Fit], codes: Codes) -> DataF
                  .select("point", "r.label", "r.score"), "gbt_scores")
     state.unpersist()
     _removed(sc, old_file)
-    return out
+    return out, rounds
 
 
 def _removed(sc, file: str | None) -> None:
@@ -441,10 +455,95 @@ def _removed(sc, file: str | None) -> None:
         path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
+# ---- the search's parts ------------------------------------------------------------------------------------
+
+def _prepared(rows: DataFrame) -> tuple[DataFrame, Codes, bool]:
+    codes = codes_of(rows)
+    return rows.mapInArrow(_coded(codes), _BLOCK), codes, rows.count() <= FEW_ROWS
+
+
 def scores(inside: DataFrame, outside: DataFrame, points: list[dict]) -> DataFrame:
     """(point, label, score): margins of the rows of ``outside`` under each point's model of ``inside``."""
-    rows = row_table(inside, outside)
-    codes = codes_of(rows)
-    blocks = rows.mapInArrow(_coded(codes), _BLOCK)
-    few = rows.count() <= FEW_ROWS
-    return (_scores_alone if few else _scores_by_passes)(blocks, fits_of(points), codes)
+    blocks, codes, few = _prepared(row_table(inside, outside))
+    return _scores_alone(blocks, fits_of(points), codes) if few else _by_passes(blocks, fits_of(points), codes)[0]
+
+
+class PointFit(Estimator):
+    """The fit of one point on all rows, as the search does it: a Spark model to score with and save."""
+
+    def __init__(self, point: dict):
+        super().__init__()
+        self.point = point
+
+    def _fit(self, dataset: DataFrame) -> GBTClassificationModel:
+        blocks, codes, few = _prepared(row_table(dataset, dataset.limit(0)))
+        fit, sc = fits_of([self.point])[0], dataset.sparkSession.sparkContext
+        if few:
+            rows = sc.broadcast(rows_of(blocks.collect(), codes))
+            trees = sc.parallelize([0], 1).map(lambda _: [tree for tree, _ in grown(rows.value, fit, codes)]).first()
+        else:
+            trees = [r[0] for r in _by_passes(blocks, [fit], codes)[1]]
+        return as_model(dataset.sparkSession, trees, _node_sums(blocks, trees, fit, codes), fit, codes)
+
+
+def _node_sums(blocks: DataFrame, trees: list[Tree], fit: Fit, codes: Codes) -> np.ndarray:
+    """(trees, nodes, 3): drawn rows, sum and sum of squares of what each tree was fitted to, in one pass."""
+    sent = blocks.sparkSession.sparkContext.broadcast(trees)
+
+    def run(packed) -> Iterator[np.ndarray]:
+        out = np.zeros((len(sent.value), len(sent.value[0].value), 3))
+        for block in packed:
+            rows = rows_of([block], codes)
+            margin = np.zeros(len(rows.label))
+            for t, tree in enumerate(sent.value):
+                node = tree.nodes(rows.code)
+                drawn = rows.inside & drawn_rows(rows.number, t, fit.rows)
+                at, target = node[drawn], residuals(rows.label, margin, t)[drawn] / SCALE
+                for j, v in enumerate((None, target, target * target)):
+                    out[t, :, j] += np.bincount(at, v, out.shape[1])
+                margin += weight(fit, t) * tree.value[node]
+        yield out
+
+    sums = blocks.rdd.mapPartitions(run).reduce(lambda a, b: a + b)
+    for node in range(sums.shape[1] // 2 - 1, -1, -1):
+        sums[:, node] += sums[:, 2 * node + 1] + sums[:, 2 * node + 2]
+    return sums
+
+
+def _node_rows(trees: list[Tree], sums: np.ndarray, codes: Codes) -> Iterator[tuple]:
+    """Rows of a saved model: a node comes before its left side, that before its right one."""
+    for t, (tree, s) in enumerate(zip(trees, sums)):
+        n = s[:, 0]
+        spread = np.maximum(s[:, 2] - s[:, 1] ** 2 / np.maximum(n, 1), 0) / np.maximum(n, 1)
+        order, todo = [], [0]
+        while todo:
+            i = todo.pop()
+            order.append(i)
+            if tree.column[i] >= 0:
+                todo += [2 * i + 2, 2 * i + 1]
+        at = {i: k for k, i in enumerate(order)}
+        for i in order:
+            j, a, b = int(tree.column[i]), 2 * i + 1, 2 * i + 2
+            gain, sides, split = -1.0, (-1, -1), (-1, [], -1)
+            if j >= 0:
+                gain = float(spread[i] - (n[a] * spread[a] + n[b] * spread[b]) / n[i])
+                sides, split = (at[a], at[b]), (j, [float(codes.borders[j][tree.cut[i] - codes.first[j]])], -1)
+            yield t, (at[i], float(tree.value[i]), float(spread[i]), s[i].tolist(), int(n[i]), gain, *sides, split)
+
+
+def as_model(spark: SparkSession, trees: list[Tree], sums: np.ndarray, fit: Fit, codes: Codes) -> GBTClassificationModel:
+    """Fitted trees as a Spark ML model, for scoring and saving.  A model of single nodes is saved, its nodes are
+    written anew and it is loaded: handed over one by one, 19,200 nodes took 31 s."""
+    sc, width = spark.sparkContext, len(codes.borders)
+    jvm, gateway = sc._jvm, sc._gateway
+    ml = jvm.org.apache.spark.ml
+    stats = jvm.org.apache.spark.mllib.tree.impurity.VarianceCalculator(gateway.new_array(jvm.double, 3), 0)
+    leaf, of_root = ml.tree.LeafNode(0.0, 0.0, stats), ml.regression.DecisionTreeRegressionModel
+    made, weights = gateway.new_array(of_root, len(trees)), gateway.new_array(jvm.double, len(trees))
+    for t in range(len(trees)):
+        made[t], weights[t] = of_root(leaf, width), weight(fit, t)
+    path = shared_path(spark, "gbt_model")
+    GBTClassificationModel(ml.classification.GBTClassificationModel("gbt_batch", made, weights, width, 2)).write().save(path)
+    schema = spark.read.parquet(f"{path}/data").schema
+    spark.createDataFrame(list(_node_rows(trees, sums, codes)), schema).write.mode("overwrite").parquet(f"{path}/data")
+    return GBTClassificationModel.load(path).setFeaturesCol("features")

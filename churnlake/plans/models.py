@@ -154,10 +154,8 @@ def search(train: DataFrame, kind: str, points: list[dict], folds: int = FOLDS)
             total[i] += auc
     mean = [t / folds for t in total]
     best = points[mean.index(max(mean))]
+    model = fit_pipeline(folded, gbt_search.PointFit(best))
     folded.unpersist()
-    # on the rows as they came: the folds lie in one partition per task of their ranking, and this fit passes over its
-    # partitions thousands of times
-    model = fit_pipeline(train, estimator(kind, best, train.count()))
     return Search(points, mean, model)
 
 

@@ -2,9 +2,11 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.linalg import Vectors
 
 from churnlake.plans import gbt_search, models, registry
+from churnlake.session import shared_path
 
 
 def test_registered_search_runs_the_whole_space(spark, monkeypatch):
@@ -88,3 +90,20 @@ def test_borders_of_many_values_follow_the_rows(spark, monkeypatch):
     for codes, off in ((fine, 0.001), (coarse, 0.003)):
         assert codes.first.tolist() == [0, 32, 34, 35] and codes.borders[1].tolist() == [0.5]
         assert [(mine <= b).mean() for b in codes.borders[0]] == pytest.approx([i / 32 for i in range(1, 32)], abs=off)
+
+
+@pytest.mark.parametrize("few", [0, 300_000])
+def test_model_of_a_point_is_a_spark_model(spark, vectors, monkeypatch, few):
+    monkeypatch.setattr(gbt_search, "FEW_ROWS", few)
+    inside, outside = vectors.where("fold > 0"), vectors.where("fold = 0")
+    point = _point(n_estimators=3)
+    path = shared_path(spark, "gbt_batch")
+    gbt_search.PointFit(point).fit(inside).write().save(path)
+    model, single = GBTClassificationModel.load(path), models.estimator("gbt", point, 0).fit(inside)
+    assert model.treeWeights == single.treeWeights and model.numFeatures == single.numFeatures
+    assert model.featureImportances.toArray() == pytest.approx(single.featureImportances.toArray(), abs=1e-5)
+    got, want = ([r["rawPrediction"][1] for r in m.transform(outside).orderBy("number").collect()] for m in (model, single))
+    assert got == pytest.approx(want, abs=1e-5)
+    drawn = _point(n_estimators=3, subsample=0.6, colsample_bytree=0.6, min_child_weight=1)
+    margins = gbt_search.PointFit(drawn).fit(inside).transform(outside).collect()
+    assert sorted(r["rawPrediction"][1] for r in margins) == pytest.approx(_scored(inside, outside, [drawn])[0])
